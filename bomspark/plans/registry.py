@@ -244,3 +244,192 @@ def scalar_trim_q(spark, sf):
         TX.blank_to_null(F.concat(tab, F.col("p_brand"), F.lit(" "))).alias("brand"),
         TX.blank_to_null(F.concat(F.repeat(F.lit(" "), F.col("p_size") % 3), tab)).alias("blank"),
     )
+
+
+# ---------------------------------------------------------------- landing drops
+
+from ..functions import periods as PD  # noqa: E402
+from ..sources import fixtures as FX  # noqa: E402
+from ..sources import ingest as IG  # noqa: E402
+from ..sources import landing as LD  # noqa: E402
+
+# Option drop rows restated in SQL: status 'P' orders go to the no-year
+# extract files (no shop_order_num column), the rest to dated files.
+_OPT_LANDING = """
+WITH r AS (
+  SELECT 'DC' || CAST(l_suppkey AS VARCHAR) AS design_configuration,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS shop_order_num,
+         CAST(l_orderkey AS VARCHAR) AS Engine_serial,
+         'OPT' || CAST(l_partkey AS VARCHAR) AS option_assembly_num,
+         CAST(year(l_shipdate) AS VARCHAR) AS build_year_2,
+         o_orderstatus, o_orderpriority, o_orderdate, l_orderkey, l_linenumber,
+         CASE WHEN o_orderstatus = 'P' THEN 'bom_option_extract_' || o_orderpriority || '.csv'
+              ELSE 'BOM_ESN_Option_' || strftime(o_orderdate, '%Y%m%d%H%M') || '.csv' END AS file_name,
+         CASE WHEN o_orderstatus = 'P' THEN ',' WHEN day(o_orderdate) % 2 = 1 THEN '|' ELSE ',' END
+           AS delimiter
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+fallback AS (
+  SELECT file_name, build_year_2 AS fy
+  FROM (SELECT file_name, build_year_2,
+               ROW_NUMBER() OVER (PARTITION BY file_name ORDER BY l_orderkey, l_linenumber) AS rn
+        FROM r WHERE o_orderstatus = 'P') t
+  WHERE rn = 1),
+files AS (
+  SELECT DISTINCT r.file_name,
+         CASE WHEN r.o_orderstatus = 'P' THEN f.fy ELSE strftime(r.o_orderdate, '%Y') END AS year,
+         CASE WHEN r.o_orderstatus = 'P' THEN NULL ELSE strftime(r.o_orderdate, '%m') END AS month
+  FROM r LEFT JOIN fallback f ON r.file_name = f.file_name),
+periods AS (
+  SELECT file_name, year, month,
+         year || '_' || CASE WHEN CAST(COALESCE(month, '01') AS INTEGER) <= 6 THEN '01' ELSE '02' END
+           AS period
+  FROM files)
+"""
+
+_CFG_LANDING = """
+WITH c AS (
+  SELECT CAST(o_orderkey AS VARCHAR) AS engine_serial_num,
+         o_orderpriority || ', ' || o_orderstatus || '|' AS comment,
+         'DC' || CAST(o_custkey AS VARCHAR) AS design_config_num,
+         CAST(year(o_orderdate) AS VARCHAR) AS build_year,
+         CASE WHEN o_orderstatus <> 'P' THEN o_orderstatus END AS remark
+  FROM orders)
+"""
+
+_CHILD_LANDING = """
+WITH p AS (
+  SELECT p_partkey, p_size, 'WC_Option_Child_' || lpad(CAST(p_size AS VARCHAR), 2, '0') || '.csv' AS file_name,
+         CASE p_size % 3 WHEN 0 THEN 'rev_option_no' WHEN 1 THEN 'Option_Number' ELSE 'OPTION_NO' END
+           AS option_column,
+         CASE WHEN p_size % 2 = 0 THEN '|' ELSE ',' END AS delimiter
+  FROM part)
+"""
+
+
+@register("landing_scan", _OPT_LANDING + """
+SELECT file_name, COUNT(*) + 1 AS lines FROM r GROUP BY file_name""")
+def landing_scan_q(spark, sf):
+    """Every ``*.csv`` of the option drop, with its line count."""
+    folder = FX.option_landing(spark, sf)
+    lines = spark.read.option("pathGlobFilter", LD.CSV_GLOB).text(folder)
+    name = F.try_url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1))
+    return lines.groupBy(name.alias("file_name")).agg(F.count(F.lit(1)).alias("lines"))
+
+
+@register("detect_delimiter", _OPT_LANDING + "SELECT DISTINCT file_name, delimiter FROM r")
+def detect_delimiter_q(spark, sf):
+    """Per-file delimiter from the first line (pipe only when it wins)."""
+    folder = FX.option_landing(spark, sf)
+    return LD.detect_delimiters(spark, folder).select("file_name", "delimiter")
+
+
+@register("read_delimited", _CFG_LANDING + "SELECT * FROM c")
+def read_delimited_q(spark, sf):
+    """Mixed pipe/comma config drop, quoted delimiters inside a
+    field, short rows (trailing field missing) NULL-padded."""
+    folder = FX.config_landing(spark, sf)
+    return LD.read_delimited(spark, folder).drop("_path", "_pos")
+
+
+@register("short_rows", _CFG_LANDING + "SELECT engine_serial_num, remark FROM c")
+def short_rows_q(spark, sf):
+    """Rows missing their trailing field read as NULL, not dropped."""
+    folder = FX.config_landing(spark, sf)
+    return LD.read_delimited(spark, folder).select("engine_serial_num", "remark")
+
+
+@register("ingest_bom_config", _CFG_LANDING + """
+SELECT engine_serial_num AS Engine_serial, design_config_num AS design_config_2, build_year FROM c""")
+def ingest_bom_config_q(spark, sf):
+    """Config landing drop -> (Engine_serial, design_config_2, build_year)."""
+    return IG.ingest_bom_config(spark, FX.config_landing(spark, sf))
+
+
+@register("ingest_option_child", q("SELECT * FROM child_part_option"))
+def ingest_option_child_q(spark, sf):
+    """Option-child drop with header synonyms -> (Option_Number, Child_Part_Number)."""
+    return IG.ingest_option_child(spark, FX.child_landing(spark, sf))
+
+
+@register("header_synonyms", _CHILD_LANDING + """
+SELECT DISTINCT file_name, option_column, delimiter FROM p""")
+def header_synonyms_q(spark, sf):
+    """Which header each option-child file's option column was found under."""
+    files = LD.landing_files(spark, FX.child_landing(spark, sf), pipe_on_tie=True)
+    rows = []
+    for f in files:
+        idx = IG.resolve_child_columns(f.fields)
+        rows.append((f.name, f.fields[idx[0]].strip() if idx else None, f.delimiter))
+    return spark.createDataFrame(rows, "file_name string, option_column string, delimiter string")
+
+
+@register("ingest_bom_option", _OPT_LANDING + """
+SELECT r.design_configuration, r.shop_order_num, r.Engine_serial, r.option_assembly_num,
+       r.build_year_2, p.period
+FROM r JOIN periods p ON r.file_name = p.file_name""")
+def ingest_bom_option_q(spark, sf):
+    """Option drop -> five kept columns + half-year period of the file."""
+    return IG.ingest_bom_option(spark, FX.option_landing(spark, sf))
+
+
+@register("rename_keep", _OPT_LANDING + """
+SELECT design_configuration, shop_order_num, Engine_serial, option_assembly_num, build_year_2 FROM r""")
+def rename_keep_q(spark, sf):
+    """Rename map + keep-list over files with differently named/ordered headers."""
+    return IG.ingest_bom_option(spark, FX.option_landing(spark, sf)).drop("period")
+
+
+@register("missing_columns", _OPT_LANDING + """
+SELECT DISTINCT file_name, CASE WHEN o_orderstatus = 'P' THEN 'shop_order_num' ELSE '' END AS missing
+FROM r""")
+def missing_columns_q(spark, sf):
+    """Kept columns absent from each option file's header (NULL-filled)."""
+    files = LD.landing_files(spark, FX.option_landing(spark, sf))
+    rows = [(f.name, ",".join(IG.missing_option_columns(f.fields))) for f in files]
+    return spark.createDataFrame(rows, "file_name string, missing string")
+
+
+@register("filename_period", _OPT_LANDING + """
+SELECT DISTINCT r.file_name,
+       NULLIF(regexp_extract(r.file_name, '(19|20)\\d{2}', 0), '') AS year,
+       p.month,
+       CASE WHEN r.o_orderstatus = 'P' THEN NULL ELSE p.period END AS name_period
+FROM r JOIN periods p ON r.file_name = p.file_name""")
+def filename_period_q(spark, sf):
+    """year, month and half-year period from each file name alone
+    (NULL period where the name has no year)."""
+    rows = FX.option_rows(spark, sf).select(FX.option_file_name().alias("file_name")).distinct()
+    y, m = PD.year_from_name("file_name"), PD.month_from_name("file_name")
+    return rows.select("file_name", y.alias("year"), m.alias("month"),
+                       F.when(y.isNotNull(), PD.period_of(y, m)).alias("name_period"))
+
+
+@register("period_fallback", _OPT_LANDING + """
+SELECT file_name, year, period FROM periods WHERE file_name LIKE 'bom_option_extract_%'""")
+def period_fallback_q(spark, sf):
+    """F8: files without a year in the name take it from their first data row."""
+    folder = FX.option_landing(spark, sf)
+    files = LD.landing_files(spark, folder)
+    rows = IG._option_rows(spark, files, folder)
+    per = IG.file_periods(spark, files, rows)
+    return per.where(PD.year_from_name("file_name").isNull()).select("file_name", "year", "period")
+
+
+@register("ingest_counts", _OPT_LANDING + """
+SELECT p.period, COUNT(*) AS records FROM r JOIN periods p ON r.file_name = p.file_name
+GROUP BY p.period""")
+def ingest_counts_q(spark, sf):
+    """A5: records per half-year group."""
+    return IG.ingest_counts(IG.ingest_bom_option(spark, FX.option_landing(spark, sf)), "period")
+
+
+@register("period_order", _OPT_LANDING + """
+SELECT DISTINCT period, CAST(split_part(period, '_', 1) AS INTEGER) AS year_num,
+       CAST(split_part(period, '_', 2) AS INTEGER) AS half_num
+FROM periods ORDER BY year_num, half_num""")
+def period_order_q(spark, sf):
+    """Period groups in natural (year, half) integer order."""
+    per = IG.ingest_bom_option(spark, FX.option_landing(spark, sf)).select("period").distinct()
+    y, h = PD.period_parts("period")
+    return per.select("period", y.alias("year_num"), h.alias("half_num")) \
+              .orderBy("year_num", "half_num")
