@@ -12,6 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import schemas as S
 from ..functions import text as TX
@@ -433,3 +434,218 @@ def period_order_q(spark, sf):
     y, h = PD.period_parts("period")
     return per.select("period", y.alias("year_num"), h.alias("half_num")) \
               .orderBy("year_num", "half_num")
+
+
+# ---------------------------------------------------------------- sinks (K1-K7), S5, S6, S8
+
+from .. import sinks as SK  # noqa: E402
+from ..operators import audit as AU  # noqa: E402
+from ..session import scratch_path  # noqa: E402
+from ..sources import landing as LD2  # noqa: E402,F811
+from ..streaming import incremental_ingest, read_ingested  # noqa: E402
+
+
+def _part_files(spark, folder: str, glob: str) -> list[str]:
+    """Data files of a written folder (one row per file, collected)."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob) \
+        .option("recursiveFileLookup", True).load(folder).select("path")
+    return sorted(r["path"] for r in listed.collect())
+
+
+@register("csv_roundtrip", q("SELECT * FROM keyed"))
+def csv_roundtrip_q(spark, sf):
+    """K1 + S4: keyed rows to header CSV and back with stated string/int
+    types (serials keep leading zeros: nothing is inferred)."""
+    out = scratch_path(spark, "csv-keyed")
+    SK.write_csv(_keyed(spark, sf), out)
+    return LD2.read_typed_csv(spark, [out], S.KEYED)
+
+
+@register("typed_multi_csv", q("SELECT * FROM keyed"))
+def typed_multi_csv_q(spark, sf):
+    """A list of CSV files (one folder per build year) read as one
+    typed table."""
+    out = scratch_path(spark, "csv-keyed-years")
+    (_keyed(spark, sf).write.mode("overwrite").partitionBy(S.BUILD_YEAR)
+     .option("header", True).option("quote", '"').option("escape", '"').csv(out))
+    files = _part_files(spark, out, "*.csv")
+    # build_year lives in the folder names; read the files as one list and
+    # recover it from each file's path
+    schema = T.StructType([f for f in S.KEYED.fields if f.name != S.BUILD_YEAR])
+    df = LD2.read_typed_csv(spark, files, schema)
+    year = F.regexp_extract(F.col("_metadata.file_path"), S.BUILD_YEAR + r"=(\d+)", 1)
+    return df.select(S.ENGINE_SERIAL, S.OPTION, S.KEY, year.cast("int").alias(S.BUILD_YEAR))
+
+
+@register("csv_to_parquet", q("SELECT * FROM keyed"))
+def csv_to_parquet_q(spark, sf):
+    """K7: typed CSV -> ZSTD Parquet, then scanned as Parquet."""
+    src = scratch_path(spark, "csv-src")
+    SK.write_csv(_keyed(spark, sf), src)
+    return SK.csv_to_parquet(spark, [src], S.KEYED, scratch_path(spark, "pq-from-csv"))
+
+
+@register("parquet_roundtrip", q("SELECT * FROM rolled"))
+def parquet_roundtrip_q(spark, sf):
+    """Roll-up written as ZSTD Parquet and scanned back."""
+    out = scratch_path(spark, "pq-rollup")
+    SK.write_parquet(_rollup(spark, sf), out)
+    return spark.read.parquet(out)
+
+
+@register("year_export", q("SELECT * FROM rolled"))
+def year_export_q(spark, sf):
+    """Year-ordered export (range-partitioned, sorted parts),
+    read back from the list of its part files."""
+    out = scratch_path(spark, "year-export")
+    SK.export_year_ordered(_rollup(spark, sf), out, then=[S.COUNT])
+    return spark.read.parquet(*_part_files(spark, out, "*.parquet"))
+
+
+@register("reconcile_counts", q("""
+SELECT COUNT(*) AS expected_rows, COUNT(*) AS actual_rows, TRUE AS match FROM rolled"""))
+def reconcile_counts_q(spark, sf):
+    """Rows exported by the year-wise export vs rows of the roll-up."""
+    rollup = _rollup(spark, sf)
+    out = scratch_path(spark, "year-export-rc")
+    SK.export_year_ordered(rollup, out, then=[S.COUNT])
+    return AU.reconcile(rollup, spark.read.parquet(out))
+
+
+@register("half_year_partition", _OPT_LANDING + """
+SELECT r.design_configuration, r.shop_order_num, r.Engine_serial, r.option_assembly_num,
+       r.build_year_2, p.period
+FROM r JOIN periods p ON r.file_name = p.file_name""")
+def half_year_partition_q(spark, sf):
+    """K4: option rows written partitioned by half-year period, read back."""
+    out = scratch_path(spark, "option-by-period")
+    SK.write_parquet(IG.ingest_bom_option(spark, FX.option_landing(spark, sf)), out,
+                     partition_by=["period"])
+    df = spark.read.parquet(out)
+    return df.select(*S.OPTION_KEEP, F.col("period").cast("string").alias("period"))
+
+
+@register("append_union_all", q("SELECT * FROM bom_config UNION ALL SELECT * FROM bom_config"))
+def append_union_all_q(spark, sf):
+    """Append to a table with the same columns (no de-duplication):
+    the second load doubles every row, as the reference's re-run did."""
+    out = scratch_path(spark, "config-append")
+    cfg = TB.bom_config(spark, sf)
+    SK.append_table(spark, cfg, out)
+    SK.append_table(spark, cfg, out)
+    return spark.read.parquet(out)
+
+
+@register("empty_schema", q("SELECT * FROM latest_rows WHERE 1 = 0"))
+def empty_schema_q(spark, sf):
+    """An empty roll-up flows through the latest-per-key stage and
+    keeps the stage schema (typed columns, zero rows)."""
+    return latest_per_key(_rollup(spark, sf).where(F.lit(False)))
+
+
+@register("lenient_csv", q("""
+SELECT CAST(Engine_serial_count AS VARCHAR) AS Engine_serial_count, option_assembly_num,
+       esn_config_design_config_Shop_order_num, CAST(build_year AS VARCHAR) AS build_year,
+       Child_Part_Number
+FROM expanded_rows"""))
+def lenient_csv_q(spark, sf):
+    """The expansion written as CSV and read back all-VARCHAR, leniently."""
+    out = scratch_path(spark, "csv-expanded")
+    SK.write_csv(_expanded(spark, sf), out)
+    return LD2.read_lenient_csv(spark, out, [f.name for f in S.EXPANDED.fields])
+
+
+@register("best_per_child_csv", q("""
+SELECT CAST(Engine_serial_count AS VARCHAR) AS Engine_serial_count, option_assembly_num,
+       esn_config_design_config_Shop_order_num, CAST(build_year AS VARCHAR) AS build_year,
+       Child_Part_Number
+FROM best_rows"""))
+def best_per_child_csv_q(spark, sf):
+    """W2 as the reference ran it: rank the expansion CSV read all-VARCHAR,
+    comparing year and count as integers."""
+    out = scratch_path(spark, "csv-expanded-w2")
+    SK.write_csv(_expanded(spark, sf), out)
+    text = LD2.read_lenient_csv(spark, out, [f.name for f in S.EXPANDED.fields])
+    return best_per_child(text)
+
+
+# ---------------------------------------------------------------- audits / diagnostics
+
+@register("stage_audit", q("""
+SELECT stage, input_rows, output_rows, output_rows - input_rows AS delta,
+       CASE WHEN input_rows > 0 THEN ROUND((output_rows - input_rows) * 100.0 / input_rows, 2) END
+         AS pct_change
+FROM (
+  SELECT 'serial_join' AS stage, (SELECT COUNT(*) FROM bom_option) AS input_rows,
+         (SELECT COUNT(*) FROM serial_joined) AS output_rows
+  UNION ALL SELECT 'keyed', (SELECT COUNT(*) FROM serial_joined), (SELECT COUNT(*) FROM keyed)
+  UNION ALL SELECT 'rollup', (SELECT COUNT(*) FROM keyed), (SELECT COUNT(*) FROM rolled)
+  UNION ALL SELECT 'latest', (SELECT COUNT(*) FROM rolled), (SELECT COUNT(*) FROM latest_rows)
+  UNION ALL SELECT 'expanded', (SELECT COUNT(*) FROM latest_rows), (SELECT COUNT(*) FROM expanded_rows)
+  UNION ALL SELECT 'best_per_child', (SELECT COUNT(*) FROM expanded_rows), (SELECT COUNT(*) FROM best_rows)
+  UNION ALL SELECT 'bom_option', NULL, (SELECT COUNT(*) FROM bom_option)
+) t"""))
+def stage_audit_q(spark, sf):
+    """Rows in and out of every stage, delta and percent change."""
+    from .workflow import run_workflow
+    opt, cfg, child = _inputs(spark, sf)
+    r = run_workflow(opt, cfg, child)
+    stages = {"bom_option": opt, "serial_join": r.serial_joined, "keyed": r.keyed,
+              "rollup": r.rollup, "latest": r.latest, "expanded": r.expanded,
+              "best_per_child": r.best_per_child}
+    inputs = {"serial_join": "bom_option", "keyed": "serial_join", "rollup": "keyed",
+              "latest": "rollup", "expanded": "latest", "best_per_child": "expanded"}
+    return AU.stage_audit(stages, inputs)
+
+
+@register("key_overlap", q("""
+SELECT (SELECT COUNT(DISTINCT Engine_serial) FROM bom_option) AS left_keys,
+       (SELECT COUNT(DISTINCT Engine_serial) FROM bom_config) AS right_keys,
+       (SELECT COUNT(*) FROM (SELECT Engine_serial FROM bom_option INTERSECT
+                              SELECT Engine_serial FROM bom_config)) AS common_keys,
+       (SELECT COUNT(*) FROM (SELECT lower(Engine_serial) FROM bom_option INTERSECT
+                              SELECT lower(Engine_serial) FROM bom_config)) AS common_keys_ignore_case"""))
+def key_overlap_q(spark, sf):
+    """Do option and config serials overlap (exactly / ignoring case)?"""
+    return AU.key_overlap(TB.bom_option(spark, sf), TB.bom_config(spark, sf), S.ENGINE_SERIAL)
+
+
+@register("drop_all_empty", """
+SELECT 'DC' || CAST(l_suppkey AS VARCHAR) AS design_configuration,
+       CAST(l_linenumber AS VARCHAR) AS shop_order_num,
+       CAST(l_orderkey AS VARCHAR) AS Engine_serial,
+       'OPT' || CAST(l_partkey AS VARCHAR) AS option_assembly_num,
+       CAST(year(l_shipdate) AS VARCHAR) AS build_year_2
+FROM lineitem WHERE l_returnflag <> 'N'""")
+def drop_all_empty_q(spark, sf):
+    """P5: option rows whose kept fields are all blank are dropped (here the
+    fields of every 'N'-flag line are blanked with spaces/tabs first)."""
+    li = TB.table(spark, sf, "lineitem")
+    blank = F.col("l_returnflag") == "N"
+    def field(c):
+        return F.when(blank, F.lit(" \t ")).otherwise(c)
+    raw = li.select(
+        field(F.concat(F.lit("DC"), F.col("l_suppkey").cast("string"))).alias("design_configuration"),
+        field(F.col("l_linenumber").cast("string")).alias(S.SHOP_ORDER),
+        field(F.col("l_orderkey").cast("string")).alias(S.ENGINE_SERIAL),
+        field(F.concat(F.lit("OPT"), F.col("l_partkey").cast("string"))).alias(S.OPTION),
+        field(F.year("l_shipdate").cast("string")).alias("build_year_2"))
+    cleaned = raw.select(*[TX.clean_field(c).alias(c) for c in S.OPTION_KEEP])
+    return cleaned.na.drop(how="all", subset=S.OPTION_KEEP)
+
+
+# ---------------------------------------------------------------- streaming
+
+@register("incremental_ingest", _CFG_LANDING + """
+SELECT engine_serial_num AS Engine_serial, design_config_num AS design_config_2, build_year FROM c""")
+def incremental_ingest_q(spark, sf):
+    """The config drop ingested by the file-ledger stream, run twice:
+    the second run finds no new file, so every row is present exactly once."""
+    landing = FX.config_landing(spark, sf)
+    table_dir = scratch_path(spark, "cfg-incremental")
+    ckpt = scratch_path(spark, "cfg-incremental-ckpt")
+    def normalizer(sp, paths):
+        return IG.ingest_bom_config(sp, paths)
+    incremental_ingest(spark, landing, table_dir, ckpt, normalizer, max_files_per_trigger=25)
+    incremental_ingest(spark, landing, table_dir, ckpt, normalizer, max_files_per_trigger=25)
+    return read_ingested(spark, table_dir, S.BOM_CONFIG).drop("batch_id")
