@@ -56,8 +56,17 @@ def _latest(spark, sf):
     return latest_per_key(_rollup(spark, sf))
 
 
+def _rollup_table(spark, sf):
+    """The roll-up written once to the shared checkpoint folder, for plans
+    that consume it twice (latest rows + key/option pairs): otherwise each
+    branch would recompute the serial join, the distinct count and the
+    join-back."""
+    from ..sinks import checkpoint_table
+    return checkpoint_table(_rollup(spark, sf), "rollup")
+
+
 def _expanded(spark, sf):
-    rollup = _rollup(spark, sf)
+    rollup = _rollup_table(spark, sf)
     return expand_children(rollup, latest_per_key(rollup), TB.child_part_option(spark, sf))
 
 
@@ -130,13 +139,13 @@ def semi_filter_children_q(spark, sf):
           q("SELECT f5.* FROM latest_rows f5 WHERE EXISTS (SELECT 1 FROM rolled f4 WHERE "
             "f4.esn_config_design_config_Shop_order_num = f5.esn_config_design_config_Shop_order_num)"))
 def semi_exists_keys_q(spark, sf):
-    rollup = _rollup(spark, sf)
+    rollup = _rollup_table(spark, sf)
     return semi_exists_keys(latest_per_key(rollup), rollup)
 
 
 @register("key_option_pairs", q("SELECT * FROM key_pairs"))
 def key_option_pairs_q(spark, sf):
-    rollup = _rollup(spark, sf)
+    rollup = _rollup_table(spark, sf)
     return key_option_pairs(rollup, latest_per_key(rollup))
 
 
@@ -148,7 +157,7 @@ def expand_children_q(spark, sf):
 @register("best_per_child", q("SELECT * FROM best_rows"))
 def best_per_child_q(spark, sf):
     """Flagship: best (newest, most used) configuration per child part."""
-    rollup = _rollup(spark, sf)
+    rollup = _rollup_table(spark, sf)
     return best_per_child_from_parts(rollup, latest_per_key(rollup),
                                      TB.child_part_option(spark, sf))
 
@@ -506,7 +515,7 @@ def year_export_q(spark, sf):
 SELECT COUNT(*) AS expected_rows, COUNT(*) AS actual_rows, TRUE AS match FROM rolled"""))
 def reconcile_counts_q(spark, sf):
     """Rows exported by the year-wise export vs rows of the roll-up."""
-    rollup = _rollup(spark, sf)
+    rollup = _rollup_table(spark, sf)
     out = scratch_path(spark, "year-export-rc")
     SK.export_year_ordered(rollup, out, then=[S.COUNT])
     return AU.reconcile(rollup, spark.read.parquet(out))

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from ..sinks import checkpoint_table
 from ..operators import (best_per_child, best_per_child_from_parts, build_order_key,
                          config_engine_counts, expand_children, latest_per_key, serial_join)
 
@@ -30,13 +31,21 @@ class WorkflowResult:
 
 
 def run_workflow(option: DataFrame, config: DataFrame, child: DataFrame,
-                 materialize_expansion: bool = False) -> WorkflowResult:
-    """Build every stage lazily. ``best_per_child`` is computed without the
-    full expansion unless ``materialize_expansion`` asks for the literal
-    expand-then-rank plan (same rows)."""
+                 materialize_expansion: bool = False,
+                 checkpoint_rollup: bool = True) -> WorkflowResult:
+    """Build every stage. ``best_per_child`` is computed without the full
+    expansion unless ``materialize_expansion`` asks for the literal
+    expand-then-rank plan (same rows).
+
+    With ``checkpoint_rollup`` (default) the roll-up is written once to the
+    shared checkpoint folder (an eager write) because three later stages
+    read it; without it every stage stays lazy and each consumer recomputes
+    the roll-up."""
     sj = serial_join(option, config)
     keyed = build_order_key(sj)
     rollup = config_engine_counts(keyed)
+    if checkpoint_rollup:
+        rollup = checkpoint_table(rollup, "rollup")
     latest = latest_per_key(rollup)
     expanded = expand_children(rollup, latest, child)
     best = (best_per_child(expanded) if materialize_expansion

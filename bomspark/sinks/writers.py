@@ -80,3 +80,18 @@ def csv_to_parquet(spark: SparkSession, csv_paths: list[str] | str, schema: T.St
           .option("escape", '"').csv(paths))
     write_parquet(df, out)
     return spark.read.parquet(out)
+
+
+def checkpoint_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a ZSTD Parquet table in the shared checkpoint folder
+    and return a scan of it.
+
+    Used for a stage consumed by several branches: the branches then read
+    the table instead of each recomputing (scan + join + shuffle) the whole
+    upstream plan, and the lineage is cut, so a lost executor costs a re-read
+    of the table, not a recomputation from the raw inputs."""
+    from ..session import scratch_path
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
