@@ -273,6 +273,7 @@ WITH r AS (
          'OPT' || CAST(l_partkey AS VARCHAR) AS option_assembly_num,
          CAST(year(l_shipdate) AS VARCHAR) AS build_year_2,
          o_orderstatus, o_orderpriority, o_orderdate, l_orderkey, l_linenumber,
+         l_shipdate, l_partkey, l_suppkey,
          CASE WHEN o_orderstatus = 'P' THEN 'bom_option_extract_' || o_orderpriority || '.csv'
               ELSE 'BOM_ESN_Option_' || strftime(o_orderdate, '%Y%m%d%H%M') || '.csv' END AS file_name,
          CASE WHEN o_orderstatus = 'P' THEN ',' WHEN day(o_orderdate) % 2 = 1 THEN '|' ELSE ',' END
@@ -281,7 +282,8 @@ WITH r AS (
 fallback AS (
   SELECT file_name, build_year_2 AS fy
   FROM (SELECT file_name, build_year_2,
-               ROW_NUMBER() OVER (PARTITION BY file_name ORDER BY l_orderkey, l_linenumber) AS rn
+               ROW_NUMBER() OVER (PARTITION BY file_name
+                                  ORDER BY l_orderkey, l_linenumber, l_shipdate, l_partkey, l_suppkey) AS rn
         FROM r WHERE o_orderstatus = 'P') t
   WHERE rn = 1),
 files AS (

@@ -68,9 +68,16 @@ def option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("l_shipdate").cast("string").alias("build_year"),
         F.col("l_returnflag").alias("plant_code"),
         "o_orderdate", "o_orderstatus", "o_orderpriority", "l_orderkey", "l_linenumber",
+        "l_shipdate", "l_partkey", "l_suppkey",
     )
 
 
+# Row order inside a generated option file. (l_orderkey, l_linenumber) is not
+# unique in the driver data, so the ship date and part/supplier complete the
+# order; rows still tied share a ship date and hence the fallback year.
+OPTION_FILE_ORDER = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]
+
+
 def option_file_name() -> F.Column:
     """Landing name of a row's file (see module doc)."""
     dated = F.concat(F.lit("BOM_ESN_Option_"), F.date_format("o_orderdate", "yyyyMMddHHmm"),
@@ -84,7 +91,7 @@ def option_landing(spark: SparkSession, sf_dir: str) -> str:
         rows = option_rows(spark, sf_dir).withColumn("_file", option_file_name())
         dated = rows.where(F.col("o_orderstatus") != "P")
         odd = F.dayofmonth("o_orderdate") % 2 == 1
-        order = ["l_orderkey", "l_linenumber"]
+        order = OPTION_FILE_ORDER
         write_landing_files(dated.where(odd), folder, "_file",
                             ["design_configuration", "shop_order_num", "engine_serial",
                              "option_assembly_num", "build_year", "plant_code"],
