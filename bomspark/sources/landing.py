@@ -201,7 +201,12 @@ def read_lenient_csv(spark: SparkSession, paths: str | list[str], columns: list[
     # a corrupt record is either short or long; long rows keep their first
     # fields, short rows are the ones whose last column is absent.
     short = F.col(bad).isNotNull() & (F.size(F.split(F.col(bad), _split_re(sep))) < len(columns))
-    return df.where(~short).drop(bad)
+    # The filter must reference every data column: with CSV column pruning a
+    # plan needing only the corrupt-record column (e.g. count()) parses no
+    # field, so no row would ever be flagged.  length(...) >= 0 is always true
+    # but not foldable, which keeps all fields parsed.
+    parsed = F.length(F.concat_ws("\u0001", *[F.col(c) for c in columns])) >= 0
+    return df.where(~short & parsed).drop(bad)
 
 
 def _split_re(sep: str) -> str:

@@ -178,3 +178,16 @@ def test_append_twice_doubles(spark, tmpdir_path):
     assert append_table(spark, df, table) == "overwrite"
     assert append_table(spark, df, table) == "append"
     assert spark.read.parquet(table).count() == 2
+
+
+def test_lenient_csv_drops_short_rows_and_truncates_long(spark, tmpdir_path):
+    path = write_file(tmpdir_path, "e.csv",
+                      "a,b,c\n"
+                      "1,2,3\n"
+                      "4,5\n"                  # short: dropped
+                      "6,7,8,9\n"              # long: truncated
+                      '"x,y",z,w\n')           # quoted delimiter: 3 fields
+    df = LD.read_lenient_csv(spark, path, ["a", "b", "c"])
+    assert rows(df, "a", "b", "c") == [("1", "2", "3"), ("6", "7", "8"), ("x,y", "z", "w")]
+    assert df.count() == 3
+    assert df.select("a").count() == 3
