@@ -51,3 +51,30 @@ def run_workflow(option: DataFrame, config: DataFrame, child: DataFrame,
     best = (best_per_child(expanded) if materialize_expansion
             else best_per_child_from_parts(rollup, latest, child))
     return WorkflowResult(sj, keyed, rollup, latest, expanded, best)
+
+
+def write_outputs(result: WorkflowResult, out_dir: str) -> DataFrame:
+    """Write the report's stage outputs and return their row counts.
+
+    rollup/latest: ZSTD Parquet ordered by build year (newest first);
+    expanded/best_per_child: header CSV folders.  Counts are gathered by
+    ``Observation`` while each output is written - no second pass."""
+    from ..operators.audit import observe_rows
+    from ..sinks import export_year_ordered, write_csv
+    from .. import schemas as S
+
+    out = out_dir.rstrip("/")
+    counts = []
+    counts.append(("rollup", export_year_ordered(result.rollup, f"{out}/rollup", then=[S.COUNT],
+                                                 observe="rollup")))
+    counts.append(("latest", export_year_ordered(result.latest, f"{out}/latest",
+                                                 observe="latest")))
+    expanded, o3 = observe_rows(result.expanded, "expanded")
+    write_csv(expanded, f"{out}/expanded")
+    counts.append(("expanded", o3))
+    best, o4 = observe_rows(result.best_per_child, "best_per_child")
+    write_csv(best, f"{out}/best_per_child")
+    counts.append(("best_per_child", o4))
+    spark = result.rollup.sparkSession
+    return spark.createDataFrame([(name, int(obs.get["rows"])) for name, obs in counts],
+                                 "stage string, rows long")

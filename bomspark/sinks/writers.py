@@ -53,17 +53,27 @@ def append_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parq
 
 
 def export_year_ordered(df: DataFrame, path: str, year_col: str = "build_year",
-                        then: list[str] | None = None, partitions: int | None = None) -> None:
+                        then: list[str] | None = None, partitions: int | None = None,
+                        observe: str | None = None):
     """K5/O1: export ordered by year, newest first, NULL years last.
 
     Range partitioning on the year gives part files that are ordered among
     themselves; sorting within each part completes a global order without
     funnelling rows through one task.  One path for every size (the
-    reference switched to per-year chunks above 100 M rows)."""
+    reference switched to per-year chunks above 100 M rows).  With
+    ``observe`` the written row count is returned as an ``Observation``."""
     order = [F.col(year_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in (then or [])]
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-     .write.mode("overwrite").option("compression", "zstd").parquet(path))
+    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    obs = None
+    if observe:
+        # observed above the range exchange: the bound-sampling job that
+        # range partitioning runs does not count rows twice
+        from pyspark.sql import Observation
+        obs = Observation(observe)
+        ordered = ordered.observe(obs, F.count(F.lit(1)).alias("rows"))
+    ordered.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return obs
 
 
 def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
