@@ -100,6 +100,9 @@ def ingest_option_child(spark: SparkSession, paths: str | list[str], with_source
         cols = [clean_field(f"_c{idx[0]}").alias(S.OPTION_NUMBER),
                 clean_field(f"_c{idx[1]}").alias(S.CHILD)]
         parts.append(df.select(*cols, "_path"))
+        blanks = [(f.path, f.blank_lines) for f in group if f.blank_lines > 0]
+        if blanks:
+            parts.append(_blank_records(spark, blanks))
     out = _union_or_empty(spark, parts, [S.OPTION_NUMBER, S.CHILD])
     return out if with_source else out.drop("_path")
 
@@ -197,6 +200,17 @@ def ingest_counts(df: DataFrame, by: str | list[str]) -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("records"))
 
 
+def _blank_records(spark: SparkSession, blanks: list[tuple[str, int]]) -> DataFrame:
+    """Blank lines of option-child files are kept as empty records (the
+    CSV reader skips them): one (NULL, NULL) row per blank line, generated
+    from the per-file counts of the header pass."""
+    counts = spark.createDataFrame(blanks, "_path string, n long")
+    return counts.select(F.lit(None).cast("string").alias(S.OPTION_NUMBER),
+                         F.lit(None).cast("string").alias(S.CHILD), "_path",
+                         F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_i")) \
+                 .drop("_i")
+
+
 def _union_or_empty(spark: SparkSession, parts: list[DataFrame], cols: list[str]) -> DataFrame:
     if parts:
         return union_all(parts)

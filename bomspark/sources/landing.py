@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import clean_field, count_char, in_values, strip_bom
+from ..functions.text import clean_field, count_char, in_values, java_trim, strip_bom
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
@@ -38,6 +38,7 @@ class LandingFile:
     name: str          # decoded base name
     header: str        # first line, byte-order mark removed
     delimiter: str     # '|' or ','
+    blank_lines: int = 0   # data lines that are empty after trimming
 
     @property
     def read_path(self) -> str:
@@ -79,17 +80,22 @@ def list_files(spark: SparkSession, folder: str, glob: str = CSV_GLOB) -> DataFr
 
 
 def first_lines(spark: SparkSession, paths: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
-    """Header pass: (path, header) for every non-empty file."""
+    """Header pass: (path, header, blank_lines) for every non-empty file.
+
+    One text scan, aggregated per file with partial aggregation: the header
+    is the line at the smallest (split start, row id) position, and lines
+    that are empty after trimming are counted (the CSV reader skips them,
+    but option-child files keep them as empty records)."""
     reader = spark.read.option("pathGlobFilter", glob)
     lines = reader.text(paths if isinstance(paths, list) else [paths])
+    pos = F.struct(F.col("_metadata.file_block_start").alias("b"),
+                   F.monotonically_increasing_id().alias("i"))
     first = (lines
-             .select(F.col("value"), F.col("_metadata.file_path").alias("path"),
-                     F.col("_metadata.file_block_start").alias("_blk"))
-             .where(F.col("_blk") == 0)
-             .withColumn("_pos", F.monotonically_increasing_id())
+             .select(F.col("value"), F.col("_metadata.file_path").alias("path"), pos.alias("_pos"))
              .groupBy("path")
-             .agg(F.min_by("value", "_pos").alias("header")))
-    return first.select("path", strip_bom(F.col("header")).alias("header"))
+             .agg(F.min_by("value", "_pos").alias("header"),
+                  F.count_if(java_trim(F.col("value")) == "").alias("blank_lines")))
+    return first.select("path", strip_bom(F.col("header")).alias("header"), "blank_lines")
 
 
 def detect_delimiters(spark: SparkSession, paths: str | list[str], pipe_on_tie: bool = False,
@@ -110,7 +116,9 @@ def landing_files(spark: SparkSession, paths: str | list[str], pipe_on_tie: bool
         header = r["header"] or ""
         pipes, commas = header.count("|"), header.count(",")
         delim = "|" if (pipes >= commas if pipe_on_tie else pipes > commas) else ","
-        out.append(LandingFile(r["path"], unquote(posixpath.basename(r["path"])), header, delim))
+        blanks = int(r["blank_lines"] or 0) - (1 if header.strip() == "" else 0)
+        out.append(LandingFile(r["path"], unquote(posixpath.basename(r["path"])), header, delim,
+                               max(blanks, 0)))
     return sorted(out, key=lambda f: f.path)
 
 

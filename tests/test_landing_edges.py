@@ -191,3 +191,13 @@ def test_lenient_csv_drops_short_rows_and_truncates_long(spark, tmpdir_path):
     assert rows(df, "a", "b", "c") == [("1", "2", "3"), ("6", "7", "8"), ("x,y", "z", "w")]
     assert df.count() == 3
     assert df.select("a").count() == 3
+
+
+def test_child_blank_lines_are_kept_as_empty_records(spark, tmpdir_path):
+    write_file(tmpdir_path, "c.csv", "option_no|child_part\nO1|C1\n\n   \nO2|C2\n\t\n")
+    out = IG.ingest_option_child(spark, tmpdir_path)
+    assert rows(out, "Option_Number", "Child_Part_Number") == [
+        (None, None), (None, None), (None, None), ("O1", "C1"), ("O2", "C2")]
+    cfg = os.path.join(tmpdir_path, "cfg")
+    write_file(cfg, "c.csv", "engine_serial_num|design_config_num|build_year\n1|D|2020\n\n  \n")
+    assert IG.ingest_bom_config(spark, cfg).count() == 1    # config skips blank lines
