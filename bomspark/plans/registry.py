@@ -422,8 +422,7 @@ def period_fallback_q(spark, sf):
     """F8: files without a year in the name take it from their first data row."""
     folder = FX.option_landing(spark, sf)
     files = LD.landing_files(spark, folder)
-    rows = IG._option_rows(spark, files, folder)
-    per = IG.file_periods(spark, files, rows)
+    per = IG.file_periods(spark, files, folder)
     return per.where(PD.year_from_name("file_name").isNull()).select("file_name", "year", "period")
 
 

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.periods import month_from_name, period_of, year_from_name, year_from_text
-from ..functions.text import clean_field, in_values
+from ..functions.text import clean_field
 from .landing import (CSV_GLOB, LandingFile, group_by_dialect, landing_files, read_group,
                       union_all)
 
@@ -91,7 +91,8 @@ def ingest_option_child(spark: SparkSession, paths: str | list[str], with_source
     """(Option_Number, Child_Part_Number) from every file that has both
     columns; all rows kept (duplicates too), blanks become NULL."""
     parts = []
-    for group in group_by_dialect(landing_files(spark, paths, pipe_on_tie=True, glob=glob)).values():
+    files = landing_files(spark, paths, pipe_on_tie=True, glob=glob)
+    for group in group_by_dialect(files, complete=True).values():
         fields = group[0].fields
         idx = resolve_child_columns(fields)
         if idx is None:
@@ -114,7 +115,8 @@ def ingest_bom_config(spark: SparkSession, paths: str | list[str], with_source:
     """(Engine_serial, design_config_2, build_year) as text from every
     file whose header has the three required columns."""
     parts = []
-    for group in group_by_dialect(landing_files(spark, paths, glob=glob)).values():
+    files = landing_files(spark, paths, glob=glob)
+    for group in group_by_dialect(files, complete=True).values():
         fields = group[0].fields
         idx = resolve_config_columns(fields)
         if idx is None:
@@ -130,9 +132,9 @@ def ingest_bom_config(spark: SparkSession, paths: str | list[str], with_source:
 # ------------------------------------------------------------------ C3
 
 def _option_rows(spark: SparkSession, files: list[LandingFile], source=None,
-                 glob: str = CSV_GLOB) -> DataFrame | None:
+                 glob: str = CSV_GLOB, complete: bool = False) -> DataFrame | None:
     parts = []
-    for group in group_by_dialect(files).values():
+    for group in group_by_dialect(files, complete).values():
         fields = group[0].fields
         idx = resolve_option_columns(fields)
         if not idx:
@@ -148,18 +150,20 @@ def _option_rows(spark: SparkSession, files: list[LandingFile], source=None,
     return rows.na.drop(how="all", subset=S.OPTION_KEEP)
 
 
-def file_periods(spark: SparkSession, files: list[LandingFile], rows: DataFrame) -> DataFrame:
+def file_periods(spark: SparkSession, files: list[LandingFile], source=None,
+                 glob: str = CSV_GLOB) -> DataFrame:
     """(_path, year, month, period) per file: F6/F7 on the name, F8 from data.
 
     The per-file table has one row per listed file.  Only files whose name
-    lacks a year trigger a pass over their rows (the first row, in file
-    order, whose build_year_2 contains a year)."""
+    lacks a year are read again, and only those files (pruned at listing),
+    to find their first row, in file order, whose build_year_2 holds a year."""
     meta = spark.createDataFrame([(f.path, f.name) for f in files], "_path string, file_name string")
     meta = meta.select("_path", "file_name", year_from_name("file_name").alias("_ny"),
                        month_from_name("file_name").alias("month"))
-    no_year = [f.path for f in files if year_from_name_py(f.name) is None]
-    if no_year:
-        fallback = (rows.where(in_values("_path", no_year))
+    no_year = [f for f in files if year_from_name_py(f.name) is None]
+    fallback_rows = _option_rows(spark, no_year, source, glob) if no_year else None
+    if fallback_rows is not None:
+        fallback = (fallback_rows
                     .select("_path", "_pos", year_from_text("build_year_2").alias("_dy"))
                     .where(F.col("_dy").isNotNull())
                     .groupBy("_path").agg(F.min_by("_dy", "_pos").alias("_dy")))
@@ -185,11 +189,11 @@ def ingest_bom_option(spark: SparkSession, paths: str | list[str], with_source:
     The period table (one row per file) is joined with an explicit
     broadcast: its size is the number of listed files, known on the driver."""
     files = landing_files(spark, paths, glob=glob)
-    rows = _option_rows(spark, files, paths, glob)
+    rows = _option_rows(spark, files, paths, glob, complete=True)
     if rows is None:
         empty = spark.createDataFrame([], S.BOM_OPTION)
         return empty.withColumn("period", F.lit(None).cast("string"))
-    periods = file_periods(spark, files, rows).select("_path", "period", "file_name")
+    periods = file_periods(spark, files, paths, glob).select("_path", "period", "file_name")
     out = rows.join(F.broadcast(periods), "_path", "inner")
     cols = S.OPTION_KEEP + ["period"] + (["file_name"] if with_source else [])
     return out.select(*cols)

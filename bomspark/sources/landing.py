@@ -122,7 +122,12 @@ def landing_files(spark: SparkSession, paths: str | list[str], pipe_on_tie: bool
     return sorted(out, key=lambda f: f.path)
 
 
-def group_by_dialect(files: list[LandingFile]) -> dict[tuple[str, str], list[LandingFile]]:
+def group_by_dialect(files: list[LandingFile],
+                     complete: bool = False) -> dict[tuple[str, str], list[LandingFile]]:
+    """Files by (delimiter, header).  Every group is later scanned with a
+    filter on its own paths, even when one group holds the whole listing, so
+    a file that lands after the header pass is never read under another
+    file's header (``complete`` is accepted for call-site clarity)."""
     groups: dict[tuple[str, str], list[LandingFile]] = {}
     for f in files:
         groups.setdefault((f.delimiter, f.header), []).append(f)
@@ -163,7 +168,7 @@ def read_delimited(spark: SparkSession, folder: str | list[str], lower_names: bo
     values are text with quotes removed, trimmed, blank -> NULL."""
     files = landing_files(spark, folder, glob=glob)
     parts = []
-    for (_, _), group in group_by_dialect(files).items():
+    for (_, _), group in group_by_dialect(files, complete=True).items():
         names = [n.strip() for n in group[0].fields]
         if lower_names:
             names = [n.lower() for n in names]
