@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.text import year_int
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], what: str = "input") -> None:
@@ -50,6 +51,10 @@ def normalize_child_table(child: DataFrame) -> DataFrame:
 def serial_join(option: DataFrame, config: DataFrame) -> DataFrame:
     """Option rows x config rows on the serial (as text); M:N fan-out kept.
 
+    The config's build year may arrive as text (landing files): it is cast
+    leniently (F4), so '2020.0' is 2020 and stray text is NULL, never an
+    ANSI cast error.
+
     Output: Engine_serial, option_assembly_num, design_config_2, shop_order_num, build_year.
     """
     require_columns(option, [S.ENGINE_SERIAL, S.OPTION, S.SHOP_ORDER], "option table")
@@ -58,7 +63,7 @@ def serial_join(option: DataFrame, config: DataFrame) -> DataFrame:
                       F.col(S.OPTION), F.col(S.SHOP_ORDER).cast("string").alias(S.SHOP_ORDER))
     c = config.select(F.col(S.ENGINE_SERIAL).cast("string").alias("_cserial"),
                       F.col(S.DESIGN_CONFIG),
-                      F.col(S.BUILD_YEAR).cast("int").alias(S.BUILD_YEAR))
+                      year_int(S.BUILD_YEAR).alias(S.BUILD_YEAR))
     j = o.join(c, o["_serial"] == c["_cserial"], "inner")
     return j.select(F.col("_serial").alias(S.ENGINE_SERIAL), S.OPTION, S.DESIGN_CONFIG,
                     S.SHOP_ORDER, S.BUILD_YEAR)

@@ -133,3 +133,12 @@ def test_end_to_end_from_landing_drops(spark):
     direct_opt = TB.bom_option(spark, SF_SMALL)
     assert from_files.serial_joined.count() == direct_opt.count()
     assert from_files.best_per_child.count() > 0
+
+
+def test_serial_join_casts_text_years_leniently(spark):
+    opt = spark.createDataFrame([("S1", "O1", "1"), ("S2", "O2", "2"), ("S3", "O3", "3")],
+                                "Engine_serial string, option_assembly_num string, shop_order_num string")
+    cfg = spark.createDataFrame([("S1", "D", "2020.0"), ("S2", "D", "n/a"), ("S3", "D", " 2021 ")],
+                                "Engine_serial string, design_config_2 string, build_year string")
+    got = sorted((r[S.ENGINE_SERIAL], r[S.BUILD_YEAR]) for r in serial_join(opt, cfg).collect())
+    assert got == [("S1", 2020), ("S2", None), ("S3", 2021)]
