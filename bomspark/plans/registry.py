@@ -324,7 +324,7 @@ def landing_scan_q(spark, sf):
     """Every ``*.csv`` of the option drop, with its line count."""
     folder = FX.option_landing(spark, sf)
     lines = spark.read.option("pathGlobFilter", LD.CSV_GLOB).text(folder)
-    name = F.try_url_decode(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*)$", 1))
+    name = F.regexp_extract(LD.file_path_col(), r"([^/]*)$", 1)
     return lines.groupBy(name.alias("file_name")).agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -367,7 +367,8 @@ def ingest_option_child_q(spark, sf):
 SELECT DISTINCT file_name, option_column, delimiter FROM p""")
 def header_synonyms_q(spark, sf):
     """Which header each option-child file's option column was found under."""
-    files = LD.landing_files(spark, FX.child_landing(spark, sf), pipe_on_tie=True)
+    files = LD.landing_files(spark, FX.child_landing(spark, sf), pipe_on_tie=True,
+                             count_blank=True)
     rows = []
     for f in files:
         idx = IG.resolve_child_columns(f.fields)
@@ -659,3 +660,25 @@ def incremental_ingest_q(spark, sf):
     incremental_ingest(spark, landing, table_dir, ckpt, normalizer, max_files_per_trigger=25)
     incremental_ingest(spark, landing, table_dir, ckpt, normalizer, max_files_per_trigger=25)
     return read_ingested(spark, table_dir, S.BOM_CONFIG).drop("batch_id")
+
+
+@register("period_files", _OPT_LANDING + """
+SELECT DISTINCT period, CAST(split_part(period, '_', 1) AS INTEGER) AS year_num,
+       CAST(split_part(period, '_', 2) AS INTEGER) AS half_num
+FROM periods ORDER BY year_num, half_num""")
+def period_files_q(spark, sf):
+    """F13/F14/O4 on real output files: list the half-year partitioned option
+    output, take each data file's folder name, strip its prefix, keep the
+    digits of year and half, and order the periods as integers."""
+    out = scratch_path(spark, "option-period-files")
+    SK.write_parquet(IG.ingest_bom_option(spark, FX.option_landing(spark, sf)), out,
+                     partition_by=["period"])
+    listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+               .option("recursiveFileLookup", True).load(out).select("path"))
+    folder = F.regexp_extract(F.col("path"), r"([^/]+)/[^/]+$", 1)       # period=YYYY_HH
+    label = F.regexp_replace(TX.url_decode_path(folder), r"^period=", "")
+    parts = F.split(label, "_")
+    year = TX.digits_only(parts.getItem(0)).try_cast("int")
+    half = TX.digits_only(parts.getItem(1)).try_cast("int")
+    return (listing.select(label.alias("period"), year.alias("year_num"), half.alias("half_num"))
+            .distinct().orderBy("year_num", "half_num"))

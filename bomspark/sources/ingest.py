@@ -91,7 +91,7 @@ def ingest_option_child(spark: SparkSession, paths: str | list[str], with_source
     """(Option_Number, Child_Part_Number) from every file that has both
     columns; all rows kept (duplicates too), blanks become NULL."""
     parts = []
-    files = landing_files(spark, paths, pipe_on_tie=True, glob=glob)
+    files = landing_files(spark, paths, pipe_on_tie=True, glob=glob, count_blank=True)
     for group in group_by_dialect(files, complete=True).values():
         fields = group[0].fields
         idx = resolve_child_columns(fields)

@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import posixpath
 from dataclasses import dataclass
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,10 +30,20 @@ from ..functions.text import clean_field, count_char, in_values, java_trim, stri
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
+# ``_metadata.file_path`` is URI-encoded (space -> %20, % -> %25, '+' kept);
+# every file is keyed by its decoded path, which is also what file listings
+# report.  '+' is protected first because URL decoding would turn it into a
+# space.  A filter on this expression still prunes files at listing time.
+FILE_PATH_SQL = "try_url_decode(replace(_metadata.file_path, '+', '%2B'))"
+
+
+def file_path_col() -> Column:
+    return F.expr(FILE_PATH_SQL)
+
 
 @dataclass(frozen=True)
 class LandingFile:
-    path: str          # as Spark reports it (``_metadata.file_path``)
+    path: str          # decoded path (as listings report it)
     name: str          # decoded base name
     header: str        # first line, byte-order mark removed
     delimiter: str     # '|' or ','
@@ -42,7 +51,7 @@ class LandingFile:
 
     @property
     def read_path(self) -> str:
-        return unquote(self.path)
+        return self.path
 
     @property
     def fields(self) -> list[str]:
@@ -73,25 +82,42 @@ def delimiter_of(header: Column, pipe_on_tie: bool = False) -> Column:
     return F.when(cond, F.lit("|")).otherwise(F.lit(","))
 
 
-def list_files(spark: SparkSession, folder: str, glob: str = CSV_GLOB) -> DataFrame:
-    """Regular ``*.csv`` files (any case) of a folder; content is never read."""
+def list_files(spark: SparkSession, paths: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
+    """Regular ``*.csv`` files (any case); content is never read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .load(folder).select("path", "length", "modificationTime"))
+            .load(paths if isinstance(paths, list) else [paths])
+            .select("path", "length", "modificationTime"))
+
+
+def _local_listing(spark: SparkSession, paths: str | list[str]) -> bool:
+    default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    for p in (paths if isinstance(paths, list) else [paths]):
+        scheme = p.split(":", 1)[0] if ":" in p.split("/", 1)[0] else ""
+        if scheme == "file" or (scheme == "" and default_fs.startswith("file:")):
+            continue
+        return False
+    return True
 
 
-def first_lines(spark: SparkSession, paths: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
+def first_lines(spark: SparkSession, paths: str | list[str], glob: str = CSV_GLOB,
+                count_blank: bool = False) -> DataFrame:
     """Header pass: (path, header, blank_lines) for every non-empty file.
 
-    One text scan, aggregated per file with partial aggregation: the header
-    is the line at the smallest (split start, row id) position, and lines
-    that are empty after trimming are counted (the CSV reader skips them,
-    but option-child files keep them as empty records)."""
+    On a local / shared POSIX filesystem the tasks read only the first line
+    of each listed file.  Otherwise, or when blank lines must be counted
+    (option-child files keep them as empty records), one text scan is
+    aggregated per file with partial aggregation: the header is the line at
+    the smallest (split start, row id) position."""
+    if not count_blank and _local_listing(spark, paths):
+        from .first_line import header_batches
+        listing = list_files(spark, paths, glob).select("path")
+        return listing.mapInPandas(header_batches, "path string, header string, blank_lines long")
     reader = spark.read.option("pathGlobFilter", glob)
     lines = reader.text(paths if isinstance(paths, list) else [paths])
     pos = F.struct(F.col("_metadata.file_block_start").alias("b"),
                    F.monotonically_increasing_id().alias("i"))
     first = (lines
-             .select(F.col("value"), F.col("_metadata.file_path").alias("path"), pos.alias("_pos"))
+             .select(F.col("value"), file_path_col().alias("path"), pos.alias("_pos"))
              .groupBy("path")
              .agg(F.min_by("value", "_pos").alias("header"),
                   F.count_if(java_trim(F.col("value")) == "").alias("blank_lines")))
@@ -102,22 +128,22 @@ def detect_delimiters(spark: SparkSession, paths: str | list[str], pipe_on_tie:
                       glob: str = CSV_GLOB) -> DataFrame:
     """S2 as a DataFrame: (path, file_name, header, delimiter), one row per file."""
     fl = first_lines(spark, paths, glob)
-    name = F.try_url_decode(F.regexp_extract("path", r"([^/]*)$", 1))
+    name = F.regexp_extract("path", r"([^/]*)$", 1)
     return fl.select("path", name.alias("file_name"), "header",
                      delimiter_of(F.col("header"), pipe_on_tie).alias("delimiter"))
 
 
 def landing_files(spark: SparkSession, paths: str | list[str], pipe_on_tie: bool = False,
-                  glob: str = CSV_GLOB) -> list[LandingFile]:
+                  glob: str = CSV_GLOB, count_blank: bool = False) -> list[LandingFile]:
     """Collect the per-file header table (one small row per file)."""
-    rows = first_lines(spark, paths, glob).collect()
+    rows = first_lines(spark, paths, glob, count_blank).collect()
     out = []
     for r in rows:
         header = r["header"] or ""
         pipes, commas = header.count("|"), header.count(",")
         delim = "|" if (pipes >= commas if pipe_on_tie else pipes > commas) else ","
         blanks = int(r["blank_lines"] or 0) - (1 if header.strip() == "" else 0)
-        out.append(LandingFile(r["path"], unquote(posixpath.basename(r["path"])), header, delim,
+        out.append(LandingFile(r["path"], posixpath.basename(r["path"]), header, delim,
                                max(blanks, 0)))
     return sorted(out, key=lambda f: f.path)
 
@@ -153,10 +179,10 @@ def read_group(spark: SparkSession, files: list[LandingFile], width: int,
         # on the file-path metadata column (applied at file listing, before
         # any split is read) - avoids a listing job over thousands of paths.
         df = (reader.option("pathGlobFilter", glob).csv(source)
-              .where(in_values("_metadata.file_path", [f.path for f in files])))
+              .where(in_values(FILE_PATH_SQL, [f.path for f in files])))
     else:
         df = reader.csv([f.read_path for f in files])
-    return df.withColumn("_path", F.col("_metadata.file_path")) \
+    return df.withColumn("_path", file_path_col()) \
              .withColumn("_pos", F.struct(F.col("_metadata.file_block_start").alias("b"),
                                           F.monotonically_increasing_id().alias("i")))
 
