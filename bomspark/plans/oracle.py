@@ -81,3 +81,24 @@ best_rows AS (
 def q(select: str) -> str:
     """The shared CTEs followed by one final SELECT."""
     return BASE + select.strip() + "\n"
+
+
+_OPTION_CTE_START = "WITH bom_option AS ("
+_OPTION_CTE_END = "  FROM lineitem),"
+
+# The option rows as they arrive through the landing drop: orders in status
+# 'P' land in files without a shop_order_num column.
+LANDING_OPTION_CTE = """WITH bom_option AS (
+  SELECT 'DC' || CAST(l_suppkey AS VARCHAR) AS design_configuration,
+         CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(l_linenumber AS VARCHAR) END AS shop_order_num,
+         CAST(l_orderkey AS VARCHAR) AS Engine_serial,
+         'OPT' || CAST(l_partkey AS VARCHAR) AS option_assembly_num,
+         CAST(year(l_shipdate) AS VARCHAR) AS build_year_2
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey),"""
+
+
+def q_landing(select: str) -> str:
+    """Like ``q`` but with the option rows of the landing drop."""
+    start = BASE.index(_OPTION_CTE_START)
+    end = BASE.index(_OPTION_CTE_END) + len(_OPTION_CTE_END)
+    return BASE[:start] + LANDING_OPTION_CTE + BASE[end:] + select.strip() + "\n"

@@ -682,3 +682,20 @@ def period_files_q(spark, sf):
     half = TX.digits_only(parts.getItem(1)).try_cast("int")
     return (listing.select(label.alias("period"), year.alias("year_num"), half.alias("half_num"))
             .distinct().orderBy("year_num", "half_num"))
+
+
+# ---------------------------------------------------------------- C10: the whole report
+
+from .oracle import q_landing  # noqa: E402
+
+
+@register("workflow_report", q_landing("SELECT * FROM best_rows"))
+def workflow_report_q(spark, sf):
+    """Landing drops -> the three normalizers -> serial join -> key ->
+    roll-up (checkpointed) -> latest -> best row per child, end to end."""
+    from .workflow import run_workflow
+    result = run_workflow(
+        IG.ingest_bom_option(spark, FX.option_landing(spark, sf)).drop("period"),
+        IG.ingest_bom_config(spark, FX.config_landing(spark, sf)),
+        IG.ingest_option_child(spark, FX.child_landing(spark, sf)))
+    return result.best_per_child
