@@ -72,9 +72,11 @@ def best_per_child_from_parts(rollup: DataFrame, latest: DataFrame, child: DataF
     pairs = key_option_pairs(rollup).select(F.col(S.KEY).alias("_pk"),
                                             F.col(S.OPTION).alias("_popt"))
     lt = latest.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR)
-    per_option = top1_per_group(lt.join(pairs, lt[S.KEY] == pairs["_pk"], "inner"),
+    # the side with one row per join key goes on the right (buffered per key
+    # by a sort-merge join); the possibly hot side is streamed
+    per_option = top1_per_group(pairs.join(lt, pairs["_pk"] == lt[S.KEY], "inner"),
                                 ["_popt"], best_order())
     ch = child.select(F.col(S.OPTION_NUMBER).alias("_copt"), F.col(S.CHILD))
-    cand = per_option.join(ch, per_option["_popt"] == ch["_copt"], "inner")
+    cand = ch.join(per_option, ch["_copt"] == per_option["_popt"], "inner")
     return top1_per_group(cand.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR, S.CHILD),
                           [S.CHILD], best_order())

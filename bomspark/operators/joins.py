@@ -111,7 +111,9 @@ def expand_children(rollup: DataFrame, latest: DataFrame, child: DataFrame,
     pairs = key_option_pairs(rollup).select(F.col(S.KEY).alias("_pk"),
                                             F.col(S.OPTION).alias("_popt"))
     lt = latest.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR)
-    lp = lt.join(pairs, lt[S.KEY] == pairs["_pk"], "inner")
+    # latest has one row per key: keep it on the right (the side a sort-merge
+    # join buffers per key) and stream the pairs of a hot key.
+    lp = pairs.join(lt, pairs["_pk"] == lt[S.KEY], "inner")
     ch = child.select(F.col(S.OPTION_NUMBER).alias("_copt"), F.col(S.CHILD))
     out = lp.join(ch, lp["_popt"] == ch["_copt"], "inner")
     cols = [S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR, S.CHILD]

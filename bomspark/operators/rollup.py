@@ -7,11 +7,14 @@ Scale notes
   partial count per config_id before the second - a hot config is
   pre-aggregated map-side instead of landing whole in one task.
 * The join-back is an equi-join on ``config_id`` against a table with one row
-  per config; AQE's skew join splits a hot config on the big side, and AQE
-  turns it into a broadcast only when the measured count table is small.
-* ``keyed`` is consumed twice (count and join-back).  The scan and the
-  shuffle of the serial join are shared between both branches by exchange
-  reuse (``ReusedExchange`` in the plan), so nothing is cached.
+  per config; AQE's skew join splits a hot config on the big side (see
+  ``config_engine_counts``), and AQE turns it into a broadcast only when the
+  measured count table is small.
+* ``keyed`` is consumed twice (count and join-back) inside one job; column
+  pruning makes the two branches differ, so each evaluates the serial join.
+  Measured at sf0.1 this was cheaper than writing ``keyed`` out; the
+  roll-up itself, which later stages read twice, is written once instead
+  (``sinks.checkpoint_table``).
 """
 
 from __future__ import annotations
@@ -63,10 +66,24 @@ def config_engine_counts(keyed: DataFrame) -> DataFrame:
     counts = (rows.groupBy(S.CONFIG_ID)
               .agg(F.count_distinct(S.ENGINE_SERIAL).alias(S.COUNT))
               .withColumnRenamed(S.CONFIG_ID, "_cid"))
+    # The count table leaves its aggregate already hash-partitioned on the
+    # config, so the join would reuse that partitioning - and AQE can only
+    # split a skewed join whose *both* inputs are plain shuffle stages.  A
+    # round-robin pass over the (one row per config) count table makes the
+    # join shuffle both sides on config_id itself, so a hot config on the
+    # keyed side is split across tasks (SortMergeJoin(skew=true)).
+    counts = counts.repartition(_shuffle_partitions(keyed))
     joined = rows.join(counts, rows[S.CONFIG_ID] == counts["_cid"], "inner")
     return joined.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR)
 
 
+def _shuffle_partitions(df: DataFrame) -> int:
+    try:
+        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    except (TypeError, ValueError):
+        return df.sparkSession.sparkContext.defaultParallelism
+
+
 def engine_count_total(counts: DataFrame) -> DataFrame:
     """A3: ``COALESCE(SUM(Engine_serial_count), 0)`` - a sum of per-config
     distinct counts (an engine in two configs counts twice), one row."""
