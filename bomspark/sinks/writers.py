@@ -62,7 +62,12 @@ def export_year_ordered(df: DataFrame, path: str, year_col: str = "build_year",
     funnelling rows through one task.  One path for every size (the
     reference switched to per-year chunks above 100 M rows).  With
     ``observe`` the written row count is returned as an ``Observation``."""
-    order = [F.col(year_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in (then or [])]
+    then = list(then or [])
+    order = [F.col(year_col).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in then]
+    # The remaining columns break ties: a year (or year and count) holding a
+    # third of all rows still gets range bounds inside it, so it is written by
+    # many tasks, not one; the order stays "year descending" throughout.
+    order += [F.col(c).asc_nulls_last() for c in df.columns if c not in [year_col] + then]
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     obs = None

@@ -99,3 +99,19 @@ def test_hot_option_is_split_in_expansion(skew_spark):
     expected = pairs.join(per_opt, pairs[S.OPTION] == per_opt[S.OPTION_NUMBER]) \
                     .agg(F.sum("count")).collect()[0][0]
     assert out.count() == expected
+
+
+def test_hot_year_is_spread_over_export_parts(spark, tmpdir_path):
+    from bomspark.sinks import export_year_ordered
+    df = spark.range(60_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(2020)).otherwise((F.lit(1990) + F.col("id") % 30))
+         .cast("int").alias(S.BUILD_YEAR),
+        F.lit(7).cast("long").alias(S.COUNT),
+        F.concat(F.lit("K"), F.col("id").cast("string")).alias(S.KEY))
+    export_year_ordered(df, tmpdir_path, then=[S.COUNT], partitions=8)
+    back = spark.read.parquet(tmpdir_path)
+    per_file = back.groupBy(F.input_file_name().alias("f")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(S.BUILD_YEAR).alias("y"))
+    hot_files = per_file.where(F.col("y") == 2020).count()
+    assert hot_files >= 2                       # the hot year is not one task's file
+    assert back.count() == 60_000
