@@ -72,16 +72,18 @@ def serial_join(option: DataFrame, config: DataFrame) -> DataFrame:
 def semi_filter_children(child: DataFrame, rollup: DataFrame) -> DataFrame:
     """Child rows whose option occurs in the roll-up (EXISTS / left-semi).
 
-    A left-semi join needs no DISTINCT: Spark builds the semi side as a key
-    set, so duplicates in the roll-up never multiply child rows."""
+    The semi side is de-duplicated first (partial aggregation map-side): AQE
+    can split only the left side of a semi join, so a hot option on the right
+    would otherwise sit whole in one task.  Results are the same either way."""
     child = normalize_child_table(child)
-    opts = rollup.select(F.col(S.OPTION).alias("_opt"))
+    opts = rollup.select(F.col(S.OPTION).alias("_opt")).distinct()
     return child.join(opts, child[S.OPTION_NUMBER] == opts["_opt"], "left_semi")
 
 
 def semi_exists_keys(latest: DataFrame, rollup: DataFrame) -> DataFrame:
-    """Latest rows whose key exists in the roll-up (correlated EXISTS)."""
-    keys = rollup.select(F.col(S.KEY).alias("_k"))
+    """Latest rows whose key exists in the roll-up (correlated EXISTS);
+    the key set is de-duplicated first, as in ``semi_filter_children``."""
+    keys = rollup.select(F.col(S.KEY).alias("_k")).distinct()
     return latest.join(keys, latest[S.KEY] == keys["_k"], "left_semi")
 
 
@@ -91,11 +93,11 @@ def key_option_pairs(rollup: DataFrame, latest: DataFrame | None = None) -> Data
     ``latest`` keys are by construction a subset of the roll-up's non-NULL
     keys, so the join reduces to a NULL-key filter; pass ``latest`` to keep
     the literal EXISTS when the inputs come from elsewhere."""
-    pairs = rollup.select(S.KEY, S.OPTION).where(F.col(S.KEY).isNotNull())
+    pairs = rollup.select(S.KEY, S.OPTION).where(F.col(S.KEY).isNotNull()).distinct()
     if latest is not None:
-        keys = latest.select(F.col(S.KEY).alias("_k"))
+        keys = latest.select(F.col(S.KEY).alias("_k")).distinct()
         pairs = pairs.join(keys, pairs[S.KEY] == keys["_k"], "left_semi")
-    return pairs.distinct()
+    return pairs
 
 
 def expand_children(rollup: DataFrame, latest: DataFrame, child: DataFrame,
