@@ -59,10 +59,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    # spark.checkpoint.dir cannot be changed on a running session (it is a
+    # core setting); the context's checkpoint folder can, and later calls
+    # find it through getCheckpointDir().
     local = tempfile.mkdtemp(prefix="bomspark-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
-    spark.conf.set(_CKPT_KEY, local)
-    return local
+    return spark.sparkContext.getCheckpointDir() or local
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -142,3 +142,16 @@ def test_serial_join_casts_text_years_leniently(spark):
                                 "Engine_serial string, design_config_2 string, build_year string")
     got = sorted((r[S.ENGINE_SERIAL], r[S.BUILD_YEAR]) for r in serial_join(opt, cfg).collect())
     assert got == [("S1", 2020), ("S2", None), ("S3", 2021)]
+
+
+def test_checkpoint_dir_fallback_when_unset(spark, monkeypatch):
+    """With no configured folder, a local one is set on the context (a
+    running session cannot change spark.checkpoint.dir itself)."""
+    from bomspark import session as SS
+    before = SS._configured_checkpoint_dir(spark)
+    monkeypatch.setattr(SS, "_configured_checkpoint_dir", lambda s: None)
+    try:
+        got = SS.ensure_checkpoint_dir(spark)
+        assert got and "bomspark-ckpt-" in got
+    finally:
+        spark.sparkContext.setCheckpointDir(before)
