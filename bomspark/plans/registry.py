@@ -385,6 +385,16 @@ def ingest_bom_option_q(spark, sf):
     return IG.ingest_bom_option(spark, FX.option_landing(spark, sf))
 
 
+@register("ingest_bom_option_monthly", _OPT_LANDING + """
+SELECT r.design_configuration, r.shop_order_num, r.Engine_serial, r.option_assembly_num,
+       r.build_year_2, p.period
+FROM r JOIN periods p ON r.file_name = p.file_name""")
+def ingest_bom_option_monthly_q(spark, sf):
+    """C3 on the same rows dropped as one file per month (fewer, larger files,
+    closer to production drops): same rows and periods as ``ingest_bom_option``."""
+    return IG.ingest_bom_option(spark, FX.option_landing(spark, sf, monthly=True))
+
+
 @register("rename_keep", _OPT_LANDING + """
 SELECT design_configuration, shop_order_num, Engine_serial, option_assembly_num, build_year_2 FROM r""")
 def rename_keep_q(spark, sf):

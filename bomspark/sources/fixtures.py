@@ -78,19 +78,22 @@ def option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPTION_FILE_ORDER = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]
 
 
-def option_file_name() -> F.Column:
-    """Landing name of a row's file (see module doc)."""
-    dated = F.concat(F.lit("BOM_ESN_Option_"), F.date_format("o_orderdate", "yyyyMMddHHmm"),
-                     F.lit(".csv"))
+def option_file_name(monthly: bool = False) -> F.Column:
+    """Landing name of a row's file (see module doc). ``monthly`` names one
+    file per month (``BOM_ESN_Option_yyyyMM010000.csv``): the same rows and
+    periods in about 1/30th as many files."""
+    stamp = (F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit("010000")) if monthly
+             else F.date_format("o_orderdate", "yyyyMMddHHmm"))
+    dated = F.concat(F.lit("BOM_ESN_Option_"), stamp, F.lit(".csv"))
     extract = F.concat(F.lit("bom_option_extract_"), F.col("o_orderpriority"), F.lit(".csv"))
     return F.when(F.col("o_orderstatus") == "P", extract).otherwise(dated)
 
 
-def option_landing(spark: SparkSession, sf_dir: str) -> str:
+def option_landing(spark: SparkSession, sf_dir: str, monthly: bool = False) -> str:
     def build(folder):
-        rows = option_rows(spark, sf_dir).withColumn("_file", option_file_name())
+        rows = option_rows(spark, sf_dir).withColumn("_file", option_file_name(monthly))
         dated = rows.where(F.col("o_orderstatus") != "P")
-        odd = F.dayofmonth("o_orderdate") % 2 == 1
+        odd = (F.month if monthly else F.dayofmonth)("o_orderdate") % 2 == 1
         order = OPTION_FILE_ORDER
         write_landing_files(dated.where(odd), folder, "_file",
                             ["design_configuration", "shop_order_num", "engine_serial",
@@ -104,7 +107,7 @@ def option_landing(spark: SparkSession, sf_dir: str) -> str:
                             ["design_configuration", "engine_serial", "option_assembly_num",
                              "build_year"],
                             header=OPTION_EXTRACT_HEADER, delimiter=",", order_by=order).count()
-    return _cached(spark, sf_dir, "option", build)
+    return _cached(spark, sf_dir, "option-monthly" if monthly else "option", build)
 
 
 def config_landing(spark: SparkSession, sf_dir: str) -> str:
