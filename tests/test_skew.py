@@ -115,3 +115,22 @@ def test_hot_year_is_spread_over_export_parts(spark, tmpdir_path):
     hot_files = per_file.where(F.col("y") == 2020).count()
     assert hot_files >= 2                       # the hot year is not one task's file
     assert back.count() == 60_000
+
+
+def test_hot_option_is_split_in_best_per_child(skew_spark):
+    from bomspark.operators import best_per_child, best_per_child_from_parts, latest_per_key
+    from bomspark.operators import expand_children
+    rollup = skew_spark.range(20_000).select(
+        F.lit(1).cast("long").alias(S.COUNT),
+        F.concat(F.lit("O"), (F.col("id") % 500).cast("string")).alias(S.OPTION),
+        F.concat(F.lit("K"), (F.col("id") % 4000).cast("string")).alias(S.KEY),
+        (F.lit(2000) + F.col("id") % 20).cast("int").alias(S.BUILD_YEAR))
+    child = skew_spark.range(150_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("O7"))
+         .otherwise(F.concat(F.lit("O"), (F.col("id") % 500).cast("string"))).alias(S.OPTION_NUMBER),
+        F.concat(F.lit("C"), (F.col("id") % 9000).cast("string")).alias(S.CHILD))
+    latest = latest_per_key(rollup)
+    out = best_per_child_from_parts(rollup, latest, child)
+    assert "SortMergeJoin(skew=true)" in final_plan(out)
+    ref = best_per_child(expand_children(rollup, latest, child))
+    assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0
