@@ -15,13 +15,21 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from .. import sinks as SK
+from ..functions import periods as PD
 from ..functions import text as TX
+from ..operators import audit as AU
 from ..operators import (best_per_child, best_per_child_from_parts, build_order_key,
                          config_counts, config_engine_counts, distinct_options, distinct_years,
                          engine_count_total, expand_children, key_option_pairs, latest_per_key,
                          semi_exists_keys, semi_filter_children, serial_join)
+from ..session import scratch_path
+from ..sources import fixtures as FX
+from ..sources import ingest as IG
+from ..sources import landing as LD
 from ..sources import tables as TB
-from .oracle import q
+from ..streaming import incremental_ingest, read_ingested
+from .oracle import q, q_landing
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -70,10 +78,6 @@ def _expanded(spark, sf):
     return expand_children(rollup, latest_per_key(rollup), TB.child_part_option(spark, sf))
 
 
-ROLLUP_COLS = "Engine_serial_count, option_assembly_num, esn_config_design_config_Shop_order_num, build_year"
-EXPANDED_COLS = ROLLUP_COLS + ", Child_Part_Number"
-
-
 # ---------------------------------------------------------------- sources
 
 @register("parquet_scan", q("SELECT * FROM bom_option"))
@@ -258,10 +262,6 @@ def scalar_trim_q(spark, sf):
 
 # ---------------------------------------------------------------- landing drops
 
-from ..functions import periods as PD  # noqa: E402
-from ..sources import fixtures as FX  # noqa: E402
-from ..sources import ingest as IG  # noqa: E402
-from ..sources import landing as LD  # noqa: E402
 
 # Option drop rows restated in SQL: status 'P' orders go to the no-year
 # extract files (no shop_order_num column), the rest to dated files.
@@ -459,12 +459,6 @@ def period_order_q(spark, sf):
 
 # ---------------------------------------------------------------- sinks (K1-K7), S5, S6, S8
 
-from .. import sinks as SK  # noqa: E402
-from ..operators import audit as AU  # noqa: E402
-from ..session import scratch_path  # noqa: E402
-from ..sources import landing as LD2  # noqa: E402,F811
-from ..streaming import incremental_ingest, read_ingested  # noqa: E402
-
 
 def _part_files(spark, folder: str, glob: str) -> list[str]:
     """Data files of a written folder (one row per file, collected)."""
@@ -479,7 +473,7 @@ def csv_roundtrip_q(spark, sf):
     types (serials keep leading zeros: nothing is inferred)."""
     out = scratch_path(spark, "csv-keyed")
     SK.write_csv(_keyed(spark, sf), out)
-    return LD2.read_typed_csv(spark, [out], S.KEYED)
+    return LD.read_typed_csv(spark, [out], S.KEYED)
 
 
 @register("typed_multi_csv", q("SELECT * FROM keyed"))
@@ -493,7 +487,7 @@ def typed_multi_csv_q(spark, sf):
     # build_year lives in the folder names; read the files as one list and
     # recover it from each file's path
     schema = T.StructType([f for f in S.KEYED.fields if f.name != S.BUILD_YEAR])
-    df = LD2.read_typed_csv(spark, files, schema)
+    df = LD.read_typed_csv(spark, files, schema)
     year = F.regexp_extract(F.col("_metadata.file_path"), S.BUILD_YEAR + r"=(\d+)", 1)
     return df.select(S.ENGINE_SERIAL, S.OPTION, S.KEY, year.cast("int").alias(S.BUILD_YEAR))
 
@@ -573,7 +567,7 @@ def lenient_csv_q(spark, sf):
     """The expansion written as CSV and read back all-VARCHAR, leniently."""
     out = scratch_path(spark, "csv-expanded")
     SK.write_csv(_expanded(spark, sf), out)
-    return LD2.read_lenient_csv(spark, out, [f.name for f in S.EXPANDED.fields])
+    return LD.read_lenient_csv(spark, out, [f.name for f in S.EXPANDED.fields])
 
 
 @register("best_per_child_csv", q("""
@@ -586,7 +580,7 @@ def best_per_child_csv_q(spark, sf):
     comparing year and count as integers."""
     out = scratch_path(spark, "csv-expanded-w2")
     SK.write_csv(_expanded(spark, sf), out)
-    text = LD2.read_lenient_csv(spark, out, [f.name for f in S.EXPANDED.fields])
+    text = LD.read_lenient_csv(spark, out, [f.name for f in S.EXPANDED.fields])
     return best_per_child(text)
 
 
@@ -696,8 +690,6 @@ def period_files_q(spark, sf):
 
 # ---------------------------------------------------------------- C10: the whole report
 
-from .oracle import q_landing  # noqa: E402
-
 
 @register("workflow_report", q_landing("SELECT * FROM best_rows"))
 def workflow_report_q(spark, sf):
