@@ -201,3 +201,20 @@ def test_child_blank_lines_are_kept_as_empty_records(spark, tmpdir_path):
     cfg = os.path.join(tmpdir_path, "cfg")
     write_file(cfg, "c.csv", "engine_serial_num|design_config_num|build_year\n1|D|2020\n\n  \n")
     assert IG.ingest_bom_config(spark, cfg).count() == 1    # config skips blank lines
+
+
+def test_incremental_option_ingest_keeps_periods(spark, tmpdir_path):
+    land = os.path.join(tmpdir_path, "landing")
+    hdr = "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|build_upfit_date\n"
+    write_file(land, "BOM_ESN_Option_202003010000.csv", hdr + "D|1|S1|O1|2020\n")
+    write_file(land, "BOM_ESN_Option_202009010000.csv", hdr + "D|1|S2|O1|2020\n")
+    table = scratch_path(spark, "t-inc-opt")
+    ckpt = scratch_path(spark, "t-inc-opt-ckpt")
+    norm = lambda sp, paths: IG.ingest_bom_option(sp, paths)
+    assert incremental_ingest(spark, land, table, ckpt, norm) == 1
+    assert incremental_ingest(spark, land, table, ckpt, norm) == 0
+    write_file(land, "extract_a.csv", hdr + "D|1|S3|O2|\nD|1|S3|O2|2018\n")
+    assert incremental_ingest(spark, land, table, ckpt, norm) == 1
+    out = spark.read.parquet(table)
+    assert rows(out, "Engine_serial", "period") == [("S1", "2020_01"), ("S2", "2020_02"),
+                                                    ("S3", "2018_01"), ("S3", "2018_01")]
