@@ -31,18 +31,43 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def stage_audit(stages: Mapping[str, DataFrame], inputs: Mapping[str, str]) -> DataFrame:
+def _with_change(df: DataFrame) -> DataFrame:
+    delta = F.col("output_rows") - F.col("input_rows")
+    pct = F.when(F.col("input_rows") > 0,
+                 F.round(delta * 100.0 / F.col("input_rows"), 2).cast("double"))
+    return df.select("stage", "input_rows", "output_rows", delta.alias("delta"),
+                     pct.alias("pct_change"))
+
+
+def stage_audit(stages: Mapping[str, DataFrame], inputs: Mapping[str, str],
+                totals: bool = True) -> DataFrame:
     """Per stage its input and output rows, delta and percent change.
 
-    ``inputs`` maps a stage to the stage whose rows it consumes."""
+    ``inputs`` maps a stage to the stage whose rows it consumes, in run
+    order.  With ``totals``, two summary rows follow: ``TOTAL`` (input and
+    output rows summed over the stages that consume one) and ``NET`` (the
+    first stage's input against the last stage's output)."""
     counts = stage_counts(stages)
     src = counts.select(F.col("stage").alias("_src"), F.col("rows").alias("input_rows"))
     edges = counts.sparkSession.createDataFrame(list(inputs.items()), "stage string, _src string")
-    j = counts.join(edges, "stage", "left").join(src, "_src", "left")
-    delta = F.col("rows") - F.col("input_rows")
-    pct = F.when(F.col("input_rows") > 0, F.round(delta * 100.0 / F.col("input_rows"), 2))
-    return j.select("stage", "input_rows", F.col("rows").alias("output_rows"),
-                    delta.alias("delta"), pct.alias("pct_change"))
+    j = (counts.join(edges, "stage", "left").join(src, "_src", "left")
+         .select("stage", "input_rows", F.col("rows").alias("output_rows")))
+    out = _with_change(j)
+    if not totals or not inputs:
+        return out
+    order = list(inputs)
+    first, last = order[0], order[-1]
+    summary = j.where(F.col("input_rows").isNotNull()).agg(
+        F.sum("input_rows").cast("long").alias("total_in"),
+        F.sum("output_rows").cast("long").alias("total_out"),
+        F.max(F.when(F.col("stage") == first, F.col("input_rows"))).alias("first_in"),
+        F.max(F.when(F.col("stage") == last, F.col("output_rows"))).alias("last_out"))
+    extra = (summary.select(F.lit("TOTAL").alias("stage"), F.col("total_in").alias("input_rows"),
+                            F.col("total_out").alias("output_rows"))
+             .unionByName(summary.select(F.lit("NET").alias("stage"),
+                                         F.col("first_in").alias("input_rows"),
+                                         F.col("last_out").alias("output_rows"))))
+    return out.unionByName(_with_change(extra))
 
 
 def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:

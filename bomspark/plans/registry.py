@@ -587,10 +587,7 @@ def best_per_child_csv_q(spark, sf):
 # ---------------------------------------------------------------- audits / diagnostics
 
 @register("stage_audit", q("""
-SELECT stage, input_rows, output_rows, output_rows - input_rows AS delta,
-       CASE WHEN input_rows > 0 THEN ROUND((output_rows - input_rows) * 100.0 / input_rows, 2) END
-         AS pct_change
-FROM (
+, a AS (
   SELECT 'serial_join' AS stage, (SELECT COUNT(*) FROM bom_option) AS input_rows,
          (SELECT COUNT(*) FROM serial_joined) AS output_rows
   UNION ALL SELECT 'keyed', (SELECT COUNT(*) FROM serial_joined), (SELECT COUNT(*) FROM keyed)
@@ -598,8 +595,20 @@ FROM (
   UNION ALL SELECT 'latest', (SELECT COUNT(*) FROM rolled), (SELECT COUNT(*) FROM latest_rows)
   UNION ALL SELECT 'expanded', (SELECT COUNT(*) FROM latest_rows), (SELECT COUNT(*) FROM expanded_rows)
   UNION ALL SELECT 'best_per_child', (SELECT COUNT(*) FROM expanded_rows), (SELECT COUNT(*) FROM best_rows)
-  UNION ALL SELECT 'bom_option', NULL, (SELECT COUNT(*) FROM bom_option)
-) t"""))
+  UNION ALL SELECT 'bom_option', NULL, (SELECT COUNT(*) FROM bom_option)),
+s AS (
+  SELECT 'TOTAL' AS stage, CAST(SUM(input_rows) AS BIGINT) AS input_rows,
+         CAST(SUM(output_rows) AS BIGINT) AS output_rows
+  FROM a WHERE input_rows IS NOT NULL
+  UNION ALL
+  SELECT 'NET', (SELECT input_rows FROM a WHERE stage = 'serial_join'),
+         (SELECT output_rows FROM a WHERE stage = 'best_per_child')),
+r AS (SELECT * FROM a UNION ALL SELECT * FROM s)
+SELECT stage, input_rows, output_rows, output_rows - input_rows AS delta,
+       CASE WHEN input_rows > 0
+            THEN CAST(ROUND((output_rows - input_rows) * 100.0 / input_rows, 2) AS DOUBLE) END
+         AS pct_change
+FROM r"""))
 def stage_audit_q(spark, sf):
     """Rows in and out of every stage, delta and percent change."""
     from .workflow import run_workflow
