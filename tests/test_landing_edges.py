@@ -218,3 +218,14 @@ def test_incremental_option_ingest_keeps_periods(spark, tmpdir_path):
     out = spark.read.parquet(table)
     assert rows(out, "Engine_serial", "period") == [("S1", "2020_01"), ("S2", "2020_02"),
                                                     ("S3", "2018_01"), ("S3", "2018_01")]
+
+
+def test_empty_folders_give_empty_typed_frames(spark, tmpdir_path):
+    empty = os.path.join(tmpdir_path, "empty")
+    os.makedirs(empty)
+    only_empty = os.path.join(tmpdir_path, "only_empty")
+    write_file(only_empty, "a.csv", "")
+    for folder in (empty, only_empty):
+        assert IG.ingest_bom_option(spark, folder).columns == S.OPTION_KEEP + ["period"]
+        assert IG.ingest_bom_config(spark, folder).count() == 0
+        assert IG.ingest_option_child(spark, folder).columns == [S.OPTION_NUMBER, S.CHILD]
