@@ -57,7 +57,15 @@ def _keyed(spark, sf):
 
 
 def _rollup(spark, sf):
-    return config_engine_counts(_keyed(spark, sf))
+    """Roll-up; ``keyed`` is written once first when the option input is
+    large (the same size check as ``run_workflow``)."""
+    from ..sinks import checkpoint_table
+    from .workflow import KEYED_CHECKPOINT_BYTES, estimated_bytes
+    opt, cfg, _ = _inputs(spark, sf)
+    keyed = build_order_key(serial_join(opt, cfg))
+    if estimated_bytes(opt) > KEYED_CHECKPOINT_BYTES:
+        keyed = checkpoint_table(keyed, "keyed")
+    return config_engine_counts(keyed)
 
 
 def _latest(spark, sf):

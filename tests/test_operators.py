@@ -155,3 +155,13 @@ def test_checkpoint_dir_fallback_when_unset(spark, monkeypatch):
         assert got and "bomspark-ckpt-" in got
     finally:
         spark.sparkContext.setCheckpointDir(before)
+
+
+def test_keyed_checkpoint_is_size_checked_and_exact(spark):
+    from bomspark.plans.workflow import KEYED_CHECKPOINT_BYTES, estimated_bytes
+    opt, cfg, child = (TB.bom_option(spark, SF_SMALL), TB.bom_config(spark, SF_SMALL),
+                       TB.child_part_option(spark, SF_SMALL))
+    assert 0 < estimated_bytes(opt) < KEYED_CHECKPOINT_BYTES      # small input: recomputed
+    lazy = run_workflow(opt, cfg, child, checkpoint_keyed=False).best_per_child
+    written = run_workflow(opt, cfg, child, checkpoint_keyed=True).best_per_child
+    assert lazy.exceptAll(written).count() == 0 and written.exceptAll(lazy).count() == 0
