@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.text import year_int
 from .joins import key_option_pairs, normalize_child_table
-from .rollup import _shuffle_partitions
 
 
 def top1_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -77,10 +76,10 @@ def best_per_child_from_parts(rollup: DataFrame, latest: DataFrame, child: DataF
     # by a sort-merge join); the possibly hot side is streamed
     per_option = top1_per_group(pairs.join(lt, pairs["_pk"] == lt[S.KEY], "inner"),
                                 ["_popt"], best_order())
-    # one row per option (small): a round-robin pass makes the join below
-    # shuffle both sides on the option itself, so AQE can split a hot option
-    # on the child side instead of leaving it to one task
-    per_option = per_option.repartition(_shuffle_partitions(per_option))
+    # one row per option (small): a rebalance makes the join below shuffle
+    # both sides on the option itself, so AQE can split a hot option on the
+    # child side instead of leaving it to one task
+    per_option = per_option.hint("rebalance")
     ch = child.select(F.col(S.OPTION_NUMBER).alias("_copt"), F.col(S.CHILD))
     cand = ch.join(per_option, ch["_copt"] == per_option["_popt"], "inner")
     return top1_per_group(cand.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR, S.CHILD),

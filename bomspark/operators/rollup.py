@@ -69,21 +69,15 @@ def config_engine_counts(keyed: DataFrame) -> DataFrame:
     # The count table leaves its aggregate already hash-partitioned on the
     # config, so the join would reuse that partitioning - and AQE can only
     # split a skewed join whose *both* inputs are plain shuffle stages.  A
-    # round-robin pass over the (one row per config) count table makes the
-    # join shuffle both sides on config_id itself, so a hot config on the
-    # keyed side is split across tasks (SortMergeJoin(skew=true)).
-    counts = counts.repartition(_shuffle_partitions(keyed))
+    # rebalance (round-robin, coalesced by AQE) of the one-row-per-config
+    # count table makes the join shuffle both sides on config_id itself, so
+    # a hot config on the keyed side is split across tasks
+    # (SortMergeJoin(skew=true)).
+    counts = counts.hint("rebalance")
     joined = rows.join(counts, rows[S.CONFIG_ID] == counts["_cid"], "inner")
     return joined.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR)
 
 
-def _shuffle_partitions(df: DataFrame) -> int:
-    try:
-        return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    except (TypeError, ValueError):
-        return df.sparkSession.sparkContext.defaultParallelism
-
-
 def engine_count_total(counts: DataFrame) -> DataFrame:
     """A3: ``COALESCE(SUM(Engine_serial_count), 0)`` - a sum of per-config
     distinct counts (an engine in two configs counts twice), one row."""
