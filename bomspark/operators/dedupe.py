@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.text import year_int
-from .joins import key_option_pairs, normalize_child_table
+from .joins import key_option_pairs, normalize_child_table, splittable
 
 
 def top1_per_group(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
@@ -71,15 +71,16 @@ def best_per_child_from_parts(rollup: DataFrame, latest: DataFrame, child: DataF
     child = normalize_child_table(child)
     pairs = key_option_pairs(rollup).select(F.col(S.KEY).alias("_pk"),
                                             F.col(S.OPTION).alias("_popt"))
-    lt = latest.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR)
     # the side with one row per join key goes on the right (buffered per key
-    # by a sort-merge join); the possibly hot side is streamed
+    # by a sort-merge join); the possibly hot side is streamed and a key with
+    # very many options is split by AQE
+    lt = splittable(latest.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR))
     per_option = top1_per_group(pairs.join(lt, pairs["_pk"] == lt[S.KEY], "inner"),
                                 ["_popt"], best_order())
     # one row per option (small): a rebalance makes the join below shuffle
     # both sides on the option itself, so AQE can split a hot option on the
     # child side instead of leaving it to one task
-    per_option = per_option.hint("rebalance")
+    per_option = splittable(per_option)
     ch = child.select(F.col(S.OPTION_NUMBER).alias("_copt"), F.col(S.CHILD))
     cand = ch.join(per_option, ch["_copt"] == per_option["_popt"], "inner")
     return top1_per_group(cand.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR, S.CHILD),

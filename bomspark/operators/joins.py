@@ -19,6 +19,20 @@ from .. import schemas as S
 from ..functions.text import year_int
 
 
+def splittable(unique_side: DataFrame) -> DataFrame:
+    """Let AQE split a hot key of the *other* side of the next join.
+
+    AQE's skew-join splitting applies only when both join inputs are plain
+    shuffle stages.  A side with one row per key that comes straight out of
+    a window or an aggregate is already partitioned on that key, so the join
+    would reuse that partitioning and a hot key on the big side would be
+    processed whole by one task.  A rebalance (round-robin, coalesced by
+    AQE) of the unique side makes the join shuffle both inputs on the key
+    itself.  The unique side is at most one row per key, so this costs a
+    shuffle of the smaller input only."""
+    return unique_side.hint("rebalance")
+
+
 def require_columns(df: DataFrame, columns: Iterable[str], what: str = "input") -> None:
     """P10: fail fast (driver only, no job) when a join column is missing."""
     missing = [c for c in columns if c not in df.columns]
@@ -112,9 +126,10 @@ def expand_children(rollup: DataFrame, latest: DataFrame, child: DataFrame,
     child = normalize_child_table(child)
     pairs = key_option_pairs(rollup).select(F.col(S.KEY).alias("_pk"),
                                             F.col(S.OPTION).alias("_popt"))
-    lt = latest.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR)
     # latest has one row per key: keep it on the right (the side a sort-merge
-    # join buffers per key) and stream the pairs of a hot key.
+    # join buffers per key), stream the pairs, and let AQE split a key with
+    # very many options over several tasks.
+    lt = splittable(latest.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR))
     lp = pairs.join(lt, pairs["_pk"] == lt[S.KEY], "inner")
     ch = child.select(F.col(S.OPTION_NUMBER).alias("_copt"), F.col(S.CHILD))
     out = lp.join(ch, lp["_popt"] == ch["_copt"], "inner")

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.text import concat_key, split_part_first
-from .joins import require_columns
+from .joins import require_columns, splittable
 
 
 def build_order_key(serial_joined: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def config_engine_counts(keyed: DataFrame) -> DataFrame:
     # count table makes the join shuffle both sides on config_id itself, so
     # a hot config on the keyed side is split across tasks
     # (SortMergeJoin(skew=true)).
-    counts = counts.hint("rebalance")
+    counts = splittable(counts)
     joined = rows.join(counts, rows[S.CONFIG_ID] == counts["_cid"], "inner")
     return joined.select(S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR)
 

@@ -134,3 +134,52 @@ def test_hot_option_is_split_in_best_per_child(skew_spark):
     assert "SortMergeJoin(skew=true)" in final_plan(out)
     ref = best_per_child(expand_children(rollup, latest, child))
     assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0
+
+
+def _key_join_lines(plan: str) -> list[str]:
+    """SortMergeJoin lines whose join keys are the configuration/order key
+    (the pairs x latest-row join), from the final adaptive plan."""
+    final = plan.split("== Initial Plan ==")[0]
+    return [ln for ln in final.splitlines() if "SortMergeJoin" in ln and "_pk#" in ln]
+
+
+def _hot_key_rollup(spark, n):
+    """One key holds a third of all rows, with ~30k distinct options, so it
+    also holds a large share of the distinct (key, option) pairs."""
+    return spark.range(n).select(
+        F.lit(1).cast("long").alias(S.COUNT),
+        F.concat(F.lit("O"), (F.col("id") % 90000).cast("string")).alias(S.OPTION),
+        F.when(F.col("id") % 3 == 0, F.lit("HOTK_1"))
+         .otherwise(F.concat(F.lit("K"), (F.col("id") % 9000).cast("string"))).alias(S.KEY),
+        (F.lit(2000) + F.col("id") % 20).cast("int").alias(S.BUILD_YEAR))
+
+
+def test_hot_key_is_split_in_expansion(skew_spark):
+    from bomspark.operators import expand_children, latest_per_key
+    rollup = _hot_key_rollup(skew_spark, 150_000)
+    child = skew_spark.range(90000).select(
+        F.concat(F.lit("O"), F.col("id").cast("string")).alias(S.OPTION_NUMBER),
+        F.concat(F.lit("C"), (F.col("id") % 700).cast("string")).alias(S.CHILD))
+    out = expand_children(rollup, latest_per_key(rollup), child)
+    lines = _key_join_lines(final_plan(out))
+    assert lines and all("skew=true" in ln for ln in lines), lines
+    pairs = rollup.select(S.KEY, S.OPTION).distinct()
+    per_opt = child.groupBy(S.OPTION_NUMBER).count()
+    expected = pairs.join(per_opt, pairs[S.OPTION] == per_opt[S.OPTION_NUMBER]) \
+                    .agg(F.sum("count")).collect()[0][0]
+    assert out.count() == expected
+
+
+def test_hot_key_is_split_in_best_per_child(skew_spark):
+    from bomspark.operators import (best_per_child, best_per_child_from_parts,
+                                    expand_children, latest_per_key)
+    rollup = _hot_key_rollup(skew_spark, 150_000)
+    child = skew_spark.range(90000).select(
+        F.concat(F.lit("O"), F.col("id").cast("string")).alias(S.OPTION_NUMBER),
+        F.concat(F.lit("C"), (F.col("id") % 700).cast("string")).alias(S.CHILD))
+    latest = latest_per_key(rollup)
+    out = best_per_child_from_parts(rollup, latest, child)
+    lines = _key_join_lines(final_plan(out))
+    assert lines and all("skew=true" in ln for ln in lines), lines
+    ref = best_per_child(expand_children(rollup, latest, child))
+    assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0
