@@ -181,20 +181,30 @@ def year_from_name_py(name: str) -> str | None:
     return m.group(0) if m else None
 
 
+# Size bound for broadcasting the per-file period table: a row is a path, a
+# file name and a period (a few hundred bytes), so 100k files stay in the
+# tens of megabytes.
+PERIOD_BROADCAST_MAX_FILES = 100_000
+
+
 def ingest_bom_option(spark: SparkSession, paths: str | list[str], with_source: bool = False,
                       glob: str = CSV_GLOB) -> DataFrame:
     """The five kept option columns plus the half-year ``period`` of the
     file each row came from (``YYYY_01`` = Jan-Jun, ``YYYY_02`` = Jul-Dec).
 
-    The period table (one row per file) is joined with an explicit
-    broadcast: its size is the number of listed files, known on the driver."""
+    The period table has one row per listed file, so its size is known on
+    the driver before any job runs: it is broadcast when the drop holds at
+    most ``PERIOD_BROADCAST_MAX_FILES`` files, and otherwise joined like any
+    other table (sort-merge, or AQE's runtime broadcast if it measures small)."""
     files = landing_files(spark, paths, glob=glob)
     rows = _option_rows(spark, files, paths, glob, complete=True)
     if rows is None:
         empty = spark.createDataFrame([], S.BOM_OPTION)
         return empty.withColumn("period", F.lit(None).cast("string"))
     periods = file_periods(spark, files, paths, glob).select("_path", "period", "file_name")
-    out = rows.join(F.broadcast(periods), "_path", "inner")
+    if len(files) <= PERIOD_BROADCAST_MAX_FILES:
+        periods = F.broadcast(periods)
+    out = rows.join(periods, "_path", "inner")
     cols = S.OPTION_KEEP + ["period"] + (["file_name"] if with_source else [])
     return out.select(*cols)
 

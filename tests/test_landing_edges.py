@@ -229,3 +229,30 @@ def test_empty_folders_give_empty_typed_frames(spark, tmpdir_path):
         assert IG.ingest_bom_option(spark, folder).columns == S.OPTION_KEEP + ["period"]
         assert IG.ingest_bom_config(spark, folder).count() == 0
         assert IG.ingest_option_child(spark, folder).columns == [S.OPTION_NUMBER, S.CHILD]
+
+
+def test_period_table_beyond_the_broadcast_bound_is_joined(spark, tmpdir_path, monkeypatch):
+    """Above the file-count bound the period table is not force-broadcast;
+    rows and periods are the same either way."""
+    from bomspark.sources import ingest as IG
+    write_file(tmpdir_path, "BOM_ESN_Option_202607010438.csv",
+               "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|"
+               "build_upfit_date\nDC1|7|00123|OPT9|2026\n")
+    write_file(tmpdir_path, "x_2016_03_a.csv",
+               "design_configuration,shop_order_num,engine_serial_num,option_assembly_num,"
+               "build_upfit_date\nDC2,8,5,OPT1,2016\n")
+    small = IG.ingest_bom_option(spark, tmpdir_path)
+    assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
+    monkeypatch.setattr(IG, "PERIOD_BROADCAST_MAX_FILES", 1)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        big = IG.ingest_bom_option(spark, tmpdir_path)
+        plan = big._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan
+        assert sorted(big.collect()) == sorted(small.collect())
+    finally:
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    got = {(r["Engine_serial"], r["period"]) for r in small.collect()}
+    assert got == {("00123", "2026_02"), ("5", "2016_01")}
