@@ -489,7 +489,8 @@ def typed_multi_csv_q(spark, sf):
     """A list of CSV files (one folder per build year) read as one
     typed table."""
     out = scratch_path(spark, "csv-keyed-years")
-    (_keyed(spark, sf).write.mode("overwrite").partitionBy(S.BUILD_YEAR)
+    (SK.rebalanced_for(_keyed(spark, sf), [S.BUILD_YEAR]).write.mode("overwrite")
+     .partitionBy(S.BUILD_YEAR)
      .option("header", True).option("quote", '"').option("escape", '"').csv(out))
     files = _part_files(spark, out, "*.csv")
     # build_year lives in the folder names; read the files as one list and

@@ -183,3 +183,26 @@ def test_hot_key_is_split_in_best_per_child(skew_spark):
     assert lines and all("skew=true" in ln for ln in lines), lines
     ref = best_per_child(expand_children(rollup, latest, child))
     assert out.exceptAll(ref).count() == 0 and ref.exceptAll(out).count() == 0
+
+
+def test_partitioned_write_groups_values_and_splits_a_hot_one(skew_spark, tmpdir_path):
+    """Few files per partition value, yet a value holding a third of the rows
+    is written by several tasks; every row is kept."""
+    import glob
+    import os
+    from bomspark.sinks import write_parquet
+    df = skew_spark.range(90_000).repartition(16).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2020_01"))
+         .otherwise(F.concat(F.lit("19"), (F.col("id") % 12 + 10).cast("string"), F.lit("_02")))
+         .alias("period"),
+        F.concat(F.lit("K"), F.col("id").cast("string")).alias(S.KEY),
+        F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    write_parquet(df, tmpdir_path, partition_by=["period"])
+    folders = glob.glob(os.path.join(tmpdir_path, "period=*"))
+    files = {f: glob.glob(os.path.join(f, "*.parquet")) for f in folders}
+    values = df.select("period").distinct().count()
+    assert len(folders) == values
+    assert len(files[os.path.join(tmpdir_path, "period=2020_01")]) >= 2
+    cold = [len(v) for k, v in files.items() if not k.endswith("2020_01")]
+    assert sum(cold) < 16 * (values - 1)         # not one file per task and value
+    assert skew_spark.read.parquet(tmpdir_path).count() == 90_000
