@@ -9,9 +9,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Java's String.trim() removes every char <= U+0020 at both ends; Spark's
-# trim() removes only spaces, so we strip the control range explicitly.
-_JAVA_TRIM_RE = r"^[\x00-\x20]+|[\x00-\x20]+$"
-_BOM_RE = "\ufeff"
+# one-argument trim() removes only spaces, so the whole range is passed as
+# the set of characters to strip (a plain scan of both ends, no regex).
+_JAVA_TRIM_CHARS = "".join(chr(i) for i in range(0x21))
+_BOM = "\ufeff"
 
 
 def _c(c: Column | str) -> Column:
@@ -20,12 +21,12 @@ def _c(c: Column | str) -> Column:
 
 def java_trim(c: Column | str) -> Column:
     """Trim leading/trailing chars <= U+0020 (Java ``String.trim``)."""
-    return F.regexp_replace(_c(c), _JAVA_TRIM_RE, "")
+    return F.btrim(_c(c), F.lit(_JAVA_TRIM_CHARS))
 
 
 def strip_quotes(c: Column | str) -> Column:
     """Remove every double quote (the landing parser drops them, ``""`` too)."""
-    return F.regexp_replace(_c(c), '"', "")
+    return F.replace(_c(c), F.lit('"'), F.lit(""))
 
 
 def blank_to_null(c: Column | str) -> Column:
@@ -39,7 +40,7 @@ def clean_field(c: Column | str) -> Column:
 
 
 def strip_bom(c: Column | str) -> Column:
-    return F.regexp_replace(_c(c), _BOM_RE, "")
+    return F.replace(_c(c), F.lit(_BOM), F.lit(""))
 
 
 def split_part_first(c: Column | str, delimiter: str = "_") -> Column:

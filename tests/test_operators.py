@@ -165,3 +165,26 @@ def test_keyed_checkpoint_is_size_checked_and_exact(spark):
     lazy = run_workflow(opt, cfg, child, checkpoint_keyed=False).best_per_child
     written = run_workflow(opt, cfg, child, checkpoint_keyed=True).best_per_child
     assert lazy.exceptAll(written).count() == 0 and written.exceptAll(lazy).count() == 0
+
+
+def test_java_trim_matches_string_trim_on_edge_characters(spark):
+    """Every char <= U+0020 is stripped at both ends and nothing else: not a
+    no-break space, not a byte-order mark, not a space before a trailing
+    U+2028 (a regex ``$`` would stop before that line separator)."""
+    from bomspark.functions.text import clean_field, java_trim
+
+    def java(s):
+        i, j = 0, len(s)
+        while i < j and ord(s[i]) <= 0x20:
+            i += 1
+        while j > i and ord(s[j - 1]) <= 0x20:
+            j -= 1
+        return s[i:j]
+    vals = ["", " ", "\t a b \r\n", "\x00abc\x1f", "abc  ", "\xa0x\xa0", "﻿q ",
+            ' "" ', "x\x00", "\x0b\x0c mid dle \x1b"]
+    df = spark.createDataFrame([(v,) for v in vals], "v string")
+    rows = df.select("v", java_trim("v").alias("t"), clean_field("v").alias("c")).collect()
+    for r in rows:
+        assert r["t"] == java(r["v"]), repr(r["v"])
+        cleaned = java(r["v"].replace('"', ""))
+        assert r["c"] == (cleaned or None), repr(r["v"])
