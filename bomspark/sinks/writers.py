@@ -81,8 +81,13 @@ def export_year_ordered(df: DataFrame, path: str, year_col: str = "build_year",
     # third of all rows still gets range bounds inside it, so it is written by
     # many tasks, not one; the order stays "year descending" throughout.
     order += [F.col(c).asc_nulls_last() for c in df.columns if c not in [year_col] + then]
-    n = partitions or df.sparkSession.sparkContext.defaultParallelism
-    ordered = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count the range exchange starts from
+    # spark.sql.shuffle.partitions (sized for the cluster's largest shuffle)
+    # and AQE merges neighbouring ranges up to the advisory partition size,
+    # which keeps the order: part sizes follow the data, not the core count.
+    ranged = (df.repartitionByRange(partitions, *order) if partitions
+              else df.repartitionByRange(*order))
+    ordered = ranged.sortWithinPartitions(*order)
     obs = None
     if observe:
         # observed above the range exchange: the bound-sampling job that
