@@ -160,6 +160,11 @@ def group_by_dialect(files: list[LandingFile],
     return groups
 
 
+# Above this many files a dialect group is read from its explicit path list
+# rather than pruned from the folder scan by a path filter.
+PATH_FILTER_MAX_FILES = 20_000
+
+
 def read_group(spark: SparkSession, files: list[LandingFile], width: int,
                source: str | list[str] | None = None, glob: str = CSV_GLOB) -> DataFrame:
     """S3: one CSV scan for files sharing delimiter and header.
@@ -174,10 +179,13 @@ def read_group(spark: SparkSession, files: list[LandingFile], width: int,
               .option("header", True).option("sep", delim)
               .option("quote", '"').option("escape", '"')
               .option("mode", "PERMISSIVE").option("multiLine", False))
-    if isinstance(source, str):
+    if isinstance(source, str) and len(files) <= PATH_FILTER_MAX_FILES:
         # Scan the folder once and prune to this group's files with a filter
         # on the file-path metadata column (applied at file listing, before
         # any split is read) - avoids a listing job over thousands of paths.
+        # Larger groups pass their paths to the reader instead: the filter's
+        # IN list would grow with the group (driver parse time, task size),
+        # while Spark lists a long explicit path list with a distributed job.
         df = (reader.option("pathGlobFilter", glob).csv(source)
               .where(in_values(FILE_PATH_SQL, [f.path for f in files])))
     else:

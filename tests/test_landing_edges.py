@@ -256,3 +256,27 @@ def test_period_table_beyond_the_broadcast_bound_is_joined(spark, tmpdir_path, m
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     got = {(r["Engine_serial"], r["period"]) for r in small.collect()}
     assert got == {("00123", "2026_02"), ("5", "2016_01")}
+
+
+def test_large_dialect_groups_read_from_their_path_lists(spark, tmpdir_path, monkeypatch):
+    """Above the file-count bound a group is read from its explicit path list
+    (no IN filter in the plan); rows, periods and odd file names (space,
+    percent, plus) come out the same as with the pruning filter."""
+    hdr = "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|build_upfit_date\n"
+    write_file(tmpdir_path, "BOM ESN Option 20201115.csv", hdr + "D|1|S1|O1|2020\n")
+    write_file(tmpdir_path, "BOM_ESN_Option_20190301+1.csv", hdr + "D|2|S2|O2|2019\nD|3|S3|O3|\n")
+    write_file(tmpdir_path, "opt_50%_2018_08.csv",
+               "OPTION_ASSEMBLY_NUM,Engine_serial,DESIGN_CONFIGURATION\nO4,S4,D4\n")
+    write_file(tmpdir_path, "x.csv", hdr + "D|5|S5|O5|n/a\nD|6|S6|O6|2017\n")
+    filtered = IG.ingest_bom_option(spark, tmpdir_path, with_source=True)
+    assert " IN (" in filtered._jdf.queryExecution().optimizedPlan().toString() or \
+        "INSET" in filtered._jdf.queryExecution().optimizedPlan().toString().upper()
+    want = sorted(filtered.collect())
+    monkeypatch.setattr(LD, "PATH_FILTER_MAX_FILES", 0)
+    listed = IG.ingest_bom_option(spark, tmpdir_path, with_source=True)
+    plan = listed._jdf.queryExecution().optimizedPlan().toString().upper()
+    assert "INSET" not in plan and " IN (" not in plan
+    assert sorted(listed.collect()) == want
+    assert {(r["file_name"], r["period"]) for r in want} == {
+        ("BOM ESN Option 20201115.csv", "2020_02"), ("BOM_ESN_Option_20190301+1.csv", "2019_01"),
+        ("opt_50%_2018_08.csv", "2018_02"), ("x.csv", "2017_01")}
