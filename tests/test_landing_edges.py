@@ -280,3 +280,20 @@ def test_large_dialect_groups_read_from_their_path_lists(spark, tmpdir_path, mon
     assert {(r["file_name"], r["period"]) for r in want} == {
         ("BOM ESN Option 20201115.csv", "2020_02"), ("BOM_ESN_Option_20190301+1.csv", "2019_01"),
         ("opt_50%_2018_08.csv", "2018_02"), ("x.csv", "2017_01")}
+
+
+def test_control_char_only_lines_are_blank_lines(spark, tmpdir_path):
+    """A line of chars <= U+0020 only is blank (Java ``trim`` is empty): skipped
+    for config files, one empty record (not two) for option-child files."""
+    child_dir = os.path.join(tmpdir_path, "child")
+    write_file(child_dir, "WC_Option_Child_1.csv",
+               "option_number|child_part\nO1|C1\n\x01\n\x0b \n\x1f\t\n   \nO3|C3\n")
+    child = IG.ingest_option_child(spark, child_dir).collect()
+    assert len(child) == 6
+    assert sum(1 for r in child if r[0] is None and r[1] is None) == 4
+    cfg_dir = os.path.join(tmpdir_path, "cfg")
+    write_file(cfg_dir, "BOM_ESN_Config_202001.csv",
+               "engine_serial_num|design_config_num|build_year\nS1|D1|2020\n\x01\n\x0b \n"
+               " \x1f\t\nS2|D2|2021\n")
+    cfg = IG.ingest_bom_config(spark, cfg_dir).collect()
+    assert sorted(r[0] for r in cfg) == ["S1", "S2"]
