@@ -115,3 +115,95 @@ def test_option_ingest_matches_model(spark, files):
     got = sorted((tuple(r) for r in got), key=lambda r: tuple("" if v is None else v for v in r))
     assert got == model(files)
     assert os.path.isdir(folder)
+
+
+# ---------------------------------------------------------------- config and child
+
+CHILD_NAMES = ["rev_option_no", "Option_Number", "OPTION_NO", "child_part", "Child_Part", "qty"]
+CONFIG_NAMES = ["engine_serial_num", "ENGINE_SERIAL_NUM", "design_config_num", "Design_Config_Num",
+                "build_year", "BUILD_YEAR", "remark"]
+
+
+@st.composite
+def simple_file(draw, names, idx, prefix):
+    cols = draw(st.lists(st.sampled_from(names), min_size=1, max_size=5))
+    delim = draw(st.sampled_from(["|", ","]))
+    rows = []
+    for _ in range(draw(st.integers(0, 6))):
+        kind = draw(st.integers(0, 6))
+        if kind == 0:
+            rows.append(draw(st.sampled_from(["", "  ", "\t"])))          # blank line
+            continue
+        n = max(1, len(cols) + draw(st.sampled_from([0, 0, -1, 1])))
+        fields = [draw(st.sampled_from(["", " "])) if kind == 1 else draw(field)
+                  for _ in range(n)]
+        rows.append(delim.join(fields))
+    return f"{prefix}_{idx}.csv", delim.join(cols), rows
+
+
+def _fields(line, d, width):
+    vals = [java_trim(v) or None for v in split_toggle(line, d)]
+    return vals + [None] * (width - len(vals))
+
+
+def child_model(files):
+    out = []
+    for _, header, rows in files:
+        d = "|" if header.count("|") >= header.count(",") else ","
+        cols = [c.strip().lower() for c in split_toggle(header, d)]
+        opt = max((i for i, c in enumerate(cols) if c in S.CHILD_OPTION_SYNONYMS), default=None)
+        child = max((i for i, c in enumerate(cols) if c == S.CHILD_PART_HEADER), default=None)
+        if opt is None or child is None:
+            continue
+        for line in rows:                       # every line is a record, blank too
+            v = _fields(line, d, len(cols)) if java_trim(line) else [None] * len(cols)
+            out.append((v[opt], v[child]))
+    return sorted(out, key=lambda r: tuple("" if x is None else x for x in r))
+
+
+def config_model(files):
+    out = []
+    for _, header, rows in files:
+        d = "|" if header.count("|") > header.count(",") else ","
+        cols = [c.strip().lower() for c in split_toggle(header, d)]
+        where = {}
+        for i, c in enumerate(cols):
+            if c in S.CONFIG_HEADERS:
+                where[S.CONFIG_HEADERS[c]] = i               # last one wins
+        if len(where) < len(S.CONFIG_HEADERS):
+            continue
+        for line in rows:
+            if not java_trim(line):
+                continue                                    # blank lines skipped
+            v = _fields(line, d, len(cols))
+            out.append(tuple(v[where[c]] for c in (S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR)))
+    return sorted(out, key=lambda r: tuple("" if x is None else x for x in r))
+
+
+def _write(files):
+    folder = tempfile.mkdtemp(prefix="bomspark-prop-")
+    for name, header, rows in files:
+        write_file(folder, name, "\n".join([header] + rows) + "\n")
+    return folder
+
+
+def _sorted(rows):
+    return sorted((tuple(r) for r in rows), key=lambda r: tuple("" if x is None else x for x in r))
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(st.integers(1, 3).flatmap(
+    lambda n: st.tuples(*[simple_file(CHILD_NAMES, i, "WC_Option_Child") for i in range(n)])))
+def test_child_ingest_matches_model(spark, files):
+    got = IG.ingest_option_child(spark, _write(files)).collect()
+    assert _sorted(got) == child_model(files)
+
+
+@settings(max_examples=10, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+@given(st.integers(1, 3).flatmap(
+    lambda n: st.tuples(*[simple_file(CONFIG_NAMES, i, "BOM_ESN_Config") for i in range(n)])))
+def test_config_ingest_matches_model(spark, files):
+    got = IG.ingest_bom_config(spark, _write(files)).collect()
+    assert _sorted(got) == config_model(files)
