@@ -21,7 +21,7 @@ def main(argv=None) -> None:
     ap.add_argument("--master", default="local[*]")
     args = ap.parse_args(argv)
     spark = build_session(master=args.master)
-    result = run_workflow(ingest_bom_option(spark, args.option).drop("period"),
+    result = run_workflow(ingest_bom_option(spark, args.option, with_period=False),
                           ingest_bom_config(spark, args.config),
                           ingest_option_child(spark, args.child))
     write_outputs(result, args.out).show(truncate=False)

@@ -407,7 +407,7 @@ def ingest_bom_option_monthly_q(spark, sf):
 SELECT design_configuration, shop_order_num, Engine_serial, option_assembly_num, build_year_2 FROM r""")
 def rename_keep_q(spark, sf):
     """Rename map + keep-list over files with differently named/ordered headers."""
-    return IG.ingest_bom_option(spark, FX.option_landing(spark, sf)).drop("period")
+    return IG.ingest_bom_option(spark, FX.option_landing(spark, sf), with_period=False)
 
 
 @register("missing_columns", _OPT_LANDING + """
@@ -715,7 +715,7 @@ def workflow_report_q(spark, sf):
     roll-up (checkpointed) -> latest -> best row per child, end to end."""
     from .workflow import run_workflow
     result = run_workflow(
-        IG.ingest_bom_option(spark, FX.option_landing(spark, sf)).drop("period"),
+        IG.ingest_bom_option(spark, FX.option_landing(spark, sf), with_period=False),
         IG.ingest_bom_config(spark, FX.config_landing(spark, sf)),
         IG.ingest_option_child(spark, FX.child_landing(spark, sf)))
     return result.best_per_child

@@ -188,10 +188,16 @@ PERIOD_BROADCAST_MAX_FILES = 100_000
 
 
 def ingest_bom_option(spark: SparkSession, paths: str | list[str], with_source: bool = False,
-                      glob: str = CSV_GLOB) -> DataFrame:
+                      glob: str = CSV_GLOB, with_period: bool = True) -> DataFrame:
     """The five kept option columns plus the half-year ``period`` of the
     file each row came from (``YYYY_01`` = Jan-Jun, ``YYYY_02`` = Jul-Dec).
 
+    ``with_period=False`` gives the same rows without the period: the
+    per-file period table (and the re-read of files whose name lacks a year)
+    is then not built at all, which dropping the column afterwards would not
+    achieve (Catalyst keeps an inner join even when none of its columns are
+    used).
+
     The period table has one row per listed file, so its size is known on
     the driver before any job runs: it is broadcast when the drop holds at
     most ``PERIOD_BROADCAST_MAX_FILES`` files, and otherwise joined like any
@@ -200,7 +206,10 @@ def ingest_bom_option(spark: SparkSession, paths: str | list[str], with_source:
     rows = _option_rows(spark, files, paths, glob, complete=True)
     if rows is None:
         empty = spark.createDataFrame([], S.BOM_OPTION)
-        return empty.withColumn("period", F.lit(None).cast("string"))
+        return empty.withColumn("period", F.lit(None).cast("string")) if with_period else empty
+    if not with_period:
+        name = F.regexp_extract(F.col("_path"), r"([^/]*)$", 1).alias("file_name")
+        return rows.select(*S.OPTION_KEEP, *([name] if with_source else []))
     periods = file_periods(spark, files, paths, glob).select("_path", "period", "file_name")
     if len(files) <= PERIOD_BROADCAST_MAX_FILES:
         periods = F.broadcast(periods)

@@ -297,3 +297,16 @@ def test_control_char_only_lines_are_blank_lines(spark, tmpdir_path):
                " \x1f\t\nS2|D2|2021\n")
     cfg = IG.ingest_bom_config(spark, cfg_dir).collect()
     assert sorted(r[0] for r in cfg) == ["S1", "S2"]
+
+
+def test_option_ingest_without_period_has_the_same_rows(spark, tmpdir_path):
+    hdr = "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|build_upfit_date\n"
+    write_file(tmpdir_path, "BOM_ESN_Option_202607010438.csv", hdr + "D|1|S1|O1|2026\n|||  |\n")
+    write_file(tmpdir_path, "x.csv", hdr + "D|2|S2|O2|n/a\nD|3|S3|O3|2019\n")
+    write_file(tmpdir_path, "y_a_05_b.csv", "OPTION_ASSEMBLY_NUM,Engine_serial\nO4,S4\n")
+    full = IG.ingest_bom_option(spark, tmpdir_path, with_source=True)
+    lean = IG.ingest_bom_option(spark, tmpdir_path, with_source=True, with_period=False)
+    assert lean.columns == S.OPTION_KEEP + ["file_name"]
+    key = lambda r: tuple("" if v is None else v for v in r)
+    assert sorted(lean.collect(), key=key) == sorted(full.drop("period").collect(), key=key)
+    assert "Join" not in lean._jdf.queryExecution().optimizedPlan().toString()
