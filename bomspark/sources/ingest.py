@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.periods import month_from_name, period_of, year_from_name, year_from_text
 from ..functions.text import clean_field
+from ..operators.joins import splittable
 from .landing import (CSV_GLOB, LandingFile, group_by_dialect, landing_files, read_group,
                       union_all)
 
@@ -213,6 +214,10 @@ def ingest_bom_option(spark: SparkSession, paths: str | list[str], with_source:
     periods = file_periods(spark, files, paths, glob).select("_path", "period", "file_name")
     if len(files) <= PERIOD_BROADCAST_MAX_FILES:
         periods = F.broadcast(periods)
+    else:
+        # one row per file on the right; a file holding a large share of
+        # the rows is split by AQE's skew join
+        periods = splittable(periods)
     out = rows.join(periods, "_path", "inner")
     cols = S.OPTION_KEEP + ["period"] + (["file_name"] if with_source else [])
     return out.select(*cols)

@@ -206,3 +206,36 @@ def test_partitioned_write_groups_values_and_splits_a_hot_one(skew_spark, tmpdir
     cold = [len(v) for k, v in files.items() if not k.endswith("2020_01")]
     assert sum(cold) < 16 * (values - 1)         # not one file per task and value
     assert skew_spark.read.parquet(tmpdir_path).count() == 90_000
+
+
+def test_hot_file_is_split_in_the_period_join(skew_spark, tmpdir_path, monkeypatch):
+    """Above the broadcast bound, a landing file holding most of the rows is
+    split across tasks when rows meet their file's period."""
+    import os
+    from bomspark.sources import ingest as IG
+    hdr = "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|build_upfit_date\n"
+    body = "".join(f"D{i % 7}|{i % 5}|S{i}|O{i % 97}|2020\n" for i in range(60_000))
+    with open(os.path.join(tmpdir_path, "BOM_ESN_Option_202003150000.csv"), "w") as fh:
+        fh.write(hdr + body)
+    for k in range(6):
+        with open(os.path.join(tmpdir_path, f"BOM_ESN_Option_20190{k + 1}150000.csv"), "w") as fh:
+            fh.write(hdr + "".join(f"D|1|T{k}_{i}|O1|2019\n" for i in range(100)))
+    # a name without a year: its period comes from the data, so the period
+    # table is itself a (sort-merge) join output, partitioned by path
+    with open(os.path.join(tmpdir_path, "bom_option_extract.csv"), "w") as fh:
+        fh.write(hdr + "".join(f"D|1|X{i}|O2|2018\n" for i in range(50)))
+    monkeypatch.setattr(IG, "PERIOD_BROADCAST_MAX_FILES", 1)
+    # AQE splits a hot partition at map-output boundaries: the big file must
+    # span several input splits, as a file that size would at scale
+    skew_spark.conf.set("spark.sql.files.maxPartitionBytes", "256KB")
+    try:
+        out = IG.ingest_bom_option(skew_spark, tmpdir_path)
+        plan = final_plan(out).split("== Initial Plan ==")[0]
+    finally:
+        skew_spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    joins = [ln for ln in plan.splitlines()
+             if "SortMergeJoin" in ln and "_path" in ln and ln.rstrip().endswith("Inner")]
+    assert joins and all("skew=true" in ln for ln in joins), joins
+    got = {r["period"]: r["n"] for r in out.groupBy("period").agg(F.count(F.lit(1)).alias("n"))
+           .collect()}
+    assert got == {"2020_01": 60_000, "2019_01": 600, "2018_01": 50}
