@@ -24,12 +24,14 @@ def splittable(unique_side: DataFrame) -> DataFrame:
 
     AQE's skew-join splitting applies only when both join inputs are plain
     shuffle stages.  A side with one row per key that comes straight out of
-    a window or an aggregate is already partitioned on that key, so the join
-    would reuse that partitioning and a hot key on the big side would be
-    processed whole by one task.  A rebalance (round-robin, coalesced by
-    AQE) of the unique side makes the join shuffle both inputs on the key
-    itself.  The unique side is at most one row per key, so this costs a
-    shuffle of the smaller input only."""
+    a window, an aggregate or a join on that key is already partitioned on
+    it, so the join would reuse that partitioning and a hot key on the big
+    side would be processed whole by one task.  A rebalance (round-robin,
+    coalesced by AQE) of the unique side makes the join shuffle both inputs
+    on the key itself.  The price is two exchanges (round-robin, then on the
+    key) of the unique side, which holds at most one row per key; a keyed
+    ``rebalance`` or ``repartition`` would save one but does not let AQE
+    split the join."""
     return unique_side.hint("rebalance")
 
 
