@@ -228,15 +228,24 @@ def ingest_counts(df: DataFrame, by: str | list[str]) -> DataFrame:
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("records"))
 
 
+# Blank-line records are generated in ranges of at most this many rows, one
+# range per task, so a file with very many blank lines is not one task's work.
+BLANK_RANGE_ROWS = 1 << 20
+
+
 def _blank_records(spark: SparkSession, blanks: list[tuple[str, int]]) -> DataFrame:
     """Blank lines of option-child files are kept as empty records (the
     CSV reader skips them): one (NULL, NULL) row per blank line, generated
-    from the per-file counts of the header pass."""
-    counts = spark.createDataFrame(blanks, "_path string, n long")
-    return counts.select(F.lit(None).cast("string").alias(S.OPTION_NUMBER),
-                         F.lit(None).cast("string").alias(S.CHILD), "_path",
-                         F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("_i")) \
-                 .drop("_i")
+    from the per-file counts of the header pass.  The counts are cut into
+    ranges on the driver (a handful of rows per file) and every range is
+    expanded by its own task."""
+    ranges = [(path, lo, min(lo + BLANK_RANGE_ROWS, n))
+              for path, n in blanks for lo in range(0, n, BLANK_RANGE_ROWS)]
+    parts = spark.createDataFrame(ranges, "_path string, lo long, hi long").repartition(len(ranges))
+    return parts.select(F.lit(None).cast("string").alias(S.OPTION_NUMBER),
+                        F.lit(None).cast("string").alias(S.CHILD), "_path",
+                        F.explode(F.sequence(F.col("lo") + 1, F.col("hi"))).alias("_i")) \
+                .drop("_i")
 
 
 def _union_or_empty(spark: SparkSession, parts: list[DataFrame], cols: list[str]) -> DataFrame:

@@ -310,3 +310,15 @@ def test_option_ingest_without_period_has_the_same_rows(spark, tmpdir_path):
     key = lambda r: tuple("" if v is None else v for v in r)
     assert sorted(lean.collect(), key=key) == sorted(full.drop("period").collect(), key=key)
     assert "Join" not in lean._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_blank_line_records_are_spread_over_ranges(spark, tmpdir_path, monkeypatch):
+    """Blank-line records come from fixed-size ranges, one task each; the
+    counts per file are exact whatever the range size."""
+    monkeypatch.setattr(IG, "BLANK_RANGE_ROWS", 2)
+    recs = IG._blank_records(spark, [("/a.csv", 5), ("/b.csv", 1), ("/c.csv", 4)])
+    assert recs.rdd.getNumPartitions() == 3 + 1 + 2
+    got = {r["_path"]: r["n"] for r in recs.groupBy("_path").count()
+           .withColumnRenamed("count", "n").collect()}
+    assert got == {"/a.csv": 5, "/b.csv": 1, "/c.csv": 4}
+    assert recs.where("Option_Number IS NOT NULL OR Child_Part_Number IS NOT NULL").count() == 0
