@@ -90,9 +90,11 @@ def semi_filter_children(child: DataFrame, rollup: DataFrame) -> DataFrame:
 
     The semi side is de-duplicated first (partial aggregation map-side): AQE
     can split only the left side of a semi join, so a hot option on the right
-    would otherwise sit whole in one task.  Results are the same either way."""
+    would otherwise sit whole in one task.  The de-duplicated side comes out
+    of an aggregate on the option, so ``splittable`` lets AQE split a hot
+    option of the child rows.  Results are the same either way."""
     child = normalize_child_table(child)
-    opts = rollup.select(F.col(S.OPTION).alias("_opt")).distinct()
+    opts = splittable(rollup.select(F.col(S.OPTION).alias("_opt")).distinct())
     return child.join(opts, child[S.OPTION_NUMBER] == opts["_opt"], "left_semi")
 
 

@@ -239,3 +239,25 @@ def test_hot_file_is_split_in_the_period_join(skew_spark, tmpdir_path, monkeypat
     got = {r["period"]: r["n"] for r in out.groupBy("period").agg(F.count(F.lit(1)).alias("n"))
            .collect()}
     assert got == {"2020_01": 60_000, "2019_01": 600, "2018_01": 50}
+
+
+def test_hot_option_is_split_in_semi_filter_of_children(skew_spark):
+    from bomspark.operators import semi_filter_children
+    child = skew_spark.range(150_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+         .otherwise(F.concat(F.lit("O"), (F.col("id") % 7000).cast("string"))).alias(S.OPTION_NUMBER),
+        F.concat(F.lit("C"), F.col("id").cast("string")).alias(S.CHILD))
+    rollup = skew_spark.range(20_000).select(
+        F.lit(1).cast("long").alias(S.COUNT),
+        F.when(F.col("id") % 2 == 0, F.lit("HOT"))
+         .otherwise(F.concat(F.lit("O"), (F.col("id") % 3500).cast("string"))).alias(S.OPTION),
+        F.concat(F.lit("K"), (F.col("id") % 9000).cast("string")).alias(S.KEY),
+        F.lit(2020).alias(S.BUILD_YEAR))
+    out = semi_filter_children(child, rollup)
+    plan = final_plan(out).split("== Initial Plan ==")[0]
+    joins = [ln for ln in plan.splitlines() if "LeftSemi" in ln]
+    assert joins and all("skew=true" in ln for ln in joins), joins
+    # brute force: child rows whose option occurs in the roll-up
+    opts = {r[0] for r in rollup.select(S.OPTION).distinct().collect()}
+    expected = child.where(F.col(S.OPTION_NUMBER).isin(list(opts))).count()
+    assert out.count() == expected
