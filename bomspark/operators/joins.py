@@ -113,7 +113,9 @@ def key_option_pairs(rollup: DataFrame, latest: DataFrame | None = None) -> Data
     the literal EXISTS when the inputs come from elsewhere."""
     pairs = rollup.select(S.KEY, S.OPTION).where(F.col(S.KEY).isNotNull()).distinct()
     if latest is not None:
-        keys = latest.select(F.col(S.KEY).alias("_k")).distinct()
+        # the key set comes out of an aggregate on the key: splittable lets
+        # AQE split the pairs of a key with very many options
+        keys = splittable(latest.select(F.col(S.KEY).alias("_k")).distinct())
         pairs = pairs.join(keys, pairs[S.KEY] == keys["_k"], "left_semi")
     return pairs
 

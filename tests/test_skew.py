@@ -261,3 +261,13 @@ def test_hot_option_is_split_in_semi_filter_of_children(skew_spark):
     opts = {r[0] for r in rollup.select(S.OPTION).distinct().collect()}
     expected = child.where(F.col(S.OPTION_NUMBER).isin(list(opts))).count()
     assert out.count() == expected
+
+
+def test_hot_key_is_split_in_key_option_pairs(skew_spark):
+    from bomspark.operators import key_option_pairs, latest_per_key
+    rollup = _hot_key_rollup(skew_spark, 150_000)
+    out = key_option_pairs(rollup, latest_per_key(rollup))
+    plan = final_plan(out).split("== Initial Plan ==")[0]
+    joins = [ln for ln in plan.splitlines() if "LeftSemi" in ln]
+    assert joins and all("skew=true" in ln for ln in joins), joins
+    assert out.count() == rollup.select(S.KEY, S.OPTION).distinct().count()
