@@ -31,8 +31,13 @@ def splittable(unique_side: DataFrame) -> DataFrame:
     on the key itself.  The price is two exchanges (round-robin, then on the
     key) of the unique side, which holds at most one row per key; a keyed
     ``rebalance`` or ``repartition`` would save one but does not let AQE
-    split the join."""
-    return unique_side.hint("rebalance")
+    split the join.  When the session has AQE or its skew-join handling
+    switched off nothing could split the join, so the frame is returned
+    unchanged."""
+    conf = unique_side.sparkSession.conf
+    enabled = all(str(conf.get(k, "true")).lower() == "true"
+                  for k in ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"))
+    return unique_side.hint("rebalance") if enabled else unique_side
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], what: str = "input") -> None:

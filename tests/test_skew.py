@@ -271,3 +271,14 @@ def test_hot_key_is_split_in_key_option_pairs(skew_spark):
     joins = [ln for ln in plan.splitlines() if "LeftSemi" in ln]
     assert joins and all("skew=true" in ln for ln in joins), joins
     assert out.count() == rollup.select(S.KEY, S.OPTION).distinct().count()
+
+
+def test_splittable_is_a_no_op_without_skew_join(spark):
+    from bomspark.operators.joins import splittable
+    df = spark.range(10)
+    assert "Rebalance" in splittable(df)._jdf.queryExecution().analyzed().toString()
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        assert "Rebalance" not in splittable(df)._jdf.queryExecution().analyzed().toString()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.skewJoin.enabled")
