@@ -45,8 +45,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     while True:
         obs = Observation(f"edges-{uuid.uuid4().hex}")
         path = f"{folder}/{step}"
-        (now.observe(obs, F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"),
-                     F.bit_xor(F.xxhash64("u", "v")).alias("x"))
+        (now.observe(obs, F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("u", "v")).alias("x"),
+                     F.bit_xor(F.xxhash64("v", F.lit(1), "u")).alias("y"))
          .write.option("compression", "zstd").parquet(path))
         state = obs.get
         now = spark.read.schema(now.schema).parquet(path)

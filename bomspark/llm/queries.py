@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import oracles, packing, quality, simhash, urls
+from . import (embeddings, langid, mixing, oracles, packing, quality, simhash, urls, warc,
+               wordpiece)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,27 @@ def simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
 
 
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
+def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wordpiece.token_counts(_table(spark, sf_dir, "documents"),
+                                  tokenizer_path("word_bpe_49k.json"))
+
+
+def language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(_table(spark, sf_dir, "documents"))
+
+
+def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
+
+
+def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(_table(spark, sf_dir, "pages"))
+
+
 def quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -44,7 +66,12 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_simhash_near_dedup": simhash_near_dedup,
+    "op3_embedding_near_dedup": embedding_near_dedup,
     "op4_quality_rules": quality_rules,
+    "op5_token_counts": token_counts,
+    "op6_language_id": language_id,
     "op7_url_filters": url_filters,
+    "op8_source_mixing": source_mixing,
+    "op10_warc": warc_archives,
 }
 ORACLE = {name: sql for name, sql in oracles.ORACLE.items() if name in QUERIES}
