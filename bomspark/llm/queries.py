@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (embeddings, langid, mixing, oracles, packing, quality, simhash, urls, warc,
+from . import (embeddings, langid, lm, mixing, oracles, packing, quality, simhash, urls, warc,
                wordpiece)
 
 
@@ -42,6 +42,10 @@ def source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("copies")
 
 
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(_table(spark, sf_dir, "pages"))
 
@@ -72,6 +76,7 @@ QUERIES = {
     "op6_language_id": language_id,
     "op7_url_filters": url_filters,
     "op8_source_mixing": source_mixing,
+    "op9_lm_scoring": lm_scoring,
     "op10_warc": warc_archives,
 }
 ORACLE = {name: sql for name, sql in oracles.ORACLE.items() if name in QUERIES}
