@@ -34,7 +34,7 @@ _BUCKET_BITS = 10
 def fit_budget(sizes: list[int], counts: list[int], budget: int,
                knapsack: int = KNAPSACK_WORDS) -> list[int]:
     """How many documents of each size to take (at most ``counts``) so that
-    their words come as near below ``budget`` as the knapsack finds."""
+    their words come as near to ``budget`` as the knapsack finds."""
     taken = [0] * len(sizes)
     total = sum(s * c for s, c in zip(sizes, counts))
     order = sorted((i for i in range(len(sizes)) if sizes[i] > 0), key=lambda i: -sizes[i])
@@ -51,16 +51,19 @@ def fit_budget(sizes: list[int], counts: list[int], budget: int,
     left = budget - words
     if left <= 0:
         return taken
-    limit = (1 << (left + 1)) - 1
+    limit = (1 << (2 * left + 1)) - 1     # further above than that is worse than nothing
     reach, steps = 1, []
     for i in order:
-        spare, lot = min(counts[i] - taken[i], left // sizes[i]), 1
+        spare, lot = min(counts[i] - taken[i], 2 * left // sizes[i]), 1
         while spare > 0 and not reach >> left & 1:      # counts in lots of 1, 2, 4, ...
             lot = min(lot, spare)
             steps.append((i, lot, reach))
             reach |= (reach << sizes[i] * lot) & limit
             spare, lot = spare - lot, lot * 2
-    at = reach.bit_length() - 1
+    at = (reach & ((1 << (left + 1)) - 1)).bit_length() - 1
+    above = reach >> (left + 1)
+    if above and (above & -above).bit_length() < left - at:
+        at = left + (above & -above).bit_length()
     for i, lot, before in reversed(steps):
         if not before >> at & 1:
             taken[i] += lot

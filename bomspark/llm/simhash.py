@@ -32,7 +32,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -187,3 +187,24 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return fps.join(of, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id")
+
+
+def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  shingle: int = 3, max_bits: int = 2, max_list: int = MAX_LIST) -> DataFrame:
+    """The rows of ``docs`` less near-duplicates: of each component the document
+    with the smallest id stays, columns unchanged.
+
+    Rows that share an id are one document and stay once.  Rows with a null id
+    cannot be named by a component and stay."""
+    named = near_duplicates(docs, id_col, text_col, shingle, max_bits, max_list)
+    kept = stored(named.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
+        F.count(F.lit(1)).alias("__n"), F.max(F.col(id_col) == F.col("component_id")).alias("__k"))
+        .where("__k").drop("__k"), "simhash-kept")
+    names = [f"__c{i}" for i in range(len(docs.columns))]
+    rows = docs.toDF(*names)
+    own = names[docs.columns.index(id_col)]
+    stay = rows.join(kept, F.col(own) == F.col("__id"))
+    if not kept.where("__n > 1").isEmpty():      # rows of one id: the first by their values
+        first = Window.partitionBy(own).orderBy(F.xxhash64(*names))
+        stay = stay.withColumn("__r", F.row_number().over(first)).where("__r = 1")
+    return stay.select(*names).unionByName(rows.where(F.col(own).isNull())).toDF(*docs.columns)

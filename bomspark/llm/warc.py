@@ -116,7 +116,7 @@ class WarcWriter(DataSourceArrowWriter):
 
     def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
         store, root = pafs.FileSystem.from_uri(self.path)
-        staging = f"{root}/_temporary/{self.job}"
+        staging = f"{root}/_temporary-{self.job}"
         store.create_dir(staging, recursive=True)
         files, out = [], None
         for batch in batches:
@@ -148,7 +148,7 @@ class WarcWriter(DataSourceArrowWriter):
     def commit(self, messages: list) -> None:
         store, root = pafs.FileSystem.from_uri(self.path)
         for name in (f for m in messages if m is not None for f in m.files):
-            store.move(f"{root}/_temporary/{self.job}/{name}", f"{root}/{name}")
+            store.move(f"{root}/_temporary-{self.job}/{name}", f"{root}/{name}")
         self._clear(store, root)
 
     def abort(self, messages: list) -> None:
@@ -156,7 +156,7 @@ class WarcWriter(DataSourceArrowWriter):
         self._clear(store, root)
 
     def _clear(self, store: pafs.FileSystem, root: str) -> None:
-        staging = f"{root}/_temporary/{self.job}"
+        staging = f"{root}/_temporary-{self.job}"
         if store.get_file_info(staging).type == pafs.FileType.Directory:
             store.delete_dir(staging)
 
@@ -340,7 +340,7 @@ class WarcReader(DataSourceReader):
                 size = 0
             parts[-1].paths.append(f.path)
             size += f.size
-        return parts
+        return parts or [Files([])]
 
     def wanted(self, headers: dict[str, str]) -> bool | None:
         for column, test, value in self.tests:
@@ -428,8 +428,11 @@ def write_archives(pages: DataFrame, path: str, **columns) -> None:
 
 
 def read_archives(spark: SparkSession, path: str, **options) -> DataFrame:
+    """Records of the archives below ``path``; files are packed into partitions of
+    Spark's file partition size unless ``partitionBytes`` is given."""
     register(spark)
-    return spark.read.format("warc").options(**options).load(path)
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return spark.read.format("warc").options(**{"partitionBytes": size, **options}).load(path)
 
 
 def round_trip(pages: DataFrame, **columns) -> DataFrame:

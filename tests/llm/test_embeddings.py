@@ -1,0 +1,77 @@
+import math
+
+import numpy as np
+import pytest
+from helpers import union_find
+from pyspark.sql import functions as F
+
+from bomspark.llm import embeddings
+
+
+def brute(rows, threshold=0.9):
+    good = {}
+    for i, (_, v) in enumerate(rows):
+        if v and all(x is not None and math.isfinite(x) for x in v) and any(v):
+            good[i] = np.array(v, np.float64) / np.linalg.norm(np.array(v, np.float64))
+    links = [(i, j) for i in good for j in good
+             if j < i and len(good[i]) == len(good[j]) and good[i] @ good[j] >= threshold]
+    return links, union_find(range(len(rows)), links)
+
+
+def test_rows_against_brute_force(spark):
+    rng = np.random.default_rng(3)
+    base = rng.normal(size=(60, 16))
+    rows = [(i, list(map(float, v))) for i, v in enumerate(base)]
+    for k in range(40):
+        c = base[k % 7]
+        rows.append((100 + k, list(map(float, c + rng.normal(size=16) * 0.08 * np.linalg.norm(c) / 4))))
+    rows += [(200, rows[0][1]), (201, rows[0][1]), (200, rows[0][1]), (202, None), (203, []),
+             (204, [0.0] * 16), (205, [float("nan")] * 16), (206, [None] * 16),
+             (207, [float("inf")] + [1.0] * 15), (208, [1.0, 2.0]), (None, rows[1][1]), (209, [3e300] * 16),
+             (210, [1e-300] * 16)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn(
+        "cid", F.lit("x")).withColumn("links", F.lit(2))
+    want = []
+    links, root = brute([r if r[0] not in (209, 210) else (r[0], [1.0] * 16) for r in rows])
+    for i, (vec_id, _) in enumerate(rows):
+        n = sum(i in p for p in links)
+        ids = [rows[j][0] for j in root if root[j] == root[i] and rows[j][0] is not None]
+        comp = min(ids) if ids else None
+        want.append((str(vec_id), n, str(comp), vec_id is not None and vec_id == comp))
+    for block in (2048, 4):
+        got = embeddings.near_duplicates(table, block=block, pivots=32).collect()
+        assert sorted((str(r.vec_id), r.n_links, str(r.component_id), r.kept) for r in got) == sorted(want)
+
+
+def test_nothing_usable(spark):
+    table = spark.createDataFrame([(1, None), (2, [0.0])], "vec_id long, embedding array<float>")
+    assert [tuple(r) for r in embeddings.near_duplicates(table).orderBy("vec_id").collect()] == [
+        (1, 0, 1, True), (2, 0, 2, True)]
+    assert embeddings.near_duplicates(table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cosine,least", [(0.9005, 0.95), (0.95, 0.99)])
+def test_recall_of_pairs_near_the_threshold(spark, cosine, least):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    y = cosine * x + math.sqrt(1 - cosine ** 2) * z
+    rows = [(2 * i, list(map(float, a))) for i, a in enumerate(x)]
+    rows += [(2 * i + 1, list(map(float, a))) for i, a in enumerate(y)]
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = got.where("vec_id % 2 = 1 and n_links = 1 and component_id = vec_id - 1").count()
+    assert found >= least * 1500
+    assert got.where("n_links > 1").count() == 0
+
+
+def test_given_table_against_brute_force(spark):
+    table = spark.read.parquet("/root/testdata/sf0.001/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding) for r in table.collect()]
+    links, root = brute(rows)
+    got = {r.vec_id: r for r in embeddings.near_duplicates(table).collect()}
+    for i, (vec_id, _) in enumerate(rows):
+        assert got[vec_id].n_links == sum(i in p for p in links)
+        assert got[vec_id].component_id == rows[root[i]][0]

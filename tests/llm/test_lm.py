@@ -1,0 +1,149 @@
+import math
+import random
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from helpers import documents
+from pyspark.sql import functions as F
+
+from bomspark.llm import lm
+from bomspark.llm.gru import Gru
+
+
+def small(seed=0, hidden=5):
+    rng = np.random.default_rng(seed)
+    m = Gru.fresh(rng.integers(1, 50, 8 + 3), heads=8, width=4, hidden=hidden, seed=seed)
+    m.p = {k: (v + rng.normal(0, 0.3, v.shape)).astype(np.float32) for k, v in m.p.items()}
+    return m
+
+
+def plain_score(m, text):
+    """The text's log probability, one symbol after the other."""
+    h, before, total = np.zeros((1, m.hidden), np.float32), m.start, 0.0
+    for s in text:
+        h = m.step(m.p["x"][[before]], h)[0]
+        every = m.log_prob(np.repeat(h, m.heads + m.groups, axis=0), np.arange(m.heads + m.groups))
+        assert abs(np.exp(every).sum() - 1) < 1e-5
+        total += every[s]
+        before = s
+    return total
+
+
+def test_state_is_carried_across_windows_and_reset_between_texts():
+    m, rng = small(), np.random.default_rng(2)
+    texts = [rng.integers(0, 11, n).astype(np.int32) for n in (1, 2, 30, 7, 90, 3, 64, 65, 1)]
+    want = [plain_score(m, t) for t in texts]
+    for lanes, window in ((1, 7), (4, 64), (256, 16), (9, 1)):
+        assert np.allclose(m.score(texts, lanes, window), want, rtol=1e-4)
+    assert len(m.score([])) == 0
+
+
+def test_gradients_are_those_of_the_loss():
+    m = small(3, hidden=3)
+    m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    rng = np.random.default_rng(4)
+    target = rng.integers(0, 11, (4, 3))
+    source = np.vstack([[m.start] * 3, target[:-1]])
+    source[2, 1] = m.start
+    use = np.ones((4, 3), bool)
+    use[3, 2] = False
+    h0 = rng.normal(size=(3, 3))
+
+    def loss():
+        h, total = h0, 0.0
+        for t in range(4):
+            h = m.step(m.p["x"][source[t]], h * (source[t] != m.start)[:, None])[0]
+            total -= m.log_prob(h, target[t])[use[t]].sum()
+        return total / use.sum()
+
+    grad = m._backprop(source, target, use, h0)[1]
+    numeric = {}
+    for name, value in m.p.items():
+        g = np.zeros_like(value)
+        for at in np.ndindex(value.shape):
+            keep = value[at]
+            value[at] = keep + 1e-5
+            up = loss()
+            value[at] = keep - 1e-5
+            g[at] = (up - loss()) / 2e-5
+            value[at] = keep
+        numeric[name] = g
+    scale = max(1.0, math.sqrt(sum((g ** 2).sum() for g in numeric.values())))   # clipped by norm
+    for name, g in numeric.items():
+        assert np.allclose(grad[name], g / scale, atol=1e-5), name
+
+
+def test_training_learns_an_order():
+    text = np.array([0, 1, 2, 9, 3] * 40, np.int32)
+    m = Gru.fresh(np.bincount(text, minlength=11), heads=8, width=4, hidden=16)
+    before = m.score([text])[0]
+    m.train([text] * 8, 20_000, lanes=8, epochs=50)
+    assert m.score([text])[0] > 0.2 * before
+
+
+@pytest.fixture()
+def tiny(monkeypatch):
+    for name, value in (("BROADCAST_WORDS", 40), ("HEADS", 32), ("WIDTH", 8), ("HIDDEN", 8),
+                        ("TRAIN_TOKENS", 2000), ("_HELD_TOKENS", 500), ("_HELD_WORDS", 50)):
+        monkeypatch.setattr(lm, name, value)
+
+
+def test_base_scores_against_brute_force(spark, tiny):
+    rng = random.Random(3)
+    words = [f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(5000)]
+    rows = [(i, rng.choice([" ", "\n"]).join(rng.choice(words) for _ in range(rng.choice([0, 1, 9, 80]))))
+            for i in range(150)]
+    rows += [(500, None), (501, ""), (None, "w1 W1 unseen-word"), rows[4], (502, "Unseen " * 4000),
+             (503, "É é x"), (504, "w1 " * 3)]
+    table = documents(spark, rows).withColumn("score", F.lit("x")).withColumn("uid", F.lit(1))
+    got = lm.score(table, ).collect()
+    out = {i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
+    low = lambda t: (t or "").encode().lower().split()
+    c = Counter()
+    for i, t in rows:
+        if i is not None and not out[i]:
+            c.update([*low(t), lm.END])
+    n, v = sum(c.values()), len(c)
+    want = []
+    for i, t in rows:
+        toks = [*low(t), lm.END]
+        base = sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in toks)
+        want.append((str(i), out[i], len(toks), sum(c[w] > 0 for w in toks), n, round(base, 6)))
+    assert sorted((str(r.doc_id), r.held_out, r.n_tokens, r.n_known, r.train_tokens,
+                   round(r.base_score, 6)) for r in got) == sorted(want)
+    assert all(r.score < 0 and math.isfinite(r.score) for r in got)
+    assert len({round(r.score, 9) for r in got if r.doc_id == 4}) == 1
+
+
+def test_shares_in_a_group_sum_to_one(spark, tiny):
+    rows = [(i, " ".join(f"x{j}" for j in range(i))) for i in range(120)]
+    counts = lm.token_counts(documents(spark, rows))
+    voc = lm.vocabulary(counts, 40)
+    held = {bytes(r.word): r.c for r in counts.collect()}
+    assert len(voc.rank) <= 41 and voc.tokens == sum(held.values())
+    heads = {w for w, k in voc.rank.items() if k < lm.HEADS}
+    total = np.zeros(lm.GROUPS)
+    for w, c in held.items():
+        if w not in heads:
+            g = lm.group_of(w)
+            share = math.log10(c + 0.5) - voc.group_total[g]
+            if w in voc.rank:
+                assert abs(voc.share[voc.rank[w]] - share) < 1e-9
+            total[g] += 10 ** share
+    total += 10 ** (math.log10(0.5) - voc.group_total)      # all unseen words
+    assert np.allclose(total, 1)
+
+
+def test_beats_the_base_on_held_out_text(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where("n_chars < 4000")
+    got = lm.score(docs).where("held_out").agg(F.sum("score"), F.sum("base_score")).first()
+    assert got[0] > got[1]
+
+
+def test_empty_tables(spark, tiny):
+    assert lm.score(documents(spark, [])).count() == 0
+    out = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1)
+    r = lm.score(documents(spark, [(out, "a b")])).first()
+    assert (r.train_tokens, r.n_known, r.n_tokens, round(r.base_score, 9)) == (0, 0, 3, 0.0)
