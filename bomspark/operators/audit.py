@@ -31,14 +31,6 @@ def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
     return out
 
 
-def _with_change(df: DataFrame) -> DataFrame:
-    delta = F.col("output_rows") - F.col("input_rows")
-    pct = F.when(F.col("input_rows") > 0,
-                 F.round(delta * 100.0 / F.col("input_rows"), 2).cast("double"))
-    return df.select("stage", "input_rows", "output_rows", delta.alias("delta"),
-                     pct.alias("pct_change"))
-
-
 def stage_audit(stages: Mapping[str, DataFrame], inputs: Mapping[str, str],
                 totals: bool = True) -> DataFrame:
     """Per stage its input and output rows, delta and percent change.
@@ -46,28 +38,30 @@ def stage_audit(stages: Mapping[str, DataFrame], inputs: Mapping[str, str],
     ``inputs`` maps a stage to the stage whose rows it consumes, in run
     order.  With ``totals``, two summary rows follow: ``TOTAL`` (input and
     output rows summed over the stages that consume one) and ``NET`` (the
-    first stage's input against the last stage's output)."""
+    first stage's input against the last stage's output).
+
+    The stages are counted once, into one row with a column per stage, from
+    which the report's rows are taken."""
     counts = stage_counts(stages)
-    src = counts.select(F.col("stage").alias("_src"), F.col("rows").alias("input_rows"))
-    edges = counts.sparkSession.createDataFrame(list(inputs.items()), "stage string, _src string")
-    j = (counts.join(edges, "stage", "left").join(src, "_src", "left")
-         .select("stage", "input_rows", F.col("rows").alias("output_rows")))
-    out = _with_change(j)
-    if not totals or not inputs:
-        return out
-    order = list(inputs)
-    first, last = order[0], order[-1]
-    summary = j.where(F.col("input_rows").isNotNull()).agg(
-        F.sum("input_rows").cast("long").alias("total_in"),
-        F.sum("output_rows").cast("long").alias("total_out"),
-        F.max(F.when(F.col("stage") == first, F.col("input_rows"))).alias("first_in"),
-        F.max(F.when(F.col("stage") == last, F.col("output_rows"))).alias("last_out"))
-    extra = (summary.select(F.lit("TOTAL").alias("stage"), F.col("total_in").alias("input_rows"),
-                            F.col("total_out").alias("output_rows"))
-             .unionByName(summary.select(F.lit("NET").alias("stage"),
-                                         F.col("first_in").alias("input_rows"),
-                                         F.col("last_out").alias("output_rows"))))
-    return out.unionByName(_with_change(extra))
+    column = {name: f"n{i}" for i, name in enumerate(stages)}
+    one = counts.agg(*[F.max(F.when(F.col("stage") == name, F.col("rows"))).alias(c)
+                       for name, c in column.items()])
+    nothing = F.lit(None).cast("long")
+    rows = [(name, F.col(column[inputs[name]]) if name in inputs else nothing,
+             F.col(column[name])) for name in stages]
+    if totals and inputs:
+        order = list(inputs)
+        rows.append(("TOTAL", sum(F.col(column[inputs[n]]) for n in order),
+                     sum(F.col(column[n]) for n in order)))
+        rows.append(("NET", F.col(column[inputs[order[0]]]), F.col(column[order[-1]])))
+    report = one.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("stage"), i.alias("input_rows"), o.alias("output_rows"))
+        for n, i, o in rows])))
+    delta = F.col("output_rows") - F.col("input_rows")
+    pct = F.when(F.col("input_rows") > 0,
+                 F.round(delta * 100.0 / F.col("input_rows"), 2).cast("double"))
+    return report.select("stage", "input_rows", "output_rows", delta.alias("delta"),
+                         pct.alias("pct_change"))
 
 
 def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:
@@ -81,26 +75,36 @@ def reconcile(expected: DataFrame, actual: DataFrame) -> DataFrame:
                        (F.col("expected_rows") == F.col("actual_rows")).alias("match"))
 
 
-def key_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
-    """Exact overlap (set intersection) of the distinct join keys of
-    two tables, and of their lower-cased forms (the "keys differ only by
-    case" diagnosis), as one row.
-
-    The reference sampled 1000 keys per side on the driver; here every key
-    is compared: a tagged union is grouped by key (one shuffle, partial
-    aggregation map-side), so a key present on both sides has both flags."""
+def _sides(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """(k, l, r): every distinct key of either table and the sides it is on.
+    A tagged union is grouped by key (one shuffle, partial aggregation)."""
     def side(df: DataFrame, l: int) -> DataFrame:
         return (df.select(F.col(key).cast("string").alias("k"))
                 .where(F.col("k").isNotNull())
                 .select("k", F.lit(l).alias("l"), F.lit(1 - l).alias("r")))
-    tagged = side(left, 1).unionByName(side(right, 0))
-    exact = tagged.groupBy("k").agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    low = tagged.groupBy(F.lower("k").alias("k")).agg(F.max("l").alias("l"), F.max("r").alias("r"))
-    zero = F.lit(0)
-    rows = (exact.select(F.col("l"), F.col("r"), (F.col("l") * F.col("r")).alias("both"),
-                         zero.alias("both_low"))
-            .unionByName(low.select(zero.alias("l"), zero.alias("r"), zero.alias("both"),
-                                    (F.col("l") * F.col("r")).alias("both_low"))))
+    return (side(left, 1).unionByName(side(right, 0)).groupBy("k")
+            .agg(F.max("l").alias("l"), F.max("r").alias("r")))
+
+
+def key_overlap(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Exact overlap (set intersection) of the distinct join keys of
+    two tables, and of their lower-cased forms (the "keys differ only by
+    case" diagnosis), as one row.  Every key is compared; the lower-cased
+    forms are grouped from the distinct keys, so each table is read once."""
+    folded = _sides(left, right, key).groupBy(F.lower("k").alias("k")).agg(
+        F.sum("l").alias("l"), F.sum("r").alias("r"), F.sum(F.col("l") * F.col("r")).alias("both"),
+        (F.max("l") * F.max("r")).alias("both_low"))
     total = lambda c, name: F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(name)
-    return rows.agg(total("l", "left_keys"), total("r", "right_keys"),
-                    total("both", "common_keys"), total("both_low", "common_keys_ignore_case"))
+    return folded.agg(total("l", "left_keys"), total("r", "right_keys"),
+                      total("both", "common_keys"), total("both_low", "common_keys_ignore_case"))
+
+
+def key_case_examples(left: DataFrame, right: DataFrame, key: str, examples: int = 3) -> DataFrame:
+    """Up to ``examples`` pairs of keys that differ only by case (the
+    smallest, one pair per lower-cased form without an exact match)."""
+    folded = _sides(left, right, key).groupBy(F.lower("k").alias("folded")).agg(
+        F.min(F.when(F.col("l") == 1, F.col("k"))).alias("left_key"),
+        F.min(F.when(F.col("r") == 1, F.col("k"))).alias("right_key"),
+        F.max(F.col("l") * F.col("r")).alias("both"))
+    return (folded.where("both = 0 and left_key is not null and right_key is not null")
+            .orderBy("folded").limit(examples).select("left_key", "right_key"))

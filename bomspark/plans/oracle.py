@@ -1,8 +1,8 @@
 """DuckDB SQL for each registered query (the driver's correctness oracle).
 
-The CTEs restate the pipeline in plain SQL over the driver's tables, the
-way the reference states it, so each Spark query is checked against an
-independent formulation.  CTE names avoid SQL keywords (``rollup``).
+The CTEs state the pipeline from its definition over the driver's tables
+(counts of distinct pairs, first rows of ordered groups, membership), not the
+way the Spark plans compute it.  CTE names avoid SQL keywords (``rollup``).
 """
 
 from __future__ import annotations
@@ -27,54 +27,50 @@ child_part_option AS (
   SELECT 'OPT' || CAST(p_partkey AS VARCHAR),
          p_type || '-' || CAST(p_size AS VARCHAR) FROM part),
 serial_joined AS (
-  SELECT CAST(l.Engine_serial AS VARCHAR) AS Engine_serial, l.option_assembly_num,
-         s.design_config_2, l.shop_order_num, s.build_year
-  FROM bom_option l
-  JOIN bom_config s ON CAST(l.Engine_serial AS VARCHAR) = CAST(s.Engine_serial AS VARCHAR)),
+  SELECT Engine_serial, option_assembly_num, design_config_2, shop_order_num, build_year
+  FROM bom_config JOIN bom_option USING (Engine_serial)),
 keyed AS (
   SELECT Engine_serial, option_assembly_num,
-         design_config_2 || '_' || shop_order_num AS esn_config_design_config_Shop_order_num,
+         CASE WHEN design_config_2 IS NOT NULL AND shop_order_num IS NOT NULL
+              THEN concat(design_config_2, '_', shop_order_num) END
+           AS esn_config_design_config_Shop_order_num,
          build_year
   FROM serial_joined),
+engines AS (
+  SELECT DISTINCT string_split(esn_config_design_config_Shop_order_num, '_')[1] AS config_id,
+         Engine_serial
+  FROM keyed),
 cfg_counts AS (
-  SELECT SPLIT_PART(esn_config_design_config_Shop_order_num, '_', 1) AS config_id,
-         COUNT(DISTINCT Engine_serial) AS Engine_serial_count
-  FROM keyed GROUP BY SPLIT_PART(esn_config_design_config_Shop_order_num, '_', 1)),
+  SELECT config_id, count(Engine_serial) AS Engine_serial_count FROM engines GROUP BY config_id),
 rolled AS (
-  SELECT cnt.Engine_serial_count, c.option_assembly_num,
-         c.esn_config_design_config_Shop_order_num, c.build_year
-  FROM keyed c
-  JOIN cfg_counts cnt ON SPLIT_PART(c.esn_config_design_config_Shop_order_num, '_', 1) = cnt.config_id),
+  SELECT (SELECT Engine_serial_count FROM cfg_counts
+          WHERE config_id = string_split(k.esn_config_design_config_Shop_order_num, '_')[1])
+           AS Engine_serial_count,
+         option_assembly_num, esn_config_design_config_Shop_order_num, build_year
+  FROM keyed k WHERE esn_config_design_config_Shop_order_num IS NOT NULL),
 latest_rows AS (
-  SELECT Engine_serial_count, option_assembly_num, esn_config_design_config_Shop_order_num, build_year
-  FROM (SELECT *, ROW_NUMBER() OVER (
-          PARTITION BY esn_config_design_config_Shop_order_num
-          ORDER BY build_year DESC NULLS LAST, Engine_serial_count DESC NULLS LAST,
-                   option_assembly_num ASC NULLS LAST) AS rn
-        FROM rolled) t
-  WHERE rn = 1),
+  SELECT unnest(winner) FROM (
+    SELECT first(r ORDER BY r.build_year DESC NULLS LAST, r.Engine_serial_count DESC NULLS LAST,
+                 r.option_assembly_num NULLS LAST) AS winner
+    FROM rolled r GROUP BY r.esn_config_design_config_Shop_order_num)),
 key_pairs AS (
-  SELECT DISTINCT f4.esn_config_design_config_Shop_order_num, f4.option_assembly_num
-  FROM rolled f4
-  JOIN latest_rows f5
-    ON f4.esn_config_design_config_Shop_order_num = f5.esn_config_design_config_Shop_order_num),
+  SELECT esn_config_design_config_Shop_order_num, option_assembly_num FROM rolled
+  WHERE esn_config_design_config_Shop_order_num IN (
+    SELECT esn_config_design_config_Shop_order_num FROM latest_rows)
+  GROUP BY ALL),
+children AS (
+  SELECT esn_config_design_config_Shop_order_num, Child_Part_Number
+  FROM child_part_option JOIN key_pairs ON option_assembly_num = Option_Number),
 expanded_rows AS (
-  SELECT f5.Engine_serial_count, f5.option_assembly_num, f5.esn_config_design_config_Shop_order_num,
-         f5.build_year, cp.Child_Part_Number
-  FROM latest_rows f5
-  JOIN key_pairs ij
-    ON f5.esn_config_design_config_Shop_order_num = ij.esn_config_design_config_Shop_order_num
-  JOIN child_part_option cp ON ij.option_assembly_num = cp.Option_Number),
-best_rows AS (
   SELECT Engine_serial_count, option_assembly_num, esn_config_design_config_Shop_order_num,
          build_year, Child_Part_Number
-  FROM (SELECT *, ROW_NUMBER() OVER (
-          PARTITION BY Child_Part_Number
-          ORDER BY build_year DESC NULLS LAST, Engine_serial_count DESC NULLS LAST,
-                   esn_config_design_config_Shop_order_num ASC NULLS LAST,
-                   option_assembly_num ASC NULLS LAST) AS rn
-        FROM expanded_rows) t
-  WHERE rn = 1)
+  FROM children JOIN latest_rows USING (esn_config_design_config_Shop_order_num)),
+best_rows AS (
+  SELECT unnest(winner) FROM (
+    SELECT first(e ORDER BY e.build_year DESC NULLS LAST, e.Engine_serial_count DESC NULLS LAST,
+                 e.esn_config_design_config_Shop_order_num NULLS LAST,
+                 e.option_assembly_num NULLS LAST) AS winner
+    FROM expanded_rows e GROUP BY e.Child_Part_Number))
 """
 
 

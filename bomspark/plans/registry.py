@@ -57,15 +57,9 @@ def _keyed(spark, sf):
 
 
 def _rollup(spark, sf):
-    """Roll-up; ``keyed`` is written once first when the option input is
-    large (the same size check as ``run_workflow``)."""
+    """Roll-up; ``keyed`` is written once first, as in ``run_workflow``."""
     from ..sinks import checkpoint_table
-    from .workflow import KEYED_CHECKPOINT_BYTES, estimated_bytes
-    opt, cfg, _ = _inputs(spark, sf)
-    keyed = build_order_key(serial_join(opt, cfg))
-    if estimated_bytes(opt) > KEYED_CHECKPOINT_BYTES:
-        keyed = checkpoint_table(keyed, "keyed")
-    return config_engine_counts(keyed)
+    return config_engine_counts(checkpoint_table(_keyed(spark, sf), "keyed"))
 
 
 def _latest(spark, sf):
@@ -141,15 +135,15 @@ def latest_per_key_q(spark, sf):
 
 
 @register("semi_filter_children",
-          q("SELECT cp.* FROM child_part_option cp WHERE EXISTS "
-            "(SELECT 1 FROM rolled f4 WHERE f4.option_assembly_num = cp.Option_Number)"))
+          q("SELECT * FROM child_part_option WHERE Option_Number IN "
+            "(SELECT option_assembly_num FROM rolled)"))
 def semi_filter_children_q(spark, sf):
     return semi_filter_children(TB.child_part_option(spark, sf), _rollup(spark, sf))
 
 
 @register("semi_exists_keys",
-          q("SELECT f5.* FROM latest_rows f5 WHERE EXISTS (SELECT 1 FROM rolled f4 WHERE "
-            "f4.esn_config_design_config_Shop_order_num = f5.esn_config_design_config_Shop_order_num)"))
+          q("SELECT * FROM latest_rows WHERE esn_config_design_config_Shop_order_num IN "
+            "(SELECT esn_config_design_config_Shop_order_num FROM rolled)"))
 def semi_exists_keys_q(spark, sf):
     rollup = _rollup_table(spark, sf)
     return semi_exists_keys(latest_per_key(rollup), rollup)
@@ -282,7 +276,8 @@ WITH r AS (
          CAST(year(l_shipdate) AS VARCHAR) AS build_year_2,
          o_orderstatus, o_orderpriority, o_orderdate, l_orderkey, l_linenumber,
          l_shipdate, l_partkey, l_suppkey,
-         CASE WHEN o_orderstatus = 'P' THEN 'bom_option_extract_' || o_orderpriority || '.csv'
+         CASE WHEN o_orderstatus = 'P' THEN 'bom_option_extract_' || o_orderpriority || '_' ||
+                   translate(CAST(l_orderkey // 8192 AS VARCHAR), '0123456789', 'abcdefghij') || '.csv'
               ELSE 'BOM_ESN_Option_' || strftime(o_orderdate, '%Y%m%d%H%M') || '.csv' END AS file_name,
          CASE WHEN o_orderstatus = 'P' THEN ',' WHEN day(o_orderdate) % 2 = 1 THEN '|' ELSE ',' END
            AS delimiter
@@ -375,13 +370,11 @@ def ingest_option_child_q(spark, sf):
 SELECT DISTINCT file_name, option_column, delimiter FROM p""")
 def header_synonyms_q(spark, sf):
     """Which header each option-child file's option column was found under."""
-    files = LD.landing_files(spark, FX.child_landing(spark, sf), pipe_on_tie=True,
-                             count_blank=True)
-    rows = []
-    for f in files:
-        idx = IG.resolve_child_columns(f.fields)
-        rows.append((f.name, f.fields[idx[0]].strip() if idx else None, f.delimiter))
-    return spark.createDataFrame(rows, "file_name string, option_column string, delimiter string")
+    files = IG.located(LD.landing_files(spark, FX.child_landing(spark, sf), pipe_on_tie=True),
+                       IG.CHILD_COLUMNS)
+    both = F.col(f"at_{S.CHILD}").isNotNull()
+    return files.select("file_name", F.when(both, F.get("names", F.col(f"at_{S.OPTION_NUMBER}")))
+                        .alias("option_column"), "delimiter")
 
 
 @register("ingest_bom_option", _OPT_LANDING + """
@@ -415,9 +408,9 @@ SELECT DISTINCT file_name, CASE WHEN o_orderstatus = 'P' THEN 'shop_order_num' E
 FROM r""")
 def missing_columns_q(spark, sf):
     """Kept columns absent from each option file's header (NULL-filled)."""
-    files = LD.landing_files(spark, FX.option_landing(spark, sf))
-    rows = [(f.name, ",".join(IG.missing_option_columns(f.fields))) for f in files]
-    return spark.createDataFrame(rows, "file_name string, missing string")
+    files = IG.option_files(spark, FX.option_landing(spark, sf))
+    absent = [F.when(F.col(f"at_{c}").isNull(), F.lit(c)) for c in S.OPTION_KEEP]
+    return files.select("file_name", F.concat_ws(",", *absent).alias("missing"))
 
 
 @register("filename_period", _OPT_LANDING + """
@@ -440,8 +433,7 @@ SELECT file_name, year, period FROM periods WHERE file_name LIKE 'bom_option_ext
 def period_fallback_q(spark, sf):
     """F8: files without a year in the name take it from their first data row."""
     folder = FX.option_landing(spark, sf)
-    files = LD.landing_files(spark, folder)
-    per = IG.file_periods(spark, files, folder)
+    per = IG.file_periods(spark, IG.option_files(spark, folder), folder)
     return per.where(PD.year_from_name("file_name").isNull()).select("file_name", "year", "period")
 
 
@@ -468,13 +460,6 @@ def period_order_q(spark, sf):
 # ---------------------------------------------------------------- sinks (K1-K7), S5, S6, S8
 
 
-def _part_files(spark, folder: str, glob: str) -> list[str]:
-    """Data files of a written folder (one row per file, collected)."""
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob) \
-        .option("recursiveFileLookup", True).load(folder).select("path")
-    return sorted(r["path"] for r in listed.collect())
-
-
 @register("csv_roundtrip", q("SELECT * FROM keyed"))
 def csv_roundtrip_q(spark, sf):
     """K1 + S4: keyed rows to header CSV and back with stated string/int
@@ -486,17 +471,16 @@ def csv_roundtrip_q(spark, sf):
 
 @register("typed_multi_csv", q("SELECT * FROM keyed"))
 def typed_multi_csv_q(spark, sf):
-    """A list of CSV files (one folder per build year) read as one
-    typed table."""
+    """Many CSV files (one folder per build year) read as one typed
+    table."""
     out = scratch_path(spark, "csv-keyed-years")
     (SK.rebalanced_for(_keyed(spark, sf), [S.BUILD_YEAR]).write.mode("overwrite")
      .partitionBy(S.BUILD_YEAR)
      .option("header", True).option("quote", '"').option("escape", '"').csv(out))
-    files = _part_files(spark, out, "*.csv")
-    # build_year lives in the folder names; read the files as one list and
+    # build_year lives in the folder names; read the files by a pattern and
     # recover it from each file's path
     schema = T.StructType([f for f in S.KEYED.fields if f.name != S.BUILD_YEAR])
-    df = LD.read_typed_csv(spark, files, schema)
+    df = LD.read_typed_csv(spark, f"{out}/*/*.csv", schema)
     year = F.regexp_extract(F.col("_metadata.file_path"), S.BUILD_YEAR + r"=(\d+)", 1)
     return df.select(S.ENGINE_SERIAL, S.OPTION, S.KEY, year.cast("int").alias(S.BUILD_YEAR))
 
@@ -520,10 +504,10 @@ def parquet_roundtrip_q(spark, sf):
 @register("year_export", q("SELECT * FROM rolled"))
 def year_export_q(spark, sf):
     """Year-ordered export (range-partitioned, sorted parts),
-    read back from the list of its part files."""
+    read back from its part files by a pattern."""
     out = scratch_path(spark, "year-export")
     SK.export_year_ordered(_rollup(spark, sf), out, then=[S.COUNT])
-    return spark.read.parquet(*_part_files(spark, out, "*.parquet"))
+    return spark.read.parquet(f"{out}/*.parquet")
 
 
 @register("reconcile_counts", q("""
@@ -562,9 +546,11 @@ def append_union_all_q(spark, sf):
 
 @register("empty_schema", q("SELECT * FROM latest_rows WHERE 1 = 0"))
 def empty_schema_q(spark, sf):
-    """An empty roll-up flows through the latest-per-key stage and
-    keeps the stage schema (typed columns, zero rows)."""
-    return latest_per_key(_rollup(spark, sf).where(F.lit(False)))
+    """A roll-up without rows (no build year is negative) is written,
+    keeps its schema, and the next stage reads it."""
+    out = scratch_path(spark, "empty-rollup")
+    SK.write_parquet(_rollup(spark, sf).where(F.col(S.BUILD_YEAR) < 0), out)
+    return latest_per_key(spark.read.parquet(out))
 
 
 @register("lenient_csv", q("""
@@ -643,6 +629,21 @@ def key_overlap_q(spark, sf):
     return AU.key_overlap(TB.bom_option(spark, sf), TB.bom_config(spark, sf), S.ENGINE_SERIAL)
 
 
+@register("key_case_examples", """
+SELECT 'OPT' || CAST(p_partkey AS VARCHAR) AS left_key,
+       'opt' || CAST(p_partkey AS VARCHAR) AS right_key
+FROM part
+WHERE p_partkey % 2 = 1 AND p_partkey IN (SELECT l_partkey FROM lineitem)
+ORDER BY right_key LIMIT 3""")
+def key_case_examples_q(spark, sf):
+    """Example pairs of option numbers that differ only by case (the child
+    side of every odd part is lower-cased)."""
+    child = TB.table(spark, sf, "part").select(F.concat(
+        F.when(F.col("p_partkey") % 2 == 1, "opt").otherwise("OPT"),
+        F.col("p_partkey").cast("string")).alias(S.OPTION))
+    return AU.key_case_examples(TB.bom_option(spark, sf), child, S.OPTION)
+
+
 @register("drop_all_empty", """
 SELECT 'DC' || CAST(l_suppkey AS VARCHAR) AS design_configuration,
        CAST(l_linenumber AS VARCHAR) AS shop_order_num,

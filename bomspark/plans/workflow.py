@@ -30,43 +30,23 @@ class WorkflowResult:
     best_per_child: DataFrame
 
 
-# Above this estimated option-input size the keyed table is written once
-# instead of being evaluated by both the distinct count and the join-back.
-KEYED_CHECKPOINT_BYTES = 1 << 30
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a plan (file sizes for a scan); -1 if unknown."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # noqa: BLE001 - estimate unavailable
-        return -1
-
-
 def run_workflow(option: DataFrame, config: DataFrame, child: DataFrame,
-                 materialize_expansion: bool = False,
-                 checkpoint_rollup: bool = True,
-                 checkpoint_keyed: bool | None = None) -> WorkflowResult:
+                 materialize_expansion: bool = False, checkpoint: bool = True) -> WorkflowResult:
     """Build every stage. ``best_per_child`` is computed without the full
     expansion unless ``materialize_expansion`` asks for the literal
     expand-then-rank plan (same rows).
 
-    With ``checkpoint_rollup`` (default) the roll-up is written once to the
-    shared checkpoint folder (an eager write) because three later stages
-    read it; without it every stage stays lazy and each consumer recomputes
-    the roll-up.  ``keyed`` feeds both the distinct count and the join-back:
-    it is written once as well when ``checkpoint_keyed`` is true, or - by
-    default - when the option input is estimated above
-    ``KEYED_CHECKPOINT_BYTES`` (small inputs are cheaper to recompute,
-    measured at sf0.1; large ones would pay the serial join's shuffles twice)."""
+    ``keyed`` feeds the distinct count and the join-back, and the roll-up
+    three later stages: both are written once to the shared checkpoint folder
+    (eager writes), whatever their size, so the serial join runs once.  With
+    ``checkpoint=False`` every stage stays lazy and is recomputed by each
+    of its consumers."""
     sj = serial_join(option, config)
     keyed = build_order_key(sj)
-    if checkpoint_keyed is None:
-        checkpoint_keyed = estimated_bytes(option) > KEYED_CHECKPOINT_BYTES
-    if checkpoint_keyed:
+    if checkpoint:
         keyed = checkpoint_table(keyed, "keyed")
     rollup = config_engine_counts(keyed)
-    if checkpoint_rollup:
+    if checkpoint:
         rollup = checkpoint_table(rollup, "rollup")
     latest = latest_per_key(rollup)
     expanded = expand_children(rollup, latest, child)

@@ -2,20 +2,20 @@
 scratch folder every materialisation goes to.
 
 On a cluster the scratch root is the shared folder named by
-``spark.checkpoint.dir``; we never fall back to a machine-local temp folder
-unless that setting is unset (local tests and the bench), in which case we set
-it once for the session.
+``spark.checkpoint.dir``.  A machine-local temp folder stands in for it only
+on a ``local`` master (tests, bench); any other master without the setting is
+an error, as executors would write where the others cannot read.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 _CKPT_KEY = "spark.checkpoint.dir"
+_OWN: set[str] = set()
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -59,6 +59,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    master = spark.sparkContext.master
+    if not master.startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all "
+                           f"executors share (master is {master})")
     # spark.checkpoint.dir cannot be changed on a running session (it is a
     # core setting); the context's checkpoint folder can, and later calls
     # find it through getCheckpointDir().
@@ -67,28 +71,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir() or local
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the shared checkpoint folder.
-
-    Used for landing fixtures, round-trip sinks and stream checkpoints; each
-    call gets a new folder so runs never see each other's files.
-    """
+def _session_folder(spark: SparkSession) -> str:
+    """This application's folder below the scratch root; Hadoop deletes it when
+    the driver ends."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/bomspark-scratch/{name}-{uuid.uuid4().hex[:12]}"
-
+    folder = f"{root}/bomspark-scratch/{spark.sparkContext.applicationId}"
+    if folder not in _OWN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.mkdirs(path)
+        fs.deleteOnExit(path)
+        _OWN.add(folder)
+    return folder
 
-def is_local_path(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:")
-
-
-def local_os_path(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A fresh, unique folder below the shared checkpoint folder.
 
-def makedirs(path: str) -> None:
-    if is_local_path(path):
-        os.makedirs(local_os_path(path), exist_ok=True)
+    Used for landing fixtures, stage tables, round-trip sinks and stream
+    checkpoints; each call gets a new folder so runs never see each other's
+    files, and all of a session's folders go when its driver ends.
+    """
+    return f"{_session_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"

@@ -1,5 +1,5 @@
-from .writers import (append_table, checkpoint_table, csv_to_parquet, empty_like, export_year_ordered,
-                      rebalanced_for, table_schema, write_csv, write_parquet)
+from .writers import (append_table, checkpoint_table, csv_to_parquet, export_year_ordered,
+                      rebalanced_for, table_exists, table_schema, write_csv, write_parquet)
 
-__all__ = ["append_table", "checkpoint_table", "csv_to_parquet", "empty_like", "export_year_ordered",
-           "rebalanced_for", "table_schema", "write_csv", "write_parquet"]
+__all__ = ["append_table", "checkpoint_table", "csv_to_parquet", "export_year_ordered",
+           "rebalanced_for", "table_exists", "table_schema", "write_csv", "write_parquet"]

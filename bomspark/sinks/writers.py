@@ -43,12 +43,23 @@ def write_parquet(df: DataFrame, path: str, mode: str = "overwrite",
     w.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """Does the folder (or file) hold any data file?"""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return False
+    names = [s.getPath().getName() for s in fs.listStatus(at)]
+    return any(n[:1] not in ("_", ".") for n in names)
+
+
 def table_schema(spark: SparkSession, path: str, fmt: str = "parquet") -> T.StructType | None:
-    """Schema of an existing table folder, or None if absent (metadata only)."""
-    try:
-        return spark.read.format(fmt).load(path).schema
-    except Exception:  # noqa: BLE001 - absent or unreadable table
+    """Schema of an existing table, or None if there is none (metadata only).
+    A table that is there but cannot be read is an error."""
+    if not table_exists(spark, path):
         return None
+    reader = spark.read.format(fmt)
+    return (reader.option("header", True) if fmt == "csv" else reader).load(path).schema
 
 
 def append_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parquet") -> str:
@@ -58,10 +69,11 @@ def append_table(spark: SparkSession, df: DataFrame, path: str, fmt: str = "parq
     existing = table_schema(spark, path, fmt)
     same = existing is not None and [f.name for f in existing] == df.columns
     mode = "append" if same else "overwrite"
-    w = df.write.mode(mode)
-    if fmt == "parquet":
-        w = w.option("compression", "zstd")
-    w.format(fmt).save(path)
+    if fmt == "csv":
+        write_csv(df, path, mode)
+    else:
+        w = df.write.mode(mode)
+        (w.option("compression", "zstd") if fmt == "parquet" else w).format(fmt).save(path)
     return mode
 
 
@@ -99,12 +111,6 @@ def export_year_ordered(df: DataFrame, path: str, year_col: str = "build_year",
     return obs
 
 
-def empty_like(spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """K6: a zero-row frame with the stage's schema (writing it keeps the
-    schema for the next stage)."""
-    return spark.createDataFrame([], schema)
-
-
 def csv_to_parquet(spark: SparkSession, csv_paths: list[str] | str, schema: T.StructType,
                    out: str) -> DataFrame:
     """K7: typed CSV scan of a file list -> ZSTD Parquet; returns the Parquet scan."""

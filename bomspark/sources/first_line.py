@@ -4,8 +4,8 @@ A text scan cannot stop after one line per file (Spark reads every split
 and filters afterwards), so for large drops a header pass would read all the
 data once more.  This reader runs in the tasks over the file *listing*
 (content never loaded) and reads only up to the first line break of each
-file.  Used for files on a locally mounted / shared POSIX path; other
-schemes use the text scan.
+file, at most ``MAX_HEADER`` bytes, through pyarrow's file systems (local and
+shared folders, hdfs, s3, gs, abfs).
 """
 
 from __future__ import annotations
@@ -13,49 +13,65 @@ from __future__ import annotations
 import sys
 
 import pandas as pd
+from pyarrow import fs as pafs
 from pyspark import cloudpickle
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CHUNK = 1 << 16
+#: A header longer than this is an error, not a reason to load the file.
+MAX_HEADER = 1 << 20
 
 
-def local_path(uri: str) -> str:
-    if uri.startswith("file://"):
-        return uri[len("file://"):]
-    if uri.startswith("file:"):
-        return uri[len("file:"):]
-    return uri
+def _store(uri: str) -> tuple[pafs.FileSystem, str]:
+    scheme = uri.split(":", 1)[0] if ":" in uri.split("/", 1)[0] else "file"
+    if scheme == "file":
+        path = uri[5:] if uri.startswith("file:") else uri
+        return pafs.LocalFileSystem(), "/" + path.lstrip("/")
+    root, _, rest = uri.partition("://")
+    store, path = pafs.FileSystem.from_uri(f"{root}://{rest.split('/', 1)[0]}/")
+    return store, f"{path.rstrip('/')}/{rest.split('/', 1)[-1]}"
 
 
-def read_first_line(uri: str) -> str | None:
-    """First line as Java's ``readLine`` sees it (ends at \\n, \\r or \\r\\n);
-    None for an empty file. A leading byte-order mark is removed."""
-    buf = b""
-    with open(local_path(uri), "rb") as fh:
+def opens(uri: str) -> bool:
+    """Can Python open files of this file system?"""
+    try:
+        _store(uri)
+        return True
+    except (OSError, ValueError):      # Arrow's errors are among these
+        return False
+
+
+def read_first_line(uri: str, skip_blank: bool = False) -> str | None:
+    """First line as Java's ``readLine`` sees it (ends at \\n, \\r or \\r\\n),
+    or the first that is not blank; None for a file without one. A leading
+    byte-order mark is removed."""
+    store, path = _store(uri)
+    held, at_end = b"", False
+    with store.open_input_stream(path) as fh:
         while True:
-            chunk = fh.read(CHUNK)
-            if not chunk:
-                break
-            buf += chunk
-            if b"\n" in chunk or b"\r" in chunk:
-                break
-    if not buf:
-        return None
-    cut = len(buf)
-    for sep in (b"\n", b"\r"):
-        i = buf.find(sep)
-        if i != -1:
-            cut = min(cut, i)
-    line = buf[:cut].decode("utf-8", errors="replace")
-    return line.lstrip("\ufeff")
-
-
-def header_batches(batches):
-    """mapInPandas body: (path) -> (path, header, blank_lines)."""
-    for pdf in batches:
-        out = [(p, read_first_line(p)) for p in pdf["path"]]
-        frame = pd.DataFrame(out, columns=["path", "header"])
-        frame = frame[frame["header"].notna()]
-        frame["blank_lines"] = 0
-        yield frame
+            ends = [i for i in (held.find(b"\n"), held.find(b"\r")) if i >= 0]
+            if ends or at_end:
+                cut = min(ends, default=len(held))
+                line = held[:cut].decode("utf-8", errors="replace").lstrip("﻿")
+                blank = not line.strip("".join(map(chr, range(33))))
+                if not held or not (skip_blank and blank):
+                    return line if held else None
+                held = held[cut + 1:]
+                if not held and at_end:
+                    return None
+                continue
+            if len(held) > MAX_HEADER:
+                raise ValueError(f"the first line of {uri} is longer than {MAX_HEADER} bytes")
+            more = fh.read(CHUNK)
+            at_end = not more
+            held += more
+
+
+def header_batches(skip_blank: bool):
+    """mapInPandas body: (path) -> (path, header)."""
+    def run(batches):
+        for pdf in batches:
+            out = [(p, read_first_line(p, skip_blank)) for p in pdf["path"]]
+            yield pd.DataFrame([r for r in out if r[1] is not None], columns=["path", "header"])
+    return run

@@ -9,7 +9,7 @@ option drops (lineitem x orders)
     date; pipe files (odd day) carry the original header names plus an
     extra column, comma files (even day) carry new names in other case and
     order.
-  * orders in status 'P': ``bom_option_extract_<priority>.csv`` - no year
+  * orders in status 'P': ``bom_option_extract_<priority>_<range>.csv`` - no year
     in the name (year from the first data row), no month (default), and no
     ``shop_order_num`` column (NULL-filled).
 config drops (orders): ``BOM_ESN_Config_yyyyMM.csv``; pipe for odd months,
@@ -78,6 +78,10 @@ def option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 OPTION_FILE_ORDER = ["l_orderkey", "l_linenumber", "l_shipdate", "l_partkey", "l_suppkey"]
 
 
+#: Order keys per extract file (and priority).
+EXTRACT_KEYS = 8192
+
+
 def option_file_name(monthly: bool = False) -> F.Column:
     """Landing name of a row's file (see module doc). ``monthly`` names one
     file per month (``BOM_ESN_Option_yyyyMM010000.csv``): the same rows and
@@ -85,7 +89,12 @@ def option_file_name(monthly: bool = False) -> F.Column:
     stamp = (F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lit("010000")) if monthly
              else F.date_format("o_orderdate", "yyyyMMddHHmm"))
     dated = F.concat(F.lit("BOM_ESN_Option_"), stamp, F.lit(".csv"))
-    extract = F.concat(F.lit("bom_option_extract_"), F.col("o_orderpriority"), F.lit(".csv"))
+    # by key range, spelled in letters (no year in the name): no file holds a
+    # share of the rows, however many there are
+    part = F.translate(F.floor(F.col("l_orderkey") / EXTRACT_KEYS).cast("string"),
+                       "0123456789", "abcdefghij")
+    extract = F.concat(F.lit("bom_option_extract_"), F.col("o_orderpriority"), F.lit("_"), part,
+                       F.lit(".csv"))
     return F.when(F.col("o_orderstatus") == "P", extract).otherwise(dated)
 
 

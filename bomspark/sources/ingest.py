@@ -1,8 +1,8 @@
 """Landing normalizers C1-C3: mixed pipe/comma files -> typed tables.
 
-Each reads a whole folder (or list of paths) as described in ``landing``
-and resolves the target columns per dialect group from that group's
-header, applying the per-table rules:
+Each reads a whole folder (or list of paths) as described in ``landing``.
+Where a table's columns are found in a file's header is stated as data, ranked
+matches per column, and resolved by Spark for the whole file table:
 
 =============  ==========================  ==================  ==============
 table          column resolution           missing column      empty rows
@@ -18,238 +18,155 @@ name has no year, from the first data row (in file order) holding one.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.periods import month_from_name, period_of, year_from_name, year_from_text
-from ..functions.text import clean_field
+from ..functions.text import blank_to_null, java_trim
 from ..operators.joins import splittable
-from .landing import (CSV_GLOB, LandingFile, group_by_dialect, landing_files, read_group,
-                      union_all)
-
-
-def _trimmed(fields: list[str]) -> list[str]:
-    return [f.strip() for f in fields]
-
-
-# ------------------------------------------------------------------ resolvers
-
-def resolve_child_columns(fields: list[str]) -> tuple[int, int] | None:
-    """P2 (child): option column = last header in the synonym list, child
-    column = last ``child_part``; None when either is missing."""
-    opt = child = None
-    for i, name in enumerate(_trimmed(fields)):
-        low = name.lower()
-        if low in S.CHILD_OPTION_SYNONYMS:
-            opt = i
-        if low == S.CHILD_PART_HEADER:
-            child = i
-    return None if opt is None or child is None else (opt, child)
-
-
-def resolve_config_columns(fields: list[str]) -> dict[str, int] | None:
-    """P2 (config): the three required headers (case-insensitive, last wins)."""
-    found: dict[str, int] = {}
-    for i, name in enumerate(_trimmed(fields)):
-        target = S.CONFIG_HEADERS.get(name.lower())
-        if target is not None:
-            found[target] = i
-    return found if len(found) == len(S.CONFIG_HEADERS) else None
-
-
-def resolve_option_columns(fields: list[str]) -> dict[str, int]:
-    """Rename map on exact names, then the exact new name, then the new
-    name ignoring case (first in header order).  Missing -> absent key."""
-    names = _trimmed(fields)
-    exact: dict[str, int] = {}
-    for i, n in enumerate(names):
-        exact[n] = i                               # duplicates: last wins
-    renamed = {new: exact[old] for old, new in S.OPTION_RENAMES.items() if old in exact}
-    out: dict[str, int] = {}
-    for col in S.OPTION_KEEP:
-        if col in renamed:
-            out[col] = renamed[col]
-        elif col in exact:
-            out[col] = exact[col]
-        else:
-            for i, n in enumerate(names):
-                if n.lower() == col.lower():
-                    out[col] = i
-                    break
-    return out
-
-
-def missing_option_columns(fields: list[str]) -> list[str]:
-    found = resolve_option_columns(fields)
-    return [c for c in S.OPTION_KEEP if c not in found]
+from .landing import (CSV_GLOB, Paths, base_of, data_lines, file_path_col,
+                      landing_files, split_lines, _sources)
+
+
+# ------------------------------------------------------------------ resolution
+
+@dataclass(frozen=True)
+class Match:
+    """Header names that stand for a column; with ``any_case`` they are compared
+    in lower case.  Of several matches the last one counts, or the first."""
+
+    names: tuple[str, ...]
+    any_case: bool = False
+    first: bool = False
+
+    def position(self, header: Column) -> Column:
+        """0-based position in an array of header names, or NULL."""
+        def hit(name: Column, i: Column) -> Column:
+            return F.when((F.lower(name) if self.any_case else name).isin(*self.names), i)
+        return F.try_element_at(F.array_compact(F.transform(header, hit)),
+                                F.lit(1 if self.first else -1))
+
+
+Rules = dict[str, tuple[Match, ...]]
+
+CHILD_COLUMNS: Rules = {
+    S.OPTION_NUMBER: (Match(tuple(S.CHILD_OPTION_SYNONYMS), any_case=True),),
+    S.CHILD: (Match((S.CHILD_PART_HEADER,), any_case=True),),
+}
+CONFIG_COLUMNS: Rules = {out: (Match((name,), any_case=True),)
+                         for name, out in S.CONFIG_HEADERS.items()}
+_OLD_NAMES = {new: old for old, new in S.OPTION_RENAMES.items()}
+OPTION_COLUMNS: Rules = {
+    c: (*([Match((_OLD_NAMES[c],))] if c in _OLD_NAMES else []), Match((c,)),
+        Match((c.lower(),), any_case=True, first=True))
+    for c in S.OPTION_KEEP}
+
+
+def located(files: DataFrame, rules: Rules) -> DataFrame:
+    """The file table with each column's position (``at_<column>``, NULL if absent)."""
+    return files.withColumns({f"at_{c}": F.coalesce(*[m.position(F.col("names")) for m in ranked])
+                              for c, ranked in rules.items()})
+
+
+def _present(rules: Rules, every: bool) -> Column:
+    tests = [F.col(f"at_{c}").isNotNull() for c in rules]
+    return reduce((lambda a, b: a & b) if every else (lambda a, b: a | b), tests)
+
+
+def _rows(lines: DataFrame, files: DataFrame, rules: Rules) -> DataFrame:
+    at = [f"at_{c}" for c in rules]
+    return split_lines(lines, files.select("path", "delimiter", *at)).select(
+        *[blank_to_null(F.get("_f", F.col(a))).alias(c) for a, c in zip(at, rules)],
+        "_path", "_pos")
 
 
 # ------------------------------------------------------------------ C1
 
-def ingest_option_child(spark: SparkSession, paths: str | list[str], with_source: bool = False,
+def ingest_option_child(spark: SparkSession, paths: Paths, with_source: bool = False,
                         glob: str = CSV_GLOB) -> DataFrame:
     """(Option_Number, Child_Part_Number) from every file that has both
-    columns; all rows kept (duplicates too), blanks become NULL."""
-    parts = []
-    files = landing_files(spark, paths, pipe_on_tie=True, glob=glob, count_blank=True)
-    for group in group_by_dialect(files, complete=True).values():
-        fields = group[0].fields
-        idx = resolve_child_columns(fields)
-        if idx is None:
-            continue                                  # P3: file skipped
-        df = read_group(spark, group, len(fields), paths, glob)
-        cols = [clean_field(f"_c{idx[0]}").alias(S.OPTION_NUMBER),
-                clean_field(f"_c{idx[1]}").alias(S.CHILD)]
-        parts.append(df.select(*cols, "_path"))
-        blanks = [(f.path, f.blank_lines) for f in group if f.blank_lines > 0]
-        if blanks:
-            parts.append(_blank_records(spark, blanks))
-    out = _union_or_empty(spark, parts, [S.OPTION_NUMBER, S.CHILD])
+    columns; all rows kept (duplicates too), blanks become NULL and blank
+    lines are empty records."""
+    files = located(landing_files(spark, paths, pipe_on_tie=True, glob=glob), CHILD_COLUMNS)
+    files = files.where(_present(CHILD_COLUMNS, every=True))       # P3: else file skipped
+    rows = _rows(data_lines(spark, paths, glob), files, CHILD_COLUMNS).drop("_pos")
+    lines = spark.read.option("pathGlobFilter", glob).text(_sources(spark, paths, glob))
+    blank = (lines.where(java_trim("value") == "").select(file_path_col().alias("_path"))
+             .join(splittable(files.select(F.col("path").alias("_path"))), "_path")
+             .select(*[F.lit(None).cast("string").alias(c) for c in CHILD_COLUMNS], "_path"))
+    out = rows.unionByName(blank)
     return out if with_source else out.drop("_path")
 
 
 # ------------------------------------------------------------------ C2
 
-def ingest_bom_config(spark: SparkSession, paths: str | list[str], with_source: bool = False,
+def ingest_bom_config(spark: SparkSession, paths: Paths, with_source: bool = False,
                       glob: str = CSV_GLOB) -> DataFrame:
     """(Engine_serial, design_config_2, build_year) as text from every
-    file whose header has the three required columns."""
-    parts = []
-    files = landing_files(spark, paths, glob=glob)
-    for group in group_by_dialect(files, complete=True).values():
-        fields = group[0].fields
-        idx = resolve_config_columns(fields)
-        if idx is None:
-            continue                                  # P3: file skipped
-        df = read_group(spark, group, len(fields), paths, glob)
-        cols = [clean_field(f"_c{idx[c]}").alias(c) for c in
-                (S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR)]
-        parts.append(df.select(*cols, "_path"))
-    out = _union_or_empty(spark, parts, [S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR])
+    file whose header, its first line that is not blank, has the three
+    required columns."""
+    files = located(landing_files(spark, paths, glob=glob, skip_blank=True), CONFIG_COLUMNS)
+    files = files.where(_present(CONFIG_COLUMNS, every=True))      # P3: else file skipped
+    rows = _rows(data_lines(spark, paths, glob), files, CONFIG_COLUMNS)
+    out = rows.select(S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR, "_path")
     return out if with_source else out.drop("_path")
 
 
 # ------------------------------------------------------------------ C3
 
-def _option_rows(spark: SparkSession, files: list[LandingFile], source=None,
-                 glob: str = CSV_GLOB, complete: bool = False) -> DataFrame | None:
-    parts = []
-    for group in group_by_dialect(files, complete).values():
-        fields = group[0].fields
-        idx = resolve_option_columns(fields)
-        if not idx:
-            continue                                  # no kept column: skipped
-        df = read_group(spark, group, len(fields), source, glob)
-        cols = [(clean_field(f"_c{idx[c]}") if c in idx else F.lit(None).cast("string")).alias(c)
-                for c in S.OPTION_KEEP]
-        parts.append(df.select(*cols, "_path", "_pos"))
-    if not parts:
-        return None
-    rows = union_all(parts)
-    # P5: drop rows whose kept fields are all empty
-    return rows.na.drop(how="all", subset=S.OPTION_KEEP)
-
-
-def file_periods(spark: SparkSession, files: list[LandingFile], source=None,
+def _option_rows(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """Rows of the files with any kept column; P5: less those without a value."""
+    files = files.where(_present(OPTION_COLUMNS, every=False))
+    return _rows(lines, files, OPTION_COLUMNS).na.drop(how="all", subset=S.OPTION_KEEP)
+
+
+def option_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
+    return located(landing_files(spark, paths, glob=glob), OPTION_COLUMNS)
+
+
+def file_periods(spark: SparkSession, files: DataFrame, source: Paths,
                  glob: str = CSV_GLOB) -> DataFrame:
-    """(_path, year, month, period) per file: F6/F7 on the name, F8 from data.
-
-    The per-file table has one row per listed file.  Only files whose name
-    lacks a year are read again, and only those files (pruned at listing),
-    to find their first row, in file order, whose build_year_2 holds a year."""
-    meta = spark.createDataFrame([(f.path, f.name) for f in files], "_path string, file_name string")
-    meta = meta.select("_path", "file_name", year_from_name("file_name").alias("_ny"),
-                       month_from_name("file_name").alias("month"))
-    no_year = [f for f in files if year_from_name_py(f.name) is None]
-    fallback_rows = _option_rows(spark, no_year, source, glob) if no_year else None
-    if fallback_rows is not None:
-        fallback = (fallback_rows
-                    .select("_path", "_pos", year_from_text("build_year_2").alias("_dy"))
-                    .where(F.col("_dy").isNotNull())
-                    .groupBy("_path").agg(F.min_by("_dy", "_pos").alias("_dy")))
-        meta = meta.join(fallback, "_path", "left")
-        year = F.coalesce(F.col("_ny"), F.col("_dy"))
-    else:
-        year = F.col("_ny")
-    return meta.select("_path", "file_name", year.alias("year"), "month",
-                       period_of(year, F.col("month")).alias("period"))
-
-
-def year_from_name_py(name: str) -> str | None:
-    import re
-    m = re.search(r"(19|20)\d{2}", name)
-    return m.group(0) if m else None
-
-
-# Size bound for broadcasting the per-file period table: a row is a path, a
-# file name and a period (a few hundred bytes), so 100k files stay in the
-# tens of megabytes.
-PERIOD_BROADCAST_MAX_FILES = 100_000
-
-
-def ingest_bom_option(spark: SparkSession, paths: str | list[str], with_source: bool = False,
+    """(_path, file_name, year, month, period) per file: F6/F7 on the name, F8
+    from data.  Only files whose name lacks a year are read for the latter (a
+    predicate on the path, which prunes at listing), to find their first row,
+    in file order, whose build_year_2 holds a year."""
+    no_year = year_from_name(base_of(F.col("_path"))).isNull()
+    rows = _option_rows(data_lines(spark, source, glob).where(no_year), files)
+    data_year = (rows.select("_path", "_pos", year_from_text("build_year_2").alias("_dy"))
+                 .where(F.col("_dy").isNotNull())
+                 .groupBy("_path").agg(F.min_by("_dy", "_pos").alias("_dy")))
+    year = F.coalesce(year_from_name("file_name"), F.col("_dy"))
+    return (files.select(F.col("path").alias("_path"), "file_name").join(data_year, "_path", "left")
+            .withColumns({"year": year, "month": month_from_name("file_name")})
+            .select("_path", "file_name", "year", "month",
+                    period_of(F.col("year"), F.col("month")).alias("period")))
+
+
+def ingest_bom_option(spark: SparkSession, paths: Paths, with_source: bool = False,
                       glob: str = CSV_GLOB, with_period: bool = True) -> DataFrame:
     """The five kept option columns plus the half-year ``period`` of the
     file each row came from (``YYYY_01`` = Jan-Jun, ``YYYY_02`` = Jul-Dec).
 
-    ``with_period=False`` gives the same rows without the period: the
-    per-file period table (and the re-read of files whose name lacks a year)
-    is then not built at all, which dropping the column afterwards would not
-    achieve (Catalyst keeps an inner join even when none of its columns are
-    used).
-
-    The period table has one row per listed file, so its size is known on
-    the driver before any job runs: it is broadcast when the drop holds at
-    most ``PERIOD_BROADCAST_MAX_FILES`` files, and otherwise joined like any
-    other table (sort-merge, or AQE's runtime broadcast if it measures small)."""
-    files = landing_files(spark, paths, glob=glob)
-    rows = _option_rows(spark, files, paths, glob, complete=True)
-    if rows is None:
-        empty = spark.createDataFrame([], S.BOM_OPTION)
-        return empty.withColumn("period", F.lit(None).cast("string")) if with_period else empty
+    The period table has one row per file and is written once, so Spark
+    checks its size before it broadcasts it; ``with_period=False`` gives the
+    same rows without the period, which is then not computed at all."""
+    files = option_files(spark, paths, glob)
+    lines = data_lines(spark, paths, glob)
+    rows = _option_rows(lines, files)
+    source = ["file_name"] if with_source else []
     if not with_period:
-        name = F.regexp_extract(F.col("_path"), r"([^/]*)$", 1).alias("file_name")
-        return rows.select(*S.OPTION_KEEP, *([name] if with_source else []))
-    periods = file_periods(spark, files, paths, glob).select("_path", "period", "file_name")
-    if len(files) <= PERIOD_BROADCAST_MAX_FILES:
-        periods = F.broadcast(periods)
-    else:
-        # one row per file on the right; a file holding a large share of
-        # the rows is split by AQE's skew join
-        periods = splittable(periods)
-    out = rows.join(periods, "_path", "inner")
-    cols = S.OPTION_KEEP + ["period"] + (["file_name"] if with_source else [])
-    return out.select(*cols)
+        name = [base_of(F.col("_path")).alias("file_name")] if with_source else []
+        return rows.select(*S.OPTION_KEEP, *name)
+    from ..sinks import checkpoint_table
+    periods = checkpoint_table(file_periods(spark, files, paths, glob), "file-periods")
+    out = rows.join(splittable(periods.select("_path", "period", "file_name")), "_path")
+    return out.select(*S.OPTION_KEEP, "period", *source)
 
 
 def ingest_counts(df: DataFrame, by: str | list[str]) -> DataFrame:
     """A5: records per file or per period group."""
     return df.groupBy(by).agg(F.count(F.lit(1)).alias("records"))
-
-
-# Blank-line records are generated in ranges of at most this many rows, one
-# range per task, so a file with very many blank lines is not one task's work.
-BLANK_RANGE_ROWS = 1 << 20
-
-
-def _blank_records(spark: SparkSession, blanks: list[tuple[str, int]]) -> DataFrame:
-    """Blank lines of option-child files are kept as empty records (the
-    CSV reader skips them): one (NULL, NULL) row per blank line, generated
-    from the per-file counts of the header pass.  The counts are cut into
-    ranges on the driver (a handful of rows per file) and every range is
-    expanded by its own task."""
-    ranges = [(path, lo, min(lo + BLANK_RANGE_ROWS, n))
-              for path, n in blanks for lo in range(0, n, BLANK_RANGE_ROWS)]
-    parts = spark.createDataFrame(ranges, "_path string, lo long, hi long").repartition(len(ranges))
-    return parts.select(F.lit(None).cast("string").alias(S.OPTION_NUMBER),
-                        F.lit(None).cast("string").alias(S.CHILD), "_path",
-                        F.explode(F.sequence(F.col("lo") + 1, F.col("hi"))).alias("_i")) \
-                .drop("_i")
-
-
-def _union_or_empty(spark: SparkSession, parts: list[DataFrame], cols: list[str]) -> DataFrame:
-    if parts:
-        return union_all(parts)
-    schema = ", ".join(f"`{c}` string" for c in cols + ["_path"])
-    return spark.createDataFrame([], schema)

@@ -1,32 +1,34 @@
 """Landing-folder readers (S1-S6): file listing, per-file delimiter
-detection, dialect-grouped CSV scans, lenient and typed CSV reads.
+detection, one line scan for all dialects, lenient and typed CSV reads.
 
 How a mixed folder is read
 --------------------------
-1. *Header pass* - one distributed text scan keeps, per file, the first line
-   (``min_by(value, position)`` over the first block of each file).  The
-   result has one row per file, so it is bounded by the file listing the
-   driver already holds; it is collected.
-2. Files are grouped by (delimiter, header line); each group is read with a
-   single ``spark.read.csv`` over all its paths (never one job per file).
-3. Every group is projected onto the target columns by name and the groups
-   are unioned by name, so files of one folder may order, case or omit
-   columns differently.
-
-Each data row keeps ``_path`` (its file) and ``_pos`` (block start, row id)
-so that "first row of a file" questions stay answerable after the scan.
+1. *Header pass* - tasks read the first line of every listed file (a bounded
+   number of bytes) and Spark derives delimiter and column names from it.
+   The result, one row per file, is written once as a table.
+2. *Line scan* - the folder is read once, as lines, whatever its files'
+   dialects; each file's header line is left out by the reader.
+3. The lines are joined with the file table on their path (broadcast if
+   Spark's size check of that table allows it, otherwise a join in which
+   AQE splits a file holding most lines) and split by their file's rule.
+
+Each row keeps ``_path`` (its file) and ``_pos`` (block start, row id) so
+that "first row of a file" questions stay answerable after the scan.
 """
 
 from __future__ import annotations
 
+import fnmatch
 import posixpath
-from dataclasses import dataclass
+import re
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import clean_field, count_char, in_values, java_trim, strip_bom
+from ..functions.text import blank_to_null, count_char, java_trim, strip_bom
+from ..operators.joins import splittable
+from ..sinks import checkpoint_table
 
 CSV_GLOB = "*.[cC][sS][vV]"
 
@@ -35,43 +37,52 @@ CSV_GLOB = "*.[cC][sS][vV]"
 # report.  '+' is protected first because URL decoding would turn it into a
 # space.  A filter on this expression still prunes files at listing time.
 FILE_PATH_SQL = "try_url_decode(replace(_metadata.file_path, '+', '%2B'))"
+#: A line never holds a line break, so it can stand for an unquoted delimiter.
+_BREAK = "\n"
+#: Separator of the line scan: a line is one field.
+_NO_SEPARATOR = "\u0001\u0002\u0003\u0002\u0001"
+
+Paths = str | list[str]
 
 
 def file_path_col() -> Column:
     return F.expr(FILE_PATH_SQL)
 
 
-@dataclass(frozen=True)
-class LandingFile:
-    path: str          # decoded path (as listings report it)
-    name: str          # decoded base name
-    header: str        # first line, byte-order mark removed
-    delimiter: str     # '|' or ','
-    blank_lines: int = 0   # data lines that are empty after trimming
+def base_of(path: Column | str) -> Column:
+    return F.regexp_extract(path, r"([^/]*)$", 1)
 
-    @property
-    def read_path(self) -> str:
-        return self.path
 
-    @property
-    def fields(self) -> list[str]:
-        return split_quoted(self.header, self.delimiter)
+def literal_path(path: str) -> str:
+    """A path that the readers, which expand glob patterns, take literally."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
-def split_quoted(line: str, delimiter: str) -> list[str]:
-    """Quote-toggling split of one header line: ``"`` switches quoting and is
-    dropped, a delimiter inside quotes is kept."""
-    fields, cur, quoted = [], [], False
-    for ch in line:
-        if ch == '"':
-            quoted = not quoted
-        elif ch == delimiter and not quoted:
-            fields.append("".join(cur))
-            cur = []
-        else:
-            cur.append(ch)
-    fields.append("".join(cur))
-    return fields
+def _sources(spark: SparkSession, paths: Paths, glob: str) -> list[str]:
+    """What to hand to a reader: a folder (or pattern) as it is, the files of a
+    list literally.  Spark's readers leave out names that begin with ``_``
+    or ``.``; a landing file of such a name is refused, not skipped."""
+    if isinstance(paths, list):
+        hidden = [p for p in paths if posixpath.basename(p)[:1] in ("_", ".")]
+    else:
+        hadoop = spark._jvm.org.apache.hadoop.fs
+        at = hadoop.Path(f"{paths.rstrip('/')}/[_.]*")
+        found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
+        hidden = [s.getPath().getName() for s in found if s.isFile()]
+        hidden = [name for name in hidden if fnmatch.fnmatchcase(name, glob)]
+    if hidden:
+        raise ValueError(f"landing files whose names begin with '_' or '.' cannot be read: "
+                         f"{', '.join(sorted(hidden)[:20])}")
+    return [literal_path(p) for p in paths] if isinstance(paths, list) else [paths]
+
+
+def quote_split(line: Column, delimiter: Column) -> Column:
+    """S3: fields of a line.  A double quote anywhere switches quoting and is
+    dropped; a delimiter inside quotes belongs to its field."""
+    plain = F.replace(line, delimiter, F.lit(_BREAK))
+    quoted = F.array_join(F.transform(F.split(line, '"', -1), lambda part, i: F.when(
+        i % 2 == 0, F.replace(part, delimiter, F.lit(_BREAK))).otherwise(part)), "")
+    return F.split(F.when(F.contains(line, F.lit('"')), quoted).otherwise(plain), _BREAK, -1)
 
 
 def delimiter_of(header: Column, pipe_on_tie: bool = False) -> Column:
@@ -82,157 +93,102 @@ def delimiter_of(header: Column, pipe_on_tie: bool = False) -> Column:
     return F.when(cond, F.lit("|")).otherwise(F.lit(","))
 
 
-def list_files(spark: SparkSession, paths: str | list[str], glob: str = CSV_GLOB) -> DataFrame:
+def list_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
     """Regular ``*.csv`` files (any case); content is never read."""
     return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .load(paths if isinstance(paths, list) else [paths])
-            .select("path", "length", "modificationTime"))
-
-
-def _local_listing(spark: SparkSession, paths: str | list[str]) -> bool:
-    default_fs = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
-    for p in (paths if isinstance(paths, list) else [paths]):
-        scheme = p.split(":", 1)[0] if ":" in p.split("/", 1)[0] else ""
-        if scheme == "file" or (scheme == "" and default_fs.startswith("file:")):
-            continue
-        return False
-    return True
-
-
-def first_lines(spark: SparkSession, paths: str | list[str], glob: str = CSV_GLOB,
-                count_blank: bool = False) -> DataFrame:
-    """Header pass: (path, header, blank_lines) for every non-empty file.
-
-    On a local / shared POSIX filesystem the tasks read only the first line
-    of each listed file.  Otherwise, or when blank lines must be counted
-    (option-child files keep them as empty records), one text scan is
-    aggregated per file with partial aggregation: the header is the line at
-    the smallest (split start, row id) position."""
-    if not count_blank and _local_listing(spark, paths):
-        from .first_line import header_batches
-        listing = list_files(spark, paths, glob).select("path")
-        return listing.mapInPandas(header_batches, "path string, header string, blank_lines long")
-    reader = spark.read.option("pathGlobFilter", glob)
-    lines = reader.text(paths if isinstance(paths, list) else [paths])
+            .load(_sources(spark, paths, glob)).select("path", "length", "modificationTime"))
+
+
+def first_lines(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB,
+                skip_blank: bool = False) -> DataFrame:
+    """Header pass: (path, header) for every non-empty file; with
+    ``skip_blank`` the header is the first line that is not blank.
+
+    Tasks read the files' first bytes.  Only for a file system that Python
+    cannot open is a text scan aggregated per file instead: the line at the
+    smallest (split start, row id) position."""
+    from .first_line import header_batches, opens
+    listing = list_files(spark, paths, glob).select("path")
+    if opens(paths[0] if isinstance(paths, list) and paths else str(paths or "/")):
+        return listing.mapInPandas(header_batches(skip_blank), "path string, header string")
+    lines = spark.read.option("pathGlobFilter", glob).text(_sources(spark, paths, glob))
     pos = F.struct(F.col("_metadata.file_block_start").alias("b"),
                    F.monotonically_increasing_id().alias("i"))
-    first = (lines
-             .select(F.col("value"), file_path_col().alias("path"), pos.alias("_pos"))
-             .groupBy("path")
-             .agg(F.min_by("value", "_pos").alias("header"),
-                  F.count_if(java_trim(F.col("value")) == "").alias("blank_lines")))
-    return first.select("path", strip_bom(F.col("header")).alias("header"), "blank_lines")
-
-
-def detect_delimiters(spark: SparkSession, paths: str | list[str], pipe_on_tie: bool = False,
+    lines = lines.select("value", file_path_col().alias("path"), pos.alias("_pos"))
+    if skip_blank:
+        lines = lines.where(java_trim("value") != "")
+    return lines.groupBy("path").agg(strip_bom(F.min_by("value", "_pos")).alias("header"))
+
+
+def landing_files(spark: SparkSession, paths: Paths, pipe_on_tie: bool = False,
+                  glob: str = CSV_GLOB, skip_blank: bool = False) -> DataFrame:
+    """The file table: (path, file_name, header, delimiter, names), one row per
+    non-empty file, written once.  Names are trimmed as Java trims."""
+    delimiter = delimiter_of(F.col("header"), pipe_on_tie)
+    files = (first_lines(spark, paths, glob, skip_blank)
+             .select("path", base_of("path").alias("file_name"), "header",
+                     delimiter.alias("delimiter"))
+             .withColumn("names", F.transform(
+                 quote_split(F.col("header"), F.col("delimiter")), java_trim)))
+    return checkpoint_table(files, "landing-files")
+
+
+def detect_delimiters(spark: SparkSession, paths: Paths, pipe_on_tie: bool = False,
                       glob: str = CSV_GLOB) -> DataFrame:
     """S2 as a DataFrame: (path, file_name, header, delimiter), one row per file."""
-    fl = first_lines(spark, paths, glob)
-    name = F.regexp_extract("path", r"([^/]*)$", 1)
-    return fl.select("path", name.alias("file_name"), "header",
-                     delimiter_of(F.col("header"), pipe_on_tie).alias("delimiter"))
-
-
-def landing_files(spark: SparkSession, paths: str | list[str], pipe_on_tie: bool = False,
-                  glob: str = CSV_GLOB, count_blank: bool = False) -> list[LandingFile]:
-    """Collect the per-file header table (one small row per file)."""
-    rows = first_lines(spark, paths, glob, count_blank).collect()
-    out = []
-    for r in rows:
-        header = r["header"] or ""
-        pipes, commas = header.count("|"), header.count(",")
-        delim = "|" if (pipes >= commas if pipe_on_tie else pipes > commas) else ","
-        blanks = int(r["blank_lines"] or 0) - (1 if header.strip() == "" else 0)
-        out.append(LandingFile(r["path"], posixpath.basename(r["path"]), header, delim,
-                               max(blanks, 0)))
-    return sorted(out, key=lambda f: f.path)
-
-
-def group_by_dialect(files: list[LandingFile],
-                     complete: bool = False) -> dict[tuple[str, str], list[LandingFile]]:
-    """Files by (delimiter, header).  Every group is later scanned with a
-    filter on its own paths, even when one group holds the whole listing, so
-    a file that lands after the header pass is never read under another
-    file's header (``complete`` is accepted for call-site clarity)."""
-    groups: dict[tuple[str, str], list[LandingFile]] = {}
-    for f in files:
-        groups.setdefault((f.delimiter, f.header), []).append(f)
-    return groups
-
-
-# Above this many files a dialect group is read from its explicit path list
-# rather than pruned from the folder scan by a path filter.
-PATH_FILTER_MAX_FILES = 20_000
-
-
-def read_group(spark: SparkSession, files: list[LandingFile], width: int,
-               source: str | list[str] | None = None, glob: str = CSV_GLOB) -> DataFrame:
-    """S3: one CSV scan for files sharing delimiter and header.
-
-    Columns are positional ``_c0.._c{width-1}`` strings (never inferred, so
-    serials keep leading zeros).  PERMISSIVE mode pads short rows with NULL
-    and ignores extra fields; blank lines are skipped; quotes are handled by
-    the parser and any left over are removed by ``clean_field``."""
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType(), True) for i in range(width)])
-    delim = files[0].delimiter
-    reader = (spark.read.schema(schema)
-              .option("header", True).option("sep", delim)
-              .option("quote", '"').option("escape", '"')
-              .option("mode", "PERMISSIVE").option("multiLine", False))
-    if isinstance(source, str) and len(files) <= PATH_FILTER_MAX_FILES:
-        # Scan the folder once and prune to this group's files with a filter
-        # on the file-path metadata column (applied at file listing, before
-        # any split is read) - avoids a listing job over thousands of paths.
-        # Larger groups pass their paths to the reader instead: the filter's
-        # IN list would grow with the group (driver parse time, task size),
-        # while Spark lists a long explicit path list with a distributed job.
-        df = (reader.option("pathGlobFilter", glob).csv(source)
-              .where(in_values(FILE_PATH_SQL, [f.path for f in files])))
-    else:
-        df = reader.csv([f.read_path for f in files])
-    return df.withColumn("_path", file_path_col()) \
-             .withColumn("_pos", F.struct(F.col("_metadata.file_block_start").alias("b"),
-                                          F.monotonically_increasing_id().alias("i")))
+    return landing_files(spark, paths, pipe_on_tie, glob).drop("names")
 
 
-def read_delimited(spark: SparkSession, folder: str | list[str], lower_names: bool = True,
+def data_lines(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
+    """(value, _path, _pos) of every line that is not blank, less each file's
+    header (its first line that is not blank)."""
+    lines = (spark.read.schema("value string").option("header", True)
+             .option("sep", _NO_SEPARATOR).option("quote", "").option("pathGlobFilter", glob)
+             .csv(_sources(spark, paths, glob)))
+    return lines.select("value", file_path_col().alias("_path"), F.struct(
+        F.col("_metadata.file_block_start").alias("b"),
+        F.monotonically_increasing_id().alias("i")).alias("_pos"))
+
+
+def split_lines(lines: DataFrame, files: DataFrame) -> DataFrame:
+    """``lines`` of the files in ``files`` (path, delimiter, ...) with their
+    ``_f`` fields; lines of other files are left out."""
+    joined = lines.join(splittable(files.withColumnRenamed("path", "_path")), "_path")
+    return joined.withColumn("_f", quote_split(F.col("value"), F.col("delimiter"))).drop(
+        "value", "delimiter")
+
+
+def read_delimited(spark: SparkSession, folder: Paths, lower_names: bool = True,
                    glob: str = CSV_GLOB) -> DataFrame:
     """S3/S4 on a whole folder: every file with its own delimiter, columns
     named by each file's (trimmed, lower-cased) header, aligned by name;
     values are text with quotes removed, trimmed, blank -> NULL."""
-    files = landing_files(spark, folder, glob=glob)
-    parts = []
-    for (_, _), group in group_by_dialect(files, complete=True).items():
-        names = [n.strip() for n in group[0].fields]
-        if lower_names:
-            names = [n.lower() for n in names]
-        df = read_group(spark, group, len(names), folder, glob)
-        seen: dict[str, int] = {}
-        for i, n in enumerate(names):      # duplicate names: last one wins
-            seen[n or f"_c{i}"] = i
-        parts.append(df.select(*[clean_field(f"_c{i}").alias(n) for n, i in seen.items()],
-                               "_path", "_pos"))
-    return union_all(parts)
-
-
-def union_all(parts: list[DataFrame]) -> DataFrame:
-    """UNION ALL by name, NULL-filling columns a part lacks."""
-    if not parts:
+    files = landing_files(spark, folder, glob=glob, skip_blank=True)
+    if lower_names:
+        files = files.withColumn("names", F.transform("names", F.lower))
+    files = files.withColumn("names", F.transform("names", lambda n, i: F.when(
+        n == "", F.concat(F.lit("_c"), i.cast("string"))).otherwise(n)))
+    # the result's columns: as many rows as there are distinct column names
+    columns = [r["n"] for r in files.select(F.posexplode("names").alias("i", "n"))
+               .groupBy("n").agg(F.min("i").alias("i")).orderBy("i", "n").collect()]
+    if not columns:
         raise ValueError("no readable files")
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    rows = split_lines(data_lines(spark, folder, glob), files.select("path", "delimiter", "names"))
+
+    def field(name: str) -> Column:       # duplicate names: last one wins
+        behind = F.array_position(F.reverse("names"), F.lit(name))
+        return F.when(behind > 0, F.get("_f", F.size("names") - behind.cast("int")))
+    return rows.select(*[blank_to_null(field(n)).alias(n) for n in columns], "_path", "_pos")
 
 
-def read_typed_csv(spark: SparkSession, paths: list[str], schema: T.StructType,
+def read_typed_csv(spark: SparkSession, paths: Paths, schema: T.StructType,
                    header: bool = True, sep: str = ",") -> DataFrame:
     """A list of CSV files as one table with stated types."""
     return (spark.read.schema(schema).option("header", header).option("sep", sep)
             .option("quote", '"').option("escape", '"').csv(paths))
 
 
-def read_lenient_csv(spark: SparkSession, paths: str | list[str], columns: list[str],
+def read_lenient_csv(spark: SparkSession, paths: Paths, columns: list[str],
                      sep: str = ",") -> DataFrame:
     """All-VARCHAR lenient read (DuckDB ``all_varchar, ignore_errors``):
     rows with fewer fields than the header are dropped, longer rows are

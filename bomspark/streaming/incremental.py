@@ -20,7 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.landing import CSV_GLOB
+from ..sinks import table_exists
+from ..sources.landing import CSV_GLOB, _sources
 
 BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("path", T.StringType(), False),
@@ -29,6 +30,9 @@ BINARY_FILE_SCHEMA = T.StructType([
     T.StructField("content", T.BinaryType(), True),
 ])
 
+#: Older than any landing drop: every file not in the ledger is ingested.
+MAX_FILE_AGE_DAYS = 36_500
+
 Normalizer = Callable[[SparkSession, list[str]], DataFrame]
 
 
@@ -38,9 +42,13 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, table_dir: str,
     """Ingest every landing file not seen before; returns the number of
     micro-batches that ran.  Rows land in ``table_dir`` partitioned by
     ``batch_id``."""
+    _sources(spark, landing_dir, glob)      # names that readers leave out are refused
     ledger = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
               .option("pathGlobFilter", glob)
               .option("maxFilesPerTrigger", max_files_per_trigger)
+              # a file may arrive long after newer ones: without this the
+              # source drops what is a week older than the newest it has seen
+              .option("maxFileAge", f"{MAX_FILE_AGE_DAYS}d")
               .load(landing_dir)
               .select("path"))                # content column pruned: never read
 
@@ -66,7 +74,6 @@ def incremental_ingest(spark: SparkSession, landing_dir: str, table_dir: str,
 
 def read_ingested(spark: SparkSession, table_dir: str, schema: T.StructType) -> DataFrame:
     """The ingested table (all batches), or an empty frame before the first run."""
-    try:
-        return spark.read.parquet(table_dir)
-    except Exception:  # noqa: BLE001 - nothing ingested yet
+    if not table_exists(spark, table_dir):
         return spark.createDataFrame([], schema)
+    return spark.read.parquet(table_dir)
