@@ -63,11 +63,6 @@ def year_int(c: Column | str, to: str = "int") -> Column:
     return F.round(_c(c).try_cast("double")).try_cast(to)
 
 
-def to_text(c: Column | str) -> Column:
-    """``CAST(x AS VARCHAR)``."""
-    return _c(c).cast("string")
-
-
 def count_char(c: Column | str, ch: str) -> Column:
     """Occurrences of a single character in a string column."""
     col = _c(c)
@@ -79,12 +74,6 @@ def digits_only(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), r"\D", "")
 
 
-def base_name(c: Column | str) -> Column:
-    """File name without folder and without the last extension."""
-    name = F.regexp_extract(_c(c), r"([^/\\]*)$", 1)
-    return F.regexp_replace(name, r"\.[^.]*$", "")
-
-
 def url_decode_path(c: Column | str) -> Column:
     """``_metadata.file_name`` / ``file_path`` are percent-encoded; decode them."""
     return F.try_url_decode(_c(c))

@@ -21,6 +21,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 CHUNK = 1 << 16
 #: A header longer than this is an error, not a reason to load the file.
 MAX_HEADER = 1 << 20
+_TOO_LONG = "the first line of {} is longer than {} bytes"
 
 
 def _store(uri: str) -> tuple[pafs.FileSystem, str]:
@@ -53,6 +54,8 @@ def read_first_line(uri: str, skip_blank: bool = False) -> str | None:
             ends = [i for i in (held.find(b"\n"), held.find(b"\r")) if i >= 0]
             if ends or at_end:
                 cut = min(ends, default=len(held))
+                if cut > MAX_HEADER:
+                    raise ValueError(_TOO_LONG.format(uri, MAX_HEADER))
                 line = held[:cut].decode("utf-8", errors="replace").lstrip("﻿")
                 blank = not line.strip("".join(map(chr, range(33))))
                 if not held or not (skip_blank and blank):
@@ -62,7 +65,7 @@ def read_first_line(uri: str, skip_blank: bool = False) -> str | None:
                     return None
                 continue
             if len(held) > MAX_HEADER:
-                raise ValueError(f"the first line of {uri} is longer than {MAX_HEADER} bytes")
+                raise ValueError(_TOO_LONG.format(uri, MAX_HEADER))
             more = fh.read(CHUNK)
             at_end = not more
             held += more

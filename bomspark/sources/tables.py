@@ -55,9 +55,3 @@ def child_part_option(spark: SparkSession, sf_dir: str) -> DataFrame:
     by_type = p.select(opt.alias(S.OPTION_NUMBER),
                        F.concat(F.col("p_type"), F.lit("-"), size).alias(S.CHILD))
     return by_brand.unionByName(by_type)
-
-
-def landing_name_of_order(date_col: str = "o_orderdate"):
-    """Landing file name of an option drop: ``BOM_ESN_Option_yyyyMMddHHmm.csv``."""
-    return F.concat(F.lit("BOM_ESN_Option_"), F.date_format(F.col(date_col), "yyyyMMddHHmm"),
-                    F.lit(".csv"))

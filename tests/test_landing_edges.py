@@ -2,6 +2,7 @@
 
 import os
 
+import pytest
 from conftest import write_file
 
 from bomspark.sources import ingest as IG
@@ -23,9 +24,10 @@ def test_delimiter_majority_and_ties(spark, tmpdir_path):
     write_file(tmpdir_path, "b.csv", "x|y|z,w\n1|2|3,4\n")          # 2 pipes > 1 comma
     write_file(tmpdir_path, "c.csv", "x|y,z\n1|2,3\n")              # tie
     write_file(tmpdir_path, "d.csv", "single\n1\n")                 # one column: tie 0/0
-    got = {f.name: f.delimiter for f in LD.landing_files(spark, tmpdir_path)}
+    got = dict(rows(LD.landing_files(spark, tmpdir_path), "file_name", "delimiter"))
     assert got == {"a.csv": ",", "b.csv": "|", "c.csv": ",", "d.csv": ","}
-    child = {f.name: f.delimiter for f in LD.landing_files(spark, tmpdir_path, pipe_on_tie=True)}
+    child = dict(rows(LD.landing_files(spark, tmpdir_path, pipe_on_tie=True),
+                      "file_name", "delimiter"))
     assert child == {"a.csv": ",", "b.csv": "|", "c.csv": "|", "d.csv": "|"}
     df = LD.detect_delimiters(spark, tmpdir_path).select("file_name", "delimiter")
     assert dict(rows(df, "file_name", "delimiter")) == got
@@ -231,10 +233,8 @@ def test_empty_folders_give_empty_typed_frames(spark, tmpdir_path):
         assert IG.ingest_option_child(spark, folder).columns == [S.OPTION_NUMBER, S.CHILD]
 
 
-def test_period_table_beyond_the_broadcast_bound_is_joined(spark, tmpdir_path, monkeypatch):
-    """Above the file-count bound the period table is not force-broadcast;
-    rows and periods are the same either way."""
-    from bomspark.sources import ingest as IG
+def test_period_table_too_large_to_broadcast_is_joined(spark, tmpdir_path):
+    """Spark's own size check decides; rows and periods are the same either way."""
     write_file(tmpdir_path, "BOM_ESN_Option_202607010438.csv",
                "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|"
                "build_upfit_date\nDC1|7|00123|OPT9|2026\n")
@@ -243,7 +243,6 @@ def test_period_table_beyond_the_broadcast_bound_is_joined(spark, tmpdir_path, m
                "build_upfit_date\nDC2,8,5,OPT1,2016\n")
     small = IG.ingest_bom_option(spark, tmpdir_path)
     assert "BroadcastExchange" in small._jdf.queryExecution().executedPlan().toString()
-    monkeypatch.setattr(IG, "PERIOD_BROADCAST_MAX_FILES", 1)
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -258,28 +257,118 @@ def test_period_table_beyond_the_broadcast_bound_is_joined(spark, tmpdir_path, m
     assert got == {("00123", "2026_02"), ("5", "2016_01")}
 
 
-def test_large_dialect_groups_read_from_their_path_lists(spark, tmpdir_path, monkeypatch):
-    """Above the file-count bound a group is read from its explicit path list
-    (no IN filter in the plan); rows, periods and odd file names (space,
-    percent, plus) come out the same as with the pruning filter."""
+def test_lists_of_oddly_named_files_read_as_their_folder_does(spark, tmpdir_path):
+    """Space, percent, plus and glob characters in names mean themselves."""
     hdr = "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|build_upfit_date\n"
     write_file(tmpdir_path, "BOM ESN Option 20201115.csv", hdr + "D|1|S1|O1|2020\n")
     write_file(tmpdir_path, "BOM_ESN_Option_20190301+1.csv", hdr + "D|2|S2|O2|2019\nD|3|S3|O3|\n")
     write_file(tmpdir_path, "opt_50%_2018_08.csv",
                "OPTION_ASSEMBLY_NUM,Engine_serial,DESIGN_CONFIGURATION\nO4,S4,D4\n")
     write_file(tmpdir_path, "x.csv", hdr + "D|5|S5|O5|n/a\nD|6|S6|O6|2017\n")
-    filtered = IG.ingest_bom_option(spark, tmpdir_path, with_source=True)
-    assert " IN (" in filtered._jdf.queryExecution().optimizedPlan().toString() or \
-        "INSET" in filtered._jdf.queryExecution().optimizedPlan().toString().upper()
-    want = sorted(filtered.collect())
-    monkeypatch.setattr(LD, "PATH_FILTER_MAX_FILES", 0)
-    listed = IG.ingest_bom_option(spark, tmpdir_path, with_source=True)
-    plan = listed._jdf.queryExecution().optimizedPlan().toString().upper()
-    assert "INSET" not in plan and " IN (" not in plan
-    assert sorted(listed.collect()) == want
+    write_file(tmpdir_path, "a[1]_2015.csv", hdr + "D|7|S7|O7|\n")
+    write_file(tmpdir_path, "a1_2014.csv", hdr + "D|8|S8|O8|\n")
+    write_file(tmpdir_path, "{a,b}*_2013.csv", hdr + "D|9|S9|O9|\n")
+    folder = IG.ingest_bom_option(spark, tmpdir_path, with_source=True)
+    key = lambda r: tuple("" if v is None else v for v in r)
+    want = sorted(folder.collect(), key=key)
+    paths = [r["path"] for r in LD.list_files(spark, tmpdir_path).collect()]
+    listed = IG.ingest_bom_option(spark, paths, with_source=True)
+    assert sorted(listed.collect(), key=key) == want
+    one = [p for p in paths if "[1]" in p]
+    assert rows(IG.ingest_bom_option(spark, one), "Engine_serial") == [("S7",)]
     assert {(r["file_name"], r["period"]) for r in want} == {
         ("BOM ESN Option 20201115.csv", "2020_02"), ("BOM_ESN_Option_20190301+1.csv", "2019_01"),
-        ("opt_50%_2018_08.csv", "2018_02"), ("x.csv", "2017_01")}
+        ("opt_50%_2018_08.csv", "2018_02"), ("x.csv", "2017_01"), ("a[1]_2015.csv", "2015_01"),
+        ("a1_2014.csv", "2014_01"), ("{a,b}*_2013.csv", "2013_01")}
+
+
+def test_names_that_readers_skip_are_refused(spark, tmpdir_path):
+    hdr = "engine_serial_num|design_config_num|build_year\n"
+    write_file(tmpdir_path, "a.csv", hdr + "1|D|2020\n")
+    write_file(tmpdir_path, "_SUCCESS", "")
+    write_file(tmpdir_path, ".a.csv.crc", "")
+    assert IG.ingest_bom_config(spark, tmpdir_path).count() == 1
+    write_file(tmpdir_path, "_b.csv", hdr + "2|D|2020\n")
+    write_file(tmpdir_path, ".c.CSV", hdr + "3|D|2020\n")
+    with pytest.raises(ValueError, match=r"\.c\.CSV, _b\.csv"):
+        IG.ingest_bom_config(spark, tmpdir_path)
+    with pytest.raises(ValueError, match="_b"):
+        IG.ingest_bom_config(spark, [f"{tmpdir_path}/_b.csv"])
+
+
+def test_quotes_switch_anywhere_in_a_field(spark, tmpdir_path):
+    hdr = "engine_serial_num,design_config_num,build_year\n"
+    write_file(tmpdir_path, "a.csv", hdr + 'ab"1,x"y,DC1,2020\n"q",D"",2"0"2"1\nun"closed,D,2\n'
+               '"",DC2,2022\nx\x01y,D\\3,"2,0"\n')
+    write_file(tmpdir_path, "b.csv", hdr.replace(",", "|") + 'p"|"q|"D|4"|2019\n')
+    got = rows(IG.ingest_bom_config(spark, tmpdir_path), *S.CONFIG_HEADERS.values())
+    assert got == sorted([("ab1,xy", "DC1", "2020"), ("q", "D", "2021"), ("unclosed,D,2", None, None),
+                          (None, "DC2", "2022"), ("x\x01y", "D\\3", "2,0"), ("p|q", "D|4", "2019")],
+                         key=lambda t: tuple("" if v is None else str(v) for v in t))
+
+
+def test_blank_lines_before_a_config_header(spark, tmpdir_path):
+    write_file(tmpdir_path, "a.csv", "\n \t\nengine_serial_num|design_config_num|build_year\n1|D|2020\n\n")
+    assert rows(IG.ingest_bom_config(spark, tmpdir_path), "Engine_serial") == [("1",)]
+
+
+def test_headers_are_trimmed_as_java_trims(spark, tmpdir_path):
+    write_file(tmpdir_path, "a.csv", "\x01engine_serial_num |design_config_num|build_year\n1|D|2020\n")
+    write_file(tmpdir_path, "b.csv", "\u00a0engine_serial_num|design_config_num|build_year\n2|D|2020\n")
+    assert rows(IG.ingest_bom_config(spark, tmpdir_path), "Engine_serial") == [("1",)]
+
+
+def test_a_header_beyond_the_bound_is_an_error(tmpdir_path, monkeypatch):
+    from bomspark.sources import first_line as FL
+    monkeypatch.setattr(FL, "MAX_HEADER", 10)
+    path = write_file(tmpdir_path, "a.csv", "x" * 100 + "\n")
+    with pytest.raises(ValueError, match="longer than 10"):
+        FL.read_first_line(path)
+    for text, plain, skipping in (("", None, None), ("a", "a", "a"), ("\n b\r\nc", "", " b"),
+                                  ("\ufeffh\n", "h", "h"), ("\r\n\r\n", "", None), ("\n\n \n", "", None)):
+        write_file(tmpdir_path, "b.csv", text)
+        at = f"{tmpdir_path}/b.csv"
+        assert (FL.read_first_line(at), FL.read_first_line(at, True)) == (plain, skipping)
+
+
+def test_incremental_takes_late_and_oddly_named_files(spark, tmpdir_path):
+    land = os.path.join(tmpdir_path, "landing")
+    hdr = "engine_serial_num|design_config_num|build_year\n"
+    table, ckpt = scratch_path(spark, "t-late"), scratch_path(spark, "t-late-ckpt")
+    write_file(land, "new.csv", hdr + "1|D|2020\n")
+    assert incremental_ingest(spark, land, table, ckpt, IG.ingest_bom_config) == 1
+    late = write_file(land, "late.csv", hdr + "2|D|2020\n")
+    os.utime(late, (os.path.getmtime(late) - 400 * 86400,) * 2)
+    write_file(land, "a[1].csv", hdr + "3|D|2020\n")
+    write_file(land, "a1.csv", hdr + "4|D|2020\n")
+    incremental_ingest(spark, land, table, ckpt, IG.ingest_bom_config, max_files_per_trigger=2)
+    out = read_ingested(spark, table, S.BOM_CONFIG)
+    assert rows(out, "Engine_serial") == [("1",), ("2",), ("3",), ("4",)]
+    write_file(land, "_x.csv", hdr + "5|D|2020\n")
+    with pytest.raises(ValueError, match="_x.csv"):
+        incremental_ingest(spark, land, table, ckpt, IG.ingest_bom_config)
+
+
+def test_read_ingested_hides_no_errors(spark, tmpdir_path):
+    assert read_ingested(spark, f"{tmpdir_path}/none", S.BOM_CONFIG).count() == 0
+    write_file(f"{tmpdir_path}/bad", "part-0.parquet", "not parquet")
+    with pytest.raises(Exception):
+        read_ingested(spark, f"{tmpdir_path}/bad", S.BOM_CONFIG).count()
+
+
+def test_append_to_a_csv_table(spark, tmpdir_path):
+    from bomspark.sinks import append_table
+    df = spark.createDataFrame([("1", "a,b"), ("2", None)], "k string, v string")
+    table = os.path.join(tmpdir_path, "csv")
+    assert append_table(spark, df, table, "csv") == "overwrite"
+    assert append_table(spark, df, table, "csv") == "append"
+    assert spark.read.option("header", True).csv(table).count() == 4
+    assert append_table(spark, df.select("v"), table, "csv") == "overwrite"
+    bad = os.path.join(tmpdir_path, "bad")
+    write_file(bad, "part-0.parquet", "not parquet")
+    with pytest.raises(Exception):
+        append_table(spark, df, bad)
+    assert os.path.exists(f"{bad}/part-0.parquet")
 
 
 def test_control_char_only_lines_are_blank_lines(spark, tmpdir_path):
@@ -309,16 +398,5 @@ def test_option_ingest_without_period_has_the_same_rows(spark, tmpdir_path):
     assert lean.columns == S.OPTION_KEEP + ["file_name"]
     key = lambda r: tuple("" if v is None else v for v in r)
     assert sorted(lean.collect(), key=key) == sorted(full.drop("period").collect(), key=key)
-    assert "Join" not in lean._jdf.queryExecution().optimizedPlan().toString()
-
-
-def test_blank_line_records_are_spread_over_ranges(spark, tmpdir_path, monkeypatch):
-    """Blank-line records come from fixed-size ranges, one task each; the
-    counts per file are exact whatever the range size."""
-    monkeypatch.setattr(IG, "BLANK_RANGE_ROWS", 2)
-    recs = IG._blank_records(spark, [("/a.csv", 5), ("/b.csv", 1), ("/c.csv", 4)])
-    assert recs.rdd.getNumPartitions() == 3 + 1 + 2
-    got = {r["_path"]: r["n"] for r in recs.groupBy("_path").count()
-           .withColumnRenamed("count", "n").collect()}
-    assert got == {"/a.csv": 5, "/b.csv": 1, "/c.csv": 4}
-    assert recs.where("Option_Number IS NOT NULL OR Child_Part_Number IS NOT NULL").count() == 0
+    # one join, with the file table: no period table
+    assert lean._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1

@@ -1,5 +1,6 @@
 """Operator semantics on small hand-made frames, and pipeline properties."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from bomspark import schemas as S
@@ -157,16 +158,53 @@ def test_checkpoint_dir_fallback_when_unset(spark, monkeypatch):
         spark.sparkContext.setCheckpointDir(before)
 
 
-def test_keyed_checkpoint_is_size_checked_and_exact(spark):
-    from bomspark.plans.workflow import KEYED_CHECKPOINT_BYTES, estimated_bytes
+def test_written_and_lazy_stages_are_equal(spark):
     opt, cfg, child = (TB.bom_option(spark, SF_SMALL), TB.bom_config(spark, SF_SMALL),
                        TB.child_part_option(spark, SF_SMALL))
-    assert 0 < estimated_bytes(opt) < KEYED_CHECKPOINT_BYTES      # small input: recomputed
-    lazy = run_workflow(opt, cfg, child, checkpoint_keyed=False).best_per_child
-    written = run_workflow(opt, cfg, child, checkpoint_keyed=True).best_per_child
+    lazy = run_workflow(opt, cfg, child, checkpoint=False).best_per_child
+    written = run_workflow(opt, cfg, child).best_per_child
     assert lazy.exceptAll(written).count() == 0 and written.exceptAll(lazy).count() == 0
 
 
+def test_no_local_checkpoint_folder_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from bomspark import session as SS
+    monkeypatch.setattr(SS, "_configured_checkpoint_dir", lambda s: None)
+    for master in ("spark://host:7077", "yarn", "k8s://x", "local-cluster[2,1,1024]"):
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            SS.ensure_checkpoint_dir(SimpleNamespace(sparkContext=SimpleNamespace(master=master)))
+
+
+def test_key_case_examples(spark):
+    from bomspark.operators.audit import key_case_examples
+    a = spark.createDataFrame([("Ab",), ("AB",), ("x",), ("Same",), (None,)], "k string")
+    b = spark.createDataFrame([("ab",), ("X",), ("Same",), ("same",)], "k string")
+    got = [tuple(r) for r in key_case_examples(a, b, "k").collect()]
+    assert got == [("AB", "ab"), ("x", "X")]
+
+
+def test_child_table_without_an_option_column_is_an_error(spark):
+    from bomspark.operators import require_columns, resolve_column
+    frame = spark.createDataFrame([("1", "2")], "a string, b string")
+    with pytest.raises(ValueError):
+        resolve_column(frame, S.JOIN_OPTION_SYNONYMS)
+    with pytest.raises(ValueError):
+        require_columns(frame, ["a", "c"])
+
+
+@pytest.mark.parametrize("name,keys", [
+    ("distinct_years", [(S.BUILD_YEAR, True)]),
+    ("ordered_export", [(S.BUILD_YEAR, True), (S.COUNT, True)]),
+    ("period_order", [("year_num", False), ("half_num", False)])])
+def test_ordered_results_are_in_order(spark, name, keys):
+    from bomspark.plans import registry
+    got = [tuple(r[k] for k, _ in keys) for r in registry.QUERIES[name](spark, SF_SMALL).collect()]
+    sign = [-1 if down else 1 for _, down in keys]
+    flat = [tuple(s * v for s, v in zip(sign, t)) for t in got]
+    assert flat == sorted(flat) and len(got) > 1
+
+
 def test_java_trim_matches_string_trim_on_edge_characters(spark):
     """Every char <= U+0020 is stripped at both ends and nothing else: not a
     no-break space, not a byte-order mark, not a space before a trailing

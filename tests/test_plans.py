@@ -2,10 +2,10 @@
 
 import pytest
 
-import __spark_entry__ as E
+from bomspark.plans import registry
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
+QUERIES = registry.QUERIES
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython"]
 
 
@@ -42,3 +42,29 @@ def test_core_stages_stay_in_the_jvm(spark):
                  "best_per_child", "ingest_bom_option", "ingest_bom_config"]:
         plan = plan_of(QUERIES[name](spark, SF_SMALL))
         assert "Python" not in plan and "ArrowEval" not in plan, name
+
+
+def scans(df):
+    return plan_of(df).split("== Initial Plan ==")[0].count("FileScan")
+
+
+def test_diagnostics_read_each_table_once(spark):
+    assert scans(QUERIES["key_overlap"](spark, SF_SMALL)) == 2
+    assert scans(QUERIES["key_case_examples"](spark, SF_SMALL)) == 2
+
+
+def test_landing_folder_is_scanned_once(spark):
+    plan = plan_of(QUERIES["ingest_bom_config"](spark, SF_SMALL))
+    assert plan.count("FileScan csv") == 1          # whatever the files' dialects
+    assert "IN (" not in plan
+
+
+def test_rollup_runs_the_serial_join_once(spark):
+    # keyed was written: the count and the join-back read that table, not lineitem
+    plan = plan_of(QUERIES["config_engine_count"](spark, SF_SMALL))
+    assert "lineitem" not in plan and "orders" not in plan
+
+
+def test_stage_audit_counts_each_stage_once(spark):
+    plan = plan_of(QUERIES["stage_audit"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
+    assert plan.count("Union") == 2 or plan.count("\n") < 400

@@ -208,7 +208,7 @@ def test_partitioned_write_groups_values_and_splits_a_hot_one(skew_spark, tmpdir
     assert skew_spark.read.parquet(tmpdir_path).count() == 90_000
 
 
-def test_hot_file_is_split_in_the_period_join(skew_spark, tmpdir_path, monkeypatch):
+def test_hot_file_is_split_in_the_period_join(skew_spark, tmpdir_path):
     """Above the broadcast bound, a landing file holding most of the rows is
     split across tasks when rows meet their file's period."""
     import os
@@ -224,7 +224,6 @@ def test_hot_file_is_split_in_the_period_join(skew_spark, tmpdir_path, monkeypat
     # table is itself a (sort-merge) join output, partitioned by path
     with open(os.path.join(tmpdir_path, "bom_option_extract.csv"), "w") as fh:
         fh.write(hdr + "".join(f"D|1|X{i}|O2|2018\n" for i in range(50)))
-    monkeypatch.setattr(IG, "PERIOD_BROADCAST_MAX_FILES", 1)
     # AQE splits a hot partition at map-output boundaries: the big file must
     # span several input splits, as a file that size would at scale
     skew_spark.conf.set("spark.sql.files.maxPartitionBytes", "256KB")
