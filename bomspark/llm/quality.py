@@ -102,7 +102,9 @@ def with_statistics(docs: DataFrame, text: Column) -> DataFrame:
         .otherwise(F.array().cast("array<bigint>")))
     h = F.col("__windows")
     return df.withColumns({
-        "n_words": F.size("__words").cast("long"),
+        # The partition's number times zero: Catalyst does not copy a column that depends
+        # on it, so a filter above (kept, say) never evaluates the statistics again.
+        "n_words": (F.size("__words") + F.spark_partition_id() * 0).cast("long"),
         "word_chars": F.length(F.array_join("__words", "")).cast("long"),
         "n_symbols": F.col("__symbols").cast("long"),
         "n_lines": F.size("__lines").cast("long"),
