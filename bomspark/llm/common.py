@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -33,6 +33,13 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def single_threaded_tasks(spark: SparkSession) -> None:
+    """Python workers started from now on use one thread each for linear algebra:
+    Spark runs a task per core, and small matrices only lose by more threads.
+    A setting made by the user stays."""
+    spark.sparkContext.environment.setdefault("OMP_NUM_THREADS", "1")
+
+
 def byte_texts(batch: pa.RecordBatch, column: str) -> list[bytes | None]:
     """A text column's values as UTF-8 bytes, without decoding them."""
     col = batch.column(batch.schema.get_field_index(column))

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pieces_of, stored
+from .common import pieces_of, single_threaded_tasks, stored
 from .graph import connected_components
 
 PIVOTS = 256
@@ -198,6 +198,7 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     components of their own.  Repeated rows are linked with each other.  A
     null id is never kept and names no component (null if no member has an id).
     Empty input gives no rows; other columns are ignored."""
+    single_threaded_tasks(vectors.sparkSession)
     src = vectors.select(F.col(id_col).alias("id"), F.col(vector_col).alias("vector"))
     src = src.withColumn("ok", usable(F.col("vector")))
     kind = src.schema["vector"].dataType.simpleString()

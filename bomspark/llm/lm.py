@@ -1,16 +1,16 @@
 """Language-model scoring of whole texts: a unigram base and a gated recurrent model.
 
 Counting.  Words of all training texts are counted, per partition and then in
-Spark.  The at most ``BROADCAST_WORDS`` most frequent ones go to the scoring
+Spark.  The at most ``broadcast_words`` most frequent ones go to the scoring
 tasks; the counts of all others are joined to the texts that hold them.
 
-Symbols.  The ``HEADS`` most frequent words are symbols of the recurrent model.
+Symbols.  The ``heads`` most frequent words are symbols of the recurrent model.
 Every other word, seen or not, belongs to one of ``GROUPS`` groups by its last
 bytes; the model predicts the group and the word's share in the group comes from the
 corpus counts, so every text has a proper probability.
 
-Training.  A bounded sample of training texts (``TRAINERS`` x ``ROUNDS`` x
-``TRAIN_TOKENS`` tokens) is dealt to ``TRAINERS`` tasks; after each round their
+Training.  A bounded sample of training texts (about ``trainers`` x ``rounds`` x
+``train_tokens`` tokens) is dealt to ``trainers`` tasks; after each round their
 weights are averaged.  Everything else covers all rows.
 """
 
@@ -29,18 +29,26 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, pieces_of, stored
+from .common import byte_texts, pieces_of, single_threaded_tasks, stored
 from .gru import Gru
 
 END = b""                 # no word is empty, so this is the end token's key
-BROADCAST_WORDS = 200_000
-HEADS, WIDTH, GROUPS, HIDDEN = 1024, 32, 64, 32
-TRAINERS, ROUNDS, TRAIN_TOKENS = 6, 3, 150_000
-_SUFFIX = 3
+GROUPS, _SUFFIX = 64, 3   # groups of rarer words, by that many last bytes
 _HELD_WORDS = 300_000     # distinct words a counting task holds before it emits them
 _HELD_TOKENS = 1_500_000  # tokens a scoring task gathers before it scores them
 
 
+@dataclass(frozen=True)
+class Settings:
+    broadcast_words: int = 200_000    # bound of what the scoring tasks are sent
+    heads: int = 1024                 # symbols of the recurrent model; a multiple of width
+    width: int = 32                   # words per class
+    hidden: int = 32
+    trainers: int = 6                 # bound of the training sample: trainers x rounds x tokens
+    rounds: int = 3
+    train_tokens: int = 150_000
+
+
 def held_out(id_col: Column) -> Column:
     """crc32 of the id's text mod 5 is 1; false for a null id."""
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 1, F.lit(False))
@@ -89,9 +97,10 @@ class Vocabulary:
     total: float                 # the same of all tokens
     tokens: int                  # N
     frequency: np.ndarray        # by symbol
+    heads: int
 
 
-def vocabulary(counts: DataFrame, most: int = BROADCAST_WORDS) -> Vocabulary:
+def vocabulary(counts: DataFrame, most: int, head_words: int) -> Vocabulary:
     """Frequent words down to the count at which they would be more than ``most``;
     totals over all words."""
     by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
@@ -117,16 +126,18 @@ def vocabulary(counts: DataFrame, most: int = BROADCAST_WORDS) -> Vocabulary:
     tokens, distinct = int(sums[:, 0].sum()), int(sums[:, 1].sum())
     c = np.array([x[1] for x in frequent], np.float64)
     group = np.array([group_of(x[0]) for x in frequent])
-    heads = np.arange(len(frequent)) < HEADS
+    heads = np.arange(len(frequent)) < head_words
     seen = c > 0
     np.subtract.at(sums[:, 0], group[heads], c[heads])
     np.subtract.at(sums[:, 1], group[heads & seen], 1)
     group_total = np.log10(sums[:, 0] + 0.5 * (sums[:, 1] + 1))
-    symbol = np.where(heads, np.arange(len(frequent)), HEADS + group)
+    symbol = np.where(heads, np.arange(len(frequent)), head_words + group)
     share = np.where(heads, 0.0, np.log10(c + 0.5) - group_total[group])
-    frequency = np.concatenate((np.pad(c[:HEADS], (0, max(0, HEADS - len(c)))), sums[:, 0]))
+    first = c[:head_words]
+    frequency = np.concatenate((np.pad(first, (0, head_words - len(first))), sums[:, 0]))
     return Vocabulary({w: i for i, (w, _) in enumerate(frequent)}, c, symbol.astype(np.int32), share,
-                      group_total, float(np.log10(tokens + 0.5 * (distinct + 1))), tokens, frequency)
+                      group_total, float(np.log10(tokens + 0.5 * (distinct + 1))), tokens, frequency,
+                      head_words)
 
 
 def symbols(words: list[bytes], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
@@ -136,11 +147,11 @@ def symbols(words: list[bytes], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray
     at = np.flatnonzero(rank < 0)
     rare = [words[i] for i in at]
     out = voc.symbol[rank]
-    out[at] = [HEADS + group_of(w) for w in rare]
+    out[at] = [voc.heads + group_of(w) for w in rare]
     return rank[rank >= 0], out, rare
 
 
-def _sample(texts: DataFrame, voc_shared, tokens: int) -> DataFrame:
+def _sample(texts: DataFrame, voc_shared, tokens: int, st: Settings) -> DataFrame:
     """(shard, h, symbols) of a sample of about the tokens that training needs."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, 256):
@@ -149,13 +160,13 @@ def _sample(texts: DataFrame, voc_shared, tokens: int) -> DataFrame:
                                              names=["shard", "h", "symbols"])
 
     h = F.xxhash64("id", "text", F.lit(9))
-    every = max(1, tokens // (TRAINERS * ROUNDS * TRAIN_TOKENS))
+    every = max(1, tokens // (st.trainers * st.rounds * st.train_tokens))
     rows = texts.withColumn("h", h).where(F.pmod("h", F.lit(every)) == 0)
-    shard = F.pmod(F.xxhash64("h"), F.lit(TRAINERS)).cast("int").alias("shard")
+    shard = F.pmod(F.xxhash64("h"), F.lit(st.trainers)).cast("int").alias("shard")
     return rows.select("text", shard, "h").mapInArrow(encode, "shard int, h long, symbols binary")
 
 
-def fit(sample: DataFrame, model: Gru) -> Gru:
+def fit(sample: DataFrame, model: Gru, st: Settings) -> Gru:
     """Rounds of training by shard, averaging the weights after each."""
     names = list(model.p)
 
@@ -164,15 +175,15 @@ def fit(sample: DataFrame, model: Gru) -> Gru:
             texts = [np.frombuffer(s, np.int32) for s in pdf.sort_values("h")["symbols"]]
             ends = np.cumsum([len(t) for t in texts])
             # this round's share of the shard, by tokens
-            low, high = ends[-1] * turn // ROUNDS, ends[-1] * (turn + 1) // ROUNDS
+            low, high = ends[-1] * turn // st.rounds, ends[-1] * (turn + 1) // st.rounds
             own = [t for t, e in zip(texts, ends) if low < e <= high] or texts
             m = Gru(model.heads, model.width, model.groups, model.hidden,
                     {k: v.copy() for k, v in weights.items()})
-            m.train(own, TRAIN_TOKENS)
+            m.train(own, st.train_tokens)
             return pd.DataFrame([{k: m.p[k].astype("<f4").tobytes() for k in names}])
         return one
 
-    for turn in range(ROUNDS):
+    for turn in range(st.rounds):
         # one row of the model's size per shard
         rows = sample.groupBy("shard").applyInPandas(
             train(model.p, turn), ", ".join(f"`{k}` binary" for k in names)).collect()
@@ -184,7 +195,8 @@ def fit(sample: DataFrame, model: Gru) -> Gru:
     return model
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+          st: Settings = Settings()) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens,
     base_score, score (log10 probabilities of the whole text).
 
@@ -194,14 +206,15 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     probability is one and the recurrent model is untrained.  Empty input gives
     no rows; other columns are ignored."""
     spark = docs.sparkSession
+    single_threaded_tasks(spark)
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"),
                       held_out(F.col(id_col)).alias("held_out"))
     known = src.where(F.col("id").isNotNull() & ~F.col("held_out")).select("id", "text")
     counts = stored(token_counts(known), "lm-counts")
-    voc = vocabulary(counts)
+    voc = vocabulary(counts, st.broadcast_words, st.heads)
     shared = spark.sparkContext.broadcast(voc)
-    sample = stored(_sample(known, shared, voc.tokens), "lm-sample")
-    model = fit(sample, Gru.fresh(voc.frequency, HEADS, WIDTH, HIDDEN))
+    sample = stored(_sample(known, shared, voc.tokens, st), "lm-sample")
+    model = fit(sample, Gru.fresh(voc.frequency, st.heads, st.width, st.hidden), st)
     model_shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

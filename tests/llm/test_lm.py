@@ -4,7 +4,6 @@ import zlib
 from collections import Counter
 
 import numpy as np
-import pytest
 from helpers import documents
 from pyspark.sql import functions as F
 
@@ -83,14 +82,10 @@ def test_training_learns_an_order():
     assert m.score([text])[0] > 0.2 * before
 
 
-@pytest.fixture()
-def tiny(monkeypatch):
-    for name, value in (("BROADCAST_WORDS", 40), ("HEADS", 32), ("WIDTH", 8), ("HIDDEN", 8),
-                        ("TRAIN_TOKENS", 2000), ("_HELD_TOKENS", 500), ("_HELD_WORDS", 50)):
-        monkeypatch.setattr(lm, name, value)
+TINY = lm.Settings(broadcast_words=40, heads=32, width=8, hidden=8, train_tokens=2000)
 
 
-def test_base_scores_against_brute_force(spark, tiny):
+def test_base_scores_against_brute_force(spark):
     rng = random.Random(3)
     words = [f"w{int(rng.paretovariate(0.6)) % 300}" for _ in range(5000)]
     rows = [(i, rng.choice([" ", "\n"]).join(rng.choice(words) for _ in range(rng.choice([0, 1, 9, 80]))))
@@ -98,7 +93,7 @@ def test_base_scores_against_brute_force(spark, tiny):
     rows += [(500, None), (501, ""), (None, "w1 W1 unseen-word"), rows[4], (502, "Unseen " * 4000),
              (503, "É é x"), (504, "w1 " * 3)]
     table = documents(spark, rows).withColumn("score", F.lit("x")).withColumn("uid", F.lit(1))
-    got = lm.score(table, ).collect()
+    got = lm.score(table, st=TINY).collect()
     out = {i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1 for i, _ in rows}
     low = lambda t: (t or "").encode().lower().split()
     c = Counter()
@@ -117,13 +112,13 @@ def test_base_scores_against_brute_force(spark, tiny):
     assert len({round(r.score, 9) for r in got if r.doc_id == 4}) == 1
 
 
-def test_shares_in_a_group_sum_to_one(spark, tiny):
+def test_shares_in_a_group_sum_to_one(spark):
     rows = [(i, " ".join(f"x{j}" for j in range(i))) for i in range(120)]
     counts = lm.token_counts(documents(spark, rows))
-    voc = lm.vocabulary(counts, 40)
+    voc = lm.vocabulary(counts, 40, 32)
     held = {bytes(r.word): r.c for r in counts.collect()}
     assert len(voc.rank) <= 41 and voc.tokens == sum(held.values())
-    heads = {w for w, k in voc.rank.items() if k < lm.HEADS}
+    heads = {w for w, k in voc.rank.items() if k < voc.heads}
     total = np.zeros(lm.GROUPS)
     for w, c in held.items():
         if w not in heads:
@@ -142,8 +137,8 @@ def test_beats_the_base_on_held_out_text(spark):
     assert got[0] > got[1]
 
 
-def test_empty_tables(spark, tiny):
-    assert lm.score(documents(spark, [])).count() == 0
+def test_empty_tables(spark):
+    assert lm.score(documents(spark, []), st=TINY).count() == 0
     out = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1)
-    r = lm.score(documents(spark, [(out, "a b")])).first()
+    r = lm.score(documents(spark, [(out, "a b")]), st=TINY).first()
     assert (r.train_tokens, r.n_known, r.n_tokens, round(r.base_score, 9)) == (0, 0, 3, 0.0)
