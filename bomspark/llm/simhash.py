@@ -197,14 +197,20 @@ def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Rows that share an id are one document and stay once.  Rows with a null id
     cannot be named by a component and stay."""
     named = near_duplicates(docs, id_col, text_col, shingle, max_bits, max_list)
-    kept = stored(named.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
-        F.count(F.lit(1)).alias("__n"), F.max(F.col(id_col) == F.col("component_id")).alias("__k"))
-        .where("__k").drop("__k"), "simhash-kept")
+    by_id = stored(named.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col(id_col) == F.col("component_id")).alias("kept"))
+        .where("not kept or n > 1"), "simhash-ids")
+    gone = stored(by_id.where("not kept").select("__id"), "simhash-gone")
     names = [f"__c{i}" for i in range(len(docs.columns))]
     rows = docs.toDF(*names)
     own = names[docs.columns.index(id_col)]
-    stay = rows.join(kept, F.col(own) == F.col("__id"))
-    if not kept.where("__n > 1").isEmpty():      # rows of one id: the first by their values
+    # the ids that go are fewer than those that stay, and rows with a null id match none
+    stay = rows.join(gone, F.col(own) == F.col("__id"), "left_anti")
+    several = by_id.where("kept").select("__id")
+    if not several.isEmpty():                    # rows of one id: the first by their values
         first = Window.partitionBy(own).orderBy(F.xxhash64(*names))
-        stay = stay.withColumn("__r", F.row_number().over(first)).where("__r = 1")
-    return stay.select(*names).unionByName(rows.where(F.col(own).isNull())).toDF(*docs.columns)
+        same = F.col(own) == F.col("__id")
+        stay = stay.join(several, same, "left_anti").unionByName(
+            stay.join(several, same, "left_semi").withColumn("__r", F.row_number().over(first))
+            .where("__r = 1").drop("__r"))
+    return stay.toDF(*docs.columns)
