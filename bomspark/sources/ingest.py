@@ -77,11 +77,12 @@ def _present(rules: Rules, every: bool) -> Column:
     return reduce((lambda a, b: a & b) if every else (lambda a, b: a | b), tests)
 
 
-def _rows(lines: DataFrame, files: DataFrame, rules: Rules) -> DataFrame:
+def _rows(lines: DataFrame, files: DataFrame, rules: Rules, keep: list[str] = []) -> DataFrame:
+    """The rules' columns and the ``keep`` columns of the file table."""
     at = [f"at_{c}" for c in rules]
-    return split_lines(lines, files.select("path", "delimiter", *at)).select(
+    return split_lines(lines, files.select("path", "delimiter", *at, *keep)).select(
         *[blank_to_null(F.get("_f", F.col(a))).alias(c) for a, c in zip(at, rules)],
-        "_path", "_pos")
+        *keep, "_path", "_pos")
 
 
 # ------------------------------------------------------------------ C1
@@ -118,10 +119,10 @@ def ingest_bom_config(spark: SparkSession, paths: Paths, with_source: bool = Fal
 
 # ------------------------------------------------------------------ C3
 
-def _option_rows(lines: DataFrame, files: DataFrame) -> DataFrame:
+def _option_rows(lines: DataFrame, files: DataFrame, keep: list[str] = []) -> DataFrame:
     """Rows of the files with any kept column; P5: less those without a value."""
     files = files.where(_present(OPTION_COLUMNS, every=False))
-    return _rows(lines, files, OPTION_COLUMNS).na.drop(how="all", subset=S.OPTION_KEEP)
+    return _rows(lines, files, OPTION_COLUMNS, keep).na.drop(how="all", subset=S.OPTION_KEEP)
 
 
 def option_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
@@ -151,20 +152,18 @@ def ingest_bom_option(spark: SparkSession, paths: Paths, with_source: bool = Fal
     """The five kept option columns plus the half-year ``period`` of the
     file each row came from (``YYYY_01`` = Jan-Jun, ``YYYY_02`` = Jul-Dec).
 
-    The period table has one row per file and is written once, so Spark
-    checks its size before it broadcasts it; ``with_period=False`` gives the
-    same rows without the period, which is then not computed at all."""
+    The periods join the file table, which is written again with them, so the
+    lines meet one table with one row per file; ``with_period=False`` gives
+    the same rows without the period, which is then not computed at all."""
     files = option_files(spark, paths, glob)
-    lines = data_lines(spark, paths, glob)
-    rows = _option_rows(lines, files)
     source = ["file_name"] if with_source else []
-    if not with_period:
-        name = [base_of(F.col("_path")).alias("file_name")] if with_source else []
-        return rows.select(*S.OPTION_KEEP, *name)
-    from ..sinks import checkpoint_table
-    periods = checkpoint_table(file_periods(spark, files, paths, glob), "file-periods")
-    out = rows.join(splittable(periods.select("_path", "period", "file_name")), "_path")
-    return out.select(*S.OPTION_KEEP, "period", *source)
+    if with_period:
+        from ..sinks import checkpoint_table
+        periods = file_periods(spark, files, paths, glob).select(
+            F.col("_path").alias("path"), "period")
+        files = checkpoint_table(files.join(periods, "path"), "option-files")
+    keep = ["period"] * with_period + source
+    return _option_rows(data_lines(spark, paths, glob), files, keep).select(*S.OPTION_KEEP, *keep)
 
 
 def ingest_counts(df: DataFrame, by: str | list[str]) -> DataFrame:
