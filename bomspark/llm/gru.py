@@ -23,9 +23,25 @@ LANES, WINDOW = 256, 64
 TRAIN_LANES, TRAIN_STEPS, RATE = 32, 16, 0.01
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _product(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """``h @ w``, rounded to the type of ``h``."""
+    return (h @ w).astype(h.dtype, copy=False)
+
+
+def _log_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Log softmax of each row of ``x`` at its place ``at``; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    own = x[np.arange(len(at)), at]
+    return own - np.log(np.exp(x, out=x).sum(axis=1))
+
+
+def _loss_slope(x: np.ndarray, at: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Gradient by ``x`` of each row's weighted log loss; ``x`` is used up."""
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x *= weight / x.sum(axis=1, keepdims=True)
+    x[np.arange(len(at)), at] -= weight[:, 0]
+    return x
 
 
 @dataclass
@@ -62,7 +78,7 @@ class Gru:
     def step(self, x: np.ndarray, h: np.ndarray):
         """Next state from input rows ``x`` (of table x) and state ``h``."""
         k = self.hidden
-        g = h @ self.p["u"]
+        g = _product(h, self.p["u"])
         a = x[:, :2 * k] + g[:, :2 * k]
         zr = 1.0 / (1.0 + np.exp(-a))
         z, r = zr[:, :k], zr[:, k:]
@@ -77,19 +93,27 @@ class Gru:
     def log_prob(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target given its state."""
         own = self.classes_of(target)
-        rows = np.arange(len(target))
-        out = _log_softmax(h @ self.p["c"] + self.p["cb"])[rows, own].astype(np.float64)
-        for c, at in _by_class(own, target < self.heads):
-            inner = _log_softmax(h[at] @ self.p["w"][c] + self.p["wb"][c])
-            out[at] += inner[np.arange(len(at)), target[at] % self.width]
+        out = _log_at(_product(h, self.p["c"]) + self.p["cb"], own).astype(np.float64)
+        at, parts = _by_class(own, target < self.heads)
+        out[at] += _log_at(self._inner(h[at], own[at], parts), target[at] % self.width)
         return out
 
+    def _inner(self, h: np.ndarray, own: np.ndarray, parts: list) -> np.ndarray:
+        """Scores of the words in each state's class; states are in order of class."""
+        x = self.p["wb"][own]
+        for c, part in parts:
+            x[part] += _product(h[part], self.p["w"][c])
+        return x
+
     def score(self, texts: list[np.ndarray], lanes: int = LANES, window: int = WINDOW) -> np.ndarray:
         """Natural log probability of each text (an array of symbols)."""
         total = np.zeros(len(texts) + 1)
         if not texts:
             return total[:-1]
         target, source, text = _in_lanes(texts, min(lanes, len(texts)), self.start)
+        # products in double: a text's score does not depend on the texts beside it
+        m = Gru(self.heads, self.width, self.groups, self.hidden, {
+            k: v.astype(np.float64) if k in ("u", "c", "w") else v for k, v in self.p.items()})
         h = np.zeros((target.shape[1], self.hidden), np.float32)
         live = (text < len(texts)).sum(axis=1)           # lanes are in falling order of length
         for at in range(0, len(target), window):
@@ -99,99 +123,132 @@ class Gru:
             h = h[:n]
             for t in range(at, end):
                 x = source[t, :n]
-                h = self.step(self.p["x"][x], h * (x != self.start)[:, None])[0]
+                h = m.step(m.p["x"][x], h * (x != m.start)[:, None])[0]
                 states[t - at] = h
-            lp = self.log_prob(states.reshape(-1, self.hidden), target[at:end, :n].ravel())
+            lp = m.log_prob(states.reshape(-1, self.hidden), target[at:end, :n].ravel())
             total += np.bincount(text[at:end, :n].ravel(), lp, len(texts) + 1)
         return total[:-1]
 
     def train(self, texts: list[np.ndarray], tokens: int, lanes: int = TRAIN_LANES,
               steps: int = TRAIN_STEPS, rate: float = RATE, epochs: int = 6) -> Gru:
-        """Truncated backpropagation over about ``tokens`` symbols of ``texts``,
-        at most ``epochs`` times each."""
-        target, source, text = _in_lanes(texts, min(lanes, len(texts)), self.start)
+        """Truncated backpropagation over every symbol of ``texts``; as often as
+        ``tokens`` symbols allow, once at least and ``epochs`` times at most.
+        The order of the texts is kept, so it should be a random one."""
+        size = sum(map(len, texts))
+        if not size:
+            return self
+        target, source, text = _in_lanes(texts, min(lanes, len(texts)), self.start, False)
         live = (text < len(texts)).sum(axis=1)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
+        grad = {k: np.empty_like(v) for k, v in self.p.items()}
+        room = {k: np.empty_like(v) for k, v in self.p.items()}
+        turns = min(epochs, max(1, tokens // size))
         done = update = 0
-        for _ in range(epochs):
+        for _ in range(turns):
             h = np.zeros((target.shape[1], self.hidden), np.float32)
             for at in range(0, len(target), steps):
-                if done >= tokens:
-                    return self
                 n, end = live[at], min(at + steps, len(target))
-                h = h[:n]
                 use = text[at:end, :n] < len(texts)
-                h, grad = self._backprop(source[at:end, :n], target[at:end, :n], use, h)
+                h, _ = self._backprop(source[at:end, :n], target[at:end, :n], use, h[:n], grad)
                 done += int(use.sum())
                 update += 1
-                fall = rate * max(0.1, 1 - done / tokens)
+                fall = rate * max(0.1, 1 - done / (turns * size))
+                fall *= float(np.sqrt(1 - 0.99 ** update)) / (1 - 0.9 ** update)
                 for k, g in grad.items():
-                    first[k] += 0.1 * (g - first[k])
-                    second[k] += 0.01 * (g * g - second[k])
-                    fix = np.sqrt(1 - 0.99 ** update) / (1 - 0.9 ** update)
-                    self.p[k] -= (fall * fix) * first[k] / (np.sqrt(second[k]) + 1e-6)
+                    r, m, v = room[k], first[k], second[k]
+                    m *= 0.9
+                    m += np.multiply(g, 0.1, out=r)
+                    np.multiply(g, g, out=r)
+                    r *= 0.01
+                    v *= 0.99
+                    v += r
+                    np.sqrt(v, out=r)
+                    r += 1e-6
+                    np.divide(m, r, out=r)
+                    r *= fall
+                    self.p[k] -= r
         return self
 
-    def _backprop(self, source, target, use, h):
-        """State after the window and mean gradients of its log loss."""
+    def _backprop(self, source, target, use, h, grad=None):
+        """State after the window and mean gradients of its log loss (in the
+        arrays ``grad`` if they are given)."""
         k, p, steps = self.hidden, self.p, len(source)
+        if grad is None:
+            grad = {name: np.empty_like(v) for name, v in p.items()}
         keep = (source != self.start)[:, :, None].astype(np.float32)
-        tape, states = [], []
+        inputs = p["x"][source]
+        before, z, r, q, n = (np.empty((steps, len(h), k), inputs.dtype) for _ in range(5))
+        states = np.empty((steps, len(h), k), inputs.dtype)
         for t in range(steps):
-            before = h * keep[t]
-            h, z, r, q, n = self.step(p["x"][source[t]], before)
-            tape.append((before, z, r, q, n))
-            states.append(h)
-        flat = np.concatenate(states)
+            np.multiply(h, keep[t], out=before[t])
+            states[t], z[t], r[t], q[t], n[t] = self.step(inputs[t], before[t])
+            h = states[t]
+        flat = states.reshape(-1, k)
         goal, on = target.ravel(), use.ravel().astype(np.float32)[:, None] / max(1, use.sum())
-        own, rows = self.classes_of(goal), np.arange(goal.size)
-        grad = {name: np.zeros_like(v) for name, v in p.items()}
-        d = np.exp(_log_softmax(flat @ p["c"] + p["cb"]))
-        d[rows, own] -= 1
-        d *= on
-        grad["c"], grad["cb"] = flat.T @ d, d.sum(axis=0)
+        own = self.classes_of(goal)
+        d = _loss_slope(flat @ p["c"] + p["cb"], own, on)
+        grad["c"][:], grad["cb"][:] = flat.T @ d, d.sum(axis=0)
         dh = d @ p["c"].T
-        for c, at in _by_class(own, goal < self.heads):
-            d = np.exp(_log_softmax(flat[at] @ p["w"][c] + p["wb"][c]))
-            d[np.arange(len(at)), goal[at] % self.width] -= 1
-            d *= on[at]
-            grad["w"][c], grad["wb"][c] = flat[at].T @ d, d.sum(axis=0)
-            dh[at] += d @ p["w"][c].T
+        grad["w"][:], grad["wb"][:] = 0, 0
+        at, parts = _by_class(own, goal < self.heads)
+        own, seen = own[at], flat[at]
+        d = _loss_slope(self._inner(seen, own, parts), goal[at] % self.width, on[at])
+        down = np.empty_like(seen)
+        for c, part in parts:
+            grad["w"][c], grad["wb"][c] = seen[part].T @ d[part], d[part].sum(axis=0)
+            np.matmul(d[part], p["w"][c].T, out=down[part])
+        dh[at] += down
         dh = dh.reshape(steps, -1, k)
-        back = np.zeros_like(h)
+        # what a state's gradient is multiplied with, for all steps at once
+        by_n = (1 - z) * (1 - n * n)
+        by_z = (before - n) * z * (1 - z)
+        by_r = by_n * q * r * (1 - r)
+        by_q = by_n * r
+        through = np.empty((steps, len(h), 3 * k), inputs.dtype)
+        back, up = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
         for t in reversed(range(steps)):
-            before, z, r, q, n = tape[t]
-            d = dh[t] + back
-            dn = d * (1 - z) * (1 - n * n)
-            dz = d * (before - n) * z * (1 - z)
-            dr = dn * q * r * (1 - r)
-            through = np.concatenate((dz, dr, dn * r), axis=1)
-            grad["u"] += before.T @ through
-            grad["n"] += (dn * r).sum(axis=0)
-            np.add.at(grad["x"], source[t], np.concatenate((dz, dr, dn), axis=1))
-            back = (d * z + through @ p["u"].T) * keep[t]
-        norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
+            d = dh[t]
+            d += back
+            np.multiply(d, by_z[t], out=through[t, :, :k])
+            np.multiply(d, by_r[t], out=through[t, :, k:2 * k])
+            np.multiply(d, by_q[t], out=through[t, :, 2 * k:])
+            back = d * z[t]
+            back += through[t] @ up
+            back *= keep[t]
+        through = through.reshape(-1, 3 * k)
+        grad["u"][:] = before.reshape(-1, k).T @ through
+        grad["n"][:] = through[:, 2 * k:].sum(axis=0)
+        through[:, 2 * k:] = (dh * by_n).reshape(-1, k)
+        rows = source.ravel()
+        order = np.argsort(rows, kind="stable")
+        rows = rows[order]
+        cuts = np.append(0, np.flatnonzero(np.diff(rows)) + 1)
+        grad["x"][:] = 0
+        grad["x"][rows[cuts]] = np.add.reduceat(through[order], cuts, axis=0)
+        norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values()))
         if norm > 1:
-            grad = {name: g / norm for name, g in grad.items()}
+            for g in grad.values():
+                g /= norm
         return h, grad
 
 
 def _by_class(own: np.ndarray, head: np.ndarray):
-    """(class, positions) of the head targets."""
+    """Positions of the head targets in order of class; (class, slice) of each class there."""
     at = np.flatnonzero(head)
     at = at[np.argsort(own[at], kind="stable")]
-    cuts = np.flatnonzero(np.diff(own[at])) + 1
-    for part in np.split(at, cuts) if len(at) else ():
-        yield own[part[0]], part
+    mine = own[at]
+    cuts = [0, *(np.flatnonzero(np.diff(mine)) + 1).tolist(), len(at)]
+    return at, [(int(mine[a]), slice(a, z)) for a, z in zip(cuts, cuts[1:]) if a < z]
 
 
-def _in_lanes(texts: list[np.ndarray], lanes: int, start: int):
+def _in_lanes(texts: list[np.ndarray], lanes: int, start: int, longest_first: bool = True):
     """Targets, inputs and text numbers as (steps, lanes) arrays, longest lane
-    first; the number of unused places is ``len(texts)``."""
+    first; the number of unused places is ``len(texts)``.  Each text goes to the
+    lane that is shortest then."""
     heap = [(0, lane) for lane in range(lanes)]
     held: list[list[int]] = [[] for _ in range(lanes)]
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i])):
+    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i]) if longest_first else i):
         size, lane = heapq.heappop(heap)
         held[lane].append(i)
         heapq.heappush(heap, (size + len(texts[i]), lane))

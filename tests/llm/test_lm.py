@@ -8,7 +8,7 @@ from helpers import documents
 from pyspark.sql import functions as F
 
 from bomspark.llm import lm
-from bomspark.llm.gru import Gru
+from bomspark.llm.gru import Gru, _in_lanes
 
 
 def small(seed=0, hidden=5):
@@ -82,6 +82,37 @@ def test_training_learns_an_order():
     assert m.score([text])[0] > 0.2 * before
 
 
+def trained_on(monkeypatch, texts, tokens):
+    """How often each symbol was a target, by whole passes."""
+    seen, real = Counter(), Gru._backprop
+
+    def counting(self, source, target, use, *rest):
+        seen.update(target[use].tolist())
+        return real(self, source, target, use, *rest)
+    monkeypatch.setattr(Gru, "_backprop", counting)
+    Gru.fresh(np.ones(1024 + 8), heads=1024, width=32, hidden=4).train(texts, tokens, lanes=4)
+    return seen
+
+
+def test_training_reads_every_text_to_its_end(monkeypatch):
+    rng = np.random.default_rng(6)
+    texts = [np.full(n, i, np.int32) for i, n in enumerate(rng.integers(1, 60, 200))]
+    once = {i: len(t) for i, t in enumerate(texts)}
+    assert trained_on(monkeypatch, texts, 500) == once           # far fewer than there are
+    long = [np.arange(1000, dtype=np.int32)]
+    assert trained_on(monkeypatch, long, 100) == dict.fromkeys(range(1000), 1)
+    size = sum(once.values())
+    assert trained_on(monkeypatch, texts, 3 * size - 1) == {i: 2 * n for i, n in once.items()}
+
+
+def test_training_lanes_keep_the_order_of_the_texts():
+    texts = [np.full(n, i, np.int32) for i, n in enumerate((1, 9, 2, 9, 1, 9, 2, 9))]
+    text = _in_lanes(texts, 2, 11, False)[2]
+    assert sorted(text.ravel().tolist()) == sorted([i for i, t in enumerate(texts) for _ in t]
+                                                   + [8] * (text.size - 42))
+    assert all((np.diff(text[:, lane]) >= 0).all() for lane in range(2))
+
+
 TINY = lm.Settings(broadcast_words=40, heads=32, width=8, hidden=8, train_tokens=2000)
 
 
