@@ -9,9 +9,11 @@ Every other word, seen or not, belongs to one of ``GROUPS`` groups by its last
 bytes; the model predicts the group and the word's share in the group comes from the
 corpus counts, so every text has a proper probability.
 
-Training.  A bounded sample of training texts (about ``trainers`` x ``rounds`` x
-``train_tokens`` tokens) is dealt to ``trainers`` tasks; after each round their
-weights are averaged.  Everything else covers all rows.
+Training.  Every training text is dealt by hash to one round and one shard; there
+are as many shards as keep a round's slice of one at about ``train_tokens`` tokens, so
+their number grows with the corpus.  After each round the shards' weights are
+averaged, by tokens: summed in their tasks, then by block of the weights, so the
+driver gets one model whatever the number of shards.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
@@ -35,6 +36,7 @@ from .gru import Gru
 END = b""                 # no word is empty, so this is the end token's key
 GROUPS, _SUFFIX = 64, 3   # groups of rarer words, by that many last bytes
 _HELD_WORDS = 300_000     # distinct words a counting task holds before it emits them
+_BLOCKS = 64              # parts of the weights that are averaged apart
 _HELD_TOKENS = 1_500_000  # tokens a scoring task gathers before it scores them
 
 
@@ -44,9 +46,9 @@ class Settings:
     heads: int = 1024                 # symbols of the recurrent model; a multiple of width
     width: int = 32                   # words per class
     hidden: int = 32
-    trainers: int = 6                 # bound of the training sample: trainers x rounds x tokens
+    trainers: int = 6                 # shards of a small corpus
     rounds: int = 3
-    train_tokens: int = 150_000
+    train_tokens: int = 150_000       # about a slice's tokens (a shard's in one round)
 
 
 def held_out(id_col: Column) -> Column:
@@ -151,47 +153,89 @@ def symbols(words: list[bytes], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray
     return rank[rank >= 0], out, rare
 
 
-def _sample(texts: DataFrame, voc_shared, tokens: int, st: Settings) -> DataFrame:
-    """(shard, h, symbols) of a sample of about the tokens that training needs."""
+def shards_of(tokens: int, st: Settings) -> int:
+    """Shards for so many training tokens."""
+    return max(st.trainers, -(-tokens // (st.rounds * st.train_tokens)))
+
+
+def slices(texts: DataFrame, voc_shared, shards: int, st: Settings) -> DataFrame:
+    """(turn, shard, h, symbols) of every text."""
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in pieces_of(batches, 256):
             syms = [symbols(_tokens(t), voc_shared.value)[1].tobytes() for t in byte_texts(b, "text")]
-            yield pa.RecordBatch.from_arrays([b.column(1), b.column(2), pa.array(syms, pa.binary())],
-                                             names=["shard", "h", "symbols"])
+            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(syms, pa.binary())],
+                                             names=["turn", "shard", "h", "symbols"])
 
-    h = F.xxhash64("id", "text", F.lit(9))
-    every = max(1, tokens // (st.trainers * st.rounds * st.train_tokens))
-    rows = texts.withColumn("h", h).where(F.pmod("h", F.lit(every)) == 0)
-    shard = F.pmod(F.xxhash64("h"), F.lit(st.trainers)).cast("int").alias("shard")
-    return rows.select("text", shard, "h").mapInArrow(encode, "shard int, h long, symbols binary")
+    rows = texts.withColumn("h", F.xxhash64("id", "text", F.lit(9)))
+    turn = F.pmod(F.xxhash64("h"), F.lit(st.rounds)).cast("int").alias("turn")
+    shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int").alias("shard")
+    return rows.select("text", turn, shard, "h").mapInArrow(
+        encode, "turn int, shard int, h long, symbols binary")
 
 
-def fit(sample: DataFrame, model: Gru, st: Settings) -> Gru:
+def fit(dealt: DataFrame, model: Gru, shards: int, st: Settings) -> Gru:
     """Rounds of training by shard, averaging the weights after each."""
-    names = list(model.p)
-
-    def train(weights: dict[str, np.ndarray], turn: int):
-        def one(pdf: pd.DataFrame) -> pd.DataFrame:
-            texts = [np.frombuffer(s, np.int32) for s in pdf.sort_values("h")["symbols"]]
-            ends = np.cumsum([len(t) for t in texts])
-            # this round's share of the shard, by tokens
-            low, high = ends[-1] * turn // st.rounds, ends[-1] * (turn + 1) // st.rounds
-            own = [t for t, e in zip(texts, ends) if low < e <= high] or texts
-            m = Gru(model.heads, model.width, model.groups, model.hidden,
-                    {k: v.copy() for k, v in weights.items()})
-            m.train(own, st.train_tokens)
-            return pd.DataFrame([{k: m.p[k].astype("<f4").tobytes() for k in names}])
-        return one
+    sc = dealt.sparkSession.sparkContext
+    # a task trains one shard after the other and sends one sum
+    tasks = min(shards, int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    sums = "block int, tokens long, mean binary"
+
+    def rows_of(total: dict[int, np.ndarray], tokens: dict[int, int]) -> Iterator[pa.RecordBatch]:
+        if total:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(total.keys(), pa.int32()), pa.array([tokens[k] for k in total], pa.int64()),
+                 pa.array([(v / tokens[k]).astype("<f4").tobytes() for k, v in total.items()],
+                          pa.binary())], names=["block", "tokens", "mean"])
+
+    def train(start):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total, tokens = {}, 0
+
+            def learn(texts: list[np.ndarray]) -> None:
+                nonlocal tokens
+                m = start.value
+                m = Gru(m.heads, m.width, m.groups, m.hidden, {k: v.copy() for k, v in m.p.items()})
+                m.train(texts, st.train_tokens)
+                size = sum(map(len, texts))
+                flat = np.concatenate([v.ravel() for v in m.p.values()])
+                for k, part in enumerate(np.array_split(flat, _BLOCKS)):
+                    total[k] = total.get(k, 0) + part.astype(np.float64) * size
+                tokens += size
+
+            now, held = None, []
+            for b in pieces_of(batches, 256):
+                for shard, syms in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                    if shard != now and held:
+                        learn(held)
+                        held = []
+                    now = shard
+                    held.append(np.frombuffer(syms, np.int32))
+            if held:
+                learn(held)
+            yield from rows_of(total, dict.fromkeys(total, tokens))
+        return run
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total, tokens = {}, Counter()
+        for b in pieces_of(batches, 256):
+            for k, n, mean in zip(*(c.to_pylist() for c in b.columns)):
+                total[k] = total.get(k, 0) + np.frombuffer(mean, "<f4").astype(np.float64) * n
+                tokens[k] += n
+        yield from rows_of(total, tokens)
 
     for turn in range(st.rounds):
-        # one row of the model's size per shard
-        rows = sample.groupBy("shard").applyInPandas(
-            train(model.p, turn), ", ".join(f"`{k}` binary" for k in names)).collect()
-        if not rows:
-            return model
-        model.p = {k: np.mean([np.frombuffer(r[k], "<f4") for r in rows], axis=0,
-                              dtype=np.float64).astype(np.float32).reshape(model.p[k].shape)
-                   for k in names}
+        start = sc.broadcast(model)
+        rows = (dealt.where(F.col("turn") == turn).select("shard", "symbols", "h")
+                .repartition(tasks, "shard").sortWithinPartitions("shard", "h")
+                .select("shard", "symbols").mapInArrow(train(start), sums)
+                .repartition("block").mapInArrow(add, sums).collect())   # one row per block
+        if rows:
+            flat = np.concatenate([np.frombuffer(r["mean"], "<f4")
+                                   for r in sorted(rows, key=lambda r: r["block"])])
+            ends = np.cumsum([v.size for v in model.p.values()])
+            model = Gru(model.heads, model.width, model.groups, model.hidden, {
+                k: part.reshape(model.p[k].shape).astype(np.float32)
+                for k, part in zip(model.p, np.split(flat, ends[:-1]))})
     return model
 
 
@@ -213,8 +257,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     counts = stored(token_counts(known), "lm-counts")
     voc = vocabulary(counts, st.broadcast_words, st.heads)
     shared = spark.sparkContext.broadcast(voc)
-    sample = stored(_sample(known, shared, voc.tokens, st), "lm-sample")
-    model = fit(sample, Gru.fresh(voc.frequency, st.heads, st.width, st.hidden), st)
+    shards = shards_of(voc.tokens, st)
+    dealt = stored(slices(known, shared, shards, st), "lm-slices")
+    model = fit(dealt, Gru.fresh(voc.frequency, st.heads, st.width, st.hidden), shards, st)
     model_shared = spark.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

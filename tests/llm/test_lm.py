@@ -113,6 +113,45 @@ def test_training_lanes_keep_the_order_of_the_texts():
     assert all((np.diff(text[:, lane]) >= 0).all() for lane in range(2))
 
 
+def test_every_training_document_is_dealt_to_one_slice(spark):
+    st = lm.Settings(broadcast_words=40, heads=32, width=8, hidden=4, trainers=2, rounds=2,
+                     train_tokens=50)
+    rows = [(i, " ".join(f"w{(i * j) % 50}" for j in range(i % 40))) for i in range(300)]
+    docs = documents(spark, rows).withColumnRenamed("doc_id", "id").select("id", "text")
+    voc = lm.vocabulary(lm.token_counts(docs), 40, 32)
+    shards = lm.shards_of(voc.tokens, st)
+    assert shards == -(-voc.tokens // 100) > 50 and lm.shards_of(7, st) == 2
+    got = lm.slices(docs, spark.sparkContext.broadcast(voc), shards, st).collect()
+    assert len(got) == len(rows) and sum(len(r["symbols"]) // 4 for r in got) == voc.tokens
+    size = Counter()
+    for r in got:
+        size[r["turn"], r["shard"]] += len(r["symbols"]) // 4
+    assert len(size) > shards and max(size.values()) < 8 * st.train_tokens
+
+
+def test_weights_are_the_mean_of_all_shards_by_tokens(spark):
+    st = lm.Settings(heads=8, width=4, hidden=3, rounds=2, train_tokens=40)
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(2)), int(rng.integers(9)), h, rng.integers(0, 11, n).astype(np.int32))
+            for h, n in enumerate(rng.integers(1, 30, 80))]
+    table = spark.createDataFrame([(*r[:3], r[3].tobytes()) for r in rows],
+                                  "turn int, shard int, h long, symbols binary")
+    got = lm.fit(table, small(hidden=3), 9, st)
+    want = small(hidden=3)
+    for turn in range(2):
+        total, tokens = {k: 0.0 for k in want.p}, 0
+        for shard in range(9):
+            texts = [r[3] for r in rows if r[:2] == (turn, shard)]
+            if texts:
+                m = Gru(8, 4, 3, 3, {k: v.copy() for k, v in want.p.items()}).train(texts, 40)
+                size = sum(map(len, texts))
+                total = {k: v + m.p[k].astype(np.float64) * size for k, v in total.items()}
+                tokens += size
+        want.p = {k: (v / tokens).astype(np.float32) for k, v in total.items()}
+    for k, v in want.p.items():
+        assert got.p[k].shape == v.shape and np.allclose(got.p[k], v, atol=1e-4), k
+
+
 TINY = lm.Settings(broadcast_words=40, heads=32, width=8, hidden=8, train_tokens=2000)
 
 
