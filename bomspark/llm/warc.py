@@ -228,40 +228,55 @@ class Records:
         inflate, text, given = zlib.decompressobj(31), b"", 0
 
         def pull(limit: int) -> bytes:
-            """Up to ``limit`` more inflated bytes (0: all of the member)."""
+            """About ``limit`` more inflated bytes, fewer only at the member's end."""
             nonlocal given
             parts, size = [], 0
-            while not inflate.eof and (not limit or size < limit):
+            while not inflate.eof and size < limit:
                 data = inflate.unconsumed_tail
                 if not data:
-                    if given >= len(self.ahead) and not self._fill(len(self.ahead) + 1):
-                        raise ValueError("a WARC file ends within a record")
+                    if given >= len(self.ahead):
+                        if not whole:      # read bytes are let go, however long the member is
+                            self._drop(given)
+                            given = 0
+                        if not self._fill(given + 1):
+                            raise ValueError("a WARC file ends within a record")
                     data = self.ahead[given:given + (1 << 16)]
                     given += len(data)
-                part = inflate.decompress(data, limit - size if limit else 0)
+                part = inflate.decompress(data, limit - size)
                 parts.append(part)
                 size += len(part)
             return b"".join(parts)
 
-        while (end := text.find(b"\r\n\r\n")) < 0 and not inflate.eof:
-            text += pull(1024)
-        if end < 0:
-            raise ValueError("a WARC record has no end of headers")
-        headers = parse_headers(text[:end])
-        want = wanted(headers)
-        if want:
-            length = int(headers["content-length"])
-            block = text[end + 4:] + pull(0)
-            if len(block) < length:
-                raise ValueError("a WARC record ends within its block")
-            yield headers, block[:length]
-        elif want is not None:
-            yield headers, None
-        if whole:
-            self._drop(whole)
-        else:
-            pull(0)
-            self._drop(given - len(inflate.unused_data))
+        while True:
+            while (end := text.find(b"\r\n\r\n")) < 0 and not inflate.eof:
+                text += pull(1024)
+            if end < 0:
+                raise ValueError("a WARC record has no end of headers")
+            if not text[:end].strip():     # blank lines before a record
+                text = text[end + 4:]
+                continue
+            headers = parse_headers(text[:end])
+            want = wanted(headers)
+            length, text = int(headers["content-length"]), text[end + 4:]
+            if want:
+                text += pull(length - len(text))
+                if len(text) < length:
+                    raise ValueError("a WARC record ends within its block")
+                yield headers, text[:length]
+            elif want is not None:
+                yield headers, None
+            if whole:                      # 'sl' is the size of one record's member
+                self._drop(whole)
+                return
+            while len(text) < length and not inflate.eof:     # what is not wanted is not kept
+                length -= len(text)
+                text = pull(min(length, 1 << 16))
+            text = text[length:]
+            while not text.strip() and not inflate.eof:
+                text = pull(1024)
+            if not text.strip():           # no further record in this member
+                break
+        self._drop(given - len(inflate.unused_data))
 
 
 def parse_headers(data: bytes) -> dict[str, str]:

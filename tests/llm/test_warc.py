@@ -115,6 +115,20 @@ def test_other_writers_files_are_read(tmp_path):
         records(tmp_path, gzip.compress(one)[:-20])
 
 
+def test_one_gzip_member_may_hold_several_records(tmp_path):
+    bulk = os.urandom(300_000)
+    one = warc.record_bytes("response", warc.record_id(3), "http://a", "ab", 5, None, b"hello")
+    odd = (b"WARC/1.0\r\nWARC-Type: resource\r\nContent-Length: 300000\r\n\r\n" + bulk + b"\r\n\r\n")
+    data = gzip.compress(one + odd + one) + gzip.compress(odd + b"\r\n") + warc.member(one)
+    got = records(tmp_path, data)
+    assert [r["record_type"] for r in got] == ["response", "resource", "response", "resource", "response"]
+    assert got[1]["payload"] == got[3]["payload"] == bulk and got[2]["payload"] == b"hello"
+    r = warc.WarcReader({"path": f"file://{tmp_path}"})
+    list(r.pushFilters([EqualTo(("record_type",), "response")]))
+    rows = [x for p in r.partitions() for b in r.read(p) for x in b.to_pylist()]
+    assert [x["payload"] for x in rows] == [b"hello"] * 3
+
+
 def test_skipped_records_are_not_inflated(tmp_path, monkeypatch):
     bulk = os.urandom(2_000_000)
     data = warc.member(warc.record_bytes("response", warc.record_id(1), "u", "d", len(bulk), None, bulk)) * 3
