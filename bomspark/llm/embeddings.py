@@ -2,7 +2,7 @@
 
 A bounded, documented sample of the vectors gives ``pivots`` reference points,
 chosen to lie apart.  Every vector is described by its ``nearest`` closest
-pivots.  Two similar vectors share pivots; the inverted lists are kept per pair
+pivots; their order is not used.  Two similar vectors share pivots; the inverted lists are kept per pair
 of pivots, so vectors meet in a list iff they share at least two of theirs.  In
 a list all pairs are verified by the exact cosine in double precision; a
 pair counts in the list of the two smallest pivots it shares and in no

@@ -75,3 +75,20 @@ def test_given_table_against_brute_force(spark):
     for i, (vec_id, _) in enumerate(rows):
         assert got[vec_id].n_links == sum(i in p for p in links)
         assert got[vec_id].component_id == rows[root[i]][0]
+
+
+@pytest.mark.parametrize("cosine,least", [(0.9005, 0.95), (0.95, 0.99)])
+def test_neighbours_planted_beside_given_vectors_are_found(spark, cosine, least):
+    table = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").orderBy("vec_id").limit(600)
+    x = np.array([r.embedding for r in table.collect()], np.float64)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    z = np.random.default_rng(12).normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    z /= np.linalg.norm(z, axis=1, keepdims=True)
+    both = np.concatenate((x, cosine * x + math.sqrt(1 - cosine ** 2) * z))
+    rows = [(i, list(map(float, a))) for i, a in enumerate(both)]
+    links = {p for p in zip(*map(np.ndarray.tolist, np.nonzero(np.triu(both @ both.T >= 0.9, 1))))}
+    assert len(links) >= len(x)
+    got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    found = got.agg(F.sum("n_links")).first()[0] / 2
+    assert least * len(links) <= found <= len(links)
