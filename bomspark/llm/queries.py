@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import (embeddings, langid, lm, mixing, oracles, packing, quality, simhash, urls, warc,
-               wordpiece)
+from . import (bytebpe, centroids, embeddings, langid, lm, mixing, oracles, packing, quality,
+               repair, simhash, urls, warc, wordpiece)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -67,6 +68,22 @@ def url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.repair_damaged(_table(spark, sf_dir, "conversations"))
+
+
+def centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.report(*centroids.cluster(_table(spark, sf_dir, "embeddings")))
+
+
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_path("byte_bpe_50k.tiktoken")
+    decoded = bytebpe.decode(bytebpe.encode(_table(spark, sf_dir, "documents"), ranks), ranks)
+    return decoded.select(
+        "doc_id", (F.octet_length("input_ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("input_ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 QUERIES = {
     "op1_best_fit_packing": best_fit_packing,
     "op2_simhash_near_dedup": simhash_near_dedup,
@@ -78,5 +95,8 @@ QUERIES = {
     "op8_source_mixing": source_mixing,
     "op9_lm_scoring": lm_scoring,
     "op10_warc": warc_archives,
+    "op11_conversation_repair": conversation_repair,
+    "op12_centroid_clustering": centroid_clustering,
+    "op13_byte_bpe": byte_bpe,
 }
 ORACLE = {name: sql for name, sql in oracles.ORACLE.items() if name in QUERIES}

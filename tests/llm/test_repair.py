@@ -1,0 +1,199 @@
+"""Conversation repair: against a plain search for the cheapest, least edits."""
+
+import hashlib
+import heapq
+import random
+import zlib
+
+import pytest
+
+from bomspark.llm import repair as R
+
+COLUMNS = "conv_id long, turn long, role string, text string"
+NAMES = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def plain(rows):
+    """The report of one conversation's rows in order, by best-first search over
+    (cost, audit)."""
+    seen, faults = set(), []
+    for _, role, text in rows:
+        body = text.rstrip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not body else "duplicate" if (role, text) in seen
+                      else "truncated" if body[-1] not in ".!?" else "")
+        seen.add((role, text))
+    heap, done = [(0, "", 0, "", ())], set()
+    while True:
+        cost, audit, i, last, out = heapq.heappop(heap)
+        if i == len(rows) and last in ("", "a"):
+            break
+        if (i, last) in done:
+            continue
+        done.add((i, last))
+        follow = ("assistant", "a") if last == "u" else ("user", "u")
+        heapq.heappush(heap, (cost + 2, audit + "I", i, follow[1], (*out, (follow[0], ""))))
+        if i < len(rows):
+            _, role, text = rows[i]
+            heapq.heappush(heap, (cost + 3, audit + "D", i + 1, last, out))
+            if faults[i] not in ("blank", "duplicate"):
+                extra = faults[i] == "truncated"
+                heapq.heappush(heap, (cost + 2 + extra, audit + "R", i + 1, follow[1],
+                                      (*out, (follow[0], text))))
+                first = role[:1]
+                if first and last + first in ("s", "u", "su", "ua", "au"):
+                    heapq.heappush(heap, (cost + extra, audit + "K", i + 1, first,
+                                          (*out, (role, text))))
+    turns = [t for t, _, _ in rows if t is not None]
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    initials = [r[:1] for _, r, _ in rows]
+    illegal = sum(a + b not in ("su", "ua", "au") for a, b in zip(initials, initials[1:]))
+    text = "\n".join(f"{r}:{t}" for r, t in out)
+    return (gaps, *(faults.count(f) for f in ("blank", "duplicate", "truncated")), illegal, cost,
+            audit, hashlib.sha256(text.encode()).hexdigest())
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+
+
+def plain_damage(conversations):
+    out = {}
+    for conv, turn, role, text in conversations:
+        own = out.setdefault(conv, [])
+        conv, turn_text = " " if conv is None else conv, " " if turn is None else turn
+        role, text = " " if role is None else role, " " if text is None else text
+        code = zlib.crc32(f"{conv}:{turn_text}".encode()) % 20
+        if code == 0:
+            continue
+        if code == 1:
+            text = ""
+        if code == 2:
+            text = "".join(c for c in text if c not in ".!?")
+        own += [(turn, "user" if code == 4 else role, text)] * (2 if code == 3 else 1)
+    return {conv: plain(ordered(rows)) for conv, rows in out.items()}
+
+
+def reported(frame):
+    got = {}
+    for r in frame.collect():
+        assert r["conv_id"] not in got
+        got[r["conv_id"]] = tuple(r[n] for n in NAMES)
+    return got
+
+
+ROLES = ("system", "user", "assistant", "user", "assistant", "tool", "", " ")
+TEXTS = ("a.", "b!", "c", "d?", " \n", "", "e. \t", "é…")
+
+
+def some_rows(rnd, n):
+    return [(rnd.choice((None, i, i, i + 1)), rnd.choice(ROLES), rnd.choice(TEXTS) + (
+        str(rnd.randrange(9)) + rnd.choice((".", "")) if rnd.random() < 0.7 else ""))
+        for i in range(n)]
+
+
+def test_every_short_conversation_gets_the_cheapest_least_edits():
+    rnd = random.Random(5)
+    for _ in range(3000):
+        rows = ordered(some_rows(rnd, rnd.randrange(0, 9)))
+        got = R.repair_rows(rows)
+        text = "\n".join(f"{r}:{t}" for r, t in got["turns"])
+        assert tuple(got[n] for n in NAMES[:-1]) + (
+            hashlib.sha256(text.encode()).hexdigest(),) == plain(rows)
+        initials = "".join(r[:1] for r, _ in got["turns"])
+        assert initials.removeprefix("s").replace("ua", "") == "" and initials != "s"
+
+
+def test_auction_prices_are_shortest_distances():
+    """Prices of every column against relaxation until nothing changes."""
+    rnd = random.Random(6)
+    for _ in range(300):
+        kinds = [(rnd.choice(("s", "u", "a", "")), rnd.choice(("", "", "blank", "truncated")))
+                 for _ in range(rnd.randrange(1, 8))]
+        exits = tuple(rnd.choice((0, 1, 2, 5, R.FAR, R.FAR)) for _ in R.STATES)
+        want = [[R.FAR] * 4 for _ in kinds] + [list(exits)]
+        for _ in range(4 * len(kinds) + 4):
+            for i, kind in enumerate(kinds):
+                for s in R.STATES:
+                    want[i][s] = min(c + want[i + done][to] for _, c, done, to in R._arcs(kind, s))
+        assert [list(p) for p in R.prices(kinds, exits)] == want
+
+
+def test_a_long_conversation_takes_linear_time():
+    rnd = random.Random(7)
+    rows = ordered([(i, rnd.choice(ROLES), f"text {i}" + rnd.choice((".", ""))) for i in range(3000)])
+    assert tuple(R.repair_rows(rows)[n] for n in NAMES[:-1]) == plain(rows)[:-1]
+    rows = [(i, rnd.choice(ROLES), f"text {i}.") for i in range(200_000)]
+    assert len(R.repair_rows(rows)["turns"]) > 100_000
+
+
+@pytest.mark.parametrize("max_rows,max_bytes", [(4096, 1 << 25), (3, 1 << 25), (4096, 40)])
+def test_repairs_equal_plain_ones_whole_and_in_segments(spark, max_rows, max_bytes):
+    rnd = random.Random(8)
+    rows = [(conv, *r) for conv in (*range(40), None)
+            for r in some_rows(rnd, rnd.choice((1, 2, 5, 9, 30)))]
+    rnd.shuffle(rows)
+    frame = spark.createDataFrame(rows, COLUMNS).repartition(5)
+    got = reported(R.report(R.repair(frame, max_rows=max_rows, max_bytes=max_bytes)))
+    by_conv = {}
+    for conv, *r in rows:
+        by_conv.setdefault(conv, []).append(tuple(r))
+    assert got == {c: plain(ordered(r)) for c, r in by_conv.items()}
+
+
+def test_pieces_of_one_conversation_that_is_most_of_the_table(spark):
+    """A hot conversation, one of whose rows is a third of all, is cut into segments;
+    no task gets it whole, and its pieces hold its rows in order."""
+    rows = [(1, i // 2, ("user", "assistant")[i % 2], f"t{i}.") for i in range(2000)]
+    rows += [(1, 5000, "user", "again and again.")] * 1000 + [(2, 0, "user", "x")]
+    repaired = R.repair(spark.createDataFrame(rows, COLUMNS).repartition(7), max_rows=100)
+    pieces = sorted(repaired.pieces.collect(), key=lambda r: r["piece"])
+    assert len(pieces) >= 30 and {r["pieces"] for r in pieces} == {len(pieces)}
+    assert all(len(r["turns"]) <= 201 for r in pieces)
+    want = plain(ordered([tuple(r[1:]) for r in rows if r[0] == 1]))
+    assert "".join(r["audit"] for r in pieces) == want[6]
+    text = "\n".join(f"{t['role']}:{t['text']}" for r in pieces for t in r["turns"])
+    assert hashlib.sha256(text.encode()).hexdigest() == want[7]
+    assert reported(R.report(repaired))[1] == want
+    assert repaired.all().count() == len(pieces) + 1
+
+
+def test_damaged_table_equals_plain_damage_and_repair(spark):
+    rnd = random.Random(9)
+    rows = [(conv, turn, rnd.choice(("system", "user", "assistant", None)),
+             rnd.choice(("Hi.", "what", None, "No! ", f"x{turn}?")))
+            for conv in (*range(300), None)
+            for turn in rnd.sample((0, 1, 2, 3, 4, 5, 6, None), rnd.choice((1, 1, 3, 6)))]
+    rows += rows[:50]                       # repeated rows
+    got = reported(R.repair_damaged(spark.createDataFrame(rows, COLUMNS).repartition(4)))
+    want = plain_damage(rows)
+    assert got == want
+    assert any(w[5:7] == (0, "") for w in want.values())     # one lost all its rows
+
+
+def test_given_table(spark):
+    from conftest import SF_SMALL
+    table = spark.read.parquet(f"{SF_SMALL}/conversations.parquet")
+    want = plain_damage([tuple(r) for r in table.select("conv_id", "turn", "role", "text").collect()])
+    assert reported(R.repair_damaged(table)) == want
+
+
+def test_empty_table_extra_columns_and_other_names(spark):
+    from pyspark.sql import functions as F
+    empty = spark.createDataFrame([], COLUMNS)
+    assert R.repair_damaged(empty).collect() == []
+    assert R.repair(empty).all().collect() == []
+    frame = spark.createDataFrame([(7, 0, "user", "Hello."), (7, 1, "tool", "Yes.")], COLUMNS)
+    clash = frame.select(F.col("conv_id").alias("c"), F.col("turn").alias("n"), F.col("role").alias("r"),
+                         F.col("text").alias("t"), F.lit(1).alias("id"), F.lit(2).alias("key"),
+                         F.lit(3).alias("piece"), F.lit("x").alias("audit"), F.lit(4).alias("long"))
+    for rows in (4096, 1):
+        got = R.report(R.repair(clash, "c", "n", "r", "t", max_rows=rows), "c").collect()
+        assert [(r["c"], r["cost"], r["audit"]) for r in got] == [(7, 2, "KR")]
+
+
+def test_a_very_long_text(spark):
+    rows = [(1, 0, "user", "word " * 1_000_000 + "."), (1, 1, "assistant", " " * 3_000_000)]
+    want = plain([(t, r, x) for _, t, r, x in rows])
+    for size in (R.MAX_BYTES, 1000):
+        frame = spark.createDataFrame(rows, COLUMNS)
+        assert reported(R.report(R.repair(frame, max_bytes=size)))[1] == want
