@@ -13,6 +13,8 @@ Rules (fixed values, must equal the reference's):
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -36,6 +38,11 @@ def year_from_name(name: Column | str) -> Column:
     return F.when(y != "", y)
 
 
+def has_year(name: str) -> bool:
+    """Does a name hold such a year? (for listings, on the driver)"""
+    return re.search(YEAR_RE, name, re.ASCII) is not None
+
+
 def month_from_name(name: Column | str) -> Column:
     """Two-digit month from the first pattern whose first match is 01..12."""
     candidates = []

@@ -77,16 +77,3 @@ def digits_only(c: Column | str) -> Column:
 def url_decode_path(c: Column | str) -> Column:
     """``_metadata.file_name`` / ``file_path`` are percent-encoded; decode them."""
     return F.try_url_decode(_c(c))
-
-
-def sql_string(value: str) -> str:
-    """A SQL string literal (quotes and backslashes escaped)."""
-    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def in_values(column_sql: str, values: list[str]) -> Column:
-    """``column IN (...)`` built as one SQL expression (one JVM call instead
-    of one per literal); used for per-file path lists."""
-    if not values:
-        return F.lit(False)
-    return F.expr(f"{column_sql} IN ({', '.join(sql_string(v) for v in values)})")

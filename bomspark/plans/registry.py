@@ -325,10 +325,10 @@ WITH p AS (
 SELECT file_name, COUNT(*) + 1 AS lines FROM r GROUP BY file_name""")
 def landing_scan_q(spark, sf):
     """Every ``*.csv`` of the option drop, with its line count."""
-    folder = FX.option_landing(spark, sf)
-    lines = spark.read.option("pathGlobFilter", LD.CSV_GLOB).text(folder)
-    name = F.regexp_extract(LD.file_path_col(), r"([^/]*)$", 1)
-    return lines.groupBy(name.alias("file_name")).agg(F.count(F.lit(1)).alias("lines"))
+    drop = LD.list_drop(spark, FX.option_landing(spark, sf))
+    counts = LD.lines(drop).groupBy("file").agg(F.count(F.lit(1)).alias("lines"))
+    return (LD.file_rows(drop).join(counts, "file")
+            .select(LD.base_of("path").alias("file_name"), "lines"))
 
 
 @register("detect_delimiter", _OPT_LANDING + "SELECT DISTINCT file_name, delimiter FROM r")
@@ -370,8 +370,7 @@ def ingest_option_child_q(spark, sf):
 SELECT DISTINCT file_name, option_column, delimiter FROM p""")
 def header_synonyms_q(spark, sf):
     """Which header each option-child file's option column was found under."""
-    files = IG.located(LD.landing_files(spark, FX.child_landing(spark, sf), pipe_on_tie=True),
-                       IG.CHILD_COLUMNS)
+    files = IG.child_files(spark, FX.child_landing(spark, sf))
     both = F.col(f"at_{S.CHILD}").isNotNull()
     return files.select("file_name", F.when(both, F.get("names", F.col(f"at_{S.OPTION_NUMBER}")))
                         .alias("option_column"), "delimiter")
@@ -432,8 +431,8 @@ def filename_period_q(spark, sf):
 SELECT file_name, year, period FROM periods WHERE file_name LIKE 'bom_option_extract_%'""")
 def period_fallback_q(spark, sf):
     """F8: files without a year in the name take it from their first data row."""
-    folder = FX.option_landing(spark, sf)
-    per = IG.file_periods(spark, IG.option_files(spark, folder), folder)
+    drop = LD.list_drop(spark, FX.option_landing(spark, sf))
+    per = IG.file_periods(spark, IG.option_files(spark, drop), drop)
     return per.where(PD.year_from_name("file_name").isNull()).select("file_name", "year", "period")
 
 

@@ -1,18 +1,16 @@
-"""Task-side reader of each landing file's first line (the header).
-
-A text scan cannot stop after one line per file (Spark reads every split
-and filters afterwards), so for large drops a header pass would read all the
-data once more.  This reader runs in the tasks over the file *listing*
-(content never loaded) and reads only up to the first line break of each
-file, at most ``MAX_HEADER`` bytes, through pyarrow's file systems (local and
-shared folders, hdfs, s3, gs, abfs).
+"""Task-side reader of each landing file's header: its first line.
+
+A scan cannot stop after one line per file, so a header pass over a scan would
+read all the data once more.  This reader runs in the tasks over the file
+*listing* and reads only up to the line's end, at most ``MAX_HEADER`` bytes,
+through pyarrow's file systems (local and shared folders, hdfs, s3, gs, abfs).
 """
 
 from __future__ import annotations
 
 import sys
 
-import pandas as pd
+import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import cloudpickle
 
@@ -24,7 +22,8 @@ MAX_HEADER = 1 << 20
 _TOO_LONG = "the first line of {} is longer than {} bytes"
 
 
-def _store(uri: str) -> tuple[pafs.FileSystem, str]:
+def store_of(uri: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a URI, and the path in it."""
     scheme = uri.split(":", 1)[0] if ":" in uri.split("/", 1)[0] else "file"
     if scheme == "file":
         path = uri[5:] if uri.startswith("file:") else uri
@@ -37,18 +36,18 @@ def _store(uri: str) -> tuple[pafs.FileSystem, str]:
 def opens(uri: str) -> bool:
     """Can Python open files of this file system?"""
     try:
-        _store(uri)
+        store_of(uri)
         return True
     except (OSError, ValueError):      # Arrow's errors are among these
         return False
 
 
-def read_first_line(uri: str, skip_blank: bool = False) -> str | None:
-    """First line as Java's ``readLine`` sees it (ends at \\n, \\r or \\r\\n),
-    or the first that is not blank; None for a file without one. A leading
-    byte-order mark is removed."""
-    store, path = _store(uri)
-    held, at_end = b"", False
+def read_header(uri: str, skip_blank: bool = False) -> tuple[str | None, int]:
+    """First line as Java's ``readLine`` sees it (ends at \\n, \\r or \\r\\n), or the
+    first that is not blank, and its position in the file; None for a file
+    without one. A leading byte-order mark is removed."""
+    store, path = store_of(uri)
+    held, at, at_end = b"", 0, False
     with store.open_input_stream(path) as fh:
         while True:
             ends = [i for i in (held.find(b"\n"), held.find(b"\r")) if i >= 0]
@@ -59,10 +58,10 @@ def read_first_line(uri: str, skip_blank: bool = False) -> str | None:
                 line = held[:cut].decode("utf-8", errors="replace").lstrip("﻿")
                 blank = not line.strip("".join(map(chr, range(33))))
                 if not held or not (skip_blank and blank):
-                    return line if held else None
-                held = held[cut + 1:]
+                    return (line if held else None), at
+                held, at = held[cut + 1:], at + cut + 1
                 if not held and at_end:
-                    return None
+                    return None, at
                 continue
             if len(held) > MAX_HEADER:
                 raise ValueError(_TOO_LONG.format(uri, MAX_HEADER))
@@ -71,10 +70,18 @@ def read_first_line(uri: str, skip_blank: bool = False) -> str | None:
             held += more
 
 
+def read_first_line(uri: str, skip_blank: bool = False) -> str | None:
+    return read_header(uri, skip_blank)[0]
+
+
 def header_batches(skip_blank: bool):
-    """mapInPandas body: (path) -> (path, header)."""
+    """mapInArrow body: (file, path) -> (file, path, header, header_at)."""
     def run(batches):
-        for pdf in batches:
-            out = [(p, read_first_line(p, skip_blank)) for p in pdf["path"]]
-            yield pd.DataFrame([r for r in out if r[1] is not None], columns=["path", "header"])
+        for b in batches:
+            found = [read_header(p, skip_blank) for p in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array([h for h, _ in found], pa.string()),
+                 pa.array([at for _, at in found], pa.int64())],
+                names=["file", "path", "header", "header_at"]).filter(
+                    pa.array([h is not None for h, _ in found]))
     return run

@@ -18,6 +18,7 @@ name has no year, from the first data row (in file order) holding one.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
@@ -25,11 +26,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..functions.periods import month_from_name, period_of, year_from_name, year_from_text
-from ..functions.text import blank_to_null, java_trim
-from ..operators.joins import splittable
-from .landing import (CSV_GLOB, Paths, base_of, data_lines, file_path_col,
-                      landing_files, split_lines, _sources)
+from ..functions.periods import (has_year, month_from_name, period_of, year_from_name,
+                                 year_from_text)
+from .landing import CSV_GLOB, Drop, Paths, clean, landing_files, list_drop, split_lines
 
 
 # ------------------------------------------------------------------ resolution
@@ -66,10 +65,11 @@ OPTION_COLUMNS: Rules = {
     for c in S.OPTION_KEEP}
 
 
-def located(files: DataFrame, rules: Rules) -> DataFrame:
-    """The file table with each column's position (``at_<column>``, NULL if absent)."""
-    return files.withColumns({f"at_{c}": F.coalesce(*[m.position(F.col("names")) for m in ranked])
-                              for c, ranked in rules.items()})
+def located(rules: Rules) -> Callable[[DataFrame], DataFrame]:
+    """Adds each column's position to a file table (``at_<column>``, NULL if absent)."""
+    at = {f"at_{c}": F.coalesce(*[m.position(F.col("names")) for m in ranked])
+          for c, ranked in rules.items()}
+    return lambda files: files.withColumns(at)
 
 
 def _present(rules: Rules, every: bool) -> Column:
@@ -77,12 +77,15 @@ def _present(rules: Rules, every: bool) -> Column:
     return reduce((lambda a, b: a & b) if every else (lambda a, b: a | b), tests)
 
 
-def _rows(lines: DataFrame, files: DataFrame, rules: Rules, keep: list[str] = []) -> DataFrame:
-    """The rules' columns and the ``keep`` columns of the file table."""
+def _rows(drop: Drop, files: DataFrame, rules: Rules, keep: list[str] = [],
+          skip_blank: bool = False) -> DataFrame:
+    """The rules' columns and the ``keep`` columns of the file table, with each row's file
+    and position."""
     at = [f"at_{c}" for c in rules]
-    return split_lines(lines, files.select("path", "delimiter", *at, *keep)).select(
-        *[blank_to_null(F.get("_f", F.col(a))).alias(c) for a, c in zip(at, rules)],
-        *keep, "_path", "_pos")
+    table = files.select("file", "header_at", "delimiter", *at, *keep)
+    return split_lines(drop, table, skip_blank).select(
+        *[clean(F.get("_f", F.col(a))).alias(c) for a, c in zip(at, rules)],
+        *keep, "file", "at")
 
 
 # ------------------------------------------------------------------ C1
@@ -92,15 +95,16 @@ def ingest_option_child(spark: SparkSession, paths: Paths, with_source: bool = F
     """(Option_Number, Child_Part_Number) from every file that has both
     columns; all rows kept (duplicates too), blanks become NULL and blank
     lines are empty records."""
-    files = located(landing_files(spark, paths, pipe_on_tie=True, glob=glob), CHILD_COLUMNS)
-    files = files.where(_present(CHILD_COLUMNS, every=True))       # P3: else file skipped
-    rows = _rows(data_lines(spark, paths, glob), files, CHILD_COLUMNS).drop("_pos")
-    lines = spark.read.option("pathGlobFilter", glob).text(_sources(spark, paths, glob))
-    blank = (lines.where(java_trim("value") == "").select(file_path_col().alias("_path"))
-             .join(splittable(files.select(F.col("path").alias("_path"))), "_path")
-             .select(*[F.lit(None).cast("string").alias(c) for c in CHILD_COLUMNS], "_path"))
-    out = rows.unionByName(blank)
-    return out if with_source else out.drop("_path")
+    drop = list_drop(spark, paths, glob)
+    files = child_files(spark, drop).where(_present(CHILD_COLUMNS, every=True))  # else skipped
+    source = ["path"] if with_source else []
+    return _rows(drop, files, CHILD_COLUMNS, source).select(
+        *CHILD_COLUMNS, *[F.col(c).alias(f"_{c}") for c in source])
+
+
+def child_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
+    return landing_files(spark, paths, pipe_on_tie=True, glob=glob,
+                         located=located(CHILD_COLUMNS))
 
 
 # ------------------------------------------------------------------ C2
@@ -110,41 +114,49 @@ def ingest_bom_config(spark: SparkSession, paths: Paths, with_source: bool = Fal
     """(Engine_serial, design_config_2, build_year) as text from every
     file whose header, its first line that is not blank, has the three
     required columns."""
-    files = located(landing_files(spark, paths, glob=glob, skip_blank=True), CONFIG_COLUMNS)
-    files = files.where(_present(CONFIG_COLUMNS, every=True))      # P3: else file skipped
-    rows = _rows(data_lines(spark, paths, glob), files, CONFIG_COLUMNS)
-    out = rows.select(S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR, "_path")
-    return out if with_source else out.drop("_path")
+    drop = list_drop(spark, paths, glob)
+    files = config_files(spark, drop).where(_present(CONFIG_COLUMNS, every=True))  # else skipped
+    source = ["path"] if with_source else []
+    return _rows(drop, files, CONFIG_COLUMNS, source, skip_blank=True).select(     # P6
+        S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR, *[F.col(c).alias(f"_{c}") for c in source])
+
+
+def config_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
+    return landing_files(spark, paths, glob=glob, skip_blank=True,
+                         located=located(CONFIG_COLUMNS))
 
 
 # ------------------------------------------------------------------ C3
 
-def _option_rows(lines: DataFrame, files: DataFrame, keep: list[str] = []) -> DataFrame:
+def _option_rows(drop: Drop, files: DataFrame, keep: list[str] = []) -> DataFrame:
     """Rows of the files with any kept column; P5: less those without a value."""
     files = files.where(_present(OPTION_COLUMNS, every=False))
-    return _rows(lines, files, OPTION_COLUMNS, keep).na.drop(how="all", subset=S.OPTION_KEEP)
+    return _rows(drop, files, OPTION_COLUMNS, keep).na.drop(how="all", subset=S.OPTION_KEEP)
 
 
 def option_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
-    return located(landing_files(spark, paths, glob=glob), OPTION_COLUMNS)
+    return landing_files(spark, paths, glob=glob, located=located(OPTION_COLUMNS))
 
 
 def file_periods(spark: SparkSession, files: DataFrame, source: Paths,
                  glob: str = CSV_GLOB) -> DataFrame:
-    """(_path, file_name, year, month, period) per file: F6/F7 on the name, F8
-    from data.  Only files whose name lacks a year are read for the latter (a
-    predicate on the path, which prunes at listing), to find their first row,
-    in file order, whose build_year_2 holds a year."""
-    no_year = year_from_name(base_of(F.col("_path"))).isNull()
-    rows = _option_rows(data_lines(spark, source, glob).where(no_year), files)
-    data_year = (rows.select("_path", "_pos", year_from_text("build_year_2").alias("_dy"))
-                 .where(F.col("_dy").isNotNull())
-                 .groupBy("_path").agg(F.min_by("_dy", "_pos").alias("_dy")))
-    year = F.coalesce(year_from_name("file_name"), F.col("_dy"))
-    return (files.select(F.col("path").alias("_path"), "file_name").join(data_year, "_path", "left")
-            .withColumns({"year": year, "month": month_from_name("file_name")})
-            .select("_path", "file_name", "year", "month",
-                    period_of(F.col("year"), F.col("month")).alias("period")))
+    """(file, file_name, year, month, period) per file of ``source``, the drop that
+    ``files`` was made from: F6/F7 on the name, F8 from data.  Only files whose
+    name lacks a year are read for the latter, to find their first row, in file
+    order, whose build_year_2 holds a year."""
+    nameless = list_drop(spark, source, glob).only(lambda name: not has_year(name))
+    year, month = year_from_name("file_name"), month_from_name("file_name")
+    named = files.select("file", "file_name")
+    if nameless.files:
+        rows = _option_rows(nameless, files)
+        data_year = (rows.select("file", "at", year_from_text("build_year_2").alias("_dy"))
+                     .where(F.col("_dy").isNotNull())
+                     .groupBy("file").agg(F.min_by("_dy", "at").alias("_dy")))
+        named = named.join(data_year, "file", "left")
+        year = F.coalesce(year, F.col("_dy"))
+    return named.withColumns({"year": year, "month": month}).select(
+        "file", "file_name", "year", "month",
+        period_of(F.col("year"), F.col("month")).alias("period"))
 
 
 def ingest_bom_option(spark: SparkSession, paths: Paths, with_source: bool = False,
@@ -155,15 +167,15 @@ def ingest_bom_option(spark: SparkSession, paths: Paths, with_source: bool = Fal
     The periods join the file table, which is written again with them, so the
     lines meet one table with one row per file; ``with_period=False`` gives
     the same rows without the period, which is then not computed at all."""
-    files = option_files(spark, paths, glob)
+    drop = list_drop(spark, paths, glob)
+    files = option_files(spark, drop)
     source = ["file_name"] if with_source else []
     if with_period:
         from ..sinks import checkpoint_table
-        periods = file_periods(spark, files, paths, glob).select(
-            F.col("_path").alias("path"), "period")
-        files = checkpoint_table(files.join(periods, "path"), "option-files")
+        periods = file_periods(spark, files, drop).select("file", "period")
+        files = checkpoint_table(files.join(periods, "file"), "option-files")
     keep = ["period"] * with_period + source
-    return _option_rows(data_lines(spark, paths, glob), files, keep).select(*S.OPTION_KEEP, *keep)
+    return _option_rows(drop, files, keep).select(*S.OPTION_KEEP, *keep)
 
 
 def ingest_counts(df: DataFrame, by: str | list[str]) -> DataFrame:

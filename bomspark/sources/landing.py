@@ -1,81 +1,41 @@
 """Landing-folder readers (S1-S6): file listing, per-file delimiter
-detection, one line scan for all dialects, lenient and typed CSV reads.
+detection, lines of all dialects from one scan, lenient and typed CSV reads.
 
 How a mixed folder is read
 --------------------------
 1. *Header pass* - tasks read the first line of every listed file (a bounded
    number of bytes) and Spark derives delimiter and column names from it.
    The result, one row per file, is written once as a table.
-2. *Line scan* - the folder is read once, as lines, whatever its files'
-   dialects; each file's header line is left out by the reader.
-3. The lines are joined with the file table on their path (broadcast if
+2. *Line scan* (``lines``) - the drop is read once, as lines with their positions,
+   whatever its files' dialects and names.
+3. The lines are joined with the file table on the file's number (broadcast if
    Spark's size check of that table allows it, otherwise a join in which
-   AQE splits a file holding most lines) and split by their file's rule.
-
-Each row keeps ``_path`` (its file) and ``_pos`` (block start, row id) so
-that "first row of a file" questions stay answerable after the scan.
+   AQE splits a file holding most lines), which leaves out each file's header by
+   its position, and split by their file's rule, once each.
 """
 
 from __future__ import annotations
 
-import fnmatch
-import posixpath
-import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import blank_to_null, count_char, java_trim, strip_bom
+from ..functions.text import count_char, java_trim
 from ..operators.joins import splittable
 from ..sinks import checkpoint_table
+from .lines import (CSV_GLOB, Drop, Paths, bytes_setting, file_rows, first_lines, lines,
+                    list_drop)
 
-CSV_GLOB = "*.[cC][sS][vV]"
-
-# ``_metadata.file_path`` is URI-encoded (space -> %20, % -> %25, '+' kept);
-# every file is keyed by its decoded path, which is also what file listings
-# report.  '+' is protected first because URL decoding would turn it into a
-# space.  A filter on this expression still prunes files at listing time.
-FILE_PATH_SQL = "try_url_decode(replace(_metadata.file_path, '+', '%2B'))"
 #: A line never holds a line break, so it can stand for an unquoted delimiter.
 _BREAK = "\n"
-#: Separator of the line scan: a line is one field.
-_NO_SEPARATOR = "\u0001\u0002\u0003\u0002\u0001"
-
-Paths = str | list[str]
-
-
-def file_path_col() -> Column:
-    return F.expr(FILE_PATH_SQL)
 
 
 def base_of(path: Column | str) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
-def literal_path(path: str) -> str:
-    """A path that the readers, which expand glob patterns, take literally."""
-    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
-
-
-def _sources(spark: SparkSession, paths: Paths, glob: str) -> list[str]:
-    """What to hand to a reader: a folder (or pattern) as it is, the files of a
-    list literally.  Spark's readers leave out names that begin with ``_``
-    or ``.``; a landing file of such a name is refused, not skipped."""
-    if isinstance(paths, list):
-        hidden = [p for p in paths if posixpath.basename(p)[:1] in ("_", ".")]
-    else:
-        hadoop = spark._jvm.org.apache.hadoop.fs
-        at = hadoop.Path(f"{paths.rstrip('/')}/[_.]*")
-        found = at.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(at) or []
-        hidden = [s.getPath().getName() for s in found if s.isFile()]
-        hidden = [name for name in hidden if fnmatch.fnmatchcase(name, glob)]
-    if hidden:
-        raise ValueError(f"landing files whose names begin with '_' or '.' cannot be read: "
-                         f"{', '.join(sorted(hidden)[:20])}")
-    return [literal_path(p) for p in paths] if isinstance(paths, list) else [paths]
-
-
 def quote_split(line: Column, delimiter: Column) -> Column:
     """S3: fields of a line.  A double quote anywhere switches quoting and is
     dropped; a delimiter inside quotes belongs to its field."""
@@ -95,67 +55,72 @@ def delimiter_of(header: Column, pipe_on_tie: bool = False) -> Column:
 
 def list_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
     """Regular ``*.csv`` files (any case); content is never read."""
-    return (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-            .load(_sources(spark, paths, glob)).select("path", "length", "modificationTime"))
-
-
-def first_lines(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB,
-                skip_blank: bool = False) -> DataFrame:
-    """Header pass: (path, header) for every non-empty file; with
-    ``skip_blank`` the header is the first line that is not blank.
-
-    Tasks read the files' first bytes.  Only for a file system that Python
-    cannot open is a text scan aggregated per file instead: the line at the
-    smallest (split start, row id) position."""
-    from .first_line import header_batches, opens
-    listing = list_files(spark, paths, glob).select("path")
-    if opens(paths[0] if isinstance(paths, list) and paths else str(paths or "/")):
-        return listing.mapInPandas(header_batches(skip_blank), "path string, header string")
-    lines = spark.read.option("pathGlobFilter", glob).text(_sources(spark, paths, glob))
-    pos = F.struct(F.col("_metadata.file_block_start").alias("b"),
-                   F.monotonically_increasing_id().alias("i"))
-    lines = lines.select("value", file_path_col().alias("path"), pos.alias("_pos"))
-    if skip_blank:
-        lines = lines.where(java_trim("value") != "")
-    return lines.groupBy("path").agg(strip_bom(F.min_by("value", "_pos")).alias("header"))
+    return file_rows(list_drop(spark, paths, glob)).drop("file")
 
 
 def landing_files(spark: SparkSession, paths: Paths, pipe_on_tie: bool = False,
-                  glob: str = CSV_GLOB, skip_blank: bool = False) -> DataFrame:
-    """The file table: (path, file_name, header, delimiter, names), one row per
-    non-empty file, written once.  Names are trimmed as Java trims."""
+                  glob: str = CSV_GLOB, skip_blank: bool = False,
+                  located: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """The file table: (file, path, file_name, header, header_at, delimiter, names), one
+    row per non-empty file, written once, with what ``located`` adds.  Names are
+    trimmed as Java trims."""
     delimiter = delimiter_of(F.col("header"), pipe_on_tie)
-    files = (first_lines(spark, paths, glob, skip_blank)
-             .select("path", base_of("path").alias("file_name"), "header",
+    files = (first_lines(list_drop(spark, paths, glob), skip_blank)
+             .select("file", "path", base_of("path").alias("file_name"), "header", "header_at",
                      delimiter.alias("delimiter"))
              .withColumn("names", F.transform(
                  quote_split(F.col("header"), F.col("delimiter")), java_trim)))
-    return checkpoint_table(files, "landing-files")
+    return checkpoint_table(located(files) if located else files, "landing-files")
 
 
 def detect_delimiters(spark: SparkSession, paths: Paths, pipe_on_tie: bool = False,
                       glob: str = CSV_GLOB) -> DataFrame:
     """S2 as a DataFrame: (path, file_name, header, delimiter), one row per file."""
-    return landing_files(spark, paths, pipe_on_tie, glob).drop("names")
+    return landing_files(spark, paths, pipe_on_tie, glob).select(
+        "path", "file_name", "header", "delimiter")
+
+
+def computed_once(column: Column) -> Column:
+    """The column, made to depend on the partition's number: Catalyst neither copies
+    such a column into what uses it nor pushes a filter on it below it."""
+    return F.when(F.spark_partition_id() >= 0, column)
+
+
+#: Bytes that a file's row takes in a join at most, besides its path.
+_FILE_ROW = 512
 
 
-def data_lines(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
-    """(value, _path, _pos) of every line that is not blank, less each file's
-    header (its first line that is not blank)."""
-    lines = (spark.read.schema("value string").option("header", True)
-             .option("sep", _NO_SEPARATOR).option("quote", "").option("pathGlobFilter", glob)
-             .csv(_sources(spark, paths, glob)))
-    return lines.select("value", file_path_col().alias("_path"), F.struct(
-        F.col("_metadata.file_block_start").alias("b"),
-        F.monotonically_increasing_id().alias("i")).alias("_pos"))
+def _beside_lines(drop: Drop, files: DataFrame) -> DataFrame:
+    """The file table as the other side of a join with the drop's lines.
+
+    Spark takes the size of what Python reads for that of the listing, so the way of
+    the join is chosen here: the table is broadcast if as many rows as the drop
+    has files are below Spark's threshold, else both sides are sorted and AQE splits
+    a file that holds most lines."""
+    limit = bytes_setting(files.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
+    if sum(_FILE_ROW + len(f.path) for f in drop.files) <= limit:
+        return F.broadcast(files)
+    return splittable(files).hint("merge")
+
+
+def split_lines(drop: Drop, files: DataFrame, skip_blank: bool = False) -> DataFrame:
+    """The drop's lines behind the headers of ``files`` (file, header_at, delimiter, ...)
+    with their ``_f`` fields; lines of other files are left out."""
+    own = lines(drop)
+    if skip_blank:
+        own = own.where(java_trim("value") != "")
+    regex = F.when(F.col("delimiter") == "|", r"\|").otherwise(",").alias("delimiter")
+    files = files.select(*[regex if c == "delimiter" else c for c in files.columns])
+    joined = own.join(_beside_lines(drop, files), "file").where("at > header_at")
+    return joined.withColumn("_f", computed_once(F.split("value", F.col("delimiter"), -1))).drop(
+        "delimiter", "header_at", "value")
 
 
-def split_lines(lines: DataFrame, files: DataFrame) -> DataFrame:
-    """``lines`` of the files in ``files`` (path, delimiter, ...) with their
-    ``_f`` fields; lines of other files are left out."""
-    joined = lines.join(splittable(files.withColumnRenamed("path", "_path")), "_path")
-    return joined.withColumn("_f", quote_split(F.col("value"), F.col("delimiter"))).drop(
-        "value", "delimiter")
+def clean(field: Column) -> Column:
+    """A field of ``_f``: quoted delimiters back in place, trimmed as Java trims, blank to
+    NULL.  Batches without quotes and control characters need no more than a plain trim."""
+    whole = java_trim(F.translate(field, "\n\r", "|,"))
+    return F.nullif(F.when(F.col("plain"), F.trim(field)).otherwise(whole), F.lit(""))
 
 
 def read_delimited(spark: SparkSession, folder: Paths, lower_names: bool = True,
@@ -163,7 +128,8 @@ def read_delimited(spark: SparkSession, folder: Paths, lower_names: bool = True,
     """S3/S4 on a whole folder: every file with its own delimiter, columns
     named by each file's (trimmed, lower-cased) header, aligned by name;
     values are text with quotes removed, trimmed, blank -> NULL."""
-    files = landing_files(spark, folder, glob=glob, skip_blank=True)
+    drop = list_drop(spark, folder, glob)
+    files = landing_files(spark, drop, skip_blank=True)
     if lower_names:
         files = files.withColumn("names", F.transform("names", F.lower))
     files = files.withColumn("names", F.transform("names", lambda n, i: F.when(
@@ -173,12 +139,14 @@ def read_delimited(spark: SparkSession, folder: Paths, lower_names: bool = True,
                .groupBy("n").agg(F.min("i").alias("i")).orderBy("i", "n").collect()]
     if not columns:
         raise ValueError("no readable files")
-    rows = split_lines(data_lines(spark, folder, glob), files.select("path", "delimiter", "names"))
+    rows = split_lines(drop, files.select("file", "header_at", "delimiter", "names", "path"),
+                       skip_blank=True)
 
     def field(name: str) -> Column:       # duplicate names: last one wins
         behind = F.array_position(F.reverse("names"), F.lit(name))
         return F.when(behind > 0, F.get("_f", F.size("names") - behind.cast("int")))
-    return rows.select(*[blank_to_null(field(n)).alias(n) for n in columns], "_path", "_pos")
+    return rows.select(*[clean(field(n)).alias(n) for n in columns],
+                       F.col("path").alias("_path"), F.col("at").alias("_pos"))
 
 
 def read_typed_csv(spark: SparkSession, paths: Paths, schema: T.StructType,

@@ -282,18 +282,21 @@ def test_lists_of_oddly_named_files_read_as_their_folder_does(spark, tmpdir_path
         ("a1_2014.csv", "2014_01"), ("{a,b}*_2013.csv", "2013_01")}
 
 
-def test_names_that_readers_skip_are_refused(spark, tmpdir_path):
+def test_names_that_sparks_readers_skip_are_read(spark, tmpdir_path):
     hdr = "engine_serial_num|design_config_num|build_year\n"
     write_file(tmpdir_path, "a.csv", hdr + "1|D|2020\n")
     write_file(tmpdir_path, "_SUCCESS", "")
     write_file(tmpdir_path, ".a.csv.crc", "")
-    assert IG.ingest_bom_config(spark, tmpdir_path).count() == 1
     write_file(tmpdir_path, "_b.csv", hdr + "2|D|2020\n")
     write_file(tmpdir_path, ".c.CSV", hdr + "3|D|2020\n")
-    with pytest.raises(ValueError, match=r"\.c\.CSV, _b\.csv"):
-        IG.ingest_bom_config(spark, tmpdir_path)
-    with pytest.raises(ValueError, match="_b"):
-        IG.ingest_bom_config(spark, [f"{tmpdir_path}/_b.csv"])
+    os.makedirs(os.path.join(tmpdir_path, "folder.csv"))
+    assert rows(IG.ingest_bom_config(spark, tmpdir_path), "Engine_serial") == [("1",), ("2",), ("3",)]
+    listed = [f"{tmpdir_path}/_b.csv", f"file:{tmpdir_path}/.c.CSV"]
+    assert rows(IG.ingest_bom_config(spark, listed), "Engine_serial") == [("2",), ("3",)]
+    assert rows(IG.ingest_bom_config(spark, f"{tmpdir_path}/[a_]*"), "Engine_serial") == [
+        ("1",), ("2",)]
+    with pytest.raises(FileNotFoundError):
+        IG.ingest_bom_config(spark, f"{tmpdir_path}/none")
 
 
 def test_quotes_switch_anywhere_in_a_field(spark, tmpdir_path):
@@ -345,8 +348,57 @@ def test_incremental_takes_late_and_oddly_named_files(spark, tmpdir_path):
     out = read_ingested(spark, table, S.BOM_CONFIG)
     assert rows(out, "Engine_serial") == [("1",), ("2",), ("3",), ("4",)]
     write_file(land, "_x.csv", hdr + "5|D|2020\n")
-    with pytest.raises(ValueError, match="_x.csv"):
-        incremental_ingest(spark, land, table, ckpt, IG.ingest_bom_config)
+    assert incremental_ingest(spark, land, table, ckpt, IG.ingest_bom_config) == 1
+    assert rows(spark.read.parquet(table), "Engine_serial")[-1] == ("5",)
+
+
+def test_a_batch_that_failed_is_run_again_and_counts_once(spark, tmpdir_path):
+    """Whether it failed before its rows were written, or between them and the ledger."""
+    from bomspark.streaming import incremental as INC
+    land = os.path.join(tmpdir_path, "landing")
+    hdr = "engine_serial_num|design_config_num|build_year\n"
+    table, ledger = scratch_path(spark, "t-retry"), scratch_path(spark, "t-retry-ledger")
+    for i in range(5):
+        write_file(land, f"f{i}.csv", hdr + f"{i}|D|2020\n")
+    normalize, into_batch, calls = IG.ingest_bom_config, INC._into_batch, []
+
+    def failing(sp, paths):
+        calls.append(paths)
+        if len(calls) == 2:
+            raise OSError("lost")
+        return normalize(sp, paths)
+    with pytest.raises(OSError):
+        incremental_ingest(spark, land, table, ledger, failing, max_files_per_trigger=2)
+    assert INC.read_ledger(spark, ledger).count() == 2
+
+    def lost_ledger(df, path, batch_id):
+        if path == ledger and batch_id == 2:
+            raise OSError("lost")
+        into_batch(df, path, batch_id)
+    INC._into_batch = lost_ledger
+    try:
+        with pytest.raises(OSError):
+            incremental_ingest(spark, land, table, ledger, normalize, max_files_per_trigger=2)
+    finally:
+        INC._into_batch = into_batch
+    assert spark.read.parquet(table).count() == 5         # written, not yet in the ledger
+    write_file(land, "late.csv", hdr + "9|D|2020\n")
+    assert incremental_ingest(spark, land, table, ledger, normalize, max_files_per_trigger=2) == 1
+    out = read_ingested(spark, table, S.BOM_CONFIG)
+    assert rows(out, "Engine_serial") == [(str(i),) for i in (0, 1, 2, 3, 4, 9)]
+    assert sorted(r["batch_id"] for r in INC.read_ledger(spark, ledger).collect()) == [0, 0, 1, 1, 2, 2]
+    assert incremental_ingest(spark, land, table, ledger, normalize) == 0
+
+
+def test_the_ledger_is_joined_not_collected(spark, tmpdir_path):
+    from bomspark.streaming import incremental as INC
+    write_file(tmpdir_path, "a.csv", "x\n")
+    ledger = scratch_path(spark, "t-ledger")
+    INC._into_batch(spark.range(1000).selectExpr("concat('file:/old/', id) AS path",
+                                                 "current_timestamp() AS modificationTime"), ledger, 0)
+    new = INC.new_files(spark, tmpdir_path, ledger)
+    assert "LeftAnti" in new._jdf.queryExecution().executedPlan().toString()
+    assert [r["path"] for r in new.collect()] == [f"file:{tmpdir_path}/a.csv"]
 
 
 def test_read_ingested_hides_no_errors(spark, tmpdir_path):

@@ -1,0 +1,128 @@
+"""The line scan: every line of a file once, at its position, from whatever ranges."""
+
+import io
+import os
+import random
+
+import pytest
+from conftest import write_file
+
+from bomspark.sources import landing as LD
+from bomspark.sources import lines as L
+
+
+def java_lines(raw):
+    """(position, bytes) of the lines that Java's readLine gives."""
+    out, at, i = [], 0, 0
+    while i < len(raw):
+        if raw[i:i + 1] in (b"\n", b"\r"):
+            out.append((at, raw[at:i]))
+            i += 2 if raw[i:i + 2] == b"\r\n" else 1
+            at = i
+        else:
+            i += 1
+    return out + [(at, raw[at:])] if at < len(raw) else out
+
+
+def unquoted(line):
+    """Quotes dropped; a quoted | as a line feed, a quoted comma as a carriage return."""
+    out, inside = "", False
+    for c in line:
+        if c == '"':
+            inside = not inside
+        else:
+            out += {"|": "\n", ",": "\r"}.get(c, c) if inside else c
+    return out
+
+
+def read(path, bounds):
+    got = []
+    for start, end in zip(bounds, bounds[1:]):
+        for b in L.range_lines(3, path, start, end):
+            got += [(r["at"], r["value"], r["plain"]) for r in b.to_pylist()]
+            assert set(b.column(0).to_pylist()) <= {3}
+    return got
+
+
+@pytest.mark.parametrize("chunk", [1, 2, 3, 7, 64, 1 << 20])
+def test_random_files_in_random_ranges(tmpdir_path, monkeypatch, chunk):
+    monkeypatch.setattr(L, "CHUNK", chunk)
+    rnd = random.Random(chunk)
+    for k in range(150):
+        raw = "".join(rnd.choice(["a", "b|", "c,", '"', "\n", "\r", "\r\n", " ", "é", "\t", "\n\n"])
+                      for _ in range(rnd.randrange(0, 40))).encode()
+        path = os.path.join(tmpdir_path, f"{k}.csv")
+        with open(path, "wb") as fh:
+            fh.write(raw)
+        cuts = sorted({0, len(raw), *(rnd.randrange(len(raw) + 1) for _ in range(rnd.randrange(5)))})
+        got = read(path, cuts if len(cuts) > 1 else [0, 1])
+        assert [(at, v) for at, v, _ in got] == [(at, unquoted(x.decode()))
+                                                 for at, x in java_lines(raw)], raw
+        for (at, _, plain), (_, x) in zip(got, java_lines(raw)):
+            assert not plain or not any(c < 32 or c == 34 for c in x)
+
+
+def test_plain_batches_are_told_apart(tmpdir_path):
+    write_file(tmpdir_path, "a.csv", "x|y\nz z|é\n")
+    write_file(tmpdir_path, "b.csv", "x|y\n\t|z\n")
+    write_file(tmpdir_path, "c.csv", 'x|"y"\n')
+    flags = [{p for _, _, p in read(os.path.join(tmpdir_path, n), [0, 99])}
+             for n in ("a.csv", "b.csv", "c.csv")]
+    assert flags == [{True}, {False}, {False}]
+
+
+def test_one_task_per_group_of_ranges_and_no_line_lost(spark, tmpdir_path):
+    text = "".join(f"{i}|x\n" for i in range(20_000))
+    write_file(tmpdir_path, "big.csv", text)
+    for k in range(30):
+        write_file(tmpdir_path, f"small{k}.csv", "h\n\n1\n")
+    write_file(tmpdir_path, "empty.csv", "")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "10KB")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1KB")
+    try:
+        drop = LD.list_drop(spark, tmpdir_path)
+        groups = L._groups(drop)
+        assert len(groups) > 15
+        assert all(sum(e - s for _, _, s, e in g) <= 10 << 10 for g in groups)
+        got = L.lines(drop)
+        assert got.rdd.getNumPartitions() == len(groups)
+        busy = got.selectExpr("spark_partition_id() AS p").distinct().count()
+        assert busy == len(groups)
+        names = {f.number: f.name for f in drop.files}
+        whole = {}
+        for r in got.collect():
+            whole.setdefault(names[r["file"]], []).append((r["at"], r["value"]))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [v for _, v in sorted(whole["big.csv"])] == text.split("\n")[:-1]
+    assert sorted(whole["small7.csv"]) == [(0, "h"), (2, ""), (3, "1")]
+    assert "empty.csv" not in whole and len(whole) == 31
+
+
+def test_a_row_like_the_header_is_data_and_blank_lines_survive(spark, tmpdir_path):
+    from bomspark.sources import ingest as IG
+    write_file(tmpdir_path, "a.csv", "option_no|child_part\n\noption_no|child_part\n |\n1|2")
+    got = sorted(map(tuple, IG.ingest_option_child(spark, tmpdir_path).collect()), key=str)
+    assert got == sorted([(None, None), ("option_no", "child_part"), (None, None), ("1", "2")], key=str)
+
+
+def test_file_systems_that_python_cannot_open(spark, tmpdir_path, monkeypatch):
+    """Spark's text reader gives the same rows there, and refuses names that it hides."""
+    from bomspark.sources import ingest as IG
+    hdr = "design_configuration|shop_order_num|engine_serial_num|option_assembly_num|build_upfit_date\n"
+    write_file(tmpdir_path, "x_2016_03_a.csv", hdr + 'D|"1|,2"|S1|O1|2020\n\n |||\t|\nD|3|S3|O3|\n')
+    write_file(tmpdir_path, "plain.csv", hdr.replace("|", ",") + "D,2,S2,O2,\nD,3,S3,O3,2017\n")
+    write_file(tmpdir_path, "blank.csv", "\n" + hdr + "D|9|S9|O9|2001\n")
+    want = IG.ingest_bom_option(spark, tmpdir_path, with_source=True).collect()
+    cfg = "\n \n" + "engine_serial_num|design_config_num|build_year\n1|D|2020\n"
+    config = write_file(os.path.join(tmpdir_path, "cfg"), "a.csv", cfg)
+    monkeypatch.setattr(L, "opens", lambda path: False)
+    drop = LD.list_drop(spark, tmpdir_path)
+    assert drop.sources and "MapInArrow run" in L.lines(drop)._jdf.queryExecution().toString()
+    got = IG.ingest_bom_option(spark, drop, with_source=True).collect()
+    assert sorted(map(str, got)) == sorted(map(str, want)) and len(got) == 4
+    assert IG.ingest_bom_config(spark, [config]).count() == 1
+    write_file(tmpdir_path, "_x.csv", hdr)
+    with pytest.raises(ValueError, match="_x.csv"):
+        LD.list_drop(spark, tmpdir_path)

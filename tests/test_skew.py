@@ -233,7 +233,7 @@ def test_hot_file_is_split_in_the_period_join(skew_spark, tmpdir_path):
     finally:
         skew_spark.conf.unset("spark.sql.files.maxPartitionBytes")
     joins = [ln for ln in plan.splitlines()
-             if "SortMergeJoin" in ln and "_path" in ln and "Inner" in ln]
+             if "SortMergeJoin" in ln and "file#" in ln and "Inner" in ln]
     assert joins and all("skew=true" in ln for ln in joins), joins
     got = {r["period"]: r["n"] for r in out.groupBy("period").agg(F.count(F.lit(1)).alias("n"))
            .collect()}
