@@ -17,6 +17,7 @@ from __future__ import annotations
 import base64
 import struct
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|"
            r"\s+(?!\S)|\s+")
 #: Encoded pre-tokens that a worker remembers (up to twice as many), and the longest
 #: that it does.
-REMEMBERED = 1 << 18
+REMEMBERED = 1 << 17
 REMEMBERED_CHARS = 64
 #: Characters of texts whose new pre-tokens are encoded in one call.
 _AT_ONCE = 1 << 20
@@ -139,28 +140,43 @@ class Cutter:
 # ------------------------------------------------------------------ the codec
 
 class ByteBpe:
-    """Encoder and decoder of one vocabulary; ids are its ranks."""
+    """Encoder and decoder of one vocabulary; ids are its ranks.  Either half is made
+    when it is first used, as a worker mostly needs one."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str = PATTERN):
-        import sentencepiece
         lacking = [b for b in range(256) if bytes([b]) not in ranks]
         if lacking:
             raise ValueError(f"the vocabulary lacks the bytes {lacking[:10]}")
-        tokens = sorted(ranks, key=ranks.__getitem__)
-        self.ids = [ranks[t] for t in tokens]
-        self.model = sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(tokens))
+        self.tokens = sorted(ranks, key=ranks.__getitem__)
+        self.ids = [ranks[t] for t in self.tokens]
+        self.pattern = pattern
         self.to_chars = dict(enumerate(byte_chars()))
-        # the inverse mapping, over the pieces as the loaded model has them
-        byte = {c: b for b, c in self.to_chars.items()}
-        self.bytes_of = {self.ids[i]: bytes(map(byte.__getitem__, self.model.id_to_piece(i)))
-                         for i in range(len(tokens))}
-        merged = self.model.encode([self._mapped(t) for t in tokens], num_threads=1)
-        #: tokens that merging does not lead to
-        self.whole = {t: self._bytes([i]) for i, (t, m) in enumerate(zip(tokens, merged)) if m != [i]}
-        self.cut = Cutter(pattern).cut
         self.known: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
 
+    @cached_property
+    def model(self):
+        import sentencepiece
+        return sentencepiece.SentencePieceProcessor(model_proto=sentencepiece_model(self.tokens))
+
+    @cached_property
+    def cut(self):
+        return Cutter(self.pattern).cut
+
+    @cached_property
+    def whole(self) -> dict[bytes, bytes]:
+        """Tokens that merging does not lead to."""
+        merged = self.model.encode([self._mapped(t) for t in self.tokens], num_threads=1)
+        return {t: self._bytes([i]) for i, (t, m) in enumerate(zip(self.tokens, merged))
+                if m != [i]}
+
+    @cached_property
+    def bytes_of(self) -> dict[int, bytes]:
+        """Bytes of the pieces by id: the inverse of the mapping."""
+        byte = {c: b for b, c in self.to_chars.items()}
+        return {i: bytes(map(byte.__getitem__, self._mapped(t)))
+                for i, t in zip(self.ids, self.tokens)}
+
     def _mapped(self, raw: bytes) -> str:
         return raw.decode("latin-1").translate(self.to_chars)
 
