@@ -74,6 +74,12 @@ def digits_only(c: Column | str) -> Column:
     return F.regexp_replace(_c(c), r"\D", "")
 
 
+def base_name(c: Column | str) -> Column:
+    """a file name without its extension, the text from the last dot on; a dot in
+    front does not begin one."""
+    return F.regexp_replace(_c(c), r"(?s)(.)\.[^.]*$", "$1")
+
+
 def url_decode_path(c: Column | str) -> Column:
     """``_metadata.file_name`` / ``file_path`` are percent-encoded; decode them."""
     return F.try_url_decode(_c(c))

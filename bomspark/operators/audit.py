@@ -1,62 +1,54 @@
 """Audits (A2, A6, A7) and the key-overlap diagnostic.
 
-Stage counts are computed as one query - a UNION ALL of one-row
-aggregates - so shared sub-plans are scanned once (exchange reuse), and the
-result stays a DataFrame.  For counts taken while a stage is being written,
-``observe_rows`` attaches a named ``Observation`` instead of a second pass.
+Stage counts are ``Observation``s, gathered while a stage is written
+(``plans.workflow.run_audited``): no stage is computed, or read again, to be
+counted.
 """
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
 def observe_rows(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
     """A2 without an extra pass: the count is filled in when ``df`` is
-    written/collected (``observation.get["rows"]``)."""
-    obs = Observation(name)
+    written/collected (``observed_rows``)."""
+    obs = Observation(f"{name}-{uuid.uuid4().hex}")
     return df.observe(obs, F.count(F.lit(1)).alias("rows")), obs
 
 
-def stage_counts(stages: Mapping[str, DataFrame]) -> DataFrame:
-    """A2: (stage, rows) for every named stage, as one query."""
-    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("stage"), "rows")
-             for name, df in stages.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def observed_rows(obs: Observation, df: DataFrame) -> int:
+    """Rows that the observed ``df`` had when it was written.  Spark leaves a frame out of a
+    plan whose result it knows to be empty (a join with an empty table); only then,
+    as nothing was observed, they are counted."""
+    try:
+        return int(obs.get["rows"])
+    except Py4JJavaError as error:       # there is no row of metrics to be turned into Python's
+        if error.java_exception.getClass().getName() != "java.lang.AssertionError":
+            raise
+        return df.count()
 
 
-def stage_audit(stages: Mapping[str, DataFrame], inputs: Mapping[str, str],
+def stage_audit(spark: SparkSession, counts: Mapping[str, int], inputs: Mapping[str, str],
                 totals: bool = True) -> DataFrame:
     """Per stage its input and output rows, delta and percent change.
 
-    ``inputs`` maps a stage to the stage whose rows it consumes, in run
-    order.  With ``totals``, two summary rows follow: ``TOTAL`` (input and
-    output rows summed over the stages that consume one) and ``NET`` (the
-    first stage's input against the last stage's output).
-
-    The stages are counted once, into one row with a column per stage, from
-    which the report's rows are taken."""
-    counts = stage_counts(stages)
-    column = {name: f"n{i}" for i, name in enumerate(stages)}
-    one = counts.agg(*[F.max(F.when(F.col("stage") == name, F.col("rows"))).alias(c)
-                       for name, c in column.items()])
-    nothing = F.lit(None).cast("long")
-    rows = [(name, F.col(column[inputs[name]]) if name in inputs else nothing,
-             F.col(column[name])) for name in stages]
+    ``counts`` has every stage's rows, ``inputs`` the stage whose rows a stage consumes,
+    in run order.  With ``totals``, two summary rows follow: ``TOTAL`` (input and output
+    rows summed over the stages that consume one) and ``NET`` (the first stage's
+    input against the last stage's output)."""
+    rows = [(name, counts[inputs[name]] if name in inputs else None, n)
+            for name, n in counts.items()]
     if totals and inputs:
         order = list(inputs)
-        rows.append(("TOTAL", sum(F.col(column[inputs[n]]) for n in order),
-                     sum(F.col(column[n]) for n in order)))
-        rows.append(("NET", F.col(column[inputs[order[0]]]), F.col(column[order[-1]])))
-    report = one.select(F.inline(F.array(*[
-        F.struct(F.lit(n).alias("stage"), i.alias("input_rows"), o.alias("output_rows"))
-        for n, i, o in rows])))
+        rows.append(("TOTAL", sum(counts[inputs[n]] for n in order), sum(counts[n] for n in order)))
+        rows.append(("NET", counts[inputs[order[0]]], counts[order[-1]]))
+    report = spark.createDataFrame(rows, "stage string, input_rows long, output_rows long")
     delta = F.col("output_rows") - F.col("input_rows")
     pct = F.when(F.col("input_rows") > 0,
                  F.round(delta * 100.0 / F.col("input_rows"), 2).cast("double"))

@@ -412,6 +412,51 @@ def missing_columns_q(spark, sf):
     return files.select("file_name", F.concat_ws(",", *absent).alias("missing"))
 
 
+_REJECTED = """
+SELECT 'child' AS drop_name,
+       'WC_Option_Child_' || lpad(CAST(p_size AS VARCHAR), 2, '0') || '.csv' AS file_name,
+       'no column for: ' || CASE WHEN p_size % 77 = 0 THEN 'Option_Number, Child_Part_Number'
+                                 WHEN p_size % 7 = 0 THEN 'Child_Part_Number'
+                                 ELSE 'Option_Number' END AS reason
+FROM part WHERE p_size % 7 = 0 OR p_size % 11 = 0
+UNION
+SELECT 'config', 'BOM_ESN_Config_' || strftime(o_orderdate, '%Y%m') || '.csv',
+       'no column for: design_config_2'
+FROM orders WHERE month(o_orderdate) = 5"""
+
+
+@register("rejected_files", _REJECTED)
+def rejected_files_q(spark, sf):
+    """Files of the child and config drops that lack a column, and why they were
+    skipped, as the side output of their ingests."""
+    child = IG.child_ingest(spark, FX.child_landing(spark, sf, "child-faulty")).rejected
+    config = IG.config_ingest(spark, FX.config_landing(spark, sf, faulty=True)).rejected
+    return (child.withColumn("drop_name", F.lit("child"))
+            .unionByName(config.withColumn("drop_name", F.lit("config")))
+            .select("drop_name", "file_name", "reason"))
+
+
+@register("rows_beside_rejects", q("""
+SELECT Option_Number, Child_Part_Number
+FROM child_part_option JOIN part ON Option_Number = 'OPT' || CAST(p_partkey AS VARCHAR)
+WHERE p_size % 7 <> 0 AND p_size % 11 <> 0"""))
+def rows_beside_rejects_q(spark, sf):
+    """The rows of the child drop's other files."""
+    return IG.child_ingest(spark, FX.child_landing(spark, sf, "child-faulty")).rows
+
+
+@register("hidden_names", """
+SELECT CASE p_size % 3 WHEN 1 THEN '_' WHEN 2 THEN '.' ELSE '' END || 'WC_Option_Child_' ||
+       lpad(CAST(p_size AS VARCHAR), 2, '0') || '.csv' AS file_name, 2 * COUNT(*) AS records
+FROM part GROUP BY p_size""")
+def hidden_names_q(spark, sf):
+    """Records per file of a drop of which most names begin with ``_`` or ``.``."""
+    rows = IG.ingest_option_child(spark, FX.child_landing(spark, sf, "child-hidden"),
+                                  with_source=True)
+    return rows.groupBy(LD.base_of("_path").alias("file_name")).agg(
+        F.count(F.lit(1)).alias("records"))
+
+
 @register("filename_period", _OPT_LANDING + """
 SELECT DISTINCT r.file_name,
        NULLIF(regexp_extract(r.file_name, '(19|20)\\d{2}', 0), '') AS year,
@@ -578,6 +623,83 @@ def best_per_child_csv_q(spark, sf):
     return best_per_child(text)
 
 
+def _damaged_export(spark, rollup):
+    """A year-wise export of the roll-up whose newest year lost the options that end in 7,
+    whose oldest year is gone, and which has a year -1 that it should not have."""
+    out = scratch_path(spark, "year-folders")
+    SK.export_by_year(rollup, out)
+    ends = rollup.agg(F.max(S.BUILD_YEAR).alias("newest"), F.min(S.BUILD_YEAR).alias("oldest"))
+    year = rollup.crossJoin(F.broadcast(ends))            # one row
+    newest = year.where("build_year = newest").drop("newest", "oldest")
+    SK.write_parquet(newest.where(~F.col(S.OPTION).endswith("7")), out, partition_by=[S.BUILD_YEAR])
+    SK.write_parquet(newest.where(F.col(S.OPTION).endswith("7")).withColumn(
+        S.BUILD_YEAR, F.lit(-1)), out, partition_by=[S.BUILD_YEAR])
+    oldest = ends.collect()[0]["oldest"]
+    at = spark._jvm.org.apache.hadoop.fs.Path(f"{out}/{S.BUILD_YEAR}={oldest}")
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    return out
+
+
+@register("year_verify", q("""
+, y AS (SELECT build_year, COUNT(*) AS n, COUNT(*) FILTER (option_assembly_num LIKE '%7') AS lost
+        FROM rolled GROUP BY build_year)
+SELECT build_year AS year, n AS expected_rows,
+       CASE WHEN build_year = (SELECT MIN(build_year) FROM y) THEN 0
+            WHEN build_year = (SELECT MAX(build_year) FROM y) THEN n - lost ELSE n END AS actual_rows,
+       build_year <> (SELECT MIN(build_year) FROM y)
+         AND NOT (build_year = (SELECT MAX(build_year) FROM y) AND lost > 0) AS match
+FROM y
+UNION ALL
+SELECT -1, 0, lost, FALSE FROM y WHERE build_year = (SELECT MAX(build_year) FROM y) AND lost > 0"""))
+def year_verify_q(spark, sf):
+    """The year-wise export verified year by year: here one year lost rows, one is
+    gone and one is there that should not be."""
+    rollup = _rollup_table(spark, sf)
+    return SK.verify_years(rollup, _damaged_export(spark, rollup))
+
+
+@register("year_repair", q("SELECT * FROM rolled"))
+def year_repair_q(spark, sf):
+    """K5: the damaged export with only its failing years written again, read back."""
+    rollup = _rollup_table(spark, sf)
+    out = _damaged_export(spark, rollup)
+    SK.repair_years(rollup, out)
+    return spark.read.schema(S.ROLLUP).parquet(out).select(*[f.name for f in S.ROLLUP])
+
+
+_OPTION_SQL = """
+SELECT 'DC' || CAST(l_suppkey AS VARCHAR) AS design_configuration,
+       CAST(l_linenumber AS VARCHAR) AS shop_order_num,
+       CAST(l_orderkey AS VARCHAR) AS Engine_serial,
+       'OPT' || CAST(l_partkey AS VARCHAR) AS option_assembly_num,
+       CAST(year(l_shipdate) AS VARCHAR) AS build_year_2
+FROM lineitem"""
+
+
+@register("csv_append_option", _OPTION_SQL + """
+WHERE (l_returnflag = 'A' AND l_linenumber <> 1) OR l_returnflag = 'R'""")
+def csv_append_option_q(spark, sf):
+    """K3 by the option rule: rows are added to a CSV table that holds short rows, which
+    are dropped."""
+    out = scratch_path(spark, "option-text-table")
+    FX.option_text_table(spark, sf, out, "A")
+    new = TB.bom_option_rows(TB.table(spark, sf, "lineitem").where("l_returnflag = 'R'"))
+    SK.append_csv(new.select(*S.OPTION_KEEP), out, short_rows="drop")
+    return LD.read_typed_csv(spark, [out], S.BOM_OPTION)
+
+
+@register("csv_append_child", q("""
+SELECT Option_Number, CASE WHEN p_size % 5 <> 0 THEN Child_Part_Number END AS Child_Part_Number
+FROM child_part_option JOIN part ON Option_Number = 'OPT' || CAST(p_partkey AS VARCHAR)
+UNION ALL SELECT * FROM child_part_option"""))
+def csv_append_child_q(spark, sf):
+    """K3 by the option-child rule: short rows of the existing table are padded."""
+    out = scratch_path(spark, "child-text-table")
+    FX.child_text_table(spark, sf, out)
+    SK.append_csv(TB.child_part_option(spark, sf), out, short_rows="pad", pipe_on_tie=True)
+    return LD.read_typed_csv(spark, [out], S.CHILD_PART_OPTION)
+
+
 # ---------------------------------------------------------------- audits / diagnostics
 
 @register("stage_audit", q("""
@@ -604,16 +726,10 @@ SELECT stage, input_rows, output_rows, output_rows - input_rows AS delta,
          AS pct_change
 FROM r"""))
 def stage_audit_q(spark, sf):
-    """Rows in and out of every stage, delta and percent change."""
-    from .workflow import run_workflow
-    opt, cfg, child = _inputs(spark, sf)
-    r = run_workflow(opt, cfg, child)
-    stages = {"bom_option": opt, "serial_join": r.serial_joined, "keyed": r.keyed,
-              "rollup": r.rollup, "latest": r.latest, "expanded": r.expanded,
-              "best_per_child": r.best_per_child}
-    inputs = {"serial_join": "bom_option", "keyed": "serial_join", "rollup": "keyed",
-              "latest": "rollup", "expanded": "latest", "best_per_child": "expanded"}
-    return AU.stage_audit(stages, inputs)
+    """Rows in and out of every stage, delta and percent change, observed while the
+    stages are written."""
+    from .workflow import run_audited
+    return run_audited(*_inputs(spark, sf))[1]
 
 
 @register("key_overlap", q("""
@@ -672,15 +788,15 @@ def drop_all_empty_q(spark, sf):
 @register("incremental_ingest", _CFG_LANDING + """
 SELECT engine_serial_num AS Engine_serial, design_config_num AS design_config_2, build_year FROM c""")
 def incremental_ingest_q(spark, sf):
-    """The config drop ingested by the file-ledger stream, run twice:
+    """The config drop ingested by the file ledger, run twice:
     the second run finds no new file, so every row is present exactly once."""
     landing = FX.config_landing(spark, sf)
     table_dir = scratch_path(spark, "cfg-incremental")
-    ckpt = scratch_path(spark, "cfg-incremental-ckpt")
+    ledger = scratch_path(spark, "cfg-incremental-ledger")
     def normalizer(sp, paths):
         return IG.ingest_bom_config(sp, paths)
-    incremental_ingest(spark, landing, table_dir, ckpt, normalizer, max_files_per_trigger=25)
-    incremental_ingest(spark, landing, table_dir, ckpt, normalizer, max_files_per_trigger=25)
+    incremental_ingest(spark, landing, table_dir, ledger, normalizer, max_files_per_trigger=25)
+    incremental_ingest(spark, landing, table_dir, ledger, normalizer, max_files_per_trigger=25)
     return read_ingested(spark, table_dir, S.BOM_CONFIG).drop("batch_id")
 
 
@@ -706,6 +822,22 @@ def period_files_q(spark, sf):
             .distinct().orderBy("year_num", "half_num"))
 
 
+@register("base_names", _OPT_LANDING + """
+SELECT DISTINCT 'Csv_bom_esn_option_' || period || '.csv' AS file_name,
+       'Csv_bom_esn_option_' || period AS base, CAST(split_part(period, '_', 1) AS INTEGER) AS year_num,
+       CAST(split_part(period, '_', 2) AS INTEGER) AS half_num
+FROM periods""")
+def base_names_q(spark, sf):
+    """the option ingest's files, one per period, listed: each name without its
+    extension, and the integers that are left of it without its prefix."""
+    out = scratch_path(spark, "period-text-files")
+    FX.period_text_files(spark, IG.ingest_bom_option(spark, FX.option_landing(spark, sf)), out)
+    base = TX.base_name("file_name")
+    year, half = PD.period_parts(F.regexp_replace(base, "^Csv_bom_esn_option_", ""))
+    return (LD.list_files(spark, out).select(LD.base_of("path").alias("file_name"))
+            .select("file_name", base.alias("base"), year.alias("year_num"), half.alias("half_num")))
+
+
 # ---------------------------------------------------------------- C10: the whole report
 
 

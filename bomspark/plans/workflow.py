@@ -15,7 +15,9 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from .. import schemas as S
 from ..sinks import checkpoint_table
+from ..operators.audit import observe_rows, observed_rows, stage_audit
 from ..operators import (best_per_child, best_per_child_from_parts, build_order_key,
                          config_engine_counts, expand_children, latest_per_key, serial_join)
 
@@ -55,28 +57,55 @@ def run_workflow(option: DataFrame, config: DataFrame, child: DataFrame,
     return WorkflowResult(sj, keyed, rollup, latest, expanded, best)
 
 
+#: The stage whose rows each stage consumes, in run order.
+STAGE_INPUTS = {"serial_join": "bom_option", "keyed": "serial_join", "rollup": "keyed",
+                "latest": "rollup", "expanded": "latest", "best_per_child": "expanded"}
+
+
+def run_audited(option: DataFrame, config: DataFrame,
+                child: DataFrame) -> tuple[WorkflowResult, DataFrame]:
+    """Run every stage, each written once to the shared checkpoint folder, and its audit
+    (A6).  The counts are observed while the stages are written; the option rows and
+    the serial join, which are not written, while ``keyed`` is."""
+    counts = {}
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df, obs = observe_rows(df, name)
+        table = checkpoint_table(df, name)
+        counts[name] = observed_rows(obs, df)
+        return table
+
+    needed = [c for c in option.columns if c in (S.ENGINE_SERIAL, S.OPTION, S.SHOP_ORDER)]
+    option, of_option = observe_rows(option.select(*needed), "bom_option")
+    joined, of_joined = observe_rows(serial_join(option, config), "serial_join")
+    keyed = written(build_order_key(joined), "keyed")
+    counts = {"bom_option": observed_rows(of_option, option),
+              "serial_join": observed_rows(of_joined, joined), **counts}
+    rollup = written(config_engine_counts(keyed), "rollup")
+    latest = written(latest_per_key(rollup), "latest")
+    expanded = written(expand_children(rollup, latest, child), "expanded")
+    best = written(best_per_child(expanded), "best_per_child")
+    return (WorkflowResult(joined, keyed, rollup, latest, expanded, best),
+            stage_audit(option.sparkSession, counts, STAGE_INPUTS))
+
+
 def write_outputs(result: WorkflowResult, out_dir: str) -> DataFrame:
     """Write the report's stage outputs and return their row counts.
 
     rollup/latest: ZSTD Parquet ordered by build year (newest first);
     expanded/best_per_child: header CSV folders.  Counts are gathered by
     ``Observation`` while each output is written - no second pass."""
-    from ..operators.audit import observe_rows
     from ..sinks import export_year_ordered, write_csv
-    from .. import schemas as S
 
     out = out_dir.rstrip("/")
-    counts = []
-    counts.append(("rollup", export_year_ordered(result.rollup, f"{out}/rollup", then=[S.COUNT],
-                                                 observe="rollup")))
-    counts.append(("latest", export_year_ordered(result.latest, f"{out}/latest",
-                                                 observe="latest")))
-    expanded, o3 = observe_rows(result.expanded, "expanded")
-    write_csv(expanded, f"{out}/expanded")
-    counts.append(("expanded", o3))
-    best, o4 = observe_rows(result.best_per_child, "best_per_child")
-    write_csv(best, f"{out}/best_per_child")
-    counts.append(("best_per_child", o4))
+    counts = [("rollup", export_year_ordered(result.rollup, f"{out}/rollup", then=[S.COUNT],
+                                             observe="rollup"), result.rollup),
+              ("latest", export_year_ordered(result.latest, f"{out}/latest",
+                                             observe="latest"), result.latest)]
+    for name, df in (("expanded", result.expanded), ("best_per_child", result.best_per_child)):
+        df, obs = observe_rows(df, name)
+        write_csv(df, f"{out}/{name}")
+        counts.append((name, obs, df))
     spark = result.rollup.sparkSession
-    return spark.createDataFrame([(name, int(obs.get["rows"])) for name, obs in counts],
+    return spark.createDataFrame([(name, observed_rows(obs, df)) for name, obs, df in counts],
                                  "stage string, rows long")

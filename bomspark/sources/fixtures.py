@@ -17,6 +17,10 @@ config drops (orders): ``BOM_ESN_Config_yyyyMM.csv``; pipe for odd months,
   ``remark`` column left off (short row) for status 'P'.
 child drops (part): ``WC_Option_Child_NN.csv`` by size; option column
   named by one of the three synonyms in varying case; pipe/comma by size.
+  ``faulty`` ones name the child column ``child_no`` for sizes divisible by 7 and the
+  option column ``opt_no`` for sizes divisible by 11; ``hidden`` ones put ``_`` or ``.``
+  before the names of sizes 1 and 2 modulo 3.
+faulty config drops name the design column ``design_no`` in May.
 
 Folders are written once per (checkpoint root, sf dir, kind) and reused.
 """
@@ -26,9 +30,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..schemas import CHILD, OPTION_KEEP, OPTION_NUMBER
 from ..session import scratch_path
 from .landing_writer import write_landing_files
-from .tables import table
+from .tables import bom_option_rows, table
 
 _CACHE: dict[tuple[str, str, str], str] = {}
 
@@ -119,9 +124,11 @@ def option_landing(spark: SparkSession, sf_dir: str, monthly: bool = False) -> s
     return _cached(spark, sf_dir, "option-monthly" if monthly else "option", build)
 
 
-def config_landing(spark: SparkSession, sf_dir: str) -> str:
+def config_landing(spark: SparkSession, sf_dir: str, faulty: bool = False) -> str:
     def build(folder):
         o = table(spark, sf_dir, "orders")
+        design = F.when(F.month("o_orderdate") == 5, F.lit("design_no")).otherwise(
+            F.lit(CONFIG_HEADER[2])) if faulty else F.lit(CONFIG_HEADER[2])
         rows = o.select(
             F.concat(F.lit("BOM_ESN_Config_"), F.date_format("o_orderdate", "yyyyMM"),
                      F.lit(".csv")).alias("_file"),
@@ -132,12 +139,15 @@ def config_landing(spark: SparkSession, sf_dir: str) -> str:
             F.concat(F.lit("DC"), F.col("o_custkey").cast("string")).alias("design"),
             F.year("o_orderdate").cast("string").alias("year"),
             F.when(F.col("o_orderstatus") != "P", F.col("o_orderstatus")).alias("remark"),
-            "o_orderkey",
+            design.alias("_design"), "o_orderkey",
         )
+        names = [F.col("_design") if n == CONFIG_HEADER[2] else F.lit(n) for n in CONFIG_HEADER]
+        rows = rows.withColumn("_h", F.concat_ws("<>", *names))
+        rows = rows.withColumn("_h", F.replace("_h", F.lit("<>"), F.col("_d")))
         write_landing_files(rows, folder, "_file", ["serial", "comment", "design", "year", "remark"],
-                            header=CONFIG_HEADER, delimiter_col="_d", order_by=["o_orderkey"],
+                            header_col="_h", delimiter_col="_d", order_by=["o_orderkey"],
                             short_trailing=True).count()
-    return _cached(spark, sf_dir, "config", build)
+    return _cached(spark, sf_dir, "config-faulty" if faulty else "config", build)
 
 
 def child_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -151,18 +161,56 @@ def child_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return brand.unionByName(kind)
 
 
-def child_landing(spark: SparkSession, sf_dir: str) -> str:
+def child_landing(spark: SparkSession, sf_dir: str, kind: str = "child") -> str:
+    """``kind``: "child", "child-faulty" or "child-hidden"."""
     def build(folder):
         rows = child_rows(spark, sf_dir)
         delim = F.when(F.col("p_size") % 2 == 0, F.lit("|")).otherwise(F.lit(","))
         syn = F.element_at(F.array(*[F.lit(n) for n in CHILD_OPTION_NAMES]),
                            (F.col("p_size") % 3 + 1).cast("int"))
-        header = F.concat(syn, delim, F.lit("child_part"), delim, F.lit("qty"))
+        child = F.lit("child_part")
+        if kind == "child-faulty":
+            child = F.when(F.col("p_size") % 7 == 0, F.lit("child_no")).otherwise(child)
+            syn = F.when(F.col("p_size") % 11 == 0, F.lit("opt_no")).otherwise(syn)
+        header = F.concat(syn, delim, child, delim, F.lit("qty"))
+        before = (F.element_at(F.array(F.lit(""), F.lit("_"), F.lit(".")),
+                               (F.col("p_size") % 3 + 1).cast("int"))
+                  if kind == "child-hidden" else F.lit(""))
         rows = rows.select(
-            F.concat(F.lit("WC_Option_Child_"), F.lpad(F.col("p_size").cast("string"), 2, "0"),
+            F.concat(before, F.lit("WC_Option_Child_"), F.lpad(F.col("p_size").cast("string"), 2, "0"),
                      F.lit(".csv")).alias("_file"),
             delim.alias("_d"), header.alias("_h"), "option", "child",
             F.col("p_size").cast("string").alias("qty"), "p_partkey", "_k")
         write_landing_files(rows, folder, "_file", ["option", "child", "qty"], header_col="_h",
                             delimiter_col="_d", order_by=["p_partkey", "_k"]).count()
-    return _cached(spark, sf_dir, "child", build)
+    return _cached(spark, sf_dir, kind, build)
+
+
+def option_text_table(spark: SparkSession, sf_dir: str, folder: str, flag: str) -> None:
+    """A CSV table of option rows as others leave one: the lines of a return flag, whose
+    build year is missing (a short row) on first order lines."""
+    li = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag") == flag)
+    rows = bom_option_rows(li).withColumn("build_year_2", F.when(
+        F.col("l_linenumber") != 1, F.col("build_year_2")))
+    rows = rows.withColumn("_file", F.concat(F.lit("part-"), (F.col("l_orderkey") % 8).cast("string"),
+                                             F.lit(".csv")))
+    write_landing_files(rows, folder, "_file", OPTION_KEEP, header=OPTION_KEEP, delimiter=",",
+                        order_by=OPTION_FILE_ORDER[:2], short_trailing=True).count()
+
+
+def child_text_table(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The same of child rows: the child part is missing where the size is divisible by 5."""
+    rows = child_rows(spark, sf_dir).withColumn("child", F.when(
+        F.col("p_size") % 5 != 0, F.col("child")))
+    rows = rows.withColumn("_file", F.concat(F.lit("part-"), (F.col("p_partkey") % 4).cast("string"),
+                                             F.lit(".csv")))
+    write_landing_files(rows, folder, "_file", ["option", "child"],
+                        header=[OPTION_NUMBER, CHILD], delimiter="|",
+                        order_by=["p_partkey", "_k"], short_trailing=True).count()
+
+
+def period_text_files(spark: SparkSession, rows: DataFrame, folder: str) -> None:
+    """Option rows as one ``Csv_bom_esn_option_YYYY_HH.csv`` per period."""
+    rows = rows.withColumn("_file", F.concat(F.lit("Csv_bom_esn_option_"), F.col("period"),
+                                             F.lit(".csv")))
+    write_landing_files(rows, folder, "_file", OPTION_KEEP, header=OPTION_KEEP, delimiter=",").count()

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,8 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.periods import (has_year, month_from_name, period_of, year_from_name,
                                  year_from_text)
-from .landing import CSV_GLOB, Drop, Paths, clean, landing_files, list_drop, split_lines
+from .landing import (CSV_GLOB, Drop, Paths, base_of, clean, file_rows, landing_files,
+                      list_drop, split_lines)
 
 
 # ------------------------------------------------------------------ resolution
@@ -88,6 +90,29 @@ def _rows(drop: Drop, files: DataFrame, rules: Rules, keep: list[str] = [],
         *keep, "file", "at")
 
 
+# ------------------------------------------------------------------ P3: skipped files
+
+class Ingested(NamedTuple):
+    """Rows of a drop and, beside them, its files that gave none: (file_name, reason)."""
+
+    rows: DataFrame
+    rejected: DataFrame
+
+
+def rejected_files(drop: Drop, files: DataFrame, rules: Rules, every: bool,
+                   empty: bool = True) -> DataFrame:
+    """(file_name, reason) of the files that an ingest skips: they lack columns that it
+    needs (``every`` one, or any of them), or with ``empty`` have no line at all."""
+    lacking = F.concat_ws(", ", *[F.when(F.col(f"at_{c}").isNull(), F.lit(c)) for c in rules])
+    skipped = files.where(~_present(rules, every)).select(
+        "file_name", F.concat(F.lit("no column for: "), lacking).alias("reason"))
+    if not empty:
+        return skipped
+    bare = file_rows(drop).join(files.select("file"), "file", "left_anti").select(
+        base_of("path").alias("file_name"), F.lit("empty file").alias("reason"))
+    return skipped.unionByName(bare)
+
+
 # ------------------------------------------------------------------ C1
 
 def ingest_option_child(spark: SparkSession, paths: Paths, with_source: bool = False,
@@ -95,11 +120,18 @@ def ingest_option_child(spark: SparkSession, paths: Paths, with_source: bool = F
     """(Option_Number, Child_Part_Number) from every file that has both
     columns; all rows kept (duplicates too), blanks become NULL and blank
     lines are empty records."""
+    return child_ingest(spark, paths, with_source, glob).rows
+
+
+def child_ingest(spark: SparkSession, paths: Paths, with_source: bool = False,
+                 glob: str = CSV_GLOB) -> Ingested:
+    """C1 with the files it skipped: those without both columns, and empty ones."""
     drop = list_drop(spark, paths, glob)
-    files = child_files(spark, drop).where(_present(CHILD_COLUMNS, every=True))  # else skipped
+    files = child_files(spark, drop)
     source = ["path"] if with_source else []
-    return _rows(drop, files, CHILD_COLUMNS, source).select(
-        *CHILD_COLUMNS, *[F.col(c).alias(f"_{c}") for c in source])
+    rows = _rows(drop, files.where(_present(CHILD_COLUMNS, every=True)), CHILD_COLUMNS, source)
+    return Ingested(rows.select(*CHILD_COLUMNS, *[F.col(c).alias(f"_{c}") for c in source]),
+                    rejected_files(drop, files, CHILD_COLUMNS, every=True))
 
 
 def child_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:
@@ -114,11 +146,21 @@ def ingest_bom_config(spark: SparkSession, paths: Paths, with_source: bool = Fal
     """(Engine_serial, design_config_2, build_year) as text from every
     file whose header, its first line that is not blank, has the three
     required columns."""
+    return config_ingest(spark, paths, with_source, glob).rows
+
+
+def config_ingest(spark: SparkSession, paths: Paths, with_source: bool = False,
+                  glob: str = CSV_GLOB) -> Ingested:
+    """C2 with the files it skipped: those without all columns.  An empty file is read,
+    and has no rows."""
     drop = list_drop(spark, paths, glob)
-    files = config_files(spark, drop).where(_present(CONFIG_COLUMNS, every=True))  # else skipped
+    files = config_files(spark, drop)
     source = ["path"] if with_source else []
-    return _rows(drop, files, CONFIG_COLUMNS, source, skip_blank=True).select(     # P6
-        S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR, *[F.col(c).alias(f"_{c}") for c in source])
+    rows = _rows(drop, files.where(_present(CONFIG_COLUMNS, every=True)), CONFIG_COLUMNS, source,
+                 skip_blank=True)                                                  # P6
+    return Ingested(rows.select(S.ENGINE_SERIAL, S.DESIGN_CONFIG, S.BUILD_YEAR,
+                                *[F.col(c).alias(f"_{c}") for c in source]),
+                    rejected_files(drop, files, CONFIG_COLUMNS, every=True, empty=False))
 
 
 def config_files(spark: SparkSession, paths: Paths, glob: str = CSV_GLOB) -> DataFrame:

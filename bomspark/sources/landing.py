@@ -123,6 +123,13 @@ def clean(field: Column) -> Column:
     return F.nullif(F.when(F.col("plain"), F.trim(field)).otherwise(whole), F.lit(""))
 
 
+def raw_rows(drop: Drop, files: DataFrame) -> DataFrame:
+    """(fields) of every line behind its file's header, as many as the line has, without
+    quotes but otherwise as they are."""
+    rows = split_lines(drop, files.select("file", "header_at", "delimiter"))
+    return rows.select(F.transform("_f", lambda f: F.translate(f, "\n\r", "|,")).alias("fields"))
+
+
 def read_delimited(spark: SparkSession, folder: Paths, lower_names: bool = True,
                    glob: str = CSV_GLOB) -> DataFrame:
     """S3/S4 on a whole folder: every file with its own delimiter, columns

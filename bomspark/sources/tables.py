@@ -25,14 +25,18 @@ def _txt(c: str):
 
 def bom_option(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Option rows: one per lineitem (serial = order, option = part)."""
-    li = table(spark, sf_dir, "lineitem")
-    return li.select(
-        F.concat(F.lit("DC"), _txt("l_suppkey")).alias("design_configuration"),
-        _txt("l_linenumber").alias(S.SHOP_ORDER),
-        _txt("l_orderkey").alias(S.ENGINE_SERIAL),
-        F.concat(F.lit("OPT"), _txt("l_partkey")).alias(S.OPTION),
-        F.year("l_shipdate").cast("string").alias("build_year_2"),
-    )
+    return bom_option_rows(table(spark, sf_dir, "lineitem")).select(*S.OPTION_KEEP)
+
+
+def bom_option_rows(lineitem: DataFrame) -> DataFrame:
+    """``lineitem`` with the option columns."""
+    return lineitem.withColumns({
+        "design_configuration": F.concat(F.lit("DC"), _txt("l_suppkey")),
+        S.SHOP_ORDER: _txt("l_linenumber"),
+        S.ENGINE_SERIAL: _txt("l_orderkey"),
+        S.OPTION: F.concat(F.lit("OPT"), _txt("l_partkey")),
+        "build_year_2": F.year("l_shipdate").cast("string"),
+    })
 
 
 def bom_config(spark: SparkSession, sf_dir: str) -> DataFrame:

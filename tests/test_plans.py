@@ -74,6 +74,7 @@ def test_rollup_runs_the_serial_join_once(spark):
     assert "lineitem" not in plan and "orders" not in plan
 
 
-def test_stage_audit_counts_each_stage_once(spark):
-    plan = plan_of(QUERIES["stage_audit"](spark, SF_SMALL)).split("== Initial Plan ==")[0]
-    assert plan.count("Union") == 2 or plan.count("\n") < 400
+def test_stage_audit_computes_nothing_to_count_it(spark):
+    """The audit is made of numbers observed while the stages were written."""
+    df = QUERIES["stage_audit"](spark, SF_SMALL)
+    assert scans(df) == 0 and "Aggregate" not in plan_of(df)
