@@ -8,7 +8,8 @@ a list all pairs are verified by the exact cosine in double precision; a
 pair counts in the list of the two smallest pivots it shares and in no
 other.
 
-Equal vectors are one class with a count.  A list longer than ``block`` is
+Vectors of different widths never link: each width has pivots of its own, and the width
+is a part of a list's key.  Equal vectors are one class with a count.  A list longer than ``block`` is
 split into blocks whose pairs are tasks of their own.  Tasks give each member's
 number of links and one edge that ties it to its group, never the pairs.
 """
@@ -23,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import splittable
 from .common import pieces_of, single_threaded_tasks, stored
 from .graph import connected_components
 
@@ -65,26 +67,43 @@ def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), dtype).reshape(-1, width)
 
 
-def _index(classes: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame:
-    """(cid, first, n, vector, vec, perm): a number per class, its components as
+def pivots_for(width: int, pivots: int = PIVOTS, nearest: int = NEAREST) -> int:
+    """Fewer pivots in few dimensions, where similar vectors would else have others near."""
+    return min(pivots, max(nearest + 1, 4 * width))
+
+
+def _index(classes: DataFrame, sample: dict[int, np.ndarray], pivots: int,
+           nearest: int) -> DataFrame:
+    """(cid, first, n, vector, width, vec, perm): a number per class, its components as
     bytes and its nearest pivots' numbers in ascending order, as bytes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base, at = TaskContext.get().partitionId() << 33, 0
+        base, at, points = TaskContext.get().partitionId() << 33, 0, {}
         for b in pieces_of(batches, 4096):
-            x = b.column(0).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
-            score = unit(x) @ pivots.T
-            perm = np.sort(np.argpartition(-score, nearest - 1, axis=1)[:, :nearest], axis=1)
+            widths = np.diff(b.column(0).offsets.to_numpy())
+            flat = b.column(0).flatten().to_numpy(zero_copy_only=False)
+            begin = np.concatenate([[0], np.cumsum(widths)])
+            vec, perm = np.empty(b.num_rows, object), np.empty(b.num_rows, object)
+            for width in np.unique(widths).tolist():
+                rows = np.flatnonzero(widths == width)
+                x = flat[begin[rows][:, None] + np.arange(width)]
+                if width not in points:
+                    points[width] = choose_pivots(sample.get(width, np.empty((0, width))),
+                                                  pivots_for(width, pivots, nearest))
+                score = unit(x) @ points[width].T
+                near = np.sort(np.argpartition(-score, nearest - 1, axis=1)[:, :nearest], axis=1)
+                for i, v, q in zip(rows.tolist(), x, near.astype("<u2")):
+                    vec[i], perm[i] = v.tobytes(), q.tobytes()
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(base + at, base + at + b.num_rows), pa.int64()), b.column(1),
-                 b.column(2), b.column(0), pa.array([r.tobytes() for r in x], pa.binary()),
-                 pa.array([r.tobytes() for r in perm.astype("<u2")], pa.binary())],
-                names=["cid", "first", "n", "vector", "vec", "perm"])
+                 b.column(2), b.column(0), pa.array(widths, pa.int32()),
+                 pa.array(vec, pa.binary()), pa.array(perm, pa.binary())],
+                names=["cid", "first", "n", "vector", "width", "vec", "perm"])
             at += b.num_rows
 
     kind, first = classes.schema["vector"].dataType, classes.schema["first"].dataType
     return classes.select("vector", "first", "n").mapInArrow(
         run, f"cid long, first {first.simpleString()}, n long, vector {kind.simpleString()}, "
-             "vec binary, perm binary")
+             "width int, vec binary, perm binary")
 
 
 def _verify(same: bool, x: np.ndarray, y: np.ndarray, px: np.ndarray, py: np.ndarray,
@@ -120,7 +139,17 @@ def _ties(n: int, r: np.ndarray, c: np.ndarray) -> np.ndarray:
             return label
 
 
-def vector_links(index: DataFrame, width: int, dtype: str, pivots: int = PIVOTS,
+def _by_width(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The rows of batches in order of width, by width."""
+    for b in batches:
+        widths = b.column("width").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(widths)) + 1).tolist(), b.num_rows]
+        for a, z in zip(cuts, cuts[1:]):
+            if a < z:
+                yield int(widths[a]), b.slice(a, z - a)
+
+
+def vector_links(index: DataFrame, dtype: str, pivots: int = PIVOTS,
                  nearest: int = NEAREST, threshold: float = THRESHOLD,
                  block: int = BLOCK) -> DataFrame:
     """(cid, links, peer) from every list: vectors linked to the class there
@@ -134,9 +163,9 @@ def vector_links(index: DataFrame, width: int, dtype: str, pivots: int = PIVOTS,
     keys = [F.col(f"p{i}") * pivots + F.col(f"p{j}")
             for i in range(nearest) for j in range(i + 1, nearest)]
     entries = (index.withColumns({f"p{i}": pivot(i) for i in range(nearest)})
-               .select("cid", "n", "vec", "perm", F.explode(F.array(*keys)).alias("key")))
+               .select("cid", "n", "width", "vec", "perm", F.explode(F.array(*keys)).alias("key")))
     lists = (index.withColumns({f"p{i}": pivot(i) for i in range(nearest)})
-             .select(F.explode(F.array(*keys)).alias("key")).groupBy("key")
+             .select("width", F.explode(F.array(*keys)).alias("key")).groupBy("width", "key")
              .agg(F.count(F.lit(1)).alias("size")).where("size > 1"))
     parts = F.ceil(F.col("size") / block).cast("int")
     own = F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int")
@@ -144,18 +173,23 @@ def vector_links(index: DataFrame, width: int, dtype: str, pivots: int = PIVOTS,
                                                       F.lit(1).alias("side")))
     task = task.otherwise(F.struct(F.col("own").alias("i"), F.col("t").alias("j"),
                                    F.lit(0).alias("side")))
-    dealt = (entries.join(stored(lists, "pivot-lists").withColumn("parts", parts), "key")
+    dealt = (entries.join(stored(lists, "pivot-lists").withColumn("parts", parts), ["width", "key"])
              .withColumn("own", own)
              .withColumn("t", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .withColumn("task", task)
-             .select("key", "task.i", "task.j", "task.side", "cid", "n", "vec", "perm")
-             .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side"))
+             .select("key", "task.i", "task.j", "task.side", "cid", "n", "vec", "perm", "width")
+             .repartition("width", "key", "i", "j")
+             .sortWithinPartitions("width", "key", "i", "j", "side"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
-        for b in batches:
+        held = now = None
+        for width, b in _by_width(batches):
             new = [b.column(k).to_numpy(zero_copy_only=False) for k in range(6)]
             new += [unit(_matrix(b.column(6), dtype, width)), _matrix(b.column(7), "<u2", nearest)]
+            if held is not None and width != now:
+                yield from _lists(held, [0, len(held[0])])
+                held = None
+            now = width
             held = new if held is None else [np.concatenate(z) for z in zip(held, new)]
             key, i, j = held[:3]
             cut = np.flatnonzero((np.diff(key) != 0) | (np.diff(i) != 0) | (np.diff(j) != 0)) + 1
@@ -194,8 +228,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     component_id (smallest id reachable, itself included), kept.
 
     Null, empty and zero vectors and those with null or non-finite components
-    link with nothing, and so do vectors of another length than most: they are
-    components of their own.  Repeated rows are linked with each other.  A
+    link with nothing and are components of their own; vectors of different lengths do
+    not link with each other.  Repeated rows are linked with each other.  A
     null id is never kept and names no component (null if no member has an id).
     Empty input gives no rows; other columns are ignored."""
     single_threaded_tasks(vectors.sparkSession)
@@ -205,32 +239,28 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     if kind not in ("array<float>", "array<double>"):
         src = src.withColumn("vector", F.col("vector").cast("array<double>"))
         kind = "array<double>"
-    width = src.where("ok").groupBy(F.size("vector").alias("w")).count().orderBy(
-        F.desc("count"), "w").limit(1).collect()
     alone = [F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
              F.col("id").isNotNull().alias("kept")]
-    if not width:
-        return src.select(F.col("id").alias(id_col), *alone)
-    width = width[0]["w"]
-    fits = F.col("ok") & (F.size("vector") == width)
+    fits = F.col("ok")
     classes = stored(src.where(fits).groupBy("vector").agg(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "vector-classes")
-    sample = classes.select("vector").orderBy(F.xxhash64("vector")).limit(PIVOT_SAMPLE).collect()
-    points = choose_pivots(unit(np.array([r["vector"] for r in sample], np.float64)), pivots)
-    index = stored(_index(classes, points, nearest), "pivot-index")
+    of_width: dict[int, list] = {}
+    for r in classes.select("vector").orderBy(F.xxhash64("vector")).limit(PIVOT_SAMPLE).collect():
+        of_width.setdefault(len(r["vector"]), []).append(r["vector"])
+    sample = {w: unit(np.array(v, np.float64)) for w, v in of_width.items()}
+    index = stored(_index(classes, sample, pivots, nearest), "pivot-index")
     dtype = "<f4" if kind == "array<float>" else "<f8"
-    links = stored(vector_links(index, width, dtype, pivots, nearest, threshold, block),
-                   "vector-links")
+    links = stored(vector_links(index, dtype, pivots, nearest, threshold, block), "vector-links")
     roots = connected_components(links.select(F.col("cid").alias("a"), F.col("peer").alias("b")))
     named = (index.select("cid", "first", "n", "vector")
              .join(links.groupBy("cid").agg(F.sum("links").alias("links")), "cid", "left")
              .join(roots, F.col("cid") == F.col("node"), "left")
              .withColumn("root", F.coalesce("root", "cid")))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    known = named.join(least, "root").select(
+    known = named.join(splittable(least), "root").select(
         "vector", (F.coalesce("links", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id")
     linked = src.where(fits).join(known, "vector").select(
         F.col("id").alias(id_col), "n_links", "component_id",
         F.coalesce(F.col("id") == F.col("component_id"), F.lit(False)).alias("kept"))
-    return linked.unionByName(src.where(~F.coalesce(fits, F.lit(False)))
+    return linked.unionByName(src.where(~fits)
                               .select(F.col("id").alias(id_col), *alone))

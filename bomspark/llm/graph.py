@@ -4,7 +4,7 @@ Each round replaces the edges by stars around smaller nodes (large-star, then
 small-star); the rounds needed grow with the logarithm of the longest path.
 All work is joins and partial aggregations over the edge table: a node with
 very many neighbours only ever meets the one row of its minimum, in a join
-whose large side AQE splits.  Each round's edges are written to the shared
+whose large side AQE splits (the minima are dealt anew, see ``splittable``).  Each round's edges are written to the shared
 checkpoint folder, so a lost executor repeats one round at most.
 """
 
@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..operators.joins import splittable
 from .common import scratch_path
 
 
@@ -23,10 +24,10 @@ def _round(edges: DataFrame) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select(
         "u", F.least("u", "m").alias("m"))
-    large = (both.join(least, "u").where("v > u")
+    large = (both.join(splittable(least), "u").where("v > u")
              .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
     least = large.groupBy("u").agg(F.min("v").alias("m"))
-    met = large.join(least, "u")
+    met = large.join(splittable(least), "u")
     return (met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
 

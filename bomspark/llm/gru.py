@@ -20,7 +20,7 @@ import numpy as np
 #: Scoring: lanes side by side and steps per window.
 LANES, WINDOW = 256, 64
 #: Training: lanes, steps backpropagated through, learning rate.
-TRAIN_LANES, TRAIN_STEPS, RATE = 32, 16, 0.01
+TRAIN_LANES, TRAIN_STEPS, RATE = 256, 16, 0.02
 
 
 def _product(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -110,23 +110,22 @@ class Gru:
         total = np.zeros(len(texts) + 1)
         if not texts:
             return total[:-1]
-        target, source, text = _in_lanes(texts, min(lanes, len(texts)), self.start)
+        laid = Lanes(texts, min(lanes, len(texts)), self.start)
         # products in double: a text's score does not depend on the texts beside it
         m = Gru(self.heads, self.width, self.groups, self.hidden, {
             k: v.astype(np.float64) if k in ("u", "c", "w") else v for k, v in self.p.items()})
-        h = np.zeros((target.shape[1], self.hidden), np.float32)
-        live = (text < len(texts)).sum(axis=1)           # lanes are in falling order of length
-        for at in range(0, len(target), window):
-            n = live[at]
-            end = min(at + window, len(target))
+        h = np.zeros((len(laid.sizes), self.hidden), np.float32)
+        for at in range(0, laid.steps, window):
+            end = min(at + window, laid.steps)
+            target, source, text = laid.window(at, end)
+            n = target.shape[1]
             states = np.empty((end - at, n, self.hidden), np.float32)
             h = h[:n]
-            for t in range(at, end):
-                x = source[t, :n]
+            for t, x in enumerate(source):
                 h = m.step(m.p["x"][x], h * (x != m.start)[:, None])[0]
-                states[t - at] = h
-            lp = m.log_prob(states.reshape(-1, self.hidden), target[at:end, :n].ravel())
-            total += np.bincount(text[at:end, :n].ravel(), lp, len(texts) + 1)
+                states[t] = h
+            lp = m.log_prob(states.reshape(-1, self.hidden), target.ravel())
+            total += np.bincount(text.ravel(), lp, len(texts) + 1)
         return total[:-1]
 
     def train(self, texts: list[np.ndarray], tokens: int, lanes: int = TRAIN_LANES,
@@ -137,8 +136,7 @@ class Gru:
         size = sum(map(len, texts))
         if not size:
             return self
-        target, source, text = _in_lanes(texts, min(lanes, len(texts)), self.start, False)
-        live = (text < len(texts)).sum(axis=1)
+        laid = Lanes(texts, min(lanes, len(texts)), self.start, False)
         first = {k: np.zeros_like(v) for k, v in self.p.items()}
         second = {k: np.zeros_like(v) for k, v in self.p.items()}
         grad = {k: np.empty_like(v) for k, v in self.p.items()}
@@ -146,11 +144,11 @@ class Gru:
         turns = min(epochs, max(1, tokens // size))
         done = update = 0
         for _ in range(turns):
-            h = np.zeros((target.shape[1], self.hidden), np.float32)
-            for at in range(0, len(target), steps):
-                n, end = live[at], min(at + steps, len(target))
-                use = text[at:end, :n] < len(texts)
-                h, _ = self._backprop(source[at:end, :n], target[at:end, :n], use, h[:n], grad)
+            h = np.zeros((len(laid.sizes), self.hidden), np.float32)
+            for at in range(0, laid.steps, steps):
+                target, source, text = laid.window(at, min(at + steps, laid.steps))
+                use = text < len(texts)
+                h, _ = self._backprop(source, target, use, h[:target.shape[1]], grad)
                 done += int(use.sum())
                 update += 1
                 fall = rate * max(0.1, 1 - done / (turns * size))
@@ -242,27 +240,39 @@ def _by_class(own: np.ndarray, head: np.ndarray):
     return at, [(int(mine[a]), slice(a, z)) for a, z in zip(cuts, cuts[1:]) if a < z]
 
 
-def _in_lanes(texts: list[np.ndarray], lanes: int, start: int, longest_first: bool = True):
-    """Targets, inputs and text numbers as (steps, lanes) arrays, longest lane
-    first; the number of unused places is ``len(texts)``.  Each text goes to the
-    lane that is shortest then."""
-    heap = [(0, lane) for lane in range(lanes)]
-    held: list[list[int]] = [[] for _ in range(lanes)]
-    for i in sorted(range(len(texts)), key=lambda i: -len(texts[i]) if longest_first else i):
-        size, lane = heapq.heappop(heap)
-        held[lane].append(i)
-        heapq.heappush(heap, (size + len(texts[i]), lane))
-    order = [lane for _, lane in sorted(heap, key=lambda x: -x[0])]
-    steps = max(size for size, _ in heap)
-    target = np.zeros((steps, lanes), np.int32)
-    source = np.full((steps, lanes), start, np.int32)
-    text = np.full((steps, lanes), len(texts), np.int32)
-    for col, lane in enumerate(order):
-        at = 0
-        for i in held[lane]:
-            n = len(texts[i])
-            target[at:at + n, col] = texts[i]
-            source[at + 1:at + n, col] = texts[i][:-1]
-            text[at:at + n, col] = i
-            at += n
-    return target, source, text
+class Lanes:
+    """Texts dealt to lanes, each to the lane that is shortest then; ``window`` gives
+    targets, inputs and text numbers as (steps, lanes) arrays, longest lane first.
+    The number of unused places is that of the texts.  Only a window is ever laid out,
+    so one very long text takes no room in the other lanes."""
+
+    def __init__(self, texts: list[np.ndarray], lanes: int, start: int, longest_first: bool = True):
+        heap = [(0, lane) for lane in range(lanes)]
+        held: list[list[int]] = [[] for _ in range(lanes)]
+        for i in sorted(range(len(texts)), key=lambda i: -len(texts[i]) if longest_first else i):
+            size, lane = heapq.heappop(heap)
+            held[lane].append(i)
+            heapq.heappush(heap, (size + len(texts[i]), lane))
+        order = sorted(heap, key=lambda x: -x[0])
+        self.unused, self.start = len(texts), start
+        self.sizes = np.array([size for size, _ in order])
+        none = [np.zeros(0, np.int32)]
+        self.target = [np.concatenate(none + [texts[i] for i in held[k]]) for _, k in order]
+        self.text = [np.repeat(np.array(held[k], np.int32), [len(texts[i]) for i in held[k]])
+                     for _, k in order]
+        self.steps = int(self.sizes[0])
+
+    def window(self, at: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Steps at .. end of the lanes that are not over at its first."""
+        n = int((self.sizes > at).sum())
+        target = np.zeros((end - at, n), np.int32)
+        source = np.full((end - at, n), self.start, np.int32)
+        text = np.full((end - at, n), self.unused, np.int32)
+        for k in range(n):
+            own, of = self.target[k][at:end], self.text[k][at:end]
+            target[:len(own), k], text[:len(own), k] = own, of
+            before = max(at - 1, 0)
+            same = self.text[k][before:at + len(own) - 1] == of[at == 0:]
+            source[int(at == 0):len(own), k] = np.where(
+                same, self.target[k][before:at + len(own) - 1], self.start)
+        return target, source, text

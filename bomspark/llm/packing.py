@@ -44,13 +44,15 @@ class TokenIds:
     """Ids of texts as little-endian uint32 bytes, as the tokenizer file gives them.
 
     A byte-level vocabulary is handed to the faster of the two libraries that
-    implement it; a text with characters on which the two could differ, or
-    any other kind of vocabulary, goes to the tokenizer itself."""
+    implement it; a text with characters on which the two could differ, with a
+    special token's text or with a run too long for that library, and any other kind
+    of vocabulary, goes to the tokenizer itself."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        self.whole.encode_special_tokens = True
+        special = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
         ranks = _ranks(path)
         self.fast = None
         if ranks is not None:
@@ -59,8 +61,12 @@ class TokenIds:
                                           special_tokens={})
 
     def of(self, text: str) -> bytes:
-        if self.fast is not None and _ALIKE.fullmatch(text):
-            return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+        if (self.fast is not None and _ALIKE.fullmatch(text)
+                and not (self.special and self.special.search(text))):
+            try:
+                return self.fast.encode_to_numpy(text, disallowed_special=()).astype("<u4").tobytes()
+            except ValueError:      # its pattern engine gives up on very long runs of blanks
+                pass
         ids = self.whole.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, "<u4").tobytes()
 

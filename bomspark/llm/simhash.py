@@ -32,10 +32,11 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.joins import splittable
 from .common import byte_texts, stored
 from .graph import connected_components
 
@@ -143,7 +144,7 @@ def fingerprint_links(classes: DataFrame, max_bits: int = 2, max_list: int = MAX
         F.struct(F.lit(k).alias("k"), F.col("fp").bitwiseAND(F.lit(mask)).alias("key"))
         for k, (_, mask) in enumerate(keys)])).alias("e")).select("fp", "e.k", "e.key")
     lists = entries.groupBy("k", "key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    live = stored(entries.join(lists, ["k", "key"]), "simhash-lists")
+    live = stored(entries.join(splittable(lists), ["k", "key"]), "simhash-lists")
     short = live.where(F.col("n") <= max_list)
     left = short.select("k", "key", F.col("fp").alias("a"))
     right = short.select("k", "key", F.col("fp").alias("b"))
@@ -183,7 +184,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     named = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root"))
     least = named.groupBy("root").agg(F.min("first").alias("component_id"))
-    of = stored(named.join(least, "root").select("fp", "component_id"), "fingerprint-components")
+    of = stored(named.join(splittable(least), "root").select("fp", "component_id"), "fingerprint-components")
     return fps.join(of, "fp").select(
         F.col("id").alias(id_col), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         "component_id")
@@ -191,26 +192,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def one_per_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   shingle: int = 3, max_bits: int = 2, max_list: int = MAX_LIST) -> DataFrame:
-    """The rows of ``docs`` less near-duplicates: of each component the document
-    with the smallest id stays, columns unchanged.
-
-    Rows that share an id are one document and stay once.  Rows with a null id
-    cannot be named by a component and stay."""
-    named = near_duplicates(docs, id_col, text_col, shingle, max_bits, max_list)
-    by_id = stored(named.where(F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("__id")).agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.col(id_col) == F.col("component_id")).alias("kept"))
-        .where("not kept or n > 1"), "simhash-ids")
-    gone = stored(by_id.where("not kept").select("__id"), "simhash-gone")
+    """The rows of ``docs`` less near-duplicates, columns unchanged: of each component
+    of rows one stays, the one with the smallest id (nulls last; of rows with one
+    id, any).
+
+    Rows are compared by their texts alone: equal texts without an id are one group,
+    and different texts under one id are not.  Null, empty and wordless texts are
+    one group.  Empty input gives no rows; further columns may have any names."""
     names = [f"__c{i}" for i in range(len(docs.columns))]
-    rows = docs.toDF(*names)
-    own = names[docs.columns.index(id_col)]
-    # the ids that go are fewer than those that stay, and rows with a null id match none
-    stay = rows.join(gone, F.col(own) == F.col("__id"), "left_anti")
-    several = by_id.where("kept").select("__id")
-    if not several.isEmpty():                    # rows of one id: the first by their values
-        first = Window.partitionBy(own).orderBy(F.xxhash64(*names))
-        same = F.col(own) == F.col("__id")
-        stay = stay.join(several, same, "left_anti").unionByName(
-            stay.join(several, same, "left_semi").withColumn("__r", F.row_number().over(first))
-            .where("__r = 1").drop("__r"))
-    return stay.toDF(*docs.columns)
+    rows = stored(docs.toDF(*names).withColumn("__row", F.monotonically_increasing_id()),
+                  "numbered-rows")
+    own, text = (names[docs.columns.index(c)] for c in (id_col, text_col))
+    fps = stored(fingerprints(rows, "__row", text, shingle).withColumnRenamed("id", "row"),
+                 "row-fingerprints")
+    order = F.struct(F.col(own).isNull().alias("no_id"), F.col(own).alias("id"), "__row")
+    first = fps.join(rows.select("__row", order.alias("order")), F.col("row") == F.col("__row"))
+    classes = stored(first.groupBy("fp").agg(F.min("order").alias("order")), "row-classes")
+    roots = connected_components(fingerprint_links(classes.select("fp"), max_bits, max_list))
+    named = classes.join(roots, F.col("fp") == F.col("node"), "left").select(
+        "fp", "order", F.coalesce("root", "fp").alias("root"))
+    least = named.groupBy("root").agg(F.min("order").alias("order"))
+    of = stored(named.select("fp", "root").join(splittable(least), "root").select(
+        "fp", F.col("order.__row").alias("stays")), "row-components")
+    # the rows that go are fewer than those that stay
+    gone = stored(fps.join(of, "fp").where("row <> stays").select("row"), "rows-gone")
+    return rows.join(gone, F.col("__row") == F.col("row"), "left_anti").drop("__row").toDF(
+        *docs.columns)

@@ -20,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.joins import splittable
+
 MAX_BLOCKS = 1 << 16
 ENTRIES_PER_BLOCK = 6
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -109,6 +111,6 @@ def judge_urls(pages: DataFrame, rules: DataFrame, id_col: str = "page_id", url_
             .groupBy("host", "path")
             .agg(F.max(F.struct(F.length("key").alias("n"), F.length("r_host").alias("h"),
                                 "key", "action")).alias("best")))
-    return seen.join(hits, ["host", "path"], "left").select(
+    return seen.join(splittable(hits), ["host", "path"], "left").select(
         F.col("id").alias(id_col), "host", "path", F.col("best.key").alias("rule"),
         F.coalesce("best.action", F.lit(default)).alias("verdict"))

@@ -92,3 +92,27 @@ def test_neighbours_planted_beside_given_vectors_are_found(spark, cosine, least)
     got = embeddings.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
     found = got.agg(F.sum("n_links")).first()[0] / 2
     assert least * len(links) <= found <= len(links)
+
+
+def test_every_width_is_compared_and_widths_do_not_link(spark):
+    """Equal and similar vectors of rarer widths, also of few dimensions."""
+    import numpy as np
+    rnd = np.random.default_rng(3)
+    rows, number = [], 0
+    for width, many in ((3, 3), (2, 40), (64, 60), (48, 1), (1, 5)):
+        for _ in range(many):
+            v = rnd.normal(size=width)
+            for x in (v, v, v + rnd.normal(size=width) * 0.2 / np.sqrt(width)):
+                rows.append((number, (x / np.linalg.norm(x)).tolist()))
+                number += 1
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = {r.vec_id: r for r in embeddings.near_duplicates(frame).collect()}
+    unit = {i: np.array(v) / np.linalg.norm(v) for i, v in rows}
+    pairs = [(i, j) for i in unit for j in unit if i < j and len(unit[i]) == len(unit[j])
+             and unit[i] @ unit[j] >= 0.9]
+    found = sum(r.n_links for r in got.values()) / 2
+    assert 0.97 * len(pairs) <= found <= len(pairs)
+    for i, v in rows:                        # equal ones always
+        twin = [j for j, w in rows if w == v and j != i]
+        assert got[i].n_links >= len(twin)
+        assert {got[j].component_id for j in twin} <= {got[i].component_id}

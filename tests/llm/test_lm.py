@@ -8,7 +8,7 @@ from helpers import documents
 from pyspark.sql import functions as F
 
 from bomspark.llm import lm
-from bomspark.llm.gru import Gru, _in_lanes
+from bomspark.llm.gru import Gru, Lanes
 
 
 def small(seed=0, hidden=5):
@@ -107,7 +107,8 @@ def test_training_reads_every_text_to_its_end(monkeypatch):
 
 def test_training_lanes_keep_the_order_of_the_texts():
     texts = [np.full(n, i, np.int32) for i, n in enumerate((1, 9, 2, 9, 1, 9, 2, 9))]
-    text = _in_lanes(texts, 2, 11, False)[2]
+    laid = Lanes(texts, 2, 11, False)
+    text = laid.window(0, laid.steps)[2]
     assert sorted(text.ravel().tolist()) == sorted([i for i, t in enumerate(texts) for _ in t]
                                                    + [8] * (text.size - 42))
     assert all((np.diff(text[:, lane]) >= 0).all() for lane in range(2))
@@ -212,3 +213,33 @@ def test_empty_tables(spark):
     out = next(i for i in range(50) if zlib.crc32(str(i).encode()) % 5 == 1)
     r = lm.score(documents(spark, [(out, "a b")]), st=TINY).first()
     assert (r.train_tokens, r.n_known, r.n_tokens, round(r.base_score, 9)) == (0, 0, 3, 0.0)
+
+
+def test_windows_of_lanes_equal_texts_laid_out_whole():
+    """Every symbol once, after the one before it or the start, in whatever windows."""
+    rnd = np.random.default_rng(2)
+    texts = [rnd.integers(0, 50, n).astype(np.int32) for n in (7, 1, 30, 2, 2, 9, 1)]
+    for lanes in (1, 2, 5):
+        for size in (1, 3, 100):
+            laid, got = Lanes(texts, lanes, 99), {}
+            for at in range(0, laid.steps, size):
+                target, source, text = laid.window(at, min(at + size, laid.steps))
+                for t, s, i in zip(target.T.ravel(), source.T.ravel(), text.T.ravel()):
+                    if i < len(texts):
+                        got.setdefault(int(i), []).append((int(t), int(s)))
+                assert target.shape == source.shape == text.shape
+            for i, x in enumerate(texts):
+                assert got[i] == list(zip(x.tolist(), [99, *x[:-1].tolist()]))
+
+
+def test_one_very_long_text_beside_many_short_ones_takes_little_room():
+    import tracemalloc
+    rnd = np.random.default_rng(2)
+    texts = [rnd.integers(0, 10, 300_000).astype(np.int32)] + [np.ones(20, np.int32)] * 1000
+    m = Gru.fresh(np.ones(14), 10, 5, 4)
+    tracemalloc.start()
+    got = m.score(texts)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 40 << 20 and len(got) == 1001
+    assert abs(got[1] - m.score(texts[1:2])[0]) < 1e-3

@@ -16,7 +16,6 @@ PATH = tokenizer_path("byte_bpe_50k.json")
 def reference():
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     return lambda x: t.encode(x, add_special_tokens=False).ids
 
 
@@ -30,6 +29,13 @@ def test_ids_equal_the_tokenizer_on_odd_texts(reference):
         assert own.of(x) == np.asarray(reference(x), "<u4").tobytes(), repr(x)
 
 
+def test_special_tokens_and_very_long_runs(reference):
+    own = packing.TokenIds(PATH)
+    assert np.frombuffer(own.of("x <|endoftext|> y"), "<u4").tolist() == [87, 220, 50256, 331]
+    for x in (" " * 1_000_001 + "end", "\n" * 1_200_000, "a" + "\t" * 1_000_000):
+        assert own.of(x) == np.asarray(reference(x), "<u4").tobytes()
+
+
 def check(rows, docs, reference, capacity=1024):
     """Every piece is right and every sequence is gapless and not over-full."""
     want = {}

@@ -93,10 +93,39 @@ def test_near_duplicates_with_odd_rows(spark):
 
 
 def test_one_per_group(spark):
-    rows = [(4, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (9, "q r s t"), (None, "a b c d e")]
-    got = simhash.one_per_group(documents(spark, rows))
-    assert got.columns == documents(spark, []).columns
-    assert sorted(str(r.doc_id) for r in got.collect()) == ["2", "9", "None"]
+    """By their texts: unrelated texts under one id both stay, equal ones without an id are
+    one group; the smallest id stays, one without an id only beside others of its kind."""
+    rows = [(4, "a b c d e"), (2, "a b c d e"), (2, "a b c d e"), (9, "q r s t"), (None, "a b c d e"),
+            (1, "one two three four"), (1, "cinq six sept huit"), (None, "p o i u"), (None, "p o i u"),
+            (7, None), (6, ""), (None, " ")]
+    frame = documents(spark, rows).selectExpr("*", "1 AS row", "2 AS fp", "3 AS __row", "4 AS id")
+    got = simhash.one_per_group(frame)
+    assert got.columns == frame.columns
+    assert sorted((str(r.doc_id), r.text) for r in got.collect()) == sorted([
+        ("2", "a b c d e"), ("9", "q r s t"), ("1", "one two three four"),
+        ("1", "cinq six sept huit"), ("None", "p o i u"), ("6", "")])
+    assert simhash.one_per_group(documents(spark, [])).collect() == []
+
+
+def test_a_star_is_split_among_tasks(spark):
+    """A node with very many neighbours: AQE splits both joins of a round."""
+    from bomspark.llm import graph
+    keys = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16KB",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16KB"}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    try:
+        edges = spark.range(1, 60_001, 1, 8).selectExpr("id AS u", "0L AS v")
+        found = graph._round(edges)
+        found.collect()
+        plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        for k in keys:
+            spark.conf.unset(k)
+    assert "SortMergeJoin" in plan and "skew=true" in plan
 
 
 def test_components_of_random_graphs(spark):
