@@ -13,6 +13,7 @@ scored in full.  Training is truncated backpropagation over such windows.
 from __future__ import annotations
 
 import heapq
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -20,7 +21,9 @@ import numpy as np
 #: Scoring: lanes side by side and steps per window.
 LANES, WINDOW = 256, 64
 #: Training: lanes, steps backpropagated through, learning rate.
-TRAIN_LANES, TRAIN_STEPS, RATE = 256, 16, 0.02
+TRAIN_LANES, TRAIN_STEPS, RATE = 512, 16, 0.03
+#: Times as many steps at most where few lanes are left.
+_LONGER = 16
 
 
 def _product(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -145,8 +148,8 @@ class Gru:
         done = update = 0
         for _ in range(turns):
             h = np.zeros((len(laid.sizes), self.hidden), np.float32)
-            for at in range(0, laid.steps, steps):
-                target, source, text = laid.window(at, min(at + steps, laid.steps))
+            for at, end in laid.windows(steps, _LONGER):
+                target, source, text = laid.window(at, end)
                 use = text < len(texts)
                 h, _ = self._backprop(source, target, use, h[:target.shape[1]], grad)
                 done += int(use.sum())
@@ -262,6 +265,16 @@ class Lanes:
                      for _, k in order]
         self.steps = int(self.sizes[0])
 
+    def windows(self, steps: int, longer: int) -> Iterator[tuple[int, int]]:
+        """Bounds of windows of ``steps``, or of up to ``longer`` times as many where
+        fewer lanes go on, so that windows hold about as many symbols."""
+        at = 0
+        while at < self.steps:
+            live = int((self.sizes > at).sum())
+            end = min(at + steps * min(longer, len(self.sizes) // live), self.steps)
+            yield at, end
+            at = end
+
     def window(self, at: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Steps at .. end of the lanes that are not over at its first."""
         n = int((self.sizes > at).sum())

@@ -48,7 +48,7 @@ class Settings:
     hidden: int = 32
     trainers: int = 6                 # shards of a small corpus
     rounds: int = 3
-    train_tokens: int = 600_000       # about a slice's tokens (a shard's in one round)
+    train_tokens: int = 1_200_000      # about a slice's tokens (a shard's in one round)
 
 
 def held_out(id_col: Column) -> Column:
