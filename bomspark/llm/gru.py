@@ -24,6 +24,9 @@ LANES, WINDOW = 256, 64
 TRAIN_LANES, TRAIN_STEPS, RATE = 512, 16, 0.03
 #: Times as many steps at most where few lanes are left.
 _LONGER = 16
+#: States whose class scores are held at once: they stay in a core's cache.
+_ROWS = 1024
+_OFTEN = 8
 
 
 def _product(h: np.ndarray, w: np.ndarray) -> np.ndarray:
@@ -95,8 +98,12 @@ class Gru:
 
     def log_prob(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log probability of each target given its state."""
-        own = self.classes_of(target)
-        out = _log_at(_product(h, self.p["c"]) + self.p["cb"], own).astype(np.float64)
+        own, out = self.classes_of(target), np.empty(len(target))
+        for a in range(0, len(target), _ROWS):
+            part = slice(a, a + _ROWS)
+            x = _product(h[part], self.p["c"])
+            x += self.p["cb"]
+            out[part] = _log_at(x, own[part])
         at, parts = _by_class(own, target < self.heads)
         out[at] += _log_at(self._inner(h[at], own[at], parts), target[at] % self.width)
         return out
@@ -188,9 +195,16 @@ class Gru:
         flat = states.reshape(-1, k)
         goal, on = target.ravel(), use.ravel().astype(np.float32)[:, None] / max(1, use.sum())
         own = self.classes_of(goal)
-        d = _loss_slope(flat @ p["c"] + p["cb"], own, on)
-        grad["c"][:], grad["cb"][:] = flat.T @ d, d.sum(axis=0)
-        dh = d @ p["c"].T
+        dh, up = np.empty_like(flat), np.ascontiguousarray(p["c"].T)
+        grad["c"][:], grad["cb"][:] = 0, 0
+        for a in range(0, len(flat), _ROWS):
+            part = slice(a, a + _ROWS)
+            d = flat[part] @ p["c"]
+            d += p["cb"]
+            _loss_slope(d, own[part], on[part])
+            grad["c"] += flat[part].T @ d
+            grad["cb"] += d.sum(axis=0)
+            np.matmul(d, up, out=dh[part])
         grad["w"][:], grad["wb"][:] = 0, 0
         at, parts = _by_class(own, goal < self.heads)
         own, seen = own[at], flat[at]
@@ -201,32 +215,32 @@ class Gru:
             np.matmul(d[part], p["w"][c].T, out=down[part])
         dh[at] += down
         dh = dh.reshape(steps, -1, k)
-        # what a state's gradient is multiplied with, for all steps at once
-        by_n = (1 - z) * (1 - n * n)
-        by_z = (before - n) * z * (1 - z)
-        by_r = by_n * q * r * (1 - r)
-        by_q = by_n * r
         through = np.empty((steps, len(h), 3 * k), inputs.dtype)
         back, up = np.zeros_like(h), np.ascontiguousarray(p["u"].T)
+        grad["u"][:], grad["n"][:] = 0, 0
         for t in reversed(range(steps)):
-            d = dh[t]
+            d, own = dh[t], through[t]
             d += back
-            np.multiply(d, by_z[t], out=through[t, :, :k])
-            np.multiply(d, by_r[t], out=through[t, :, k:2 * k])
-            np.multiply(d, by_q[t], out=through[t, :, 2 * k:])
+            by_n = 1 - n[t] * n[t]
+            by_n *= 1 - z[t]
+            by_n *= d                       # the loss by the candidate's input
+            np.multiply(by_n, r[t], out=own[:, 2 * k:])
+            by = before[t] - n[t]
+            by *= d
+            by *= z[t] * (1 - z[t])
+            own[:, :k] = by
+            np.multiply(by_n, q[t] * r[t] * (1 - r[t]), out=own[:, k:2 * k])
             back = d * z[t]
-            back += through[t] @ up
+            back += own @ up
             back *= keep[t]
+            grad["u"] += before[t].T @ own
+            grad["n"] += own[:, 2 * k:].sum(axis=0)
+            own[:, 2 * k:] = by_n
         through = through.reshape(-1, 3 * k)
-        grad["u"][:] = before.reshape(-1, k).T @ through
-        grad["n"][:] = through[:, 2 * k:].sum(axis=0)
-        through[:, 2 * k:] = (dh * by_n).reshape(-1, k)
         rows = source.ravel()
         order = np.argsort(rows, kind="stable")
         rows = rows[order]
-        cuts = np.append(0, np.flatnonzero(np.diff(rows)) + 1)
-        grad["x"][:] = 0
-        grad["x"][rows[cuts]] = np.add.reduceat(through[order], cuts, axis=0)
+        _add_rows(through[order], rows, grad["x"])
         norm = np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values()))
         if norm > 1:
             for g in grad.values():
@@ -234,6 +248,20 @@ class Gru:
         return h, grad
 
 
+def _add_rows(values: np.ndarray, rows: np.ndarray, out: np.ndarray) -> None:
+    """``out`` becomes the sum of the values of each row; ``rows`` ascend.  Rows met often
+    are summed one by one, the others' first, second, ... values each at once."""
+    out[:] = 0
+    cuts = np.append(0, np.flatnonzero(np.diff(rows)) + 1)
+    sizes = np.diff(np.append(cuts, len(rows)))
+    for a, n in zip(cuts[sizes > _OFTEN].tolist(), sizes[sizes > _OFTEN].tolist()):
+        np.add.reduce(values[a:a + n], axis=0, out=out[rows[a]])
+    cuts, sizes = cuts[sizes <= _OFTEN], sizes[sizes <= _OFTEN]
+    for i in range(int(sizes.max(initial=0))):
+        at = cuts[sizes > i] + i
+        out[rows[at]] += values[at]
+
+
 def _by_class(own: np.ndarray, head: np.ndarray):
     """Positions of the head targets in order of class; (class, slice) of each class there."""
     at = np.flatnonzero(head)
@@ -246,8 +274,8 @@ def _by_class(own: np.ndarray, head: np.ndarray):
 class Lanes:
     """Texts dealt to lanes, each to the lane that is shortest then; ``window`` gives
     targets, inputs and text numbers as (steps, lanes) arrays, longest lane first.
-    The number of unused places is that of the texts.  Only a window is ever laid out,
-    so one very long text takes no room in the other lanes."""
+    The text number of unused places is the number of texts.  Only a window is ever laid
+    out, so one very long text takes no room in the other lanes."""
 
     def __init__(self, texts: list[np.ndarray], lanes: int, start: int, longest_first: bool = True):
         heap = [(0, lane) for lane in range(lanes)]
@@ -257,12 +285,16 @@ class Lanes:
             held[lane].append(i)
             heapq.heappush(heap, (size + len(texts[i]), lane))
         order = sorted(heap, key=lambda x: -x[0])
-        self.unused, self.start = len(texts), start
+        dealt = [i for _, lane in order for i in held[lane]]
+        lengths = np.array([len(texts[i]) for i in dealt], np.int64)
         self.sizes = np.array([size for size, _ in order])
-        none = [np.zeros(0, np.int32)]
-        self.target = [np.concatenate(none + [texts[i] for i in held[k]]) for _, k in order]
-        self.text = [np.repeat(np.array(held[k], np.int32), [len(texts[i]) for i in held[k]])
-                     for _, k in order]
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        # lane after lane; the last place stands for those after a lane's end
+        self.target = np.concatenate([*(texts[i] for i in dealt), [0]]).astype(np.int32)
+        self.text = np.repeat(np.array([*dealt, len(texts)], np.int32), np.append(lengths, 1))
+        self.source = np.append(np.int32(start), self.target[:-1])
+        self.source[np.cumsum(lengths) - lengths] = start
+        self.source[-1] = start
         self.steps = int(self.sizes[0])
 
     def windows(self, steps: int, longer: int) -> Iterator[tuple[int, int]]:
@@ -278,14 +310,6 @@ class Lanes:
     def window(self, at: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Steps at .. end of the lanes that are not over at its first."""
         n = int((self.sizes > at).sum())
-        target = np.zeros((end - at, n), np.int32)
-        source = np.full((end - at, n), self.start, np.int32)
-        text = np.full((end - at, n), self.unused, np.int32)
-        for k in range(n):
-            own, of = self.target[k][at:end], self.text[k][at:end]
-            target[:len(own), k], text[:len(own), k] = own, of
-            before = max(at - 1, 0)
-            same = self.text[k][before:at + len(own) - 1] == of[at == 0:]
-            source[int(at == 0):len(own), k] = np.where(
-                same, self.target[k][before:at + len(own) - 1], self.start)
-        return target, source, text
+        step = np.arange(at, end)[:, None]
+        place = np.where(step < self.sizes[:n], self.begin[:n] + step, len(self.target) - 1)
+        return self.target[place], self.source[place], self.text[place]

@@ -4,10 +4,11 @@ Counting.  Words of all training texts are counted, per partition and then in
 Spark.  The at most ``broadcast_words`` most frequent ones go to the scoring
 tasks; the counts of all others are joined to the texts that hold them.
 
-Symbols.  The ``heads`` most frequent words are symbols of the recurrent model.
-Every other word, seen or not, belongs to one of ``GROUPS`` groups by its last
-bytes; the model predicts the group and the word's share in the group comes from the
-corpus counts, so every text has a proper probability.
+Symbols.  The most frequent words are symbols of the recurrent model; how many grows
+with the cube root of the corpus (``heads_of``).  Every other word, seen or not, belongs
+to one of ``GROUPS`` groups by its last bytes; the model predicts the group and the word's
+share in the group comes from the corpus counts, so every text has a proper probability.
+Texts are split into symbols once; the table of them is trained on and scored.
 
 Training.  Every training text is dealt by hash to one round and one shard; there
 are as many shards as keep a round's slice of one at about ``train_tokens`` tokens, so
@@ -43,7 +44,8 @@ _HELD_TOKENS = 1_500_000  # tokens a scoring task gathers before it scores them
 @dataclass(frozen=True)
 class Settings:
     broadcast_words: int = 200_000    # bound of what the scoring tasks are sent
-    heads: int = 1024                 # symbols of the recurrent model; a multiple of width
+    heads: int | None = None          # symbols of the recurrent model, a multiple of
+                                      # width; None: by the corpus, see heads_of
     width: int = 32                   # words per class
     hidden: int = 32
     trainers: int = 6                 # shards of a small corpus
@@ -102,9 +104,16 @@ class Vocabulary:
     heads: int
 
 
-def vocabulary(counts: DataFrame, most: int, head_words: int) -> Vocabulary:
+def heads_of(tokens: int, width: int) -> int:
+    """Words that are symbols of their own in a corpus of so many tokens: about 1,000 of
+    60 M tokens and 4,000 of 4 G, in whole classes of ``width``."""
+    return width * max(8, round(tokens ** (1 / 3) / 12))
+
+
+def vocabulary(counts: DataFrame, most: int, head_words: int | None = None,
+               width: int = Settings.width) -> Vocabulary:
     """Frequent words down to the count at which they would be more than ``most``;
-    totals over all words."""
+    totals over all words.  ``head_words`` None: as many as ``heads_of`` gives."""
     by_count = counts.groupBy("c").agg(F.count(F.lit(1)).alias("n"))
     # words are distinct, so there are at most sqrt(2 N) distinct counts
     least, held = None, 0
@@ -126,6 +135,7 @@ def vocabulary(counts: DataFrame, most: int, head_words: int) -> Vocabulary:
               .agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).collect()):
         sums[r["g"]] = r["n"], r["v"]
     tokens, distinct = int(sums[:, 0].sum()), int(sums[:, 1].sum())
+    head_words = heads_of(tokens, width) if head_words is None else head_words
     c = np.array([x[1] for x in frequent], np.float64)
     group = np.array([group_of(x[0]) for x in frequent])
     heads = np.arange(len(frequent)) < head_words
@@ -158,19 +168,53 @@ def shards_of(tokens: int, st: Settings) -> int:
     return max(st.trainers, -(-tokens // (st.rounds * st.train_tokens)))
 
 
-def slices(texts: DataFrame, voc_shared, shards: int, st: Settings) -> DataFrame:
-    """(turn, shard, h, symbols) of every text."""
+_WORD = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
+
+
+def encoded(texts: DataFrame, voc_shared, shards: int, st: Settings) -> DataFrame:
+    """Every row of (id, text, held_out) once as symbols: uid (unique), id, held_out, turn
+    and shard (null: not learned from), h (a random order), symbols, n_tokens, n_known,
+    base_score, share, rare.
+
+    The sums are of the words that the vocabulary knows, and the groups' totals of the
+    others, whose counts are joined by way of ``rare``."""
+    id_type = texts.schema["id"].dataType
+
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        v = voc_shared.value
+        logs = np.log10(v.counts + 0.5)
+        uid = TaskContext.get().partitionId() << 33
         for b in pieces_of(batches, 256):
-            syms = [symbols(_tokens(t), voc_shared.value)[1].tobytes() for t in byte_texts(b, "text")]
-            yield pa.RecordBatch.from_arrays([*b.columns[1:], pa.array(syms, pa.binary())],
-                                             names=["turn", "shard", "h", "symbols"])
+            rows = []
+            for text in byte_texts(b, "text"):
+                ranks, syms, others = symbols(_tokens(text), v)
+                share = float(v.share[ranks].sum())
+                if others:   # the groups' totals here, the words' counts by the join
+                    share -= float(v.group_total[[group_of(w) for w in others]].sum())
+                rows.append((syms.astype("<i4").tobytes(), len(syms), int((v.counts[ranks] > 0).sum()),
+                             float(logs[ranks].sum() - len(syms) * v.total), share,
+                             [{"word": w, "n": n} for w, n in Counter(others).items()]))
+            cols = list(zip(*rows))
+            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
+                     pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(range(uid, uid + b.num_rows), pa.int64()), *b.columns[1:],
+                 *(pa.array(c, k) for c, k in zip(cols, kinds))], names=schema.names)
+            uid += b.num_rows
 
+    schema = T.StructType([
+        T.StructField("uid", T.LongType()), T.StructField("id", id_type),
+        T.StructField("held_out", T.BooleanType()), T.StructField("turn", T.IntegerType()),
+        T.StructField("shard", T.IntegerType()), T.StructField("h", T.LongType()),
+        T.StructField("symbols", T.BinaryType()), T.StructField("n_tokens", T.LongType()),
+        T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
+        T.StructField("share", T.DoubleType()), T.StructField("rare", T.ArrayType(_WORD))])
+    learned = F.col("id").isNotNull() & ~F.col("held_out")
     rows = texts.withColumn("h", F.xxhash64("id", "text", F.lit(9)))
-    turn = F.pmod(F.xxhash64("h"), F.lit(st.rounds)).cast("int").alias("turn")
-    shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int").alias("shard")
-    return rows.select("text", turn, shard, "h").mapInArrow(
-        encode, "turn int, shard int, h long, symbols binary")
+    turn = F.pmod(F.xxhash64("h"), F.lit(st.rounds)).cast("int")
+    shard = F.pmod(F.xxhash64("h", F.lit(1)), F.lit(shards)).cast("int")
+    return rows.select("text", "id", "held_out", F.when(learned, turn).alias("turn"),
+                       F.when(learned, shard).alias("shard"), "h").mapInArrow(encode, schema)
 
 
 def fit(dealt: DataFrame, model: Gru, shards: int, st: Settings) -> Gru:
@@ -239,6 +283,35 @@ def fit(dealt: DataFrame, model: Gru, shards: int, st: Settings) -> Gru:
     return model
 
 
+def log_likelihood(table: DataFrame, model: Gru) -> DataFrame:
+    """The rows with ``model`` in place of column ``symbols``: their log10 probability."""
+    shared = table.sparkSession.sparkContext.broadcast(model)
+    names = [c for c in table.columns if c != "symbols"]
+    schema = T.StructType([*(table.schema[c] for c in names), T.StructField("model", T.DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def scored() -> pa.RecordBatch:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            texts = [np.frombuffer(x, "<i4") for b in held
+                     for x in b.column(b.schema.get_field_index("symbols")).to_pylist()]
+            lp = shared.value.score(texts) / np.log(10)
+            return pa.RecordBatch.from_arrays(
+                [*(rows.column(c).combine_chunks() for c in names), pa.array(lp, pa.float64())],
+                names=schema.names)
+
+        held, size = [], 0
+        for b in pieces_of(batches, 256):
+            held.append(b)
+            size += b.column(b.schema.get_field_index("symbols")).nbytes // 4
+            if size >= _HELD_TOKENS:
+                yield scored()
+                held, size = [], 0
+        if held:
+            yield scored()
+
+    return table.mapInArrow(run, schema)
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           st: Settings = Settings()) -> DataFrame:
     """One row per input row: id, held_out, n_tokens, n_known, train_tokens,
@@ -255,72 +328,21 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       held_out(F.col(id_col)).alias("held_out"))
     known = src.where(F.col("id").isNotNull() & ~F.col("held_out")).select("id", "text")
     counts = stored(token_counts(known), "lm-counts")
-    voc = vocabulary(counts, st.broadcast_words, st.heads)
-    shared = spark.sparkContext.broadcast(voc)
+    voc = vocabulary(counts, st.broadcast_words, st.heads, st.width)
     shards = shards_of(voc.tokens, st)
-    dealt = stored(slices(known, shared, shards, st), "lm-slices")
-    model = fit(dealt, Gru.fresh(voc.frequency, st.heads, st.width, st.hidden), shards, st)
-    model_shared = spark.sparkContext.broadcast(model)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, gru = shared.value, model_shared.value
-        logs = np.log10(v.counts + 0.5)
-        uid = TaskContext.get().partitionId() << 33
-        held, size = [], 0
-
-        def scored() -> pa.RecordBatch:
-            nonlocal uid
-            lp = gru.score([h[2] for h in held]) / np.log(10)
-            cols = [[h[0] for h in held], [h[1] for h in held]]
-            n, n_known, base, full, rare = [], [], [], [], []
-            for (_, _, syms, ranks, others), p in zip(held, lp):
-                n.append(len(syms))
-                n_known.append(int((v.counts[ranks] > 0).sum()))
-                base.append(float(logs[ranks].sum() - len(syms) * v.total))
-                out = float(p + v.share[ranks].sum())
-                if others:   # the groups' totals here, the words' counts by the join
-                    out -= sum(v.group_total[group_of(w)] for w in others)
-                full.append(out)
-                rare.append(list(Counter(others).items()))
-            kinds = pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())]))
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(range(uid, uid + len(held)), pa.int64()), pa.array(cols[0], id_type),
-                 pa.array(cols[1], pa.bool_()), pa.array(n, pa.int64()), pa.array(n_known, pa.int64()),
-                 pa.array(base, pa.float64()), pa.array(full, pa.float64()),
-                 pa.array([[{"word": w, "n": k} for w, k in r] for r in rare], kinds)],
-                names=schema.names)
-            uid += len(held)
-            return batch
-
-        for b in pieces_of(batches, 256):
-            id_type = b.column(0).type
-            for i, out, text in zip(b.column(0).to_pylist(), b.column(2).to_pylist(),
-                                    byte_texts(b, "text")):
-                ranks, syms, others = symbols(_tokens(text), v)
-                held.append((i, out, syms, ranks, others))
-                size += len(syms)
-                if size >= _HELD_TOKENS:
-                    yield scored()
-                    held, size = [], 0
-        if held:
-            yield scored()
-
-    word = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("n", T.LongType())])
-    schema = T.StructType([
-        T.StructField("uid", T.LongType()), src.schema["id"],
-        T.StructField("held_out", T.BooleanType()), T.StructField("n_tokens", T.LongType()),
-        T.StructField("n_known", T.LongType()), T.StructField("base_score", T.DoubleType()),
-        T.StructField("score", T.DoubleType()), T.StructField("rare", T.ArrayType(word))])
-    rows = stored(src.select("id", "text", "held_out").mapInArrow(run, schema), "lm-scores")
-    rare = rows.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n")
+    table = stored(encoded(src, spark.sparkContext.broadcast(voc), shards, st), "lm-symbols")
+    model = fit(table.where("turn is not null"),
+                Gru.fresh(voc.frequency, voc.heads, st.width, st.hidden), shards, st)
+    rows = log_likelihood(table.drop("turn", "shard", "h", "rare"), model)
+    rare = table.select("uid", F.explode("rare").alias("r")).select("uid", "r.word", "r.n")
     c = F.coalesce("c", F.lit(0))
     extra = (rare.join(counts, "word", "left").groupBy("uid").agg(
         F.sum(F.col("n") * F.log10(c + 0.5)).alias("logs"),
         F.sum(F.when(c > 0, F.col("n")).otherwise(0)).alias("more")))
-    zero = F.lit(0)
-    return rows.drop("rare").join(extra, "uid", "left").select(
+    zero, none = F.lit(0), F.lit(0.0)
+    return rows.join(extra, "uid", "left").select(
         F.col("id").alias(id_col), "held_out", "n_tokens",
         (F.col("n_known") + F.coalesce("more", zero)).alias("n_known"),
         F.lit(voc.tokens).cast("long").alias("train_tokens"),
-        (F.col("base_score") + F.coalesce("logs", F.lit(0.0))).alias("base_score"),
-        (F.col("score") + F.coalesce("logs", F.lit(0.0))).alias("score"))
+        (F.col("base_score") + F.coalesce("logs", none)).alias("base_score"),
+        (F.col("model") + F.col("share") + F.coalesce("logs", none)).alias("score"))

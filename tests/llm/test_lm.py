@@ -119,10 +119,11 @@ def test_every_training_document_is_dealt_to_one_slice(spark):
                      train_tokens=50)
     rows = [(i, " ".join(f"w{(i * j) % 50}" for j in range(i % 40))) for i in range(300)]
     docs = documents(spark, rows).withColumnRenamed("doc_id", "id").select("id", "text")
+    docs = docs.withColumn("held_out", F.lit(False))
     voc = lm.vocabulary(lm.token_counts(docs), 40, 32)
     shards = lm.shards_of(voc.tokens, st)
     assert shards == -(-voc.tokens // 100) > 50 and lm.shards_of(7, st) == 2
-    got = lm.slices(docs, spark.sparkContext.broadcast(voc), shards, st).collect()
+    got = lm.encoded(docs, spark.sparkContext.broadcast(voc), shards, st).collect()
     assert len(got) == len(rows) and sum(len(r["symbols"]) // 4 for r in got) == voc.tokens
     size = Counter()
     for r in got:
@@ -243,3 +244,72 @@ def test_one_very_long_text_beside_many_short_ones_takes_little_room():
     tracemalloc.stop()
     assert most < 40 << 20 and len(got) == 1001
     assert abs(got[1] - m.score(texts[1:2])[0]) < 1e-3
+
+
+def test_score_is_the_plain_sum_over_the_tokens_of_a_text(spark, monkeypatch):
+    """Counts, groups, recurrence and both softmax steps written out, token by token."""
+    kept = {}
+
+    def keep(name):
+        real = getattr(lm, name)
+
+        def call(*args):
+            kept[name] = real(*args)
+            return kept[name]
+        monkeypatch.setattr(lm, name, call)
+    keep("fit")
+    keep("vocabulary")
+    rng = random.Random(8)
+    words = [f"v{int(rng.paretovariate(0.7)) % 200}" for _ in range(4000)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.choice([0, 2, 30])))) for i in range(90)]
+    rows += [(900, "never seen Before v1"), (901, None), (902, "v1 v2 " * 700)]
+    got = {r.doc_id: r.score for r in lm.score(documents(spark, rows), st=TINY).collect()}
+    m, heads = kept["fit"], {w: k for w, k in kept["vocabulary"].rank.items() if k < TINY.heads}
+    c = Counter()
+    for i, t in rows:
+        if zlib.crc32(str(i).encode()) % 5 != 1:
+            c.update([*(t or "").encode().lower().split(), b""])
+    group = lambda w: zlib.crc32(w[-3:]) % lm.GROUPS
+    n, kinds = Counter(), Counter()
+    for w, k in c.items():
+        if w not in heads:
+            n[group(w)] += k
+            kinds[group(w)] += 1
+    p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    k, log_softmax = m.hidden, lambda x: x - np.log(np.exp(x).sum())
+    for i, t in rows:
+        h, source, total = np.zeros(k), m.start, 0.0
+        for w in [*(t or "").encode().lower().split(), b""]:
+            x, g = p["x"][source], h @ p["u"]
+            z, r = 1 / (1 + np.exp(-(x[:k] + g[:k]))), 1 / (1 + np.exp(-(x[k:2 * k] + g[k:2 * k])))
+            h = z * h + (1 - z) * np.tanh(x[2 * k:] + r * (g[2 * k:] + p["n"]))
+            of_class = log_softmax(h @ p["c"] + p["cb"])
+            if w in heads:
+                source = heads[w]
+                own, place = divmod(source, m.width)
+                total += of_class[own] + log_softmax(h @ p["w"][own] + p["wb"][own])[place]
+            else:
+                source = m.heads + group(w)
+                total += of_class[m.heads // m.width + group(w)]
+                total += np.log((c[w] + 0.5) / (n[group(w)] + 0.5 * (kinds[group(w)] + 1)))
+        assert abs(got[i] - total / np.log(10)) < 1e-3 + 1e-5 * abs(total), i
+
+
+def test_symbols_grow_with_the_corpus(spark):
+    sizes = [lm.heads_of(n, 32) for n in (0, 10**4, 10**6, 60 * 10**6, 4 * 10**9)]
+    assert sizes == sorted(sizes) and sizes[0] == 256 and 900 < sizes[3] < 1200 < 4000 < sizes[4]
+    counts = lm.token_counts(documents(spark, [(i, f"w{i}") for i in range(40)]))
+    assert lm.vocabulary(counts, 40).heads == 256
+
+
+def test_rows_are_summed_by_their_number():
+    from bomspark.llm.gru import _add_rows
+    rng = np.random.default_rng(4)
+    rows = np.sort(np.minimum(rng.geometric(0.05, 900) - 1, 59))
+    values, out = rng.normal(size=(900, 5)), np.ones((60, 5))
+    _add_rows(values, rows, out)
+    want = np.zeros((60, 5))
+    np.add.at(want, rows, values)
+    assert np.allclose(out, want)
+    _add_rows(values[:0], rows[:0], out)
+    assert not out.any()
