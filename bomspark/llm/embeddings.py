@@ -6,7 +6,8 @@ pivots; their order is not used.  Two similar vectors share pivots; the inverted
 of pivots, so vectors meet in a list iff they share at least two of theirs.  In
 a list all pairs are verified by the exact cosine in double precision; a
 pair counts in the list of the two smallest pivots it shares and in no
-other.
+other.  The number of pivots grows with the square root of the table (``index_size``), so
+a list, and with it the work per vector, stays about as long in a larger table.
 
 Vectors of different widths never link: each width has pivots of its own, and the width
 is a part of a list's key.  Equal vectors are one class with a count.  A list longer than ``block`` is
@@ -28,8 +29,10 @@ from ..operators.joins import splittable
 from .common import pieces_of, single_threaded_tasks, stored
 from .graph import connected_components
 
+#: For up to _FEW vectors; see ``index_size``.  Pivots' numbers take 16 bits.
 PIVOTS = 256
 NEAREST = 7
+_FEW, _MOST_DOUBLED = 1 << 18, 7
 THRESHOLD = 0.9
 #: Vectors of the sample that pivots are chosen from.
 PIVOT_SAMPLE = 4096
@@ -54,13 +57,25 @@ def unit(x: np.ndarray) -> np.ndarray:
 def choose_pivots(sample: np.ndarray, pivots: int = PIVOTS) -> np.ndarray:
     """Up to ``pivots`` sample vectors that lie apart, then further ones, then
     seeded random directions."""
-    chosen = np.empty((0, sample.shape[1]))
+    chosen, n = np.empty((pivots, sample.shape[1])), 0
     for x in sample:
-        if len(chosen) < pivots and (chosen @ x < _APART).all():
-            chosen = np.vstack([chosen, x])
-    left = pivots - len(chosen)
-    more = np.random.default_rng(7).normal(size=(left, sample.shape[1]))
-    return np.vstack([chosen, unit(more)]) if left else chosen
+        if n < pivots and (chosen[:n] @ x < _APART).all():
+            chosen[n] = x
+            n += 1
+    if n < pivots:
+        chosen[n:] = unit(np.random.default_rng(7).normal(size=(pivots - n, sample.shape[1])))
+    return chosen
+
+
+def index_size(vectors: int) -> tuple[int, int]:
+    """Pivots, and how many of them describe a vector, for a table of so many different
+    vectors.  A table four times as large has twice the pivots, and so lists about as long;
+    one more of them describes a vector, which keeps the recall (README).  From 4 G vectors
+    on there are no more pivots; longer lists are split, not cut."""
+    doubled = 0
+    while doubled < _MOST_DOUBLED and vectors > _FEW << 2 * doubled:
+        doubled += 1
+    return PIVOTS << doubled, NEAREST + doubled
 
 
 def _matrix(column: pa.Array, dtype, width: int) -> np.ndarray:
@@ -157,8 +172,8 @@ def vector_links(index: DataFrame, dtype: str, pivots: int = PIVOTS,
     perm = F.col("perm")
 
     def pivot(i: int) -> Column:
-        low = F.conv(F.hex(F.substring(perm, 2 * i + 1, 1)), 16, 10).cast("int")
-        return low + 256 * F.conv(F.hex(F.substring(perm, 2 * i + 2, 1)), 16, 10).cast("int")
+        low = F.conv(F.hex(F.substring(perm, 2 * i + 1, 1)), 16, 10).cast("long")
+        return low + 256 * F.conv(F.hex(F.substring(perm, 2 * i + 2, 1)), 16, 10).cast("long")
 
     keys = [F.col(f"p{i}") * pivots + F.col(f"p{j}")
             for i in range(nearest) for j in range(i + 1, nearest)]
@@ -222,10 +237,11 @@ def vector_links(index: DataFrame, dtype: str, pivots: int = PIVOTS,
 
 
 def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding",
-                    threshold: float = THRESHOLD, pivots: int = PIVOTS, nearest: int = NEAREST,
-                    block: int = BLOCK) -> DataFrame:
+                    threshold: float = THRESHOLD, pivots: int | None = None,
+                    nearest: int | None = None, block: int = BLOCK) -> DataFrame:
     """One row per input row: id, n_links (other rows linked directly),
-    component_id (smallest id reachable, itself included), kept.
+    component_id (smallest id reachable, itself included), kept.  ``pivots`` and
+    ``nearest`` are by default those of ``index_size``.
 
     Null, empty and zero vectors and those with null or non-finite components
     link with nothing and are components of their own; vectors of different lengths do
@@ -244,6 +260,8 @@ def near_duplicates(vectors: DataFrame, id_col: str = "vec_id", vector_col: str
     fits = F.col("ok")
     classes = stored(src.where(fits).groupBy("vector").agg(
         F.min("id").alias("first"), F.count(F.lit(1)).alias("n")), "vector-classes")
+    fitting = index_size(classes.count())
+    pivots, nearest = pivots or fitting[0], nearest or fitting[1]
     of_width: dict[int, list] = {}
     for r in classes.select("vector").orderBy(F.xxhash64("vector")).limit(PIVOT_SAMPLE).collect():
         of_width.setdefault(len(r["vector"]), []).append(r["vector"])

@@ -147,7 +147,11 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     lang_col: str = "lang", least_score: float = 0.5) -> DataFrame:
-    """The rows of ``docs`` with a language of at least that score, columns unchanged."""
+    """The rows of ``docs`` with a language of at least that score, columns unchanged.
+
+    Null, empty and letterless texts go, as does every row if there is nothing to learn
+    from.  Rows without id or language are judged but not learned from; repeated rows
+    and columns of any name stay as they are.  No rows give no rows."""
     known = docs.where(F.col(id_col).isNotNull() & ~held_out(F.col(id_col)))
     predict = predictor(docs.sparkSession, train(known, text_col, lang_col))
     names = [f"__c{i}" for i in range(len(docs.columns))]

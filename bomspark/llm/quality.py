@@ -140,7 +140,10 @@ def judge(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", rules=RULES) -> DataFrame:
-    """The rows of ``docs`` that pass, with their columns unchanged."""
+    """The rows of ``docs`` that pass, with their columns unchanged.
+
+    A null, empty or blank text has too few words and goes; nulls elsewhere, repeated rows
+    and columns of any name stay as they are.  No rows give no rows."""
     names = [f"__c{i}" for i in range(len(docs.columns))]
     df = with_statistics(docs.toDF(*names), F.col(names[docs.columns.index(text_col)]))
     verdicts = compile_rules(rules)

@@ -116,3 +116,37 @@ def test_every_width_is_compared_and_widths_do_not_link(spark):
         twin = [j for j, w in rows if w == v and j != i]
         assert got[i].n_links >= len(twin)
         assert {got[j].component_id for j in twin} <= {got[i].component_id}
+
+
+def test_pivots_grow_with_the_table_and_lists_do_not(spark):
+    sizes = [embeddings.index_size(n) for n in (0, 1 << 18, (1 << 18) + 1, 1 << 22, 10**9, 10**13)]
+    assert sizes == [(256, 7), (256, 7), (512, 8), (1024, 9), (16384, 13), (32768, 14)]
+    per_vector = [n * math.comb(k, 2) / math.comb(p, 2) for n in (10**6, 10**7, 10**8, 10**9)
+                  for p, k in [embeddings.index_size(n)]]
+    assert max(per_vector) < 4 * min(per_vector)
+
+
+@pytest.mark.parametrize("vectors", [1 << 20, 1 << 24])
+def test_recall_with_the_pivots_of_large_tables(vectors):
+    """Pairs at a cosine of 0.9 that share two of their nearest pivots."""
+    pivots, nearest = embeddings.index_size(vectors)
+    rng = np.random.default_rng(1)
+    x = embeddings.unit(rng.normal(size=(1000, 64)))
+    z = rng.normal(size=x.shape)
+    z -= (z * x).sum(axis=1, keepdims=True) * x
+    y = 0.9 * x + math.sqrt(1 - 0.81) * embeddings.unit(z)
+    points = embeddings.choose_pivots(embeddings.unit(rng.normal(size=(300, 64))), pivots)
+    assert points.shape == (pivots, 64)
+    near = [np.argpartition(-(v @ points.T), nearest - 1, axis=1)[:, :nearest] for v in (x, y)]
+    shared = (near[0][:, :, None] == near[1][:, None, :]).any(axis=2).sum(axis=1)
+    assert (shared >= 2).mean() >= 0.97
+
+
+def test_many_pivots_give_the_same_links(spark):
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(50, 32))
+    rows = [(i, list(map(float, base[i % 50] + rng.normal(size=32) * 0.02))) for i in range(150)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    few = embeddings.near_duplicates(table).collect()
+    many = embeddings.near_duplicates(table, pivots=50_000, nearest=9).collect()
+    assert sorted(few) == sorted(many) and all(r.n_links == 2 for r in many)

@@ -59,6 +59,12 @@ def test_run_equals_the_stages(spark):
     rows = corpus_pipeline.run(spark, SMALL).collect()
     assert rows and {"doc_id", "piece", "start", "length", "sequence_id", "offset"} <= set(
         rows[0].asDict())
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES:
+        docs = spark.createDataFrame(stage(spark, docs, SMALL).toArrow())
+    kept = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(tuple(r[k] for k in kept) for r in rows) == sorted(
+        tuple(r[k] for k in kept) for r in docs.collect())
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None), (None, ""), (2, "short")]])

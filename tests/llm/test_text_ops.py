@@ -1,6 +1,8 @@
+import math
 import random
 import re
 import zlib
+from collections import Counter
 
 import pytest
 from helpers import documents
@@ -130,6 +132,56 @@ def test_language_id_on_held_out_rows(spark):
     assert langid.identify(masked).exceptAll(langid.identify(docs)).count() == 0
 
 
+def plain_grams(text):
+    """Buckets of bigrams and trigrams, letter by letter."""
+    word = 1 << 32
+    chars = [ord(x) for x in " " + re.sub(" +", " ", "".join(
+        x if x.isalpha() else " " for x in text.lower())) + " "]
+    if not any(chr(x).isalpha() for x in chars):
+        return []
+    out = []
+    for i in range(len(chars) - 1):
+        two = (chars[i] * 0x9E3779B1 % word) ^ (chars[i + 1] * 0x85EBCA77 % word)
+        out.append((two * 0x165667B1 % word) >> 17)
+        if i + 2 < len(chars):
+            three = (two * 0xC2B2AE3D % word) ^ (chars[i + 2] * 0x27D4EB2F % word)
+            out.append((three * 0x9E3779B1 % word) >> 17)
+    return out
+
+
+def test_language_id_against_a_plain_naive_bayes(spark):
+    """Counts, priors, smoothed probabilities and posteriors; equal languages tie."""
+    texts = {"en": ["the house, and the garden", "a bird in the Hand", "x"],
+             "de": ["der hund und die katze", "das Haus & der Garten"],
+             "fr": ["le chien et le chat", "le jardin 12 de la maison"]}
+    texts["aa"] = texts["fr"]                  # as likely as fr, and before it
+    rows = [(i, t, lang, None) for i, (lang, t) in enumerate(
+        (lang, t) for lang, own in sorted(texts.items()) for t in own * 4)]
+    rows += [(1000 + i, t, None, None) for i, t in enumerate(
+        ["the", "Katze und Hund!", " le  chat ", "zzz qqq", "", "1 2", None, "garten garden " * 30])]
+    got = {r.doc_id: r for r in langid.identify(documents(spark, rows)).collect()}
+    counts, docs = {}, Counter()
+    for i, t, lang, _ in rows:
+        if lang and zlib.crc32(str(i).encode()) % 4 != 2:
+            counts.setdefault(lang, Counter()).update(plain_grams(t))
+            docs[lang] += 1
+    for i, t, _, _ in rows:
+        grams = plain_grams(t or "")
+        if not grams:
+            assert (got[i].lang_pred, got[i].score) == ("und", 0.0)
+            continue
+        logs = {lang: math.log(docs[lang] / sum(docs.values())) + sum(
+            math.log((c[g] + 0.1) / (sum(c.values()) + 0.1 * langid.BUCKETS)) for g in grams)
+            for lang, c in sorted(counts.items())}
+        best = max(logs.values())
+        share = 1 / sum(math.exp(x - best) for x in logs.values())
+        assert logs[got[i].lang_pred] > best - 1e-3, (i, t)
+        assert abs(got[i].score - share) < 1e-3
+    same = [(i, "le chat noir", lang, None) for lang in ("fr", "aa") for i in range(9)]
+    tied = langid.identify(documents(spark, same)).collect()
+    assert {(r.lang_pred, round(r.score, 6)) for r in tied} == {("aa", 0.5)}
+
+
 def test_language_id_odd_rows(spark):
     rows = [(i, t, lang, None) for i, (t, lang) in enumerate(
         [("the house and the garden", "en"), ("der hund und die katze", "de")] * 20)]
