@@ -30,7 +30,7 @@ from .. import schemas as S
 from ..functions.periods import (has_year, month_from_name, period_of, year_from_name,
                                  year_from_text)
 from .landing import (CSV_GLOB, Drop, Paths, base_of, clean, file_rows, landing_files,
-                      list_drop, split_lines)
+                      list_drop, not_broadcast, split_lines)
 
 
 # ------------------------------------------------------------------ resolution
@@ -85,9 +85,9 @@ def _rows(drop: Drop, files: DataFrame, rules: Rules, keep: list[str] = [],
     and position."""
     at = [f"at_{c}" for c in rules]
     table = files.select("file", "header_at", "delimiter", *at, *keep)
-    return split_lines(drop, table, skip_blank).select(
+    return not_broadcast(split_lines(drop, table, skip_blank).select(
         *[clean(F.get("_f", F.col(a))).alias(c) for a, c in zip(at, rules)],
-        *keep, "file", "at")
+        *keep, "file", "at"))
 
 
 # ------------------------------------------------------------------ P3: skipped files

@@ -86,8 +86,9 @@ def computed_once(column: Column) -> Column:
     return F.when(F.spark_partition_id() >= 0, column)
 
 
-#: Bytes that a file's row takes in a join at most, besides its path.
-_FILE_ROW = 512
+#: Bytes that a file's row takes in a join, besides its header's names and its path.
+_FILE_ROW = 160
+_NAMES = 512
 
 
 def _beside_lines(drop: Drop, files: DataFrame) -> DataFrame:
@@ -98,11 +99,20 @@ def _beside_lines(drop: Drop, files: DataFrame) -> DataFrame:
     has files are below Spark's threshold, else both sides are sorted and AQE splits
     a file that holds most lines."""
     limit = bytes_setting(files.sparkSession, "spark.sql.autoBroadcastJoinThreshold")
-    if sum(_FILE_ROW + len(f.path) for f in drop.files) <= limit:
+    each = _FILE_ROW + _NAMES * ("names" in files.columns)
+    path = "path" in files.columns or "file_name" in files.columns
+    if sum(each + len(f.path) * path for f in drop.files) <= limit:
         return F.broadcast(files)
     return splittable(files).hint("merge")
 
 
+def not_broadcast(rows: DataFrame) -> DataFrame:
+    """A drop's rows as a side of later joins.  Their size is unknown until they are read,
+    and Spark would take them for as small as the listing and broadcast them whole, by way
+    of the driver; so joins with them are sort-merge joins."""
+    return rows.hint("merge")
+
+
 def split_lines(drop: Drop, files: DataFrame, skip_blank: bool = False) -> DataFrame:
     """The drop's lines behind the headers of ``files`` (file, header_at, delimiter, ...)
     with their ``_f`` fields; lines of other files are left out."""
@@ -152,8 +162,8 @@ def read_delimited(spark: SparkSession, folder: Paths, lower_names: bool = True,
     def field(name: str) -> Column:       # duplicate names: last one wins
         behind = F.array_position(F.reverse("names"), F.lit(name))
         return F.when(behind > 0, F.get("_f", F.size("names") - behind.cast("int")))
-    return rows.select(*[clean(field(n)).alias(n) for n in columns],
-                       F.col("path").alias("_path"), F.col("at").alias("_pos"))
+    return not_broadcast(rows.select(*[clean(field(n)).alias(n) for n in columns],
+                                     F.col("path").alias("_path"), F.col("at").alias("_pos")))
 
 
 def read_typed_csv(spark: SparkSession, paths: Paths, schema: T.StructType,

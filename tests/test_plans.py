@@ -78,3 +78,26 @@ def test_stage_audit_computes_nothing_to_count_it(spark):
     """The audit is made of numbers observed while the stages were written."""
     df = QUERIES["stage_audit"](spark, SF_SMALL)
     assert scans(df) == 0 and "Aggregate" not in plan_of(df)
+
+
+def test_rows_of_a_drop_are_not_broadcast(spark, tmpdir_path):
+    """Their size is unknown before they are read: only the file tables are broadcast."""
+    from bomspark.operators import best_per_child_from_parts, latest_per_key, serial_join
+    from bomspark.sources import ingest as IG
+    from conftest import write_file
+    for name, header, row in (("option", "shop_order_num,engine_serial_num,option_assembly_num", "1,S,O"),
+                              ("config", "engine_serial_num,design_config_num,build_year", "S,D,2020"),
+                              ("child", "option_no,child_part", "O,C")):
+        write_file(f"{tmpdir_path}/{name}", "a_2020.csv", f"{header}\n{row}\n")
+    option = IG.ingest_bom_option(spark, f"{tmpdir_path}/option", with_period=False)
+    joined = serial_join(option, IG.ingest_bom_config(spark, f"{tmpdir_path}/config"))
+    plan = plan_of(joined).split("== Initial Plan ==")[0]
+    assert "SortMergeJoin [_serial" in plan and plan.count("BroadcastExchange") == 2
+    assert [tuple(r) for r in joined.collect()] == [("S", "O", "D", "1", 2020)]
+    rollup = spark.createDataFrame([(1, "O", "D_1", 2020)], "Engine_serial_count long, option_assembly_num "
+                                   "string, esn_config_design_config_Shop_order_num string, build_year int")
+    best = best_per_child_from_parts(rollup, latest_per_key(rollup),
+                                     IG.ingest_option_child(spark, f"{tmpdir_path}/child"))
+    plan = plan_of(best).split("== Initial Plan ==")[0]
+    assert "SortMergeJoin [_copt" in plan
+    assert [tuple(r) for r in best.collect()] == [(1, "O", "D_1", 2020, "C")]
