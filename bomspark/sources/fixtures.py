@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 
 from ..schemas import CHILD, OPTION_KEEP, OPTION_NUMBER
 from ..session import scratch_path
-from .landing_writer import write_landing_files
+from .landing_writer import Layout, write_landing_files, write_layouts, writing_tasks
 from .tables import bom_option_rows, table
 
 _CACHE: dict[tuple[str, str, str], str] = {}
@@ -44,6 +44,13 @@ OPTION_COMMA_HEADER = ["OPTION_ASSEMBLY_NUM", "Engine_serial", "DESIGN_CONFIGURA
                        "Shop_Order_Num", "BUILD_YEAR_2"]
 OPTION_EXTRACT_HEADER = ["design_configuration", "engine_serial_num", "option_assembly_num",
                          "build_upfit_date"]
+OPTION_LAYOUTS = [
+    Layout(["design_configuration", "shop_order_num", "engine_serial", "option_assembly_num",
+            "build_year", "plant_code"], OPTION_PIPE_HEADER, "|"),
+    Layout(["option_assembly_num", "engine_serial", "design_configuration", "shop_order_num",
+            "build_year"], OPTION_COMMA_HEADER, ","),
+    Layout(["design_configuration", "engine_serial", "option_assembly_num", "build_year"],
+           OPTION_EXTRACT_HEADER, ",")]
 CONFIG_HEADER = ["ENGINE_SERIAL_NUM", "Comment", "Design_Config_Num", "build_year", "remark"]
 CHILD_OPTION_NAMES = ["rev_option_no", "Option_Number", "OPTION_NO"]
 
@@ -60,21 +67,25 @@ def _cached(spark: SparkSession, sf_dir: str, kind: str, build) -> str:
 
 
 def option_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with what decides their file.  Orders, the smaller side, are held by hash:
+    a sort of the lines would be done again by file."""
     li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_shipdate", "l_returnflag")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", "o_orderstatus",
                                               "o_orderpriority")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
-    return j.select(
-        F.concat(F.lit("DC"), F.col("l_suppkey").cast("string")).alias("design_configuration"),
-        F.col("l_linenumber").cast("string").alias("shop_order_num"),
-        F.col("l_orderkey").cast("string").alias("engine_serial"),
-        F.concat(F.lit("OPT"), F.col("l_partkey").cast("string")).alias("option_assembly_num"),
-        F.year("l_shipdate").cast("string").alias("build_year"),
-        F.col("l_returnflag").alias("plant_code"),
-        "o_orderdate", "o_orderstatus", "o_orderpriority", "l_orderkey", "l_linenumber",
-        "l_shipdate", "l_partkey", "l_suppkey",
-    )
+    return li.join(o.hint("shuffle_hash"), li["l_orderkey"] == o["o_orderkey"], "inner").drop("o_orderkey")
+
+
+def option_fields() -> dict[str, F.Column]:
+    """The fields of a line's row."""
+    return {
+        "design_configuration": F.concat(F.lit("DC"), F.col("l_suppkey").cast("string")),
+        "shop_order_num": F.col("l_linenumber").cast("string"),
+        "engine_serial": F.col("l_orderkey").cast("string"),
+        "option_assembly_num": F.concat(F.lit("OPT"), F.col("l_partkey").cast("string")),
+        "build_year": F.year("l_shipdate").cast("string"),
+        "plant_code": F.col("l_returnflag"),
+    }
 
 
 # Row order inside a generated option file. (l_orderkey, l_linenumber) is not
@@ -105,22 +116,14 @@ def option_file_name(monthly: bool = False) -> F.Column:
 
 def option_landing(spark: SparkSession, sf_dir: str, monthly: bool = False) -> str:
     def build(folder):
-        rows = option_rows(spark, sf_dir).withColumn("_file", option_file_name(monthly))
-        dated = rows.where(F.col("o_orderstatus") != "P")
+        rows = option_rows(spark, sf_dir)
         odd = (F.month if monthly else F.dayofmonth)("o_orderdate") % 2 == 1
-        order = OPTION_FILE_ORDER
-        write_landing_files(dated.where(odd), folder, "_file",
-                            ["design_configuration", "shop_order_num", "engine_serial",
-                             "option_assembly_num", "build_year", "plant_code"],
-                            header=OPTION_PIPE_HEADER, delimiter="|", order_by=order).count()
-        write_landing_files(dated.where(~odd), folder, "_file",
-                            ["option_assembly_num", "engine_serial", "design_configuration",
-                             "shop_order_num", "build_year"],
-                            header=OPTION_COMMA_HEADER, delimiter=",", order_by=order).count()
-        write_landing_files(rows.where(F.col("o_orderstatus") == "P"), folder, "_file",
-                            ["design_configuration", "engine_serial", "option_assembly_num",
-                             "build_year"],
-                            header=OPTION_EXTRACT_HEADER, delimiter=",", order_by=order).count()
+        layout = F.when(F.col("o_orderstatus") == "P", 2).when(odd, 0).when(~odd, 1)
+        rows = rows.select(option_file_name(monthly).alias("_file"), layout.alias("_layout"),
+                           *OPTION_FILE_ORDER, "l_returnflag").where("_layout is not null")
+        lines = table(spark, sf_dir, "lineitem").count()             # from Parquet's footers
+        write_layouts(rows, folder, "_file", "_layout", OPTION_LAYOUTS, option_fields(),
+                      OPTION_FILE_ORDER, writing_tasks(spark, lines)).count()
     return _cached(spark, sf_dir, "option-monthly" if monthly else "option", build)
 
 

@@ -7,6 +7,9 @@ task streams its files out with pandas, one file open at a time.  A file
 belongs to exactly one task and is rewritten whole on a retry, so a lost
 executor never leaves a half-appended file.  Used to build landing drops
 from the driver's tables; the folder lives under the shared checkpoint dir.
+
+Rows are shuffled as they are and spelled as fields behind the sort, and the
+tasks grow with the rows, so that none sorts more than it holds in memory.
 """
 
 from __future__ import annotations
@@ -14,10 +17,11 @@ from __future__ import annotations
 import csv
 import io
 import sys
+from typing import NamedTuple
 
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # The task-side writer is shipped by value with the pickled function, so
@@ -37,6 +41,60 @@ def _open(folder: str, name: str):
     return fs.open_output_stream(f"{root.rstrip('/')}/{name}")
 
 
+#: Rows that a task writes, about; fewer where there are idle cores.
+TASK_ROWS = 2_000_000
+
+
+def writing_tasks(spark: SparkSession, rows: int) -> int:
+    return max(1, spark.sparkContext.defaultParallelism, -(-rows // TASK_ROWS))
+
+
+class Layout(NamedTuple):
+    """How files of a kind are spelled: which of the columns, under which header."""
+
+    columns: list[str]
+    header: list[str]
+    delimiter: str
+
+
+def write_layouts(df: DataFrame, folder: str, file_col: str, layout_col: str, layouts: list[Layout],
+                  fields: dict[str, Column], order_by: list[str], partitions: int) -> DataFrame:
+    """Write files of several layouts in one pass; ``layout_col`` is the number of a file's
+    layout.  ``fields`` are computed from ``df``'s columns when the rows are in place:
+    the shuffle carries only what they are made of.  Rows without a file are left
+    out.  Returns (file, rows) per file written (an action)."""
+    kept = [c for c in df.columns if c not in (file_col, layout_col)]
+    names = list(fields)
+    placed = (df.where(F.col(file_col).isNotNull())
+              .select(F.col(file_col).alias("_file"), F.col(layout_col).alias("_layout"), *kept)
+              .repartition(partitions, "_file")
+              .sortWithinPartitions("_file", *order_by)
+              .select("_file", "_layout", *[c.cast("string").alias(f"_v{i}")
+                                            for i, c in enumerate(fields.values())]))
+    chosen = [([f"_v{names.index(c)}" for c in own.columns], own.header, own.delimiter)
+              for own in layouts]
+
+    def write(batches):
+        current, fh, count, done = None, None, 0, []
+        for pdf in batches:
+            for name, part in pdf.groupby("_file", sort=False):
+                columns, header, delim = chosen[part["_layout"].iloc[0]]
+                if name != current:
+                    if fh is not None:
+                        fh.close()
+                        done.append((current, count))
+                    current, count, fh = name, 0, _open(folder, name)
+                    fh.write((_quote_line(header, delim) + "\n").encode("utf-8"))
+                fh.write(_text(part[columns], delim).encode("utf-8"))
+                count += len(part)
+        if fh is not None:
+            fh.close()
+            done.append((current, count))
+        yield pd.DataFrame(done, columns=["file", "rows"])
+
+    return placed.mapInPandas(write, "file string, rows long")
+
+
 def write_landing_files(df: DataFrame, folder: str, file_col: str, columns: list[str],
                         header: list[str] | None = None, header_col: str | None = None,
                         delimiter_col: str | None = None,
@@ -76,11 +134,7 @@ def write_landing_files(df: DataFrame, folder: str, file_col: str, columns: list
                             else _quote_line(header, delim))
                     fh.write((line + "\n").encode("utf-8"))
                 delim = part["_delim"].iloc[0]
-                buf = io.StringIO()
-                part[value_cols].to_csv(buf, sep=delim, header=False, index=False,
-                                        quoting=csv.QUOTE_MINIMAL, quotechar='"',
-                                        doublequote=True, lineterminator="\n", na_rep="")
-                text = buf.getvalue()
+                text = _text(part[value_cols], delim)
                 if short_trailing:
                     text = "\n".join(line.rstrip(delim) for line in text.split("\n"))
                 fh.write(text.encode("utf-8"))
@@ -93,6 +147,13 @@ def write_landing_files(df: DataFrame, folder: str, file_col: str, columns: list
     return prepared.mapInPandas(write, "file string, rows long")
 
 
+def _text(fields: pd.DataFrame, delim: str) -> str:
+    buf = io.StringIO()
+    fields.to_csv(buf, sep=delim, header=False, index=False, quoting=csv.QUOTE_MINIMAL,
+                  quotechar='"', doublequote=True, lineterminator="\n", na_rep="")
+    return buf.getvalue()
+
+
 def _quote_line(fields: list[str], delim: str) -> str:
     buf = io.StringIO()
     csv.writer(buf, delimiter=delim, quotechar='"', lineterminator="").writerow(fields)

@@ -4,7 +4,7 @@ import glob
 import os
 
 import pytest
-from conftest import write_file
+from conftest import SF_SMALL, write_file
 from pyspark.sql import functions as F
 
 from bomspark import schemas as S
@@ -168,3 +168,25 @@ def test_observed_counts_are_taken_while_writing(spark):
     df, obs = AU.observe_rows(spark.range(1000).where("id % 2 = 0"), "t")
     SK.write_parquet(df.withColumn("x", F.lit(1)), scratch_path(spark, "t-observed"))
     assert AU.observed_rows(obs, None) == 500
+
+
+def test_files_of_several_layouts_are_written_in_one_pass(spark, tmpdir_path):
+    """Fields are made of the rows behind the sort; rows without a file are left out."""
+    from bomspark.sources.landing_writer import Layout, write_layouts, writing_tasks
+    df = spark.createDataFrame([("a.csv", 0, 2, "x|y"), ("a.csv", 0, 1, None), ("b.csv", 1, 3, 'q"'),
+                                (None, 0, 4, "z")], "file string, layout int, n int, v string")
+    fields = {"id": F.concat(F.lit("N"), F.col("n").cast("string")), "value": F.col("v")}
+    layouts = [Layout(["id", "value"], ["id", "value"], "|"), Layout(["value", "id"], ["v", "i"], ",")]
+    out = write_layouts(df, tmpdir_path, "file", "layout", layouts, fields, ["n"], 3)
+    assert sorted(tuple(r) for r in out.collect()) == [("a.csv", 2), ("b.csv", 1)]
+    text = {n: open(os.path.join(tmpdir_path, n)).read() for n in sorted(os.listdir(tmpdir_path))}
+    assert text == {"a.csv": 'id|value\nN1|\nN2|"x|y"\n', "b.csv": 'v,i\n"q""",N3\n'}
+    assert writing_tasks(spark, 200_000_000) == 100
+    assert writing_tasks(spark, 0) == spark.sparkContext.defaultParallelism
+
+
+def test_option_drop_joins_its_tables_once_and_sorts_narrow_rows(spark):
+    """One join for all layouts, of which orders are hashed and lines are not sorted."""
+    from bomspark.sources import fixtures as FX
+    plan = FX.option_rows(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Sort [" not in plan and "concat" not in plan
