@@ -32,7 +32,8 @@ from pyspark.sql import functions as F
 
 from ..schemas import CHILD, OPTION_KEEP, OPTION_NUMBER
 from ..session import scratch_path
-from .landing_writer import Layout, write_landing_files, write_layouts, writing_tasks
+from .landing_writer import (Layout, write_few_files, write_landing_files, write_layouts,
+                             writing_tasks)
 from .tables import bom_option_rows, table
 
 _CACHE: dict[tuple[str, str, str], str] = {}
@@ -216,4 +217,4 @@ def period_text_files(spark: SparkSession, rows: DataFrame, folder: str) -> None
     """Option rows as one ``Csv_bom_esn_option_YYYY_HH.csv`` per period."""
     rows = rows.withColumn("_file", F.concat(F.lit("Csv_bom_esn_option_"), F.col("period"),
                                              F.lit(".csv")))
-    write_landing_files(rows, folder, "_file", OPTION_KEEP, header=OPTION_KEEP, delimiter=",").count()
+    write_few_files(rows, folder, "_file", OPTION_KEEP).count()

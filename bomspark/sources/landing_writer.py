@@ -95,6 +95,35 @@ def write_layouts(df: DataFrame, folder: str, file_col: str, layout_col: str, la
     return placed.mapInPandas(write, "file string, rows long")
 
 
+def write_few_files(df: DataFrame, folder: str, file_col: str, columns: list[str]) -> DataFrame:
+    """Write ``columns`` as comma files, few but large ones, in no order: a task keeps all
+    its files open and sorts nothing.  Rows without a file are left out.  Returns
+    (file, rows) per file written (an action)."""
+    n = writing_tasks(df.sparkSession, 0)
+    prepared = (df.where(F.col(file_col).isNotNull())
+                .select(F.col(file_col).alias("_file"), *[
+                    F.col(c).cast("string").alias(f"_v{i}") for i, c in enumerate(columns)])
+                .repartition(n, "_file"))
+    value_cols = [f"_v{i}" for i in range(len(columns))]
+
+    def write(batches):
+        opened, counts = {}, {}
+        try:
+            for pdf in batches:
+                for name, part in pdf.groupby("_file", sort=False):
+                    if name not in opened:
+                        opened[name], counts[name] = _open(folder, name), 0
+                        opened[name].write((_quote_line(columns, ",") + "\n").encode("utf-8"))
+                    opened[name].write(_text(part[value_cols], ",").encode("utf-8"))
+                    counts[name] += len(part)
+        finally:
+            for fh in opened.values():
+                fh.close()
+        yield pd.DataFrame(list(counts.items()), columns=["file", "rows"])
+
+    return prepared.mapInPandas(write, "file string, rows long")
+
+
 def write_landing_files(df: DataFrame, folder: str, file_col: str, columns: list[str],
                         header: list[str] | None = None, header_col: str | None = None,
                         delimiter_col: str | None = None,

@@ -190,3 +190,17 @@ def test_option_drop_joins_its_tables_once_and_sorts_narrow_rows(spark):
     from bomspark.sources import fixtures as FX
     plan = FX.option_rows(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "ShuffledHashJoin" in plan and "Sort [" not in plan and "concat" not in plan
+
+
+def test_period_files_are_written_without_a_sort(spark, tmpdir_path):
+    """One task may hold every file: all are open, none is collected or sorted."""
+    from bomspark.sources.landing_writer import write_few_files
+    n = 25_000                    # several batches, each with every file
+    df = spark.range(n).select(F.when(F.col("id") < n - 1, F.concat((F.col("id") % 3).cast("string"),
+                                                                   F.lit(".csv"))).alias("file"), "id")
+    out = write_few_files(df.coalesce(1), tmpdir_path, "file", ["id"])
+    assert "Sort" not in out._jdf.queryExecution().executedPlan().toString()
+    assert {r["file"]: r["rows"] for r in out.collect()} == {"0.csv": 8333, "1.csv": 8333, "2.csv": 8333}
+    for i in range(3):
+        lines = open(os.path.join(tmpdir_path, f"{i}.csv")).read().splitlines()
+        assert lines[0] == "id" and sorted(map(int, lines[1:])) == list(range(i, n - 1, 3))
