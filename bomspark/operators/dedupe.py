@@ -59,6 +59,31 @@ def best_per_child(expanded: DataFrame) -> DataFrame:
     return top1_per_group(df, [S.CHILD], order)
 
 
+def contenders(expanded: DataFrame) -> DataFrame:
+    """The rows of an expansion, a written table, that can be their child's best.
+
+    Ranking sorts every row of a task, so its memory grows with the expansion.  Here each
+    child's highest year and count are found first, by hash, and only the rows that have
+    them are left to be ranked.  Year and count go into one number that no better row has
+    less of: no winner and no row tied with it is lost.  The numbers are written, and
+    broadcast if they are, as measured, below Spark's threshold; else, with as many
+    children as that, all rows are left."""
+    from ..sinks import checkpoint_table
+    from ..sources.lines import bytes_setting
+    year = F.coalesce(year_int(S.BUILD_YEAR).cast("long"), F.lit(-(1 << 31)).cast("long"))
+    count = F.least(F.greatest(F.coalesce(year_int(S.COUNT, "bigint"), F.lit(0)), F.lit(0)),
+                    F.lit((1 << 31) - 1))
+    rank = year * F.lit(1 << 31).cast("long") + count
+    best = checkpoint_table(expanded.groupBy(F.col(S.CHILD).alias("_child")).agg(
+        F.max(rank).alias("_rank")), "child-best")
+    size = best.agg(F.coalesce(F.sum(64 + F.coalesce(F.octet_length("_child"), F.lit(0))),
+                               F.lit(0)).alias("n")).collect()[0]["n"]
+    if size > bytes_setting(expanded.sparkSession, "spark.sql.autoBroadcastJoinThreshold"):
+        return expanded
+    same = F.col(S.CHILD).eqNullSafe(F.col("_child")) & (rank == F.col("_rank"))
+    return expanded.join(F.broadcast(best), same, "left_semi")
+
+
 def best_per_child_from_parts(rollup: DataFrame, latest: DataFrame, child: DataFrame) -> DataFrame:
     """C9 without materialising the expansion (same rows as
     ``best_per_child(expand_children(...))``).

@@ -20,8 +20,8 @@ from ..functions import periods as PD
 from ..functions import text as TX
 from ..operators import audit as AU
 from ..operators import (best_per_child, best_per_child_from_parts, build_order_key,
-                         config_counts, config_engine_counts, distinct_options, distinct_years,
-                         engine_count_total, expand_children, key_option_pairs, latest_per_key,
+                         config_counts, config_engine_counts, contenders, distinct_options,
+                         distinct_years, engine_count_total, expand_children, key_option_pairs, latest_per_key,
                          semi_exists_keys, semi_filter_children, serial_join)
 from ..session import scratch_path
 from ..sources import fixtures as FX
@@ -80,6 +80,12 @@ def _expanded(spark, sf):
     return expand_children(rollup, latest_per_key(rollup), TB.child_part_option(spark, sf))
 
 
+def _expanded_table(spark, sf):
+    """The expansion written once, for plans that read it twice (a global sort samples
+    its input first): otherwise its joins would run twice."""
+    return SK.checkpoint_table(_expanded(spark, sf), "expanded")
+
+
 # ---------------------------------------------------------------- sources
 
 @register("parquet_scan", q("SELECT * FROM bom_option"))
@@ -171,7 +177,7 @@ def best_per_child_q(spark, sf):
 @register("best_per_child_expanded", q("SELECT * FROM best_rows"))
 def best_per_child_expanded_q(spark, sf):
     """The literal plan: rank the materialised expansion."""
-    return best_per_child(_expanded(spark, sf))
+    return best_per_child(contenders(_expanded_table(spark, sf)))
 
 
 @register("distinct_options", q("SELECT DISTINCT option_assembly_num FROM rolled"))

@@ -19,7 +19,8 @@ from .. import schemas as S
 from ..sinks import checkpoint_table
 from ..operators.audit import observe_rows, observed_rows, stage_audit
 from ..operators import (best_per_child, best_per_child_from_parts, build_order_key,
-                         config_engine_counts, expand_children, latest_per_key, serial_join)
+                         config_engine_counts, contenders, expand_children, latest_per_key,
+                         serial_join)
 
 
 @dataclass
@@ -84,7 +85,7 @@ def run_audited(option: DataFrame, config: DataFrame,
     rollup = written(config_engine_counts(keyed), "rollup")
     latest = written(latest_per_key(rollup), "latest")
     expanded = written(expand_children(rollup, latest, child), "expanded")
-    best = written(best_per_child(expanded), "best_per_child")
+    best = written(best_per_child(contenders(expanded)), "best_per_child")
     return (WorkflowResult(joined, keyed, rollup, latest, expanded, best),
             stage_audit(option.sparkSession, counts, STAGE_INPUTS))
 

@@ -252,3 +252,27 @@ def test_year_export_parts_are_globally_ordered(spark, tmpdir_path):
     year = back[S.BUILD_YEAR].fillna(-1).astype("int64")    # NULL sorts last
     pairs = list(zip(year, back[S.COUNT]))
     assert all(a >= b for a, b in zip(pairs, pairs[1:]))
+
+
+def test_contenders_keep_every_row_that_can_be_best(spark):
+    """Ranking sees few rows, and the same ones win: ties, text, blank and NULL values."""
+    from bomspark.operators import contenders
+    from bomspark.sinks import checkpoint_table
+    big = str(2 ** 40)
+    data = [("5", "O1", "K1", "2020", "A"), ("7", "O2", "K2", "2020", "A"), ("7", "O1", "K2", "2020", "A"),
+            ("9", "O1", "K3", "2019", "A"), (big, "O1", "K9", "2018", "B"), (big + "0", "O1", "K8", "2018", "B"),
+            ("1", "O1", "K1", "text", "C"), (None, "O1", "K0", None, "C"), ("-3", "O1", "K1", "-5", "D"),
+            (None, "O1", "K0", "-5", "D"), ("2", None, "K1", "2020.6", None), ("3", "O", "K1", "2021", None)]
+    names = [S.COUNT, S.OPTION, S.KEY, S.BUILD_YEAR, S.CHILD]
+    text = checkpoint_table(spark.createDataFrame(data, ", ".join(f"{n} string" for n in names)), "t")
+    few = contenders(text)
+    key = lambda r: tuple(str(v) for v in r)
+    assert sorted(map(tuple, best_per_child(few).collect()), key=key) == sorted(
+        map(tuple, best_per_child(text).collect()), key=key)
+    assert ("5", "O1", "K1", "2020", "A") not in map(tuple, few.collect()) and few.count() < len(data)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")     # as with very many children
+    try:
+        assert contenders(text).count() == len(data)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
