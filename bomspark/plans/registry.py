@@ -626,7 +626,7 @@ def best_per_child_csv_q(spark, sf):
     out = scratch_path(spark, "csv-expanded-w2")
     SK.write_csv(_expanded(spark, sf), out)
     text = LD.read_lenient_csv(spark, out, [f.name for f in S.EXPANDED.fields])
-    return best_per_child(text)
+    return best_per_child(contenders(SK.checkpoint_table(text, "expanded-text")))
 
 
 def _damaged_export(spark, rollup):
