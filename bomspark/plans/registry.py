@@ -194,8 +194,8 @@ def distinct_years_q(spark, sf):
           q("SELECT * FROM expanded_rows ORDER BY build_year DESC, Engine_serial_count DESC"))
 def ordered_export_q(spark, sf):
     """O2: the expansion ordered for export (global sort only at the sink)."""
-    return _expanded(spark, sf).orderBy(F.col(S.BUILD_YEAR).desc_nulls_last(),
-                                        F.col(S.COUNT).desc_nulls_last())
+    return _expanded_table(spark, sf).orderBy(F.col(S.BUILD_YEAR).desc_nulls_last(),
+                                              F.col(S.COUNT).desc_nulls_last())
 
 
 @register("preview",

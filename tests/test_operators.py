@@ -276,3 +276,10 @@ def test_contenders_keep_every_row_that_can_be_best(spark):
         assert contenders(text).count() == len(data)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_expansion_is_joined_once_for_its_sort(spark):
+    from bomspark.plans import registry
+    for name in ("ordered_export", "best_per_child_expanded", "best_per_child_csv"):
+        plan = registry.QUERIES[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "_popt" not in plan, name
