@@ -119,7 +119,8 @@ def option_landing(spark: SparkSession, sf_dir: str, monthly: bool = False) -> s
     def build(folder):
         rows = option_rows(spark, sf_dir)
         odd = (F.month if monthly else F.dayofmonth)("o_orderdate") % 2 == 1
-        layout = F.when(F.col("o_orderstatus") == "P", 2).when(odd, 0).when(~odd, 1)
+        dated = F.col("o_orderstatus") != "P"            # orders without a status have no file
+        layout = F.when(~dated, 2).when(dated & odd, 0).when(dated & ~odd, 1)
         rows = rows.select(option_file_name(monthly).alias("_file"), layout.alias("_layout"),
                            *OPTION_FILE_ORDER, "l_returnflag").where("_layout is not null")
         lines = table(spark, sf_dir, "lineitem").count()             # from Parquet's footers

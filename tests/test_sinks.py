@@ -204,3 +204,20 @@ def test_period_files_are_written_without_a_sort(spark, tmpdir_path):
     for i in range(3):
         lines = open(os.path.join(tmpdir_path, f"{i}.csv")).read().splitlines()
         assert lines[0] == "id" and sorted(map(int, lines[1:])) == list(range(i, n - 1, 3))
+
+
+def test_option_drop_leaves_out_orders_without_status_or_date(spark, tmpdir_path):
+    """Such orders have no file, except that extracts need no date."""
+    from bomspark.plans import registry
+    spark.createDataFrame([(1, None, "2020-01-01", "1-URGENT"), (2, "F", "2020-01-01", "1-URGENT"),
+                           (3, "O", "2020-01-02", None), (4, "F", None, "1-URGENT"),
+                           (5, "P", None, "1-URGENT"), (6, "P", "2020-01-01", None)],
+                          "o_orderkey long, o_orderstatus string, o_orderdate string, o_orderpriority string"
+                          ).withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp_ntz")
+                                       ).write.parquet(f"{tmpdir_path}/orders.parquet")
+    spark.range(1, 8).selectExpr("id as l_orderkey", "id as l_partkey", "id as l_suppkey", "1 as l_linenumber",
+                                 "timestamp_ntz'2021-01-01 00:00:00' as l_shipdate", "'N' as l_returnflag"
+                                 ).write.parquet(f"{tmpdir_path}/lineitem.parquet")
+    got = registry.QUERIES["rename_keep"](spark, tmpdir_path).collect()
+    assert sorted((r["Engine_serial"], r["shop_order_num"], r["build_year_2"]) for r in got) == [
+        ("2", "1", "2021"), ("3", "1", "2021"), ("5", None, "2021")]
