@@ -26,19 +26,22 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import byte_texts, pieces_of, single_threaded_tasks, stored
-from .gru import Gru
+from .common import pieces_of, single_threaded_tasks, stored
+from .gru import LANES, Gru
 
 END = b""                 # no word is empty, so this is the end token's key
 GROUPS, _SUFFIX = 64, 3   # groups of rarer words, by that many last bytes
-_HELD_WORDS = 300_000     # distinct words a counting task holds before it emits them
+_HELD_WORDS = 2_500_000    # words a counting task holds before it emits their counts
+_PIECE = 4 << 20          # bytes of text that are split at once, a longer text alone
 _BLOCKS = 64              # parts of the weights that are averaged apart
-_HELD_TOKENS = 1_500_000  # tokens a scoring task gathers before it scores them
+_HELD_TOKENS = 1_500_000  # tokens a scoring task gathers before it scores them, up to four
+                          # times as many where a long text would leave lanes empty
 
 
 @dataclass(frozen=True)
@@ -58,28 +61,51 @@ def held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def _tokens(text: bytes | None) -> list[bytes]:
-    return (text or b"").lower().split()
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, np.ndarray, pa.Array]]:
+    """The same rows a piece at a time; the words of each row's text, that is how many
+    there are in each, and all of them."""
+    for batch in batches:
+        at = batch.schema.get_field_index("text")
+        ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(at)), 0).to_numpy())
+        a = 0
+        while a < batch.num_rows:
+            done = ends[a - 1] if a else 0
+            z = max(a + 1, int(np.searchsorted(ends, done + _PIECE, "right")))
+            b = batch.slice(a, z - a)
+            yield b, *_words(b.column(at))
+            a = z
+
+
+def _words(texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    texts = pc.fill_null(texts.cast(pa.string()), "")
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    # a text that begins or ends with a blank has an empty string there
+    words = split.flatten()
+    some = pc.greater(pc.binary_length(words), 0)
+    before = np.append(0, np.cumsum(some.to_numpy(zero_copy_only=False)))
+    offsets = split.offsets.to_numpy()
+    return np.diff(before[offsets - offsets[0]]), words.filter(some).cast(pa.binary())
 
 
 def token_counts(texts: DataFrame) -> DataFrame:
     """(word, c) of column ``text``, the end tokens included."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: Counter[bytes] = Counter()
-        for b in pieces_of(batches, 256):
-            for text in byte_texts(b, "text"):
-                seen.update(_tokens(text))
-            seen[END] += b.num_rows
-            if len(seen) >= _HELD_WORDS:
-                yield _batch(seen)
-                seen.clear()
-        if seen:
-            yield _batch(seen)
-
-    def _batch(seen: Counter[bytes]) -> pa.RecordBatch:
+        held, size, rows = [], 0, 0
+        for b, sizes, words in _pieces(batches):
+            held.append(words)
+            size, rows = size + len(words), rows + b.num_rows
+            if size >= _HELD_WORDS:
+                yield counted(held)
+                held, size = [], 0
+        if size:
+            yield counted(held)
+        if rows:
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([END], pa.binary()), pa.array([rows], pa.int64())], names=["word", "n"])
+
+    def counted(held: list[pa.Array]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-            names=["word", "n"])
+            pc.value_counts(pa.chunked_array(held)).flatten(), names=["word", "n"])
 
     return (texts.select("text").mapInArrow(count, "word binary, n long")
             .groupBy("word").agg(F.sum("n").alias("c")))
@@ -152,17 +178,6 @@ def vocabulary(counts: DataFrame, most: int, head_words: int | None = None,
                       head_words)
 
 
-def symbols(words: list[bytes], voc: Vocabulary) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Ranks of the known words (END last), the text's symbols, the other words."""
-    rank = np.fromiter(map(voc.rank.get, words, [-1] * len(words)), np.int64, len(words))
-    rank = np.append(rank, voc.rank[END])
-    at = np.flatnonzero(rank < 0)
-    rare = [words[i] for i in at]
-    out = voc.symbol[rank]
-    out[at] = [voc.heads + group_of(w) for w in rare]
-    return rank[rank >= 0], out, rare
-
-
 def shards_of(tokens: int, st: Settings) -> int:
     """Shards for so many training tokens."""
     return max(st.trainers, -(-tokens // (st.rounds * st.train_tokens)))
@@ -184,22 +199,44 @@ def encoded(texts: DataFrame, voc_shared, shards: int, st: Settings) -> DataFram
         v = voc_shared.value
         logs = np.log10(v.counts + 0.5)
         uid = TaskContext.get().partitionId() << 33
-        for b in pieces_of(batches, 256):
-            rows = []
-            for text in byte_texts(b, "text"):
-                ranks, syms, others = symbols(_tokens(text), v)
-                share = float(v.share[ranks].sum())
-                if others:   # the groups' totals here, the words' counts by the join
-                    share -= float(v.group_total[[group_of(w) for w in others]].sum())
-                rows.append((syms.astype("<i4").tobytes(), len(syms), int((v.counts[ranks] > 0).sum()),
-                             float(logs[ranks].sum() - len(syms) * v.total), share,
-                             [{"word": w, "n": n} for w, n in Counter(others).items()]))
-            cols = list(zip(*rows))
-            kinds = (pa.binary(), pa.int64(), pa.int64(), pa.float64(), pa.float64(),
-                     pa.list_(pa.struct([("word", pa.binary()), ("n", pa.int64())])))
+        for b, sizes, words in _pieces(batches):
+            # of every different word, and of the end token after them
+            coded = words.dictionary_encode()
+            kinds = [*coded.dictionary.to_pylist(), END]
+            rank = np.fromiter(map(v.rank.get, kinds, [-1] * len(kinds)), np.int64, len(kinds))
+            unknown = np.flatnonzero(rank < 0)
+            group = np.array([group_of(kinds[i]) for i in unknown], np.int64)
+            symbol, share, base = v.symbol[rank], v.share[rank], logs[rank]
+            known = v.counts[rank] > 0
+            # the groups' totals here, the words' counts by the join
+            symbol[unknown], share[unknown] = v.heads + group, -v.group_total[group]
+            base[unknown], known[unknown] = 0, False
+            # every text's words and its end token, one text after the other
+            size = sizes + 1
+            ends = np.cumsum(size)
+            own = np.repeat(np.arange(len(size)), size)
+            kind = np.full(len(own), len(kinds) - 1)
+            inner = np.ones(len(own), bool)
+            inner[ends - 1] = False
+            kind[inner] = coded.indices.to_numpy()
+
+            def by_text(of_kind: np.ndarray) -> np.ndarray:
+                return np.add.reduceat(of_kind[kind], ends - size)
+
+            offsets = pa.py_buffer((np.append(0, ends) * 4).astype(np.int32))
+            syms = pa.py_buffer(symbol[kind].astype("<i4"))
+            rare = np.flatnonzero(rank[kind] < 0)
+            rare, times = np.unique(own[rare] * len(kinds) + kind[rare], return_counts=True)
+            lists = np.append(0, np.cumsum(np.bincount(rare // len(kinds), minlength=len(size))))
+            rare = pa.StructArray.from_arrays(
+                [coded.dictionary.take(pa.array(rare % len(kinds))), pa.array(times, pa.int64())],
+                names=["word", "n"])
             yield pa.RecordBatch.from_arrays(
                 [pa.array(range(uid, uid + b.num_rows), pa.int64()), *b.columns[1:],
-                 *(pa.array(c, k) for c, k in zip(cols, kinds))], names=schema.names)
+                 pa.Array.from_buffers(pa.binary(), len(size), [None, offsets, syms]),
+                 pa.array(size, pa.int64()), pa.array(by_text(known.astype(np.int64))),
+                 pa.array(by_text(base) - size * v.total), pa.array(by_text(share)),
+                 pa.ListArray.from_arrays(pa.array(lists, pa.int32()), rare)], names=schema.names)
             uid += b.num_rows
 
     schema = T.StructType([
@@ -299,13 +336,14 @@ def log_likelihood(table: DataFrame, model: Gru) -> DataFrame:
                 [*(rows.column(c).combine_chunks() for c in names), pa.array(lp, pa.float64())],
                 names=schema.names)
 
-        held, size = [], 0
+        held, size, longest = [], 0, 0
         for b in pieces_of(batches, 256):
             held.append(b)
-            size += b.column(b.schema.get_field_index("symbols")).nbytes // 4
-            if size >= _HELD_TOKENS:
+            tokens = pc.divide(pc.binary_length(b.column(b.schema.get_field_index("symbols"))), 4)
+            size, longest = size + pc.sum(tokens).as_py(), max(longest, pc.max(tokens).as_py())
+            if size >= min(max(_HELD_TOKENS, LANES * longest), 4 * _HELD_TOKENS):
                 yield scored()
-                held, size = [], 0
+                held, size, longest = [], 0, 0
         if held:
             yield scored()
 

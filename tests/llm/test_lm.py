@@ -313,3 +313,31 @@ def test_rows_are_summed_by_their_number():
     assert np.allclose(out, want)
     _add_rows(values[:0], rows[:0], out)
     assert not out.any()
+
+
+def test_training_takes_no_new_memory_for_each_window():
+    import resource
+    rnd = np.random.default_rng(2)
+    texts = [rnd.integers(0, 72, 200).astype(np.int32) for _ in range(1500)]
+    m = Gru.fresh(np.ones(64 + 8), 64, 32, 32)
+    m.train(texts[:600], 1)
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_minflt
+    m.train(texts, 1)                       # some 40 windows; each took some 2,000 pages
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_minflt - before < 30_000
+
+
+def test_words_are_split_as_bytes_are(monkeypatch):
+    import pyarrow as pa
+    monkeypatch.setattr(lm, "_PIECE", 50)
+    rnd = random.Random(5)
+    texts = ["".join(map(chr, range(256))), None, "", " \x0b", "É\x1cx\x85y\xa0z A", "q" * 400, " Q " * 100]
+    texts += ["".join(rnd.choice("aB \n\t.é") for _ in range(rnd.randrange(40))) for _ in range(200)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    at = 0
+    for b, sizes, words in lm._pieces([batch.slice(0, 3), batch.slice(3), batch.slice(0, 0)]):
+        want = [(t or "").encode().lower().split() for t in b.column(1).to_pylist()]
+        assert b.column(0).to_pylist() == list(range(at, at + b.num_rows))
+        assert sizes.tolist() == [len(x) for x in want] and words.to_pylist() == sum(want, [])
+        assert b.num_rows == 1 or sum(len((t or "").encode()) for t in b.column(1).to_pylist()) <= 50
+        at += b.num_rows
+    assert at == len(texts)
